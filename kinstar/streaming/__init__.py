@@ -1,0 +1,7 @@
+"""Streaming.
+
+The modelled pipeline is a daily batch over full snapshots; it has no
+watermarks, windows or streaming state, so nothing here is a streaming
+operator of its own. See ``kinstar.streaming.trigger`` for running the
+incremental batch whenever a new snapshot lands.
+"""
