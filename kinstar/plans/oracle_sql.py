@@ -154,9 +154,205 @@ def kinship(s: int) -> list[str]:
     ]
 
 
-def with_ctes(ctes: list[str], select: str) -> str:
+def with_ctes(ctes: list[str], select: str, recursive: bool = False) -> str:
     seen: list[str] = []
     for c in ctes:
         if c not in seen:
             seen.append(c)
-    return "WITH " + ",\n".join(seen) + "\n" + select
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(seen) + "\n" + select
+
+
+# --- dimensions ------------------------------------------------------------------------
+
+def dim_role() -> str:
+    return """dim_role AS (
+  SELECT CAST(sk AS BIGINT) AS relationship_role_sk, code AS relationship_role_code,
+         rtype AS relationship_type, prole AS person_role, sym AS is_symmetric,
+         inv AS inverse_role_code
+  FROM (VALUES (1, 'SPOUSE_HUSBAND', 'SPOUSE', 'HUSBAND', FALSE, 'SPOUSE_WIFE'),
+               (2, 'SPOUSE_WIFE', 'SPOUSE', 'WIFE', FALSE, 'SPOUSE_HUSBAND'),
+               (3, 'SPOUSE_PARTNER', 'SPOUSE', 'PARTNER', TRUE, 'SPOUSE_PARTNER'),
+               (4, 'PARENT', 'PARENT_CHILD', 'PARENT', FALSE, 'CHILD'),
+               (5, 'CHILD', 'PARENT_CHILD', 'CHILD', FALSE, 'PARENT'),
+               (6, 'SIBLING', 'SIBLING', 'SIBLING', TRUE, 'SIBLING'),
+               (7, 'HALF_SIBLING', 'SIBLING', 'HALF_SIBLING', TRUE, 'HALF_SIBLING'))
+       AS v(sk, code, rtype, prole, sym, inv))"""
+
+
+def calendar_select(date_expr: str, source: str) -> str:
+    d = date_expr
+    return f"""SELECT CAST(strftime({d}, '%Y%m%d') AS INTEGER) AS date_sk, {d} AS full_date,
+         CAST(extract(day FROM {d}) AS TINYINT) AS day_of_month,
+         CAST(extract(month FROM {d}) AS TINYINT) AS month_of_year,
+         strftime({d}, '%B') AS month_name,
+         CAST(extract(quarter FROM {d}) AS TINYINT) AS quarter_of_year,
+         CAST(extract(year FROM {d}) AS SMALLINT) AS year_num,
+         CAST(extract(dow FROM {d}) AS TINYINT) AS day_of_week,
+         strftime({d}, '%A') AS day_name,
+         extract(dow FROM {d}) IN (5, 6) AS is_weekend
+  FROM {source}"""
+
+
+def dim_date() -> str:
+    src = ("(SELECT CAST(g AS DATE) AS d FROM generate_series(DATE '1900-01-01', "
+           "DATE '2100-12-31', INTERVAL 1 DAY) AS t(g)) cal")
+    return f"dim_date AS (\n  {calendar_select('d', src)})"
+
+
+PERSON_COLS = ["first_name", "last_name", "sex", "birth_date", "death_date", "education", "works"]
+
+
+def md5_sql(alias: str = "") -> str:
+    a = f"{alias}." if alias else ""
+    parts = []
+    for c in PERSON_COLS:
+        v = f"CAST({a}{c} AS VARCHAR)" if c.endswith("_date") else f"{a}{c}"
+        parts.append(f"coalesce({v}, '')")
+    return "md5(" + " || '|' || ".join(parts) + ")"
+
+
+def dim_person_chain(seqs: list[int]) -> list[str]:
+    """CTEs dim_<s> for each run, applying person_<s> to the previous one."""
+    cols = ", ".join(PERSON_COLS)
+    ctes = [f"""dim_0 AS (
+  SELECT CAST(NULL AS BIGINT) AS person_sk, CAST(NULL AS VARCHAR) AS person_id,
+         {", ".join(f"CAST(NULL AS {'DATE' if c.endswith('_date') else 'VARCHAR'}) AS {c}" for c in PERSON_COLS)},
+         CAST(NULL AS VARCHAR) AS attr_hash, CAST(NULL AS VARCHAR) AS valid_from_run_id,
+         CAST(NULL AS VARCHAR) AS valid_to_run_id, CAST(NULL AS BOOLEAN) AS is_current,
+         CAST(NULL AS BOOLEAN) AS is_deleted
+  WHERE 1 = 0)"""]
+    prev = "dim_0"
+    for s in seqs:
+        run = f"'r{s}'"
+        ctes += [
+            f"""hs_{s} AS (SELECT person_id, {cols}, {md5_sql()} AS attr_hash FROM person_{s})""",
+            f"""exp_{s} AS (
+  SELECT d.person_sk FROM {prev} d JOIN hs_{s} s ON s.person_id = d.person_id
+  WHERE d.is_current AND d.attr_hash IS DISTINCT FROM s.attr_hash)""",
+            f"""gone_{s} AS (
+  SELECT d.person_sk FROM {prev} d
+  WHERE d.is_current AND NOT EXISTS (SELECT 1 FROM hs_{s} s WHERE s.person_id = d.person_id))""",
+            f"""ins_{s} AS (
+  SELECT s.* FROM hs_{s} s LEFT JOIN {prev} d ON d.person_id = s.person_id AND d.is_current
+  WHERE d.person_id IS NULL OR d.attr_hash IS DISTINCT FROM s.attr_hash)""",
+            f"""dim_{s} AS (
+  SELECT person_sk, person_id, {cols}, attr_hash, valid_from_run_id,
+         CASE WHEN person_sk IN (SELECT person_sk FROM exp_{s})
+                OR person_sk IN (SELECT person_sk FROM gone_{s}) THEN {run}
+              ELSE valid_to_run_id END AS valid_to_run_id,
+         CASE WHEN person_sk IN (SELECT person_sk FROM exp_{s})
+                OR person_sk IN (SELECT person_sk FROM gone_{s}) THEN FALSE
+              ELSE is_current END AS is_current,
+         CASE WHEN person_sk IN (SELECT person_sk FROM gone_{s}) THEN TRUE
+              ELSE is_deleted END AS is_deleted
+  FROM {prev}
+  UNION ALL
+  SELECT (SELECT coalesce(max(person_sk), 0) FROM {prev})
+           + row_number() OVER (ORDER BY person_id),
+         person_id, {cols}, attr_hash, {run}, CAST(NULL AS VARCHAR), TRUE, FALSE
+  FROM ins_{s})""",
+        ]
+        prev = f"dim_{s}"
+    return ctes
+
+
+EDGE_COLS = ["source_person_id", "target_person_id", "relationship_role_code", "start_date",
+             "end_date", "end_reason"]
+
+
+def _edge_match(f: str, e: str, f_code: str = "source_relationship_role_code") -> str:
+    return (f"{f}.source_person_id = {e}.source_person_id "
+            f"AND {f}.target_person_id = {e}.target_person_id "
+            f"AND {f}.{f_code} = {e}.relationship_role_code "
+            f"AND {f}.start_date IS NOT DISTINCT FROM {e}.start_date "
+            f"AND {f}.end_date IS NOT DISTINCT FROM {e}.end_date "
+            f"AND {f}.end_reason IS NOT DISTINCT FROM {e}.end_reason")
+
+
+def enriched(s: int) -> str:
+    return f"""enr_{s} AS (
+  SELECT sp.person_sk AS source_person_sk, tp.person_sk AS target_person_sk,
+         r.relationship_role_sk, ds.date_sk AS start_date_sk, de.date_sk AS end_date_sk,
+         e.source_person_id, e.target_person_id, e.relationship_role_code,
+         e.start_date, e.end_date, e.end_reason
+  FROM edge_{s} e
+  JOIN dim_{s} sp ON sp.person_id = e.source_person_id AND sp.is_current
+  JOIN dim_{s} tp ON tp.person_id = e.target_person_id AND tp.is_current
+  JOIN dim_role r ON r.relationship_role_code = e.relationship_role_code
+  LEFT JOIN dim_date ds ON ds.full_date = e.start_date
+  LEFT JOIN dim_date de ON de.full_date = e.end_date)"""
+
+
+FACT_OUT = ["relationship_sk", "source_person_sk", "target_person_sk", "relationship_role_sk",
+            "start_date_sk", "end_date_sk", "source_person_id", "target_person_id",
+            "source_relationship_role_code", "start_date", "end_date", "end_reason",
+            "first_seen_run_id", "last_seen_run_id", "is_deleted", "deleted_at_run_id",
+            "relation_count"]
+
+
+def fact_chain(seqs: list[int]) -> list[str]:
+    """CTEs fact_<s>: the fact after each run (audit timestamps left out)."""
+    ctes = [f"""fact_0 AS (
+  SELECT CAST(NULL AS BIGINT) AS relationship_sk, CAST(NULL AS BIGINT) AS source_person_sk,
+         CAST(NULL AS BIGINT) AS target_person_sk, CAST(NULL AS BIGINT) AS relationship_role_sk,
+         CAST(NULL AS INTEGER) AS start_date_sk, CAST(NULL AS INTEGER) AS end_date_sk,
+         CAST(NULL AS VARCHAR) AS source_person_id, CAST(NULL AS VARCHAR) AS target_person_id,
+         CAST(NULL AS VARCHAR) AS source_relationship_role_code, CAST(NULL AS DATE) AS start_date,
+         CAST(NULL AS DATE) AS end_date, CAST(NULL AS VARCHAR) AS end_reason,
+         CAST(NULL AS VARCHAR) AS first_seen_run_id, CAST(NULL AS VARCHAR) AS last_seen_run_id,
+         CAST(NULL AS BOOLEAN) AS is_deleted, CAST(NULL AS VARCHAR) AS deleted_at_run_id,
+         CAST(NULL AS INTEGER) AS relation_count
+  WHERE 1 = 0)""", dim_role(), dim_date()]
+    prev = "fact_0"
+    for s in seqs:
+        run = f"'r{s}'"
+        ctes += [
+            enriched(s),
+            f"""newf_{s} AS (
+  SELECT e.* FROM enr_{s} e
+  WHERE NOT EXISTS (SELECT 1 FROM {prev} f WHERE {_edge_match('f', 'e')}))""",
+            f"""fact_{s} AS (
+  SELECT f.relationship_sk,
+         CASE WHEN e.hit THEN e.source_person_sk ELSE f.source_person_sk END AS source_person_sk,
+         CASE WHEN e.hit THEN e.target_person_sk ELSE f.target_person_sk END AS target_person_sk,
+         CASE WHEN e.hit THEN e.relationship_role_sk ELSE f.relationship_role_sk END
+           AS relationship_role_sk,
+         CASE WHEN e.hit THEN e.start_date_sk ELSE f.start_date_sk END AS start_date_sk,
+         CASE WHEN e.hit THEN e.end_date_sk ELSE f.end_date_sk END AS end_date_sk,
+         f.source_person_id, f.target_person_id, f.source_relationship_role_code,
+         f.start_date, f.end_date, f.end_reason, f.first_seen_run_id,
+         CASE WHEN e.hit THEN {run} ELSE f.last_seen_run_id END AS last_seen_run_id,
+         CASE WHEN e.hit THEN FALSE
+              WHEN NOT f.is_deleted AND NOT EXISTS (
+                SELECT 1 FROM edge_{s} d WHERE {_edge_match('f', 'd')}) THEN TRUE
+              ELSE f.is_deleted END AS is_deleted,
+         CASE WHEN e.hit THEN CAST(NULL AS VARCHAR)
+              WHEN NOT f.is_deleted AND NOT EXISTS (
+                SELECT 1 FROM edge_{s} d WHERE {_edge_match('f', 'd')}) THEN {run}
+              ELSE f.deleted_at_run_id END AS deleted_at_run_id,
+         f.relation_count
+  FROM {prev} f LEFT JOIN (SELECT *, TRUE AS hit FROM enr_{s}) e ON {_edge_match('f', 'e')}
+  UNION ALL
+  SELECT (SELECT coalesce(max(relationship_sk), 0) FROM {prev})
+           + row_number() OVER (ORDER BY source_person_id NULLS FIRST,
+               target_person_id NULLS FIRST, relationship_role_code NULLS FIRST,
+               start_date NULLS FIRST, end_date NULLS FIRST, end_reason NULLS FIRST),
+         source_person_sk, target_person_sk, relationship_role_sk, start_date_sk, end_date_sk,
+         source_person_id, target_person_id, relationship_role_code, start_date, end_date,
+         end_reason, {run}, {run}, FALSE, CAST(NULL AS VARCHAR), 1
+  FROM newf_{s})""",
+        ]
+        prev = f"fact_{s}"
+    return ctes
+
+
+def state(seqs: list[int]) -> list[str]:
+    """Fixture, kinship, dimension and fact CTEs for runs ``seqs`` (run 3
+    replays run 1's content)."""
+    ctes: list[str] = []
+    for s in seqs:
+        ctes += fixture(s, 1 if s == 3 else s)
+    for s in seqs:
+        ctes += kinship(s)
+    return ctes + dim_person_chain(seqs) + fact_chain(seqs)

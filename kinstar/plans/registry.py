@@ -146,3 +146,370 @@ def q_sibling_edges(spark, sf_dir):
     lambda s: f"SELECT 'r{s}' AS run_id, * FROM edge_{s}")))
 def q_combined_edges(spark, sf_dir):
     return _both(lambda s: kinship.derive_edges(*_snap(spark, sf_dir, s)))
+
+
+# --- dimensions, diff, SCD-2, fact, reports ------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from kinstar.operators import dims, diff, scd2  # noqa: E402
+from kinstar.operators import fact as fact_ops  # noqa: E402
+from kinstar.plans import reports  # noqa: E402
+from kinstar.schemas import PERSON_TRACKED  # noqa: E402
+from kinstar.session import materialize  # noqa: E402
+from kinstar.sources import store  # noqa: E402
+
+AS_OF = _dt.date.fromisoformat(O.AS_OF_DATE)
+DIM_OUT = ["person_sk", "person_id", *PERSON_TRACKED, "attr_hash", "valid_from_run_id",
+           "valid_to_run_id", "is_current", "is_deleted"]
+
+
+def _started(seq: int) -> _dt.datetime:
+    return _dt.datetime.fromisoformat(O.RUN_STARTS[seq])
+
+
+def _content(seq: int) -> int:
+    return 1 if seq == 3 else seq
+
+
+def _warehouse(spark, sf_dir, seqs=(1, 2)):
+    """Run the derived snapshots through the merges; per run:
+    (dim_person, fact, edges, dim_role, dim_date). Each version is
+    checkpointed, as a stored table version would be."""
+    dim_role = materialize(dims.role_dimension(spark))
+    dim_date = materialize(dims.seed_calendar(spark))
+    dim = fct = None
+    out = {}
+    for s in seqs:
+        person, family, relation = fixture.snapshot(spark, sf_dir, _content(s))
+        run = O.run_name(s)
+        dim = materialize(scd2.scd2_merge(dim, person, run, _started(s), key="person_id",
+                                          tracked=PERSON_TRACKED, sk_col="person_sk"))
+        edges = kinship.derive_edges(person, family, relation)
+        flagged = kinship.enrich_edges(edges, dim, dim_role, dim_date, keep_unmatched=True)
+        fct = materialize(fact_ops.merge_fact(fct, flagged, run, _started(s)))
+        out[s] = (dim, fct, edges, dim_role, dim_date)
+    return out
+
+
+ROLE_COLS = ["relationship_role_sk", "relationship_role_code", "relationship_type",
+             "person_role", "is_symmetric", "inverse_role_code"]
+
+
+@register("dim_role", O.with_ctes(FIX + O.kinship(1) + [O.dim_role()],
+                                  "SELECT * FROM dim_role"))
+def q_dim_role(spark, sf_dir):
+    # The table already holds the roles observed in r1's edges; seeding adds
+    # whatever is missing and never touches existing rows.
+    observed = kinship.derive_edges(*fixture.snapshot(spark, sf_dir, 1)).select(
+        "relationship_role_code").distinct()
+    existing = dims.role_dimension(spark).join(observed, "relationship_role_code", "left_semi")
+    return dims.role_dimension(spark, existing).select(*ROLE_COLS)
+
+
+DATE_COLS = ["date_sk", "full_date", "day_of_month", "month_of_year", "month_name",
+             "quarter_of_year", "year_num", "day_of_week", "day_name", "is_weekend"]
+
+
+@register("dim_date", O.with_ctes(
+    [O.dim_date(), f"""partial AS (
+  {O.calendar_select('d', "(SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_shipdate IS NOT NULL) s")})"""],
+    "SELECT * FROM partial UNION ALL SELECT * FROM dim_date "
+    "WHERE full_date NOT IN (SELECT full_date FROM partial)"))
+def q_dim_date(spark, sf_dir):
+    # Existing table = the days the line items ship on; the seed adds the rest.
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    existing = dims.dates_dimension_of(line, "l_shipdate")
+    return dims.seed_calendar(spark, existing).select(*DATE_COLS)
+
+
+@register("seed_if_absent", O.with_ctes(FIX, """
+SELECT row_number() OVER (ORDER BY person_id) AS person_sk, * FROM person_1
+UNION ALL
+SELECT (SELECT count(*) FROM person_1) + row_number() OVER (ORDER BY person_id), *
+FROM person_2 WHERE person_id NOT IN (SELECT person_id FROM person_1)"""))
+def q_seed_if_absent(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    p1, p2 = fixture.person_snapshot(cust, 1), fixture.person_snapshot(cust, 2)
+    t = dims.seed_if_absent(None, p1, ["person_id"], sk_col="person_sk")
+    t = dims.seed_if_absent(t, p2, ["person_id"], sk_col="person_sk")
+    t = dims.seed_if_absent(t, p2, ["person_id"], sk_col="person_sk")  # second seed: no-op
+    return t.select("person_sk", *p1.columns)
+
+
+@register("attr_hash", O.with_ctes(FIX, _union_sql(
+    lambda s: f"SELECT 'r{s}' AS run_id, person_id, {O.md5_sql()} AS attr_hash FROM person_{s}")))
+def q_attr_hash(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    return _both(lambda s: diff.with_attr_hash(fixture.person_snapshot(cust, s), PERSON_TRACKED)
+                 .select("person_id", "attr_hash"))
+
+
+@register("snapshot_diff", O.with_ctes(FIX, f"""
+SELECT coalesce(a.person_id, b.person_id) AS person_id,
+       CASE WHEN a.person_id IS NULL THEN 'new' WHEN b.person_id IS NULL THEN 'deleted'
+            WHEN {O.md5_sql('a')} IS DISTINCT FROM {O.md5_sql('b')} THEN 'changed'
+            ELSE 'same' END AS change_type
+FROM person_1 a FULL OUTER JOIN person_2 b ON a.person_id = b.person_id"""))
+def q_snapshot_diff(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    return diff.snapshot_diff(fixture.person_snapshot(cust, 1), fixture.person_snapshot(cust, 2),
+                              ["person_id"], PERSON_TRACKED)
+
+
+ORDER_TRACKED = ["o_orderstatus", "o_orderdate", "o_orderpriority"]
+
+
+def _orders_prev_cur(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    k = F.col("o_orderkey")
+    prev = o.where(k % 40 != 9)
+    cur = o.where(k % 50 != 7).withColumn(
+        "o_orderstatus", F.when(k % 10 == 3, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    return prev, cur
+
+
+def _orders_hash(a: str) -> str:
+    return (f"md5(coalesce({a}.o_orderstatus, '') || '|' || coalesce(CAST({a}.o_orderdate AS VARCHAR), '')"
+            f" || '|' || coalesce({a}.o_orderpriority, ''))")
+
+
+@register("snapshot_diff_orders", f"""
+WITH prev AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+              FROM orders WHERE o_orderkey % 40 <> 9),
+     cur AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 'X' ELSE o_orderstatus END
+                      AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+             FROM orders WHERE o_orderkey % 50 <> 7)
+SELECT coalesce(p.o_orderkey, c.o_orderkey) AS o_orderkey,
+       CASE WHEN p.o_orderkey IS NULL THEN 'new' WHEN c.o_orderkey IS NULL THEN 'deleted'
+            WHEN {_orders_hash('p')} IS DISTINCT FROM {_orders_hash('c')} THEN 'changed'
+            ELSE 'same' END AS change_type,
+       p.o_totalprice AS prev_o_totalprice, c.o_totalprice AS cur_o_totalprice
+FROM prev p FULL OUTER JOIN cur c ON p.o_orderkey = c.o_orderkey""")
+def q_snapshot_diff_orders(spark, sf_dir):
+    prev, cur = _orders_prev_cur(spark, sf_dir)
+    return diff.snapshot_diff(prev, cur, ["o_orderkey"], ORDER_TRACKED, carry=["o_totalprice"])
+
+
+def _raw_person(spark, sf_dir):
+    """Raw person staging table (all runs) and its run log, both derived."""
+    cust = fixture.read_customer(spark, sf_dir)
+    raw = _both(lambda s: fixture.person_snapshot(cust, s))
+    log = raw.select("run_id").distinct().select(
+        "run_id",
+        (F.lit(_started(1)).cast("timestamp")
+         + F.make_dt_interval(F.substring("run_id", 2, 9).cast("int") - 1)).alias("started_at"))
+    return raw, log
+
+
+RAW_LOG_SQL = [*FIX, """raw_person AS (
+  SELECT 'r1' AS run_id, * FROM person_1 UNION ALL SELECT 'r2' AS run_id, * FROM person_2)""",
+               """run_log AS (
+  SELECT run_id, TIMESTAMP '2026-01-01 02:00:00'
+         + to_days(CAST(substr(run_id, 2) AS INTEGER) - 1) AS started_at
+  FROM (SELECT DISTINCT run_id FROM raw_person) r)"""]
+
+
+@register("current_run", O.with_ctes(
+    RAW_LOG_SQL, "SELECT run_id, started_at FROM run_log ORDER BY started_at DESC, run_id DESC LIMIT 1"))
+def q_current_run(spark, sf_dir):
+    _, log = _raw_person(spark, sf_dir)
+    return store.current_run(log)
+
+
+@register("snapshot_slice", O.with_ctes(RAW_LOG_SQL, """
+SELECT * EXCLUDE (run_id) FROM raw_person
+WHERE run_id = (SELECT run_id FROM run_log ORDER BY started_at DESC, run_id DESC LIMIT 1)"""))
+def q_snapshot_slice(spark, sf_dir):
+    raw, log = _raw_person(spark, sf_dir)
+    return store.snapshot_slice(raw, store.resolve_current_run(log))
+
+
+DIM_SQL_COLS = ", ".join(DIM_OUT)
+
+
+def _dim_query(seqs, s):
+    return O.with_ctes(O.state(list(seqs)), f"SELECT {DIM_SQL_COLS} FROM dim_{s}")
+
+
+@register("scd2_first_load", _dim_query([1], 1))
+def q_scd2_first_load(spark, sf_dir):
+    return _warehouse(spark, sf_dir, (1,))[1][0].select(*DIM_OUT)
+
+
+@register("scd2_merge", _dim_query([1, 2], 2))
+def q_scd2_merge(spark, sf_dir):
+    return _warehouse(spark, sf_dir, (1, 2))[2][0].select(*DIM_OUT)
+
+
+@register("scd2_revive", _dim_query([1, 2, 3], 3))
+def q_scd2_revive(spark, sf_dir):
+    return _warehouse(spark, sf_dir, (1, 2, 3))[3][0].select(*DIM_OUT)
+
+
+ENR_OUT = ["source_person_sk", "target_person_sk", "relationship_role_sk", "start_date_sk",
+           "end_date_sk", "source_person_id", "target_person_id", "relationship_role_code",
+           "start_date", "end_date", "end_reason"]
+
+
+@register("enriched_edges", O.with_ctes(O.state([1, 2]), _union_sql(
+    lambda s: f"SELECT 'r{s}' AS run_id, * FROM enr_{s}")))
+def q_enriched_edges(spark, sf_dir):
+    w = _warehouse(spark, sf_dir, (1, 2))
+
+    def build(s):
+        dim, _, edges, role, date = w[s]
+        return kinship.enrich_edges(edges, dim, role, date).select(*ENR_OUT)
+    return _both(build)
+
+
+@register("date_key_lookup", O.with_ctes([O.dim_date()], """
+SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DATE) AS ship_date,
+       d.date_sk AS ship_date_sk, d.year_num, d.quarter_of_year, d.day_name, d.is_weekend
+FROM lineitem l LEFT JOIN dim_date d ON d.full_date = CAST(l.l_shipdate AS DATE)"""))
+def q_date_key_lookup(spark, sf_dir):
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("ship_date"))
+    cal = F.broadcast(dims.seed_calendar(spark).select(
+        F.col("full_date").alias("ship_date"), F.col("date_sk").alias("ship_date_sk"),
+        "year_num", "quarter_of_year", "day_name", "is_weekend"))
+    return line.join(cal, "ship_date", "left").select(
+        "l_orderkey", "l_linenumber", "ship_date", "ship_date_sk", "year_num",
+        "quarter_of_year", "day_name", "is_weekend")
+
+
+FACT_SQL_COLS = ", ".join(O.FACT_OUT)
+
+
+def _fact_query(seqs, s, where=""):
+    return O.with_ctes(O.state(list(seqs)), f"SELECT {FACT_SQL_COLS} FROM fact_{s} {where}")
+
+
+@register("fact_first_load", _fact_query([1], 1))
+def q_fact_first_load(spark, sf_dir):
+    return _warehouse(spark, sf_dir, (1,))[1][1].select(*O.FACT_OUT)
+
+
+@register("fact_merge", _fact_query([1, 2], 2))
+def q_fact_merge(spark, sf_dir):
+    return _warehouse(spark, sf_dir, (1, 2))[2][1].select(*O.FACT_OUT)
+
+
+@register("fact_soft_delete", _fact_query([1, 2], 2, "WHERE deleted_at_run_id = 'r2'"))
+def q_fact_soft_delete(spark, sf_dir):
+    f = _warehouse(spark, sf_dir, (1, 2))[2][1]
+    return f.where(F.col("deleted_at_run_id") == "r2").select(*O.FACT_OUT)
+
+
+@register("fact_revive", _fact_query([1, 2, 3], 3))
+def q_fact_revive(spark, sf_dir):
+    return _warehouse(spark, sf_dir, (1, 2, 3))[3][1].select(*O.FACT_OUT)
+
+
+def _name(a: str) -> str:
+    return f"{a}.first_name || ' ' || {a}.last_name"
+
+
+@register("fact_history", O.with_ctes(O.state([1, 2, 3]), """
+SELECT f.relationship_sk, f.source_person_id, f.target_person_id,
+       f.source_relationship_role_code AS role, r.relationship_type, f.start_date, f.end_date,
+       f.end_reason, f.first_seen_run_id, f.last_seen_run_id, f.is_deleted, f.deleted_at_run_id
+FROM fact_3 f
+JOIN dim_3 s ON s.person_sk = f.source_person_sk AND s.is_current
+JOIN dim_3 t ON t.person_sk = f.target_person_sk AND t.is_current
+JOIN dim_role r ON r.relationship_role_sk = f.relationship_role_sk"""))
+def q_fact_history(spark, sf_dir):
+    dim, fct, _, role, _ = _warehouse(spark, sf_dir, (1, 2, 3))[3]
+    return reports.fact_history(fct, dim, role)
+
+
+@register("relationship_card", O.with_ctes(O.state([1, 2]), f"""
+SELECT s.person_id, {_name('s')} AS person, s.birth_date AS person_birth_date,
+       s.death_date AS person_death_date, r.relationship_type,
+       f.source_relationship_role_code AS role, f.start_date AS relationship_start,
+       f.end_date AS relationship_end, f.end_reason, t.person_id AS related_person_id,
+       {_name('t')} AS related_person, t.birth_date AS related_birth_date,
+       t.death_date AS related_death_date
+FROM fact_2 f
+JOIN dim_2 s ON s.person_sk = f.source_person_sk AND s.is_current
+JOIN dim_2 t ON t.person_sk = f.target_person_sk AND t.is_current
+JOIN dim_role r ON r.relationship_role_sk = f.relationship_role_sk
+WHERE NOT f.is_deleted
+ORDER BY s.last_name, s.first_name, r.relationship_type, f.source_relationship_role_code,
+         t.birth_date"""))
+def q_relationship_card(spark, sf_dir):
+    dim, fct, _, role, _ = _warehouse(spark, sf_dir, (1, 2))[2]
+    return reports.relationship_card(fct, dim, role)
+
+
+@register("marriage_timeline", O.with_ctes(O.state([1, 2]), f"""
+SELECT h.person_id AS husband_id, {_name('h')} AS husband, w.person_id AS wife_id,
+       {_name('w')} AS wife, d.year_num AS marriage_year, f.start_date AS marriage_date,
+       f.end_date AS divorce_date, f.end_reason,
+       CASE WHEN f.end_reason = 'DIVORCE' THEN 'Divorced'
+            WHEN h.death_date IS NOT NULL AND w.death_date IS NOT NULL THEN 'Both deceased'
+            WHEN h.death_date IS NOT NULL THEN 'Husband deceased'
+            WHEN w.death_date IS NOT NULL THEN 'Wife deceased'
+            ELSE 'Active' END AS outcome,
+       date_diff('year', f.start_date, coalesce(f.end_date,
+         nullif(least(coalesce(h.death_date, DATE '9999-12-31'),
+                      coalesce(w.death_date, DATE '9999-12-31')), DATE '9999-12-31'),
+         DATE '{O.AS_OF_DATE}')) AS years_together
+FROM fact_2 f
+JOIN dim_role r ON r.relationship_role_sk = f.relationship_role_sk
+  AND r.relationship_role_code = 'SPOUSE_HUSBAND'
+JOIN dim_2 h ON h.person_sk = f.source_person_sk AND h.is_current
+JOIN dim_2 w ON w.person_sk = f.target_person_sk AND w.is_current
+LEFT JOIN dim_date d ON d.full_date = f.start_date
+WHERE NOT f.is_deleted
+ORDER BY f.start_date"""))
+def q_marriage_timeline(spark, sf_dir):
+    dim, fct, _, role, date = _warehouse(spark, sf_dir, (1, 2))[2]
+    return reports.marriage_timeline(fct, dim, role, date, AS_OF)
+
+
+def _chain_sql(s: int) -> str:
+    return f"""chain AS (
+  SELECT p.person_id AS root_person_id, {_name('p')} AS root_person_name,
+         p.birth_date AS root_birth_date, p.person_id AS ancestor_person_id,
+         {_name('p')} AS ancestor_name, p.birth_date AS ancestor_birth_date,
+         p.death_date AS ancestor_death_date, 0 AS generation_depth,
+         CAST({_name('p')} AS VARCHAR) AS lineage_path
+  FROM dim_{s} p WHERE p.is_current AND NOT p.is_deleted
+  UNION ALL
+  SELECT c.root_person_id, c.root_person_name, c.root_birth_date, q.person_id,
+         {_name('q')}, q.birth_date, q.death_date, c.generation_depth + 1,
+         c.lineage_path || ' -> ' || {_name('q')}
+  FROM chain c
+  JOIN fact_{s} f ON f.source_person_id = c.ancestor_person_id
+   AND f.source_relationship_role_code = 'CHILD' AND NOT f.is_deleted
+  JOIN dim_{s} q ON q.person_id = f.target_person_id AND q.is_current)"""
+
+
+CHAIN_COLS = ["root_person_id", "root_person_name", "root_birth_date", "ancestor_person_id",
+              "ancestor_name", "ancestor_birth_date", "ancestor_death_date",
+              "generation_depth", "lineage_path"]
+
+
+@register("ancestor_closure", O.with_ctes(O.state([1, 2]) + [_chain_sql(2)],
+                                          "SELECT * FROM chain", recursive=True))
+def q_ancestor_closure(spark, sf_dir):
+    dim, fct, *_ = _warehouse(spark, sf_dir, (1, 2))[2]
+    return reports.ancestor_closure(dim, fct).select(*CHAIN_COLS)
+
+
+@register("ancestor_lineage", O.with_ctes(O.state([1, 2]) + [_chain_sql(2)], """
+SELECT root_person_name AS person, root_birth_date AS person_birth_date,
+       generation_depth AS generations_back,
+       CASE generation_depth WHEN 1 THEN 'Parent' WHEN 2 THEN 'Grandparent'
+            WHEN 3 THEN 'Great-grandparent'
+            ELSE 'Great-' || repeat('great-', generation_depth - 3) || 'grandparent'
+       END AS relation_label,
+       ancestor_name AS ancestor, ancestor_birth_date, ancestor_death_date, lineage_path
+FROM chain WHERE generation_depth > 0
+ORDER BY root_birth_date DESC NULLS LAST, root_person_name NULLS LAST, generation_depth""",
+    recursive=True))
+def q_ancestor_lineage(spark, sf_dir):
+    dim, fct, *_ = _warehouse(spark, sf_dir, (1, 2))[2]
+    return reports.ancestor_lineage(dim, fct)
