@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinstar.functions.columns import date_key, day_of_week_sunday0
@@ -76,11 +76,14 @@ def role_rows(spark: SparkSession) -> DataFrame:
 
 
 def seed_if_absent(existing: DataFrame | None, rows: DataFrame, key: Sequence[str],
-                   sk_col: str | None = None, order_by: Sequence[str] | None = None) -> DataFrame:
+                   sk_col: str | None = None, order_by: Sequence[str] | None = None,
+                   bounded: bool = False) -> DataFrame:
     """Insert rows whose unique ``key`` is not present yet; never update (M6).
 
     With ``sk_col`` the inserted rows get surrogate keys after the current
-    maximum, in ``order_by`` order (default: the key).
+    maximum, in ``order_by`` order (default: the key). ``bounded`` declares
+    ``rows`` a small literal of known size (the seven roles): keys then come
+    from one ``row_number`` window instead of the distributed K1 plan.
     """
     key = list(key)
     if existing is None:
@@ -89,7 +92,12 @@ def seed_if_absent(existing: DataFrame | None, rows: DataFrame, key: Sequence[st
         new = rows.join(existing.select(*key), key, "left_anti")
     if sk_col is not None:
         base = next_key_base(existing, sk_col) if existing is not None else 0
-        new = with_surrogate_key(new, list(order_by or key), sk_col, start=base)
+        order = list(order_by or key)
+        if bounded:
+            rank = F.row_number().over(Window.orderBy(*order))
+            new = new.withColumn(sk_col, (F.lit(base) + rank).cast("long"))
+        else:
+            new = with_surrogate_key(new, order, sk_col, start=base)
     if existing is None:
         return new
     return existing.unionByName(new.select(*existing.columns))
@@ -99,7 +107,7 @@ def role_dimension(spark: SparkSession, existing: DataFrame | None = None) -> Da
     """Seed the seven roles (keys 1..7 on an empty table)."""
     cols = [f.name for f in DIM_ROLE.fields]
     seeded = seed_if_absent(existing, role_rows(spark), ["relationship_role_code"],
-                            sk_col="relationship_role_sk", order_by=["_ord"])
+                            sk_col="relationship_role_sk", order_by=["_ord"], bounded=True)
     return seeded.select(*cols)
 
 

@@ -513,3 +513,164 @@ ORDER BY root_birth_date DESC NULLS LAST, root_person_name NULLS LAST, generatio
 def q_ancestor_lineage(spark, sf_dir):
     dim, fct, *_ = _warehouse(spark, sf_dir, (1, 2))[2]
     return reports.ancestor_lineage(dim, fct)
+
+
+# --- changesets, profile, checks, the incremental run --------------------------------
+
+from kinstar.operators import changeset, checks, profile  # noqa: E402
+from kinstar.plans import pipeline  # noqa: E402
+from kinstar.session import scratch_path  # noqa: E402
+
+CHANGE_SQL = [*FIX, """persons_g2 AS (
+  SELECT * FROM person_1
+  UNION ALL SELECT * FROM person_2 WHERE person_id NOT IN (SELECT person_id FROM person_1))""",
+              """families_g2 AS (
+  SELECT * FROM family_1
+  UNION ALL SELECT * FROM family_2 WHERE family_id NOT IN (SELECT family_id FROM family_1))"""]
+
+
+@register("changeset_insert", O.with_ctes(CHANGE_SQL, "SELECT * FROM persons_g2"))
+def q_changeset_insert(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    return changeset.insert_nodes_if_absent(fixture.person_snapshot(cust, 1),
+                                            fixture.person_snapshot(cust, 2), "person_id")
+
+
+@register("changeset_edge_insert", O.with_ctes(CHANGE_SQL + ["""cand AS (
+  SELECT DISTINCT person_id, family_id, relationship_type, role FROM relation_2
+  WHERE person_id IN (SELECT person_id FROM persons_g2)
+    AND family_id IN (SELECT family_id FROM families_g2))"""], """
+SELECT * FROM relation_1
+UNION ALL
+SELECT * FROM cand c WHERE NOT EXISTS (
+  SELECT 1 FROM relation_1 o
+  WHERE o.person_id IS NOT DISTINCT FROM c.person_id AND o.family_id IS NOT DISTINCT FROM c.family_id
+    AND o.relationship_type IS NOT DISTINCT FROM c.relationship_type
+    AND o.role IS NOT DISTINCT FROM c.role)"""))
+def q_changeset_edge_insert(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    p1, p2 = fixture.person_snapshot(cust, 1), fixture.person_snapshot(cust, 2)
+    f1, f2 = fixture.family_snapshot(cust, 1), fixture.family_snapshot(cust, 2)
+    persons = changeset.insert_nodes_if_absent(p1, p2, "person_id")
+    families = changeset.insert_nodes_if_absent(f1, f2, "family_id")
+    return changeset.insert_edges_if_absent(fixture.relation_snapshot(cust, 1, p1),
+                                            fixture.relation_snapshot(cust, 2, p2),
+                                            persons, families)
+
+
+@register("changeset_update", O.with_ctes(FIX, """
+SELECT a.person_id, a.first_name, a.last_name, a.sex, a.birth_date,
+       CASE WHEN b.person_id IS NOT NULL THEN b.death_date ELSE a.death_date END AS death_date,
+       a.education,
+       CASE WHEN b.person_id IS NOT NULL THEN b.works ELSE a.works END AS works
+FROM person_1 a LEFT JOIN person_2 b ON b.person_id = a.person_id"""))
+def q_changeset_update(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    changes = fixture.person_snapshot(cust, 2).select("person_id", "death_date", "works")
+    return changeset.update_properties(fixture.person_snapshot(cust, 1), changes, "person_id")
+
+
+@register("changeset_edge_delete", O.with_ctes(FIX, """
+SELECT * FROM relation_1 r WHERE EXISTS (
+  SELECT 1 FROM relation_2 s WHERE s.person_id = r.person_id AND s.family_id = r.family_id
+    AND s.relationship_type = r.relationship_type)"""))
+def q_changeset_edge_delete(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    r1, r2 = fixture.relation_snapshot(cust, 1), fixture.relation_snapshot(cust, 2)
+    keys = ["person_id", "family_id", "relationship_type"]
+    return changeset.delete_edges(r1, r1.join(r2.select(*keys), keys, "left_anti"), keys)
+
+
+def _elements(spark, sf_dir, seq=2):
+    person, family, relation = fixture.snapshot(spark, sf_dir, seq)
+    nodes = (profile.graph_elements(person, "Person", graph.PERSON_PROPS)
+             .unionByName(profile.graph_elements(family, "Family", graph.FAMILY_PROPS)))
+    edges = profile.graph_elements(relation, F.col("relationship_type"), {"role": "role"})
+    return nodes, edges, relation
+
+
+def _profile_sql() -> str:
+    parts = []
+    for label, table, props in [("Person", "person_2", graph.PERSON_PROPS),
+                                ("Family", "family_2", graph.FAMILY_PROPS)]:
+        for col, prop in props.items():
+            typ = "Date" if col.endswith("_date") else "String"
+            parts.append(f"SELECT '{label}' AS label, '{prop}' AS property_name, "
+                         f"'{typ}' AS property_types, count({col}) AS present FROM {table}")
+    parts.append("SELECT relationship_type, 'role', 'String', count(role) FROM relation_2 "
+                 "GROUP BY relationship_type")
+    props = "\n  UNION ALL ".join(parts)
+    return O.with_ctes(FIX + [
+        """el AS (
+  SELECT 'Person' AS label, count(*) AS total FROM person_2
+  UNION ALL SELECT 'Family', count(*) FROM family_2
+  UNION ALL SELECT relationship_type, count(*) FROM relation_2 GROUP BY relationship_type)""",
+        f"pp AS (\n  {props})"], """
+SELECT el.label, p.property_name, p.property_types,
+       coalesce(p.present = el.total, FALSE) AS mandatory
+FROM el LEFT JOIN (SELECT * FROM pp WHERE present > 0) p ON p.label = el.label""")
+
+
+@register("property_profile", _profile_sql())
+def q_property_profile(spark, sf_dir):
+    nodes, edges, _ = _elements(spark, sf_dir)
+    prof = profile.property_profile(nodes.unionByName(edges))
+    return prof.select("label", "property_name",
+                       F.array_join("property_types", ",").alias("property_types"), "mandatory")
+
+
+@register("label_catalog", O.with_ctes(FIX, """
+SELECT 'node' AS kind, 'Person' AS name, count(*) AS n_elements FROM person_2
+UNION ALL SELECT 'node', 'Family', count(*) FROM family_2
+UNION ALL SELECT 'relationship', relationship_type, count(*) FROM relation_2
+GROUP BY relationship_type"""))
+def q_label_catalog(spark, sf_dir):
+    nodes, _, relation = _elements(spark, sf_dir)
+    return profile.label_catalog(nodes, relation)
+
+
+def _key_sql(table: str, key: str, source: str) -> str:
+    return f"""SELECT '{table}' AS table_name, 'run_id,{key}' AS key_columns,
+       CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys,
+       count(*) FILTER (WHERE run_id IS NULL OR {key} IS NULL) AS n_null_keys,
+       count(*) FILTER (WHERE n > 1) AS n_duplicate_keys,
+       CAST(sum(nn) AS BIGINT) AS n_not_null_violations
+FROM (SELECT run_id, {key}, count(*) AS n, count(*) FILTER (WHERE {key} IS NULL) AS nn
+      FROM ({source}) s GROUP BY run_id, {key}) g"""
+
+
+@register("key_check", O.with_ctes(FIX, "\nUNION ALL\n".join([
+    _key_sql("raw_person_snapshot", "person_id",
+             "SELECT 'r1' AS run_id, * FROM person_1 UNION ALL SELECT 'r2', * FROM person_2"),
+    _key_sql("raw_family_snapshot", "family_id",
+             "SELECT 'r1' AS run_id, * FROM family_1 UNION ALL SELECT 'r2', * FROM family_2")])))
+def q_key_check(spark, sf_dir):
+    cust = fixture.read_customer(spark, sf_dir)
+    persons = _both(lambda s: fixture.person_snapshot(cust, s))
+    families = _both(lambda s: fixture.family_snapshot(cust, s))
+    return (checks.key_summary(persons, "raw_person_snapshot", ["run_id", "person_id"], ["person_id"])
+            .unionByName(checks.key_summary(families, "raw_family_snapshot",
+                                            ["run_id", "family_id"], ["family_id"])))
+
+
+@register("run_increment", O.with_ctes(O.state([1, 2]), """
+SELECT 'dim_person' AS table_name, count(*) AS n_rows, count(*) FILTER (WHERE is_current) AS n_live,
+       count(*) FILTER (WHERE is_deleted) AS n_deleted FROM dim_2
+UNION ALL SELECT 'dim_relationship_role', count(*), count(*), 0 FROM dim_role
+UNION ALL SELECT 'dim_date', count(*), count(*), 0 FROM dim_date
+UNION ALL SELECT 'fact_person_relationship', count(*), count(*) FILTER (WHERE NOT is_deleted),
+       count(*) FILTER (WHERE is_deleted) FROM fact_2
+UNION ALL SELECT 'raw_person_snapshot', n, n, 0
+  FROM (SELECT (SELECT count(*) FROM person_1) + (SELECT count(*) FROM person_2) AS n) x
+UNION ALL SELECT 'raw_family_snapshot', n, n, 0
+  FROM (SELECT (SELECT count(*) FROM family_1) + (SELECT count(*) FROM family_2) AS n) x
+UNION ALL SELECT 'raw_relation_snapshot', n, n, 0
+  FROM (SELECT (SELECT count(*) FROM relation_1) + (SELECT count(*) FROM relation_2) AS n) x
+UNION ALL SELECT 'etl_run_log', 2, 2, 0"""))
+def q_run_increment(spark, sf_dir):
+    root = scratch_path(spark, "warehouse")
+    for s in (1, 2):
+        person, family, relation = fixture.snapshot(spark, sf_dir, s)
+        pipeline.run_increment(spark, root, person, family, relation, run_id=O.run_name(s),
+                               started_at=_started(s))
+    return pipeline.table_summary(spark, root)

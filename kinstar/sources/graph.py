@@ -42,14 +42,19 @@ def check_shape(df: DataFrame, required: dict[str, type[T.DataType]]) -> None:
                              f"expected {typ.__name__}")
 
 
+def bag_column(props: dict[str, str], value=None):
+    """map<property, value> of the non-NULL columns named in ``props``;
+    ``value(column_name)`` gives the stored value (default: the text)."""
+    value = value or (lambda c: F.col(c).cast("string"))
+    entries = [F.when(F.col(c).isNotNull(), F.struct(F.lit(p).alias("k"), value(c).alias("v")))
+               for c, p in props.items()]
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+
+
 def to_property_bag(rows: DataFrame, props: dict[str, str], bag: str = "props") -> DataFrame:
     """Fold fixed columns into a property bag; NULL properties are absent,
     as in a property graph, and values are rendered as text."""
-    entries = [F.when(F.col(c).isNotNull(), F.struct(F.lit(p).alias("k"),
-                                                     F.col(c).cast("string").alias("v")))
-               for c, p in props.items()]
-    kv = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return rows.select(F.map_from_entries(kv).alias(bag))
+    return rows.select(bag_column(props).alias(bag))
 
 
 def project_properties(nodes: DataFrame, schema: T.StructType, props: dict[str, str],
