@@ -35,10 +35,13 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[str | Column], sk_col:
     ``order_by`` columns are ascending with NULLs first unless given as
     Columns. Ties get distinct keys in an unspecified order.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order_cols(order_by)
-    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    # Without an explicit count AQE sizes the range partitions from the
+    # actual data (a 7-row seed becomes one partition, a billion-row load
+    # gets as many as its bytes need).
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = materialize(ranged.sortWithinPartitions(*order))
     # Both columns are taken straight off the checkpointed scan, so the
     # partition index is that of the range partition.
     pos = ranged.select("*", F.spark_partition_id().alias("_pid"),
