@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from kinstar.operators.keys import next_key_base, with_surrogate_key
 from kinstar.schemas import EDGE_KEY, EDGE_NULLABLE_KEY, FACT
+from kinstar.session import materialize
 
 FACT_COLUMNS = [f.name for f in FACT.fields]
 # Fact column holding each part of the edge key.
@@ -59,7 +60,9 @@ def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
         fc, ec = F.col(KEY_IN_FACT[k]), F.col(f"_e_{k}")
         term = fc.eqNullSafe(ec) if k in EDGE_NULLABLE_KEY else fc == ec
         cond = term if cond is None else cond & term
-    j = fact.join(e, cond, "full_outer")
+    # The classified join feeds two outputs (updated rows, keyed inserts);
+    # checkpoint it once instead of deriving the edges twice.
+    j = materialize(fact.join(e, cond, "full_outer"))
 
     in_fact, in_edge = F.col("relationship_sk").isNotNull(), F.col("_e_in").isNotNull()
     enriched = F.coalesce(F.col("_e__enriched"), F.lit(False))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from kinstar.functions.columns import attr_hash
 from kinstar.operators.keys import next_key_base, with_surrogate_key
+from kinstar.session import materialize
 
 
 def dim_columns(key: str, tracked: Sequence[str], sk_col: str) -> list[str]:
@@ -56,7 +57,8 @@ def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, run_id: str, as_of: d
     current = dim.where(F.col("is_current"))
     snap = snapshot.select(key, *[F.col(c).alias(f"_s_{c}") for c in tracked],
                            attr_hash(*tracked).alias("_s_hash"), F.lit(True).alias("_s_in"))
-    j = current.join(snap, key, "full_outer")
+    # One full outer join feeds both outputs (old versions, keyed inserts).
+    j = materialize(current.join(snap, key, "full_outer"))
 
     in_dim, in_snap = F.col(sk_col).isNotNull(), F.col("_s_in").isNotNull()
     changed = in_dim & in_snap & ~F.col("attr_hash").eqNullSafe(F.col("_s_hash"))

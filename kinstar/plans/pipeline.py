@@ -45,6 +45,7 @@ class Warehouse:
 
     spark: SparkSession
     root: str
+    _versions: dict[str, str] | None = None
 
     def _commits_path(self) -> str:
         return f"{self.root.rstrip('/')}/wh/{COMMITS}"
@@ -56,10 +57,13 @@ class Warehouse:
         return self.spark.read.parquet(path)
 
     def latest_versions(self) -> dict[str, str]:
-        """table -> path of its newest committed version (a handful of rows)."""
-        rows = (self.commits().groupBy("table_name")
-                .agg(F.max_by("path", "commit_seq").alias("path")).collect())
-        return {r["table_name"]: r["path"] for r in rows}
+        """table -> path of its newest committed version (a handful of rows,
+        read once per Warehouse object)."""
+        if self._versions is None:
+            rows = (self.commits().groupBy("table_name")
+                    .agg(F.max_by("path", "commit_seq").alias("path")).collect())
+            self._versions = {r["table_name"]: r["path"] for r in rows}
+        return self._versions
 
     def table(self, name: str) -> DataFrame | None:
         path = self.latest_versions().get(name)
@@ -84,6 +88,7 @@ class Warehouse:
         rows = [(seq + i + 1, run_id, t, p, now) for i, (t, p) in enumerate(sorted(written.items()))]
         (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self._commits_path()))
+        self._versions = None
 
 
 @dataclass
@@ -127,9 +132,10 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
 
     # Reference dimensions: a new version only when seeding adds rows.
     role_old = wh.table("dim_relationship_role")
-    role_new = dims.role_dimension(spark, role_old)
-    if role_old is None or role_new.count() != role_old.count():
-        written["dim_relationship_role"] = wh.write_version("dim_relationship_role", role_new)
+    if role_old is None or not (dims.role_rows(spark)
+                                .join(role_old, "relationship_role_code", "left_anti").isEmpty()):
+        written["dim_relationship_role"] = wh.write_version(
+            "dim_relationship_role", dims.role_dimension(spark, role_old))
     date_old = wh.table("dim_date")
     if date_old is None or not (dims.date_dimension(spark)
                                 .join(date_old.select("full_date"), "full_date", "left_anti")
