@@ -1,7 +1,7 @@
-"""Streaming.
+"""Streaming: intentionally empty.
 
-The modelled pipeline is a daily batch over full snapshots; it has no
-watermarks, windows or streaming state, so nothing here is a streaming
-operator of its own. See ``kinstar.streaming.trigger`` for running the
-incremental batch whenever a new snapshot lands.
+The modelled pipeline is a daily batch over full snapshots, with one active
+run at a time; it has no watermarks, windows, late data or streaming state.
+Runs are launched by calling ``kinstar.plans.pipeline.run_increment`` (from
+any scheduler); no streaming operator is needed or provided.
 """
