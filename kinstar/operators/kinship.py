@@ -71,23 +71,33 @@ def spouse_relation(relation: DataFrame, family: DataFrame) -> DataFrame:
         "person_id", "family_id", "role", "marriage_date", "divorce_date", "status")
 
 
-def spouse_edges(spouse_rel: DataFrame, distinct: bool = True) -> DataFrame:
+def spouse_edges(spouse_rel: DataFrame, distinct: bool = True,
+                 block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Ordered pairs of different spouses of one family.
 
     The role code follows the *source*'s role; start = marriage date,
-    end = divorce date, reason per ``marriage_end_reason``.
+    end = divorce date, reason per ``marriage_end_reason`` (the family's
+    dates and status are the same on every membership row). Pairs come from
+    ``pairs_within_groups`` on family_id, so a family with very many
+    memberships is spread over many tasks; both directions are emitted from
+    each unordered pair.
     """
-    s1, s2 = spouse_rel.alias("s1"), spouse_rel.alias("s2")
-    edges = s1.join(
-        s2, (F.col("s1.family_id") == F.col("s2.family_id"))
-        & (F.col("s1.person_id") != F.col("s2.person_id"))
-    ).select(
-        F.col("s1.person_id").alias("source_person_id"),
-        F.col("s2.person_id").alias("target_person_id"),
-        spouse_role_code(F.col("s1.role")).alias("relationship_role_code"),
-        F.col("s1.marriage_date").alias("start_date"),
-        F.col("s1.divorce_date").alias("end_date"),
-        marriage_end_reason(F.col("s1.divorce_date"), F.col("s1.status")).alias("end_reason"),
+    pairs = pairs_within_groups(spouse_rel, "family_id", "person_id",
+                                ["role", "marriage_date", "divorce_date", "status"], block_size)
+    both = F.explode(F.array(
+        F.struct(F.col("member_a").alias("s"), F.col("member_b").alias("t"),
+                 F.col("role_a").alias("role"), F.col("marriage_date_a").alias("m"),
+                 F.col("divorce_date_a").alias("d"), F.col("status_a").alias("st")),
+        F.struct(F.col("member_b").alias("s"), F.col("member_a").alias("t"),
+                 F.col("role_b").alias("role"), F.col("marriage_date_b").alias("m"),
+                 F.col("divorce_date_b").alias("d"), F.col("status_b").alias("st"))))
+    edges = pairs.select(both.alias("_e")).select(
+        F.col("_e.s").alias("source_person_id"),
+        F.col("_e.t").alias("target_person_id"),
+        spouse_role_code(F.col("_e.role")).alias("relationship_role_code"),
+        F.col("_e.m").alias("start_date"),
+        F.col("_e.d").alias("end_date"),
+        marriage_end_reason(F.col("_e.d"), F.col("_e.st")).alias("end_reason"),
     )
     return edges.distinct() if distinct else edges
 
@@ -140,18 +150,61 @@ def parent_child_map(pc: DataFrame) -> DataFrame:
     return pc.select("parent_id", "child_id", "child_birth_date").distinct()
 
 
-def _blocked(pcm: DataFrame, block_size: int) -> DataFrame:
-    """Attach (_blk, _nb): a block index per child and blocks per parent.
+def pairs_within_groups(df: DataFrame, group_col: str, member_col: str,
+                        payload: list[str], block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """Every unordered pair of rows of one group with different members,
+    oriented so that ``member_a < member_b``.
 
-    Parents up to ``block_size`` children keep one block, so for them the
-    pair join below is the plain self-join on parent. Counting is a partial
-    (map-side combined) aggregate, so a hot parent costs one row per task.
+    Output: ``group_col, member_a, member_b`` and ``<p>_a`` / ``<p>_b`` for
+    each payload column. The result is quadratic in the size of a group, so
+    groups are split by size, measured with a partial (map-side combined)
+    count per group:
+
+    * ordinary groups (at most ``block_size`` rows) use the plain self-join
+      on the group key, which reuses the input's partitioning;
+    * a hot group is cut into blocks (hash of the member, so one member's
+      rows share a block) and every pair of blocks (x <= y) is its own join
+      key: no task produces more than about block_size^2 pairs, however
+      large one group is. Only hot groups' rows take this path.
     """
-    hot = (pcm.groupBy("parent_id").agg(F.count(F.lit(1)).alias("_n"))
+    hot = (df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > block_size)
-           .select("parent_id", F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nb")))
-    m = pcm.join(hot, "parent_id", "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
-    return m.withColumn("_blk", F.pmod(F.xxhash64("child_id"), F.col("_nb")).cast("int"))
+           .select(group_col, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nb")))
+    m = df.join(hot, group_col, "left")
+    cols = [member_col, *payload]
+
+    def side(first: str, second: str, name: str, a_first):
+        return F.when(a_first, F.col(first)).otherwise(F.col(second)).alias(name)
+
+    def oriented(pairs: DataFrame) -> DataFrame:
+        a_first = F.col("_a") < F.col("_b")
+        return pairs.select(
+            group_col, side("_a", "_b", "member_a", a_first), side("_b", "_a", "member_b", a_first),
+            *[side(f"_la_{p}", f"_rb_{p}", f"{p}_a", a_first) for p in payload],
+            *[side(f"_rb_{p}", f"_la_{p}", f"{p}_b", a_first) for p in payload])
+
+    def left_side(d: DataFrame, *extra) -> DataFrame:
+        return d.select(group_col, F.col(member_col).alias("_a"),
+                        *[F.col(p).alias(f"_la_{p}") for p in payload], *extra)
+
+    def right_side(d: DataFrame, *extra) -> DataFrame:
+        return d.select(group_col, F.col(member_col).alias("_b"),
+                        *[F.col(p).alias(f"_rb_{p}") for p in payload], *extra)
+
+    normal = m.where(F.col("_nb").isNull()).select(group_col, *cols)
+    plain = left_side(normal).join(right_side(normal), group_col).where(F.col("_a") < F.col("_b"))
+
+    hot_rows = m.where(F.col("_nb").isNotNull()).withColumn(
+        "_blk", F.pmod(F.xxhash64(member_col), F.col("_nb")).cast("int"))
+    # A row of block b is the left member of block pairs (b, y >= b) and the
+    # right member of block pairs (x <= b, b).
+    hl = left_side(hot_rows, F.col("_blk").alias("_x"),
+                   F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_y"))
+    hr = right_side(hot_rows, F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_x"),
+                    F.col("_blk").alias("_y"))
+    blocked = hl.join(hr, [group_col, "_x", "_y"]).where(
+        ((F.col("_x") < F.col("_y")) & (F.col("_a") != F.col("_b"))) | (F.col("_a") < F.col("_b")))
+    return oriented(plain).unionByName(oriented(blocked.drop("_x", "_y")))
 
 
 def sibling_pairs(pcm: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
@@ -161,32 +214,12 @@ def sibling_pairs(pcm: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataF
     ``pcm`` is distinct on (parent, child), so counting rows per pair equals
     counting distinct shared parents, and needs one shuffle instead of two.
     """
-    m = _blocked(pcm, block_size)
-    # Block pair (x, y), x <= y, is one join key: a child of block b is
-    # offered as the left member to pairs (b, y >= b) and as the right member
-    # to pairs (x <= b, b).
-    left = m.select("parent_id", F.col("child_id").alias("_a"),
-                    F.col("child_birth_date").alias("_ba"),
-                    F.col("_blk").alias("_x"),
-                    F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_y"))
-    right = m.select("parent_id", F.col("child_id").alias("_b"),
-                     F.col("child_birth_date").alias("_bb"),
-                     F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_x"),
-                     F.col("_blk").alias("_y"))
-    pairs = left.join(right, ["parent_id", "_x", "_y"]).where(
-        (F.col("_x") < F.col("_y")) | (F.col("_a") < F.col("_b")))
-    a_first = F.col("_a") < F.col("_b")
-    pairs = pairs.select(
-        "parent_id",
-        F.when(a_first, F.col("_a")).otherwise(F.col("_b")).alias("person_a"),
-        F.when(a_first, F.col("_b")).otherwise(F.col("_a")).alias("person_b"),
-        F.when(a_first, F.col("_ba")).otherwise(F.col("_bb")).alias("birth_a"),
-        F.when(a_first, F.col("_bb")).otherwise(F.col("_ba")).alias("birth_b"),
-    )
-    return pairs.groupBy("person_a", "person_b").agg(
+    pairs = pairs_within_groups(pcm, "parent_id", "child_id", ["child_birth_date"], block_size)
+    return pairs.groupBy(F.col("member_a").alias("person_a"),
+                         F.col("member_b").alias("person_b")).agg(
         F.count(F.lit(1)).alias("shared_parent_count"),
-        F.first("birth_a").alias("birth_a"),
-        F.first("birth_b").alias("birth_b"),
+        F.first("child_birth_date_a").alias("birth_a"),
+        F.first("child_birth_date_b").alias("birth_b"),
     )
 
 

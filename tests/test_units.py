@@ -174,3 +174,24 @@ def test_changeset_update_removes_with_null(spark):
     ch = spark.createDataFrame([("p1", None), ("p9", "y")], "person_id string, works string")
     got = changeset.update_properties(nodes, ch, "person_id").collect()
     assert [tuple(r) for r in got] == [("p1", None, "M")]
+
+
+def test_spouse_blocks_give_the_same_edges(spark):
+    rows = [(f"s{i}", "F1", ["HUSBAND", "WIFE", "NONE"][i % 3], D(1950, 1, 1), None, "ended")
+            for i in range(7)]
+    rows += [("s1", "F1", "WIFE", D(1950, 1, 1), None, "ended"),  # same person twice
+             ("a", "F2", "HUSBAND", None, D(2000, 1, 1), "ACTIVE"), ("b", "F2", "WIFE", None, D(2000, 1, 1), "ACTIVE")]
+    sp = spark.createDataFrame(rows, "person_id string, family_id string, role string, "
+                                     "marriage_date date, divorce_date date, status string")
+    plain = sorted(map(tuple, kinship.spouse_edges(sp, block_size=10_000).collect()))
+    blocked = sorted(map(tuple, kinship.spouse_edges(sp, block_size=2).collect()))
+    assert plain == blocked
+    # reference form: ordered pairs of different persons, role of the source
+    want = set()
+    for p, f, r, m, d, st in rows:
+        for q, g, *_ in rows:
+            if f == g and p != q:
+                code = {"HUSBAND": "SPOUSE_HUSBAND", "WIFE": "SPOUSE_WIFE"}.get(r, "SPOUSE_PARTNER")
+                reason = "DIVORCE" if d else ("STATUS_ENDED" if st.upper() in ("DIVORCED", "ENDED") else None)
+                want.add((p, q, code, m, d, reason))
+    assert set(plain) == want and len(plain) == len(want)
