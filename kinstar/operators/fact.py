@@ -52,7 +52,7 @@ def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
     keep_unmatched=True)`` over the distinct edges of the current run."""
     if fact is None:
         fact = empty_fact(flagged_edges.sparkSession)
-    run, now = F.lit(run_id), F.lit(as_of).cast("timestamp")
+    run, now = F.lit(run_id), F.lit(as_of).cast("timestamp_ntz")
     e = flagged_edges.select(*[F.col(c).alias(f"_e_{c}") for c in flagged_edges.columns],
                              F.lit(True).alias("_e_in"))
     cond = None

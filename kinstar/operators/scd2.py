@@ -43,18 +43,21 @@ def empty_dimension(snapshot: DataFrame, key: str, tracked: Sequence[str], sk_co
         F.lit(None).cast("string").alias("valid_to_run_id"),
         F.lit(None).cast("boolean").alias("is_current"),
         F.lit(None).cast("boolean").alias("is_deleted"),
-        F.lit(None).cast("timestamp").alias("created_at"))
+        F.lit(None).cast("timestamp_ntz").alias("created_at"))
 
 
-def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, run_id: str, as_of: dt.datetime,
-               key: str, tracked: Sequence[str], sk_col: str) -> DataFrame:
-    """The next version of the dimension after applying ``snapshot``."""
+def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.datetime,
+               key: str, tracked: Sequence[str], sk_col: str,
+               key_base: int) -> tuple[DataFrame, DataFrame]:
+    """Apply a snapshot to the *current* versions only.
+
+    Returns ``(next_current, closed)``: the current versions after the run
+    (unchanged rows plus inserted versions with keys after ``key_base``) and
+    the rows this run closed (expired or deleted). History rows are not
+    needed at all, so a store can keep them append-only.
+    """
     cols = dim_columns(key, tracked, sk_col)
-    if dim is None:
-        dim = empty_dimension(snapshot, key, tracked, sk_col)
     run = F.lit(run_id)
-    history = dim.where(~F.col("is_current"))
-    current = dim.where(F.col("is_current"))
     snap = snapshot.select(key, *[F.col(c).alias(f"_s_{c}") for c in tracked],
                            attr_hash(*tracked).alias("_s_hash"), F.lit(True).alias("_s_in"))
     # One full outer join feeds both outputs (old versions, keyed inserts).
@@ -63,17 +66,29 @@ def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, run_id: str, as_of: d
     in_dim, in_snap = F.col(sk_col).isNotNull(), F.col("_s_in").isNotNull()
     changed = in_dim & in_snap & ~F.col("attr_hash").eqNullSafe(F.col("_s_hash"))
     deleted = in_dim & ~in_snap
-    old_versions = j.where(in_dim).select(
+    closed = j.where(in_dim & (changed | deleted)).select(
         sk_col, key, *tracked, "attr_hash", "valid_from_run_id",
-        F.when(changed | deleted, run).otherwise(F.col("valid_to_run_id")).alias("valid_to_run_id"),
-        (~(changed | deleted)).alias("is_current"),
-        F.when(deleted, F.lit(True)).otherwise(F.col("is_deleted")).alias("is_deleted"),
-        "created_at")
+        run.alias("valid_to_run_id"), F.lit(False).alias("is_current"),
+        (F.col("is_deleted") | deleted).alias("is_deleted"), "created_at")
+    kept = j.where(in_dim & ~(changed | deleted)).select(*cols)
     inserts = j.where(in_snap & (~in_dim | changed)).select(
         key, *[F.col(f"_s_{c}").alias(c) for c in tracked],
         F.col("_s_hash").alias("attr_hash"), run.alias("valid_from_run_id"),
         F.lit(None).cast("string").alias("valid_to_run_id"),
         F.lit(True).alias("is_current"), F.lit(False).alias("is_deleted"),
-        F.lit(as_of).cast("timestamp").alias("created_at"))
-    keyed = with_surrogate_key(inserts, [key], sk_col, start=next_key_base(dim, sk_col))
-    return history.select(*cols).unionByName(old_versions.select(*cols)).unionByName(keyed.select(*cols))
+        F.lit(as_of).cast("timestamp_ntz").alias("created_at"))
+    keyed = with_surrogate_key(inserts, [key], sk_col, start=key_base)
+    return kept.unionByName(keyed.select(*cols)), closed.select(*cols)
+
+
+def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, run_id: str, as_of: dt.datetime,
+               key: str, tracked: Sequence[str], sk_col: str) -> DataFrame:
+    """The next version of the whole dimension after applying ``snapshot``."""
+    cols = dim_columns(key, tracked, sk_col)
+    if dim is None:
+        dim = empty_dimension(snapshot, key, tracked, sk_col)
+    history = dim.where(~F.col("is_current"))
+    current = dim.where(F.col("is_current"))
+    nxt, closed = scd2_apply(current, snapshot, run_id, as_of, key, tracked, sk_col,
+                             key_base=next_key_base(dim, sk_col))
+    return history.select(*cols).unionByName(closed).unionByName(nxt)

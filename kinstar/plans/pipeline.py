@@ -31,12 +31,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinstar.operators import dims, kinship, scd2
+from kinstar.operators.keys import next_key_base
 from kinstar.operators import fact as fact_ops
 from kinstar.schemas import PERSON_TRACKED, TABLES
 from kinstar.sources import store
 
 COMMITS = "_commits"
-COMMIT_SCHEMA = "commit_seq long, run_id string, table_name string, path string, committed_at timestamp"
+# Stored layout of the logical tables: dim_person = append-only history parts
+# (rows closed by some run; they never change again) + one current version.
+APPEND_ONLY = {"dim_person_history"}
+STORED = {
+    "dim_person": ["dim_person_history", "dim_person_current"],
+    "dim_relationship_role": ["dim_relationship_role"],
+    "dim_date": ["dim_date"],
+    "fact_person_relationship": ["fact_person_relationship"],
+}
+SCHEMA_OF = {"dim_person_history": "dim_person", "dim_person_current": "dim_person"}
+COMMIT_SCHEMA = "commit_seq long, run_id string, table_name string, path string, committed_at timestamp_ntz"
 
 
 @dataclass
@@ -56,21 +67,37 @@ class Warehouse:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.parquet(path)
 
-    def latest_versions(self) -> dict[str, str]:
-        """table -> path of its newest committed version (a handful of rows,
-        read once per Warehouse object)."""
+    def latest_versions(self) -> dict[str, list[str]]:
+        """stored table -> committed paths: the newest version, or every part
+        of an append-only table. Metadata only (one row per commit), read
+        once per Warehouse object."""
         if self._versions is None:
-            rows = (self.commits().groupBy("table_name")
-                    .agg(F.max_by("path", "commit_seq").alias("path")).collect())
-            self._versions = {r["table_name"]: r["path"] for r in rows}
+            rows = self.commits().select("table_name", "path", "commit_seq").collect()
+            out: dict[str, list[tuple[int, str]]] = {}
+            for r in rows:
+                out.setdefault(r["table_name"], []).append((r["commit_seq"], r["path"]))
+            self._versions = {
+                t: ([p for _, p in sorted(v)] if t in APPEND_ONLY else [max(v)[1]])
+                for t, v in out.items()}
         return self._versions
 
+    def stored(self, name: str) -> DataFrame | None:
+        """One stored table (all parts of an append-only one)."""
+        paths = self.latest_versions().get(name)
+        if not paths:
+            return None
+        schema = TABLES[SCHEMA_OF.get(name, name)]
+        return self.spark.read.schema(schema).parquet(*paths)
+
     def table(self, name: str) -> DataFrame | None:
-        path = self.latest_versions().get(name)
-        if path is None:
+        """A logical warehouse table (dim_person = history parts + current)."""
+        parts = [p for p in (self.stored(s) for s in STORED.get(name, [name])) if p is not None]
+        if not parts:
             return None
-        cols = [f.name for f in TABLES[name].fields]
-        return self.spark.read.parquet(path).select(*cols)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
 
     def new_version_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/wh/{name}/v-{uuid.uuid4().hex}"
@@ -131,12 +158,12 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
     written: dict[str, str] = {}
 
     # Reference dimensions: a new version only when seeding adds rows.
-    role_old = wh.table("dim_relationship_role")
+    role_old = wh.stored("dim_relationship_role")
     if role_old is None or not (dims.role_rows(spark)
                                 .join(role_old, "relationship_role_code", "left_anti").isEmpty()):
         written["dim_relationship_role"] = wh.write_version(
             "dim_relationship_role", dims.role_dimension(spark, role_old))
-    date_old = wh.table("dim_date")
+    date_old = wh.stored("dim_date")
     if date_old is None or not (dims.date_dimension(spark)
                                 .join(date_old.select("full_date"), "full_date", "left_anti")
                                 .isEmpty()):
@@ -144,20 +171,28 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
 
     def read(name: str) -> DataFrame:
         if name in written:
-            cols = [f.name for f in TABLES[name].fields]
-            return spark.read.parquet(written[name]).select(*cols)
-        return wh.table(name)
-
-    # Person dimension.
-    dim_new = scd2.scd2_merge(wh.table("dim_person"), person_s, current, as_of,
-                              key="person_id", tracked=PERSON_TRACKED, sk_col="person_sk")
-    written["dim_person"] = wh.write_version("dim_person", dim_new)
+            schema = TABLES[SCHEMA_OF.get(name, name)]
+            return spark.read.schema(schema).parquet(written[name])
+        return wh.stored(name)
+
+    # Person dimension: only the current versions are merged and rewritten;
+    # the rows this run closes are appended to the history.
+    old_current = wh.stored("dim_person_current")
+    if old_current is None:
+        old_current = scd2.empty_dimension(person_s, "person_id", PERSON_TRACKED, "person_sk")
+    dim_all = wh.table("dim_person")
+    base = next_key_base(dim_all, "person_sk") if dim_all is not None else 0
+    cur_new, closed = scd2.scd2_apply(old_current, person_s, current, as_of, key="person_id",
+                                      tracked=PERSON_TRACKED, sk_col="person_sk", key_base=base)
+    written["dim_person_current"] = wh.write_version("dim_person_current", cur_new)
+    written["dim_person_history"] = wh.write_version("dim_person_history", closed)
 
     # Fact.
     edges = kinship.derive_edges(person_s, family_s, relation_s)
-    flagged = kinship.enrich_edges(edges, read("dim_person"), read("dim_relationship_role"),
-                                   read("dim_date"), keep_unmatched=True)
-    fact_new = fact_ops.merge_fact(wh.table("fact_person_relationship"), flagged, current, as_of)
+    flagged = kinship.enrich_edges(edges, read("dim_person_current"),
+                                   read("dim_relationship_role"), read("dim_date"),
+                                   keep_unmatched=True)
+    fact_new = fact_ops.merge_fact(wh.stored("fact_person_relationship"), flagged, current, as_of)
     written["fact_person_relationship"] = wh.write_version("fact_person_relationship", fact_new)
 
     wh.commit(current, written)

@@ -298,7 +298,7 @@ def _raw_person(spark, sf_dir):
     raw = _both(lambda s: fixture.person_snapshot(cust, s))
     log = raw.select("run_id").distinct().select(
         "run_id",
-        (F.lit(_started(1)).cast("timestamp")
+        (F.lit(_started(1)).cast("timestamp_ntz")
          + F.make_dt_interval(F.substring("run_id", 2, 9).cast("int") - 1)).alias("started_at"))
     return raw, log
 

@@ -30,7 +30,9 @@ RELATION = _struct(
     ("person_id", S, True), ("family_id", S, True),
     ("relationship_type", S, True), ("role", S, True),
 )
-RUN_LOG = _struct(("run_id", S, False), ("started_at", T.TimestampType(), True))
+# Timestamps are UTC wall-clock values without a zone (TIMESTAMP_NTZ), so they
+# read the same in every session time zone.
+RUN_LOG = _struct(("run_id", S, False), ("started_at", T.TimestampNTZType(), True))
 
 RAW = {
     "raw_person_snapshot": PERSON,
@@ -49,7 +51,7 @@ DIM_PERSON = _struct(
     *[(c, PERSON[c].dataType, True) for c in PERSON_TRACKED],
     ("attr_hash", S, True), ("valid_from_run_id", S, False),
     ("valid_to_run_id", S, True), ("is_current", B, False),
-    ("is_deleted", B, False), ("created_at", T.TimestampType(), False),
+    ("is_deleted", B, False), ("created_at", T.TimestampNTZType(), False),
 )
 
 DIM_ROLE = _struct(
@@ -75,8 +77,8 @@ FACT = _struct(
     ("end_date", D, True), ("end_reason", S, True),
     ("first_seen_run_id", S, False), ("last_seen_run_id", S, False),
     ("is_deleted", B, False), ("deleted_at_run_id", S, True),
-    ("relation_count", I, False), ("created_at", T.TimestampType(), False),
-    ("updated_at", T.TimestampType(), False),
+    ("relation_count", I, False), ("created_at", T.TimestampNTZType(), False),
+    ("updated_at", T.TimestampNTZType(), False),
 )
 
 # Edge (derived relationship) before enrichment; the fact's natural key.
