@@ -42,20 +42,44 @@ REFRESHED = ["source_person_sk", "target_person_sk", "relationship_role_sk",
              "start_date_sk", "end_date_sk"]
 
 
+EDGE_HASH = "edge_key"
+
+
+def edge_hash(prefix: str = "", fact_names: bool = True) -> F.Column:
+    """64-bit hash of the 6-column edge key: the bucket column of a stored
+    fact. Equal keys hash equally (NULLs included); a collision only costs
+    a failed residual comparison, never a wrong match."""
+    cols = [f"{prefix}{KEY_IN_FACT[k] if fact_names else k}" for k in EDGE_KEY]
+    return F.xxhash64(*cols)
+
+
 def empty_fact(spark) -> DataFrame:
     return spark.createDataFrame([], FACT)
 
 
 def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
-               as_of: dt.datetime) -> DataFrame:
+               as_of: dt.datetime, hashed_key: bool = False,
+               align_partitions: int | None = None) -> DataFrame:
     """Next version of the fact; ``flagged_edges`` = ``enrich_edges(...,
-    keep_unmatched=True)`` over the distinct edges of the current run."""
+    keep_unmatched=True)`` over the distinct edges of the current run.
+
+    With ``hashed_key`` the fact carries ``edge_key`` (see ``edge_hash``) and
+    the join leads with it, so a fact stored bucketed by ``edge_key`` is
+    joined without being shuffled; the output keeps the column, and
+    ``align_partitions`` hash-partitions the inserted rows by it so every
+    output partition holds one bucket.
+    """
     if fact is None:
         fact = empty_fact(flagged_edges.sparkSession)
+        if hashed_key:
+            fact = fact.withColumn(EDGE_HASH, F.lit(None).cast("long"))
     run, now = F.lit(run_id), F.lit(as_of).cast("timestamp_ntz")
     e = flagged_edges.select(*[F.col(c).alias(f"_e_{c}") for c in flagged_edges.columns],
                              F.lit(True).alias("_e_in"))
     cond = None
+    if hashed_key:
+        e = e.withColumn(f"_e_{EDGE_HASH}", edge_hash("_e_", fact_names=False))
+        cond = F.col(EDGE_HASH) == F.col(f"_e_{EDGE_HASH}")
     for k in EDGE_KEY:
         fc, ec = F.col(KEY_IN_FACT[k]), F.col(f"_e_{k}")
         term = fc.eqNullSafe(ec) if k in EDGE_NULLABLE_KEY else fc == ec
@@ -84,15 +108,19 @@ def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
             return F.when(touched | soft_deleted, now).otherwise(F.col(c))
         return F.col(c)
 
-    existing = j.where(in_fact).select(*[pick(c).alias(c) for c in FACT_COLUMNS])
+    out_cols = FACT_COLUMNS + ([EDGE_HASH] if hashed_key else [])
+    existing = j.where(in_fact).select(*[pick(c).alias(c) for c in out_cols])
 
     inserts = j.where(~in_fact & in_edge & enriched).select(
         *[F.col(f"_e_{c}").alias(c) for c in REFRESHED],
         *[F.col(f"_e_{k}").alias(KEY_IN_FACT[k]) for k in EDGE_KEY],
         run.alias("first_seen_run_id"), run.alias("last_seen_run_id"),
         F.lit(False).alias("is_deleted"), F.lit(None).cast("string").alias("deleted_at_run_id"),
-        F.lit(1).alias("relation_count"), now.alias("created_at"), now.alias("updated_at"))
+        F.lit(1).alias("relation_count"), now.alias("created_at"), now.alias("updated_at"),
+        *([F.col(f"_e_{EDGE_HASH}").alias(EDGE_HASH)] if hashed_key else []))
     order = [F.col(KEY_IN_FACT[k]).asc_nulls_first() for k in EDGE_KEY]
     keyed = with_surrogate_key(inserts, order, "relationship_sk",
-                               start=next_key_base(fact, "relationship_sk"))
-    return existing.unionByName(keyed.select(*FACT_COLUMNS))
+                               start=next_key_base(fact, "relationship_sk")).select(*out_cols)
+    if align_partitions:
+        keyed = keyed.repartition(align_partitions, EDGE_HASH if hashed_key else KEY_IN_FACT[EDGE_KEY[0]])
+    return existing.unionByName(keyed)

@@ -7,38 +7,50 @@
 2. pick the current run from the log (newest ``started_at``) and slice the
    staging tables to it (partition pruning);
 3. seed the role and calendar dimensions if anything is missing;
-4. merge the person dimension (SCD-2);
+4. merge the person dimension (SCD-2) - current versions only;
 5. derive the run's edges, enrich them with the *new* person dimension and
    merge the fact (insert / touch / revive / soft delete);
 6. commit: one row per written table version in ``_commits``.
 
-Plain Parquet has no UPDATE/MERGE, so every merged table is written as a new
-version directory and only becomes visible through the commit log, which is
-written last. A run that fails before its commit leaves nothing visible and
-can be retried with the same run id (its extraction is not repeated).
-Versions are read back from storage before the next step uses them, so
-every step starts from materialised data (no long lineage, safe under
-executor loss).
+Storage. Plain Parquet has no UPDATE/MERGE, so every merged table is written
+as a new version directory and only becomes visible through the commit log,
+which is written last. A run that fails before its commit leaves nothing
+visible and can be retried with the same run id (its extraction is not
+repeated). Versions are read back from storage before the next step uses
+them (no long lineage, safe under executor loss).
+
+* ``dim_person`` = append-only history parts (rows closed by a run; they
+  never change again) + one current version, so a run's cost does not grow
+  with accumulated history.
+* The current person versions are stored bucketed by ``person_id`` and the
+  fact bucketed by ``edge_key`` (a hash of its 6-column natural key), both
+  into ``buckets`` buckets. The next run's merges and lookups then read the
+  stored side without shuffling it: only the new snapshot / the run's edges
+  move. The merged output stays partitioned by bucket (inserts are
+  hash-partitioned to match), so each task writes one file per version.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinstar.operators import dims, kinship, scd2
-from kinstar.operators.keys import next_key_base
 from kinstar.operators import fact as fact_ops
+from kinstar.operators.keys import next_key_base
 from kinstar.schemas import PERSON_TRACKED, TABLES
 from kinstar.sources import store
 
 COMMITS = "_commits"
-# Stored layout of the logical tables: dim_person = append-only history parts
-# (rows closed by some run; they never change again) + one current version.
+COMMIT_SCHEMA = ("commit_seq long, run_id string, table_name string, path string, "
+                 "bucket_col string, num_buckets int, committed_at timestamp_ntz")
+# Stored layout of the logical tables.
 APPEND_ONLY = {"dim_person_history"}
 STORED = {
     "dim_person": ["dim_person_history", "dim_person_current"],
@@ -47,7 +59,23 @@ STORED = {
     "fact_person_relationship": ["fact_person_relationship"],
 }
 SCHEMA_OF = {"dim_person_history": "dim_person", "dim_person_current": "dim_person"}
-COMMIT_SCHEMA = "commit_seq long, run_id string, table_name string, path string, committed_at timestamp_ntz"
+EXTRA_COLUMNS = {"fact_person_relationship": [T.StructField(fact_ops.EDGE_HASH, T.LongType())]}
+
+
+def stored_schema(name: str) -> T.StructType:
+    base = TABLES[SCHEMA_OF.get(name, name)]
+    return T.StructType(base.fields + EXTRA_COLUMNS.get(name, []))
+
+
+@dataclass
+class Version:
+    path: str
+    bucket_col: str | None = None
+    num_buckets: int | None = None
+
+
+def _table_name(path: str) -> str:
+    return "kinstar_" + hashlib.sha1(path.encode()).hexdigest()[:20]
 
 
 @dataclass
@@ -56,7 +84,7 @@ class Warehouse:
 
     spark: SparkSession
     root: str
-    _versions: dict[str, str] | None = None
+    _versions: dict[str, list[Version]] | None = None
 
     def _commits_path(self) -> str:
         return f"{self.root.rstrip('/')}/wh/{COMMITS}"
@@ -65,33 +93,52 @@ class Warehouse:
         path = self._commits_path()
         if not store._exists(self.spark, path):
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(path)
 
-    def latest_versions(self) -> dict[str, list[str]]:
-        """stored table -> committed paths: the newest version, or every part
+    def latest_versions(self) -> dict[str, list[Version]]:
+        """stored table -> committed versions: the newest one, or every part
         of an append-only table. Metadata only (one row per commit), read
         once per Warehouse object."""
         if self._versions is None:
-            rows = self.commits().select("table_name", "path", "commit_seq").collect()
-            out: dict[str, list[tuple[int, str]]] = {}
+            rows = self.commits().collect()
+            out: dict[str, list[tuple[int, Version]]] = {}
             for r in rows:
-                out.setdefault(r["table_name"], []).append((r["commit_seq"], r["path"]))
+                out.setdefault(r["table_name"], []).append(
+                    (r["commit_seq"], Version(r["path"], r["bucket_col"], r["num_buckets"])))
             self._versions = {
-                t: ([p for _, p in sorted(v)] if t in APPEND_ONLY else [max(v)[1]])
-                for t, v in out.items()}
+                t: ([v for _, v in sorted(vs, key=lambda x: x[0])] if t in APPEND_ONLY
+                    else [max(vs, key=lambda x: x[0])[1]])
+                for t, vs in out.items()}
         return self._versions
 
+    def read_version(self, name: str, v: Version) -> DataFrame:
+        schema = stored_schema(name)
+        if not v.bucket_col:
+            return self.spark.read.schema(schema).parquet(v.path)
+        # Bucketing lives in the catalog, not in the files: (re-)register the
+        # version as an external bucketed table so scans keep its layout.
+        tname = _table_name(v.path)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {tname} ({cols}) USING parquet "
+                       f"CLUSTERED BY (`{v.bucket_col}`) INTO {v.num_buckets} BUCKETS "
+                       f"LOCATION '{v.path}'")
+        return self.spark.table(tname)
+
     def stored(self, name: str) -> DataFrame | None:
         """One stored table (all parts of an append-only one)."""
-        paths = self.latest_versions().get(name)
-        if not paths:
+        versions = self.latest_versions().get(name)
+        if not versions:
             return None
-        schema = TABLES[SCHEMA_OF.get(name, name)]
-        return self.spark.read.schema(schema).parquet(*paths)
+        if len(versions) == 1:
+            return self.read_version(name, versions[0])
+        return self.spark.read.schema(stored_schema(name)).parquet(*[v.path for v in versions])
 
     def table(self, name: str) -> DataFrame | None:
-        """A logical warehouse table (dim_person = history parts + current)."""
-        parts = [p for p in (self.stored(s) for s in STORED.get(name, [name])) if p is not None]
+        """A logical warehouse table (dim_person = history parts + current),
+        in its documented schema."""
+        cols = [f.name for f in TABLES[name].fields]
+        parts = [p.select(*cols) for p in (self.stored(s) for s in STORED.get(name, [name]))
+                 if p is not None]
         if not parts:
             return None
         out = parts[0]
@@ -99,20 +146,24 @@ class Warehouse:
             out = out.unionByName(p)
         return out
 
-    def new_version_path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/wh/{name}/v-{uuid.uuid4().hex}"
-
-    def write_version(self, name: str, df: DataFrame) -> str:
-        path = self.new_version_path(name)
-        df.write.mode("overwrite").parquet(path)
-        return path
+    def write_version(self, name: str, df: DataFrame, bucket_col: str | None = None,
+                      num_buckets: int | None = None) -> Version:
+        path = f"{self.root.rstrip('/')}/wh/{name}/v-{uuid.uuid4().hex}"
+        df = df.select(*[f.name for f in stored_schema(name).fields])
+        if bucket_col:
+            (df.write.bucketBy(num_buckets, bucket_col).mode("overwrite")
+             .option("path", path).saveAsTable(_table_name(path)))
+        else:
+            df.write.mode("overwrite").parquet(path)
+        return Version(path, bucket_col, num_buckets)
 
-    def commit(self, run_id: str, written: dict[str, str]) -> None:
+    def commit(self, run_id: str, written: dict[str, Version]) -> None:
         if not written:
             return
         seq = self.commits().agg(F.max("commit_seq")).first()[0] or 0
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(seq + i + 1, run_id, t, p, now) for i, (t, p) in enumerate(sorted(written.items()))]
+        rows = [(seq + i + 1, run_id, t, v.path, v.bucket_col, v.num_buckets, now)
+                for i, (t, v) in enumerate(sorted(written.items()))]
         (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self._commits_path()))
         self._versions = None
@@ -122,7 +173,7 @@ class Warehouse:
 class RunResult:
     run_id: str
     current_run: str
-    written: dict[str, str] = field(default_factory=dict)
+    written: dict[str, Version] = field(default_factory=dict)
 
 
 def extract(spark: SparkSession, root: str, person: DataFrame, family: DataFrame,
@@ -138,24 +189,46 @@ def extract(spark: SparkSession, root: str, person: DataFrame, family: DataFrame
     return True
 
 
+# Lets a bucketed side satisfy a join whose keys include its bucket column.
+# The fact is bucketed by a hash of its whole key, so this cannot concentrate
+# rows; without it Spark would re-shuffle the stored side.
+CO_PARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
 def run_increment(spark: SparkSession, root: str, person: DataFrame, family: DataFrame,
                   relation: DataFrame, run_id: str | None = None,
                   started_at: dt.datetime | None = None,
-                  as_of: dt.datetime | None = None) -> RunResult:
+                  as_of: dt.datetime | None = None, buckets: int | None = None) -> RunResult:
     """One incremental run over a full snapshot (person, family, relation
-    in the staging schema). ``as_of`` stamps created_at / updated_at."""
+    in the staging schema). ``as_of`` stamps created_at / updated_at;
+    ``buckets`` sets the bucket count of new versions (default: the
+    session's shuffle partitions)."""
     run_id = run_id or str(uuid.uuid4())
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     as_of = as_of or started_at
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     extract(spark, root, person, family, relation, run_id, started_at)
 
+    previous = spark.conf.get(CO_PARTITION_CONF, None)
+    spark.conf.set(CO_PARTITION_CONF, "false")
+    try:
+        return _merge_run(spark, root, n, as_of, run_id)
+    finally:
+        if previous is None:
+            spark.conf.unset(CO_PARTITION_CONF)
+        else:
+            spark.conf.set(CO_PARTITION_CONF, previous)
+
+
+def _merge_run(spark: SparkSession, root: str, n: int, as_of: dt.datetime,
+               run_id: str) -> RunResult:
     current = store.resolve_current_run(store.read_raw(spark, root, store.RUN_LOG_TABLE))
     person_s = store.snapshot_slice(store.read_raw(spark, root, "raw_person_snapshot"), current)
     family_s = store.snapshot_slice(store.read_raw(spark, root, "raw_family_snapshot"), current)
     relation_s = store.snapshot_slice(store.read_raw(spark, root, "raw_relation_snapshot"), current)
 
     wh = Warehouse(spark, root)
-    written: dict[str, str] = {}
+    written: dict[str, Version] = {}
 
     # Reference dimensions: a new version only when seeding adds rows.
     role_old = wh.stored("dim_relationship_role")
@@ -171,8 +244,7 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
 
     def read(name: str) -> DataFrame:
         if name in written:
-            schema = TABLES[SCHEMA_OF.get(name, name)]
-            return spark.read.schema(schema).parquet(written[name])
+            return wh.read_version(name, written[name])
         return wh.stored(name)
 
     # Person dimension: only the current versions are merged and rewritten;
@@ -183,8 +255,10 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
     dim_all = wh.table("dim_person")
     base = next_key_base(dim_all, "person_sk") if dim_all is not None else 0
     cur_new, closed = scd2.scd2_apply(old_current, person_s, current, as_of, key="person_id",
-                                      tracked=PERSON_TRACKED, sk_col="person_sk", key_base=base)
-    written["dim_person_current"] = wh.write_version("dim_person_current", cur_new)
+                                      tracked=PERSON_TRACKED, sk_col="person_sk", key_base=base,
+                                      align_partitions=n)
+    written["dim_person_current"] = wh.write_version("dim_person_current", cur_new,
+                                                     bucket_col="person_id", num_buckets=n)
     written["dim_person_history"] = wh.write_version("dim_person_history", closed)
 
     # Fact.
@@ -192,8 +266,10 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
     flagged = kinship.enrich_edges(edges, read("dim_person_current"),
                                    read("dim_relationship_role"), read("dim_date"),
                                    keep_unmatched=True)
-    fact_new = fact_ops.merge_fact(wh.stored("fact_person_relationship"), flagged, current, as_of)
-    written["fact_person_relationship"] = wh.write_version("fact_person_relationship", fact_new)
+    fact_new = fact_ops.merge_fact(wh.stored("fact_person_relationship"), flagged, current, as_of,
+                                   hashed_key=True, align_partitions=n)
+    written["fact_person_relationship"] = wh.write_version(
+        "fact_person_relationship", fact_new, bucket_col=fact_ops.EDGE_HASH, num_buckets=n)
 
     wh.commit(current, written)
     return RunResult(run_id=run_id, current_run=current, written=written)
