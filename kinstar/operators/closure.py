@@ -39,6 +39,10 @@ def closure(base: DataFrame, edges: DataFrame, node_col: str, from_col: str, to_
     remaining columns of level d+1 as expressions over the frontier (alias
     ``f``) and the edge (alias ``e``).
     """
+    # Checkpointed, not stored bucketed: a bucketed side would spare one
+    # shuffle of the (small) edges per level, but AQE can split a skewed
+    # join only when both sides are shuffles, and the frontier can be
+    # heavily skewed (one ancestor shared by a third of all paths).
     step = materialize(edges)
     level = materialize(base)
     levels = [level]

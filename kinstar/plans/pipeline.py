@@ -24,9 +24,10 @@ them (no long lineage, safe under executor loss).
   with accumulated history.
 * The current person versions are stored bucketed by ``person_id`` and the
   fact bucketed by ``edge_key`` (a hash of its 6-column natural key), both
-  into ``buckets`` buckets. The next run's merges and lookups then read the
-  stored side without shuffling it: only the new snapshot / the run's edges
-  move. The merged output stays partitioned by bucket (inserts are
+  into ``buckets`` buckets. The next run's merges (SCD-2 on person_id, the
+  fact on edge_key - keys unique on both sides, so never skewed) then read
+  the stored side without shuffling it: only the new snapshot / the run's
+  edges move. The merged output stays partitioned by bucket (inserts are
   hash-partitioned to match), so each task writes one file per version.
 """
 
@@ -111,9 +112,12 @@ class Warehouse:
                 for t, vs in out.items()}
         return self._versions
 
-    def read_version(self, name: str, v: Version) -> DataFrame:
+    def read_version(self, name: str, v: Version, bucketed: bool = True) -> DataFrame:
+        """A stored version; ``bucketed=False`` reads the files without the
+        bucket layout (joins then shuffle both sides, which lets AQE split a
+        skewed key)."""
         schema = stored_schema(name)
-        if not v.bucket_col:
+        if not v.bucket_col or not bucketed:
             return self.spark.read.schema(schema).parquet(v.path)
         # Bucketing lives in the catalog, not in the files: (re-)register the
         # version as an external bucketed table so scans keep its layout.
@@ -242,9 +246,9 @@ def _merge_run(spark: SparkSession, root: str, n: int, as_of: dt.datetime,
                                 .isEmpty()):
         written["dim_date"] = wh.write_version("dim_date", dims.seed_calendar(spark, date_old))
 
-    def read(name: str) -> DataFrame:
+    def read(name: str, bucketed: bool = True) -> DataFrame:
         if name in written:
-            return wh.read_version(name, written[name])
+            return wh.read_version(name, written[name], bucketed)
         return wh.stored(name)
 
     # Person dimension: only the current versions are merged and rewritten;
@@ -261,9 +265,12 @@ def _merge_run(spark: SparkSession, root: str, n: int, as_of: dt.datetime,
                                                      bucket_col="person_id", num_buckets=n)
     written["dim_person_history"] = wh.write_version("dim_person_history", closed)
 
-    # Fact.
+    # Fact. The person lookups read the dimension unbucketed: edges can be
+    # heavily skewed on one person (a parent of a third of all children), and
+    # AQE splits a skewed join only when both sides are shuffled. The fact
+    # merge keeps the bucketed read: its key is unique on both sides.
     edges = kinship.derive_edges(person_s, family_s, relation_s)
-    flagged = kinship.enrich_edges(edges, read("dim_person_current"),
+    flagged = kinship.enrich_edges(edges, read("dim_person_current", bucketed=False),
                                    read("dim_relationship_role"), read("dim_date"),
                                    keep_unmatched=True)
     fact_new = fact_ops.merge_fact(wh.stored("fact_person_relationship"), flagged, current, as_of,
