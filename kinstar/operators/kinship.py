@@ -36,6 +36,7 @@ from kinstar.functions.columns import (
     upper_code,
 )
 from kinstar.schemas import EDGE_KEY
+from kinstar.session import materialize
 
 
 
@@ -242,10 +243,21 @@ def sibling_edges(pairs: DataFrame) -> DataFrame:
 
 
 def derive_edges(person: DataFrame, family: DataFrame, relation: DataFrame,
-                 block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """All distinct directed edges of one snapshot."""
+                 block_size: int = DEFAULT_BLOCK_SIZE, share: bool = True) -> DataFrame:
+    """All distinct directed edges of one snapshot.
+
+    With ``share`` the two intermediates read by several branches - the
+    spouse memberships (pairs, hot-group counts, parent x child) and
+    parent x child (PARENT, CHILD, parent-child map) - are checkpointed
+    once, instead of each branch re-reading, re-sorting and re-joining
+    their shuffle output.
+    """
     sp = spouse_relation(relation, family)
+    if share:
+        sp = materialize(sp)
     pc = parent_child(sp, child_relation(relation, person))
+    if share:
+        pc = materialize(pc)
     non_sibling = (spouse_edges(sp, distinct=False)
                    .unionByName(parent_edges(pc, distinct=False))
                    .unionByName(child_edges(pc, distinct=False))
