@@ -193,6 +193,18 @@ def extract(spark: SparkSession, root: str, person: DataFrame, family: DataFrame
     return True
 
 
+# Bucket count of a new version: about this many stored (compressed) bytes
+# per bucket, capped by the session's shuffle partitions.
+BYTES_PER_BUCKET = 64 << 20
+# Stored edges per stored relation byte, as a first-run size guess for the
+# fact (spouse pairs, both parent/child directions, sibling pairs).
+EDGE_EXPANSION = 4
+
+
+def bucket_count(total_bytes: int, cap: int) -> int:
+    return max(1, min(cap, -(-total_bytes // BYTES_PER_BUCKET)))
+
+
 # Lets a bucketed side satisfy a join whose keys include its bucket column.
 # The fact is bucketed by a hash of its whole key, so this cannot concentrate
 # rows; without it Spark would re-shuffle the stored side.
@@ -205,18 +217,18 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
                   as_of: dt.datetime | None = None, buckets: int | None = None) -> RunResult:
     """One incremental run over a full snapshot (person, family, relation
     in the staging schema). ``as_of`` stamps created_at / updated_at;
-    ``buckets`` sets the bucket count of new versions (default: the
-    session's shuffle partitions)."""
+    ``buckets`` fixes the bucket count of new versions; by default it is
+    sized from the stored bytes of the previous version and of the snapshot
+    (``BYTES_PER_BUCKET`` each, at most the session's shuffle partitions)."""
     run_id = run_id or str(uuid.uuid4())
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     as_of = as_of or started_at
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     extract(spark, root, person, family, relation, run_id, started_at)
 
     previous = spark.conf.get(CO_PARTITION_CONF, None)
     spark.conf.set(CO_PARTITION_CONF, "false")
     try:
-        return _merge_run(spark, root, n, as_of, run_id)
+        return _merge_run(spark, root, buckets, as_of, run_id)
     finally:
         if previous is None:
             spark.conf.unset(CO_PARTITION_CONF)
@@ -224,9 +236,19 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
             spark.conf.set(CO_PARTITION_CONF, previous)
 
 
-def _merge_run(spark: SparkSession, root: str, n: int, as_of: dt.datetime,
+def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.datetime,
                run_id: str) -> RunResult:
     current = store.resolve_current_run(store.read_raw(spark, root, store.RUN_LOG_TABLE))
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def sized(table: str, raw_table: str, factor: int = 1) -> int:
+        if buckets:
+            return buckets
+        prev = Warehouse(spark, root).latest_versions().get(table, [])
+        total = sum(store.stored_bytes(spark, v.path) for v in prev)
+        total += factor * store.stored_bytes(
+            spark, f"{store.raw_path(root, raw_table)}/run_id={current}")
+        return bucket_count(total, cap)
     person_s = store.snapshot_slice(store.read_raw(spark, root, "raw_person_snapshot"), current)
     family_s = store.snapshot_slice(store.read_raw(spark, root, "raw_family_snapshot"), current)
     relation_s = store.snapshot_slice(store.read_raw(spark, root, "raw_relation_snapshot"), current)
@@ -251,6 +273,9 @@ def _merge_run(spark: SparkSession, root: str, n: int, as_of: dt.datetime,
             return wh.read_version(name, written[name], bucketed)
         return wh.stored(name)
 
+    n_dim = sized("dim_person_current", "raw_person_snapshot")
+    n_fact = sized("fact_person_relationship", "raw_relation_snapshot", EDGE_EXPANSION)
+
     # Person dimension: only the current versions are merged and rewritten;
     # the rows this run closes are appended to the history.
     old_current = wh.stored("dim_person_current")
@@ -260,9 +285,9 @@ def _merge_run(spark: SparkSession, root: str, n: int, as_of: dt.datetime,
     base = next_key_base(dim_all, "person_sk") if dim_all is not None else 0
     cur_new, closed = scd2.scd2_apply(old_current, person_s, current, as_of, key="person_id",
                                       tracked=PERSON_TRACKED, sk_col="person_sk", key_base=base,
-                                      align_partitions=n)
+                                      align_partitions=n_dim)
     written["dim_person_current"] = wh.write_version("dim_person_current", cur_new,
-                                                     bucket_col="person_id", num_buckets=n)
+                                                     bucket_col="person_id", num_buckets=n_dim)
     written["dim_person_history"] = wh.write_version("dim_person_history", closed)
 
     # Fact. The person lookups read the dimension unbucketed: edges can be
@@ -274,9 +299,9 @@ def _merge_run(spark: SparkSession, root: str, n: int, as_of: dt.datetime,
                                    read("dim_relationship_role"), read("dim_date"),
                                    keep_unmatched=True)
     fact_new = fact_ops.merge_fact(wh.stored("fact_person_relationship"), flagged, current, as_of,
-                                   hashed_key=True, align_partitions=n)
+                                   hashed_key=True, align_partitions=n_fact)
     written["fact_person_relationship"] = wh.write_version(
-        "fact_person_relationship", fact_new, bucket_col=fact_ops.EDGE_HASH, num_buckets=n)
+        "fact_person_relationship", fact_new, bucket_col=fact_ops.EDGE_HASH, num_buckets=n_fact)
 
     wh.commit(current, written)
     return RunResult(run_id=run_id, current_run=current, written=written)

@@ -34,6 +34,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under a path (Hadoop content summary: file-system metadata, no
+    job); 0 when the path does not exist."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A staging table; an empty frame of the fixed schema when absent (IO10)."""
     schema = RUN_LOG if table == RUN_LOG_TABLE else RAW[table]
