@@ -7,14 +7,19 @@ Every query reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinstar.operators import kinship
+from kinstar.operators import changeset, checks, diff, dims, kinship, profile, scd2
+from kinstar.operators import fact as fact_ops
 from kinstar.plans import oracle_sql as O
-from kinstar.sources import fixture, graph
+from kinstar.plans import pipeline, reports
+from kinstar.schemas import PERSON_TRACKED
+from kinstar.session import materialize, scratch_path
+from kinstar.sources import fixture, graph, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,14 +155,7 @@ def q_combined_edges(spark, sf_dir):
 
 # --- dimensions, diff, SCD-2, fact, reports ------------------------------------------
 
-import datetime as _dt  # noqa: E402
 
-from kinstar.operators import dims, diff, scd2  # noqa: E402
-from kinstar.operators import fact as fact_ops  # noqa: E402
-from kinstar.plans import reports  # noqa: E402
-from kinstar.schemas import PERSON_TRACKED  # noqa: E402
-from kinstar.session import materialize  # noqa: E402
-from kinstar.sources import store  # noqa: E402
 
 AS_OF = _dt.date.fromisoformat(O.AS_OF_DATE)
 DIM_OUT = ["person_sk", "person_id", *PERSON_TRACKED, "attr_hash", "valid_from_run_id",
@@ -517,9 +515,6 @@ def q_ancestor_lineage(spark, sf_dir):
 
 # --- changesets, profile, checks, the incremental run --------------------------------
 
-from kinstar.operators import changeset, checks, profile  # noqa: E402
-from kinstar.plans import pipeline  # noqa: E402
-from kinstar.session import scratch_path  # noqa: E402
 
 CHANGE_SQL = [*FIX, """persons_g2 AS (
   SELECT * FROM person_1
