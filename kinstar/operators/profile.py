@@ -47,10 +47,22 @@ def property_profile(elements: DataFrame) -> DataFrame:
         F.coalesce(F.col("_present") == F.col("_total"), F.lit(False)).alias("mandatory"))
 
 
-def label_catalog(nodes: DataFrame, edges: DataFrame, edge_type_col: str = "relationship_type") -> DataFrame:
-    """Distinct node labels and edge types, with element counts."""
+# Uniqueness constraints of the source graph (label -> property).
+UNIQUE_PROPERTIES = {"Person": "id", "Family": "id"}
+
+
+def label_catalog(nodes: DataFrame, edges: DataFrame, edge_type_col: str = "relationship_type",
+                  unique: dict[str, str] | None = None) -> DataFrame:
+    """Distinct node labels and edge types, with element counts and the
+    configured uniqueness constraint of each label (NULL when none)."""
+    unique = UNIQUE_PROPERTIES if unique is None else unique
+    constraint = F.lit(None).cast("string")
+    for label, prop in unique.items():
+        constraint = F.when(F.col("name") == label, F.lit(prop)).otherwise(constraint)
     n = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n_elements")).select(
         F.lit("node").alias("kind"), F.col("label").alias("name"), "n_elements")
     e = edges.groupBy(edge_type_col).agg(F.count(F.lit(1)).alias("n_elements")).select(
         F.lit("relationship").alias("kind"), F.col(edge_type_col).alias("name"), "n_elements")
-    return n.unionByName(e)
+    out = n.unionByName(e)
+    return out.select("kind", "name", "n_elements",
+                      F.when(F.col("kind") == "node", constraint).alias("unique_property"))

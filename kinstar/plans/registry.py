@@ -615,9 +615,10 @@ def q_property_profile(spark, sf_dir):
 
 
 @register("label_catalog", O.with_ctes(FIX, """
-SELECT 'node' AS kind, 'Person' AS name, count(*) AS n_elements FROM person_2
-UNION ALL SELECT 'node', 'Family', count(*) FROM family_2
-UNION ALL SELECT 'relationship', relationship_type, count(*) FROM relation_2
+SELECT 'node' AS kind, 'Person' AS name, count(*) AS n_elements,
+       'id' AS unique_property FROM person_2
+UNION ALL SELECT 'node', 'Family', count(*), 'id' FROM family_2
+UNION ALL SELECT 'relationship', relationship_type, count(*), CAST(NULL AS VARCHAR) FROM relation_2
 GROUP BY relationship_type"""))
 def q_label_catalog(spark, sf_dir):
     nodes, _, relation = _elements(spark, sf_dir)
