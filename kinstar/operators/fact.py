@@ -59,7 +59,8 @@ def empty_fact(spark) -> DataFrame:
 
 def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
                as_of: dt.datetime, hashed_key: bool = False,
-               align_partitions: int | None = None) -> DataFrame:
+               align_partitions: int | None = None, key_base: int | None = None,
+               stats: dict | None = None) -> DataFrame:
     """Next version of the fact; ``flagged_edges`` = ``enrich_edges(...,
     keep_unmatched=True)`` over the distinct edges of the current run.
 
@@ -67,7 +68,9 @@ def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
     the join leads with it, so a fact stored bucketed by ``edge_key`` is
     joined without being shuffled; the output keeps the column, and
     ``align_partitions`` hash-partitions the inserted rows by it so every
-    output partition holds one bucket.
+    output partition holds one bucket. ``key_base`` is the largest key in use
+    (default: scanned from ``fact``); ``stats["high_water"]`` receives the
+    largest key in use afterwards.
     """
     if fact is None:
         fact = empty_fact(flagged_edges.sparkSession)
@@ -119,8 +122,9 @@ def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
         F.lit(1).alias("relation_count"), now.alias("created_at"), now.alias("updated_at"),
         *([F.col(f"_e_{EDGE_HASH}").alias(EDGE_HASH)] if hashed_key else []))
     order = [F.col(KEY_IN_FACT[k]).asc_nulls_first() for k in EDGE_KEY]
-    keyed = with_surrogate_key(inserts, order, "relationship_sk",
-                               start=next_key_base(fact, "relationship_sk")).select(*out_cols)
+    base = next_key_base(fact, "relationship_sk") if key_base is None else key_base
+    keyed = with_surrogate_key(inserts, order, "relationship_sk", start=base,
+                               stats=stats).select(*out_cols)
     if align_partitions:
         keyed = keyed.repartition(align_partitions, EDGE_HASH if hashed_key else KEY_IN_FACT[EDGE_KEY[0]])
     return existing.unionByName(keyed)

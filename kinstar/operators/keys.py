@@ -29,11 +29,14 @@ def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
 
 
 def with_surrogate_key(df: DataFrame, order_by: Sequence[str | Column], sk_col: str,
-                       start: int = 0, num_partitions: int | None = None) -> DataFrame:
+                       start: int = 0, num_partitions: int | None = None,
+                       stats: dict | None = None) -> DataFrame:
     """Append ``sk_col`` = start + 1, start + 2, ... in ``order_by`` order.
 
     ``order_by`` columns are ascending with NULLs first unless given as
-    Columns. Ties get distinct keys in an unspecified order.
+    Columns. Ties get distinct keys in an unspecified order. With ``stats``
+    the new high-water mark (start + number of rows) is stored under
+    ``stats["high_water"]``, read off the per-partition counts.
     """
     order = _order_cols(order_by)
     # Without an explicit count AQE sizes the range partitions from the
@@ -53,6 +56,8 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[str | Column], sk_col:
         "_pid",
         (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_off"))
+    if stats is not None:
+        stats["high_water"] = start + int(counts.agg(F.sum("_cnt")).first()[0] or 0)
     keyed = pos.join(F.broadcast(offsets), "_pid", "left")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _LOCAL_BITS)
     sk = F.lit(start).cast("long") + F.coalesce(F.col("_off"), F.lit(0)).cast("long") + local + 1

@@ -48,7 +48,8 @@ def empty_dimension(snapshot: DataFrame, key: str, tracked: Sequence[str], sk_co
 
 def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.datetime,
                key: str, tracked: Sequence[str], sk_col: str,
-               key_base: int, align_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+               key_base: int, align_partitions: int | None = None,
+               stats: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Apply a snapshot to the *current* versions only.
 
     Returns ``(next_current, closed)``: the current versions after the run
@@ -57,7 +58,8 @@ def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.d
     needed at all, so a store can keep them append-only. With
     ``align_partitions`` the inserted versions are hash-partitioned by the
     key, so that (with ``current`` stored bucketed by the key) every output
-    partition holds exactly one bucket.
+    partition holds exactly one bucket. ``stats["high_water"]`` receives the
+    largest key in use afterwards.
     """
     cols = dim_columns(key, tracked, sk_col)
     run = F.lit(run_id)
@@ -80,7 +82,7 @@ def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.d
         F.lit(None).cast("string").alias("valid_to_run_id"),
         F.lit(True).alias("is_current"), F.lit(False).alias("is_deleted"),
         F.lit(as_of).cast("timestamp_ntz").alias("created_at"))
-    keyed = with_surrogate_key(inserts, [key], sk_col, start=key_base).select(*cols)
+    keyed = with_surrogate_key(inserts, [key], sk_col, start=key_base, stats=stats).select(*cols)
     if align_partitions:
         keyed = keyed.repartition(align_partitions, key)
     return kept.unionByName(keyed), closed.select(*cols)

@@ -50,7 +50,8 @@ from kinstar.sources import store
 
 COMMITS = "_commits"
 COMMIT_SCHEMA = ("commit_seq long, run_id string, table_name string, path string, "
-                 "bucket_col string, num_buckets int, committed_at timestamp_ntz")
+                 "bucket_col string, num_buckets int, high_water long, "
+                 "committed_at timestamp_ntz")
 # Stored layout of the logical tables.
 APPEND_ONLY = {"dim_person_history"}
 STORED = {
@@ -73,6 +74,7 @@ class Version:
     path: str
     bucket_col: str | None = None
     num_buckets: int | None = None
+    high_water: int | None = None  # largest surrogate key in use (keyed tables)
 
 
 def _table_name(path: str) -> str:
@@ -105,7 +107,8 @@ class Warehouse:
             out: dict[str, list[tuple[int, Version]]] = {}
             for r in rows:
                 out.setdefault(r["table_name"], []).append(
-                    (r["commit_seq"], Version(r["path"], r["bucket_col"], r["num_buckets"])))
+                    (r["commit_seq"], Version(r["path"], r["bucket_col"], r["num_buckets"],
+                                              r["high_water"])))
             self._versions = {
                 t: ([v for _, v in sorted(vs, key=lambda x: x[0])] if t in APPEND_ONLY
                     else [max(vs, key=lambda x: x[0])[1]])
@@ -150,8 +153,20 @@ class Warehouse:
             out = out.unionByName(p)
         return out
 
+    def high_water(self, name: str, sk_col: str, logical: str | None = None) -> int:
+        """Largest surrogate key ever assigned: recorded in the commit log
+        with each version, so no scan of the table. Only a version without
+        the record is scanned, across the whole ``logical`` table (a closed
+        history row may hold the largest key)."""
+        versions = self.latest_versions().get(name)
+        if not versions:
+            return 0
+        if versions[-1].high_water is not None:
+            return versions[-1].high_water
+        return next_key_base(self.table(logical or name), sk_col)
+
     def write_version(self, name: str, df: DataFrame, bucket_col: str | None = None,
-                      num_buckets: int | None = None) -> Version:
+                      num_buckets: int | None = None, high_water: int | None = None) -> Version:
         path = f"{self.root.rstrip('/')}/wh/{name}/v-{uuid.uuid4().hex}"
         df = df.select(*[f.name for f in stored_schema(name).fields])
         if bucket_col:
@@ -159,14 +174,14 @@ class Warehouse:
              .option("path", path).saveAsTable(_table_name(path)))
         else:
             df.write.mode("overwrite").parquet(path)
-        return Version(path, bucket_col, num_buckets)
+        return Version(path, bucket_col, num_buckets, high_water)
 
     def commit(self, run_id: str, written: dict[str, Version]) -> None:
         if not written:
             return
         seq = self.commits().agg(F.max("commit_seq")).first()[0] or 0
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(seq + i + 1, run_id, t, v.path, v.bucket_col, v.num_buckets, now)
+        rows = [(seq + i + 1, run_id, t, v.path, v.bucket_col, v.num_buckets, v.high_water, now)
                 for i, (t, v) in enumerate(sorted(written.items()))]
         (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self._commits_path()))
@@ -281,13 +296,16 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
     old_current = wh.stored("dim_person_current")
     if old_current is None:
         old_current = scd2.empty_dimension(person_s, "person_id", PERSON_TRACKED, "person_sk")
-    dim_all = wh.table("dim_person")
-    base = next_key_base(dim_all, "person_sk") if dim_all is not None else 0
+    # Keys continue after the largest ever assigned (history included),
+    # which the commit log records.
+    dim_stats: dict = {}
     cur_new, closed = scd2.scd2_apply(old_current, person_s, current, as_of, key="person_id",
-                                      tracked=PERSON_TRACKED, sk_col="person_sk", key_base=base,
-                                      align_partitions=n_dim)
+                                      tracked=PERSON_TRACKED, sk_col="person_sk",
+                                      key_base=wh.high_water("dim_person_current", "person_sk", "dim_person"),
+                                      align_partitions=n_dim, stats=dim_stats)
     written["dim_person_current"] = wh.write_version("dim_person_current", cur_new,
-                                                     bucket_col="person_id", num_buckets=n_dim)
+                                                     bucket_col="person_id", num_buckets=n_dim,
+                                                     high_water=dim_stats["high_water"])
     written["dim_person_history"] = wh.write_version("dim_person_history", closed)
 
     # Fact. The person lookups read the dimension unbucketed: edges can be
@@ -298,10 +316,14 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
     flagged = kinship.enrich_edges(edges, read("dim_person_current", bucketed=False),
                                    read("dim_relationship_role"), read("dim_date"),
                                    keep_unmatched=True)
-    fact_new = fact_ops.merge_fact(wh.stored("fact_person_relationship"), flagged, current, as_of,
-                                   hashed_key=True, align_partitions=n_fact)
+    fact_stats: dict = {}
+    fact_new = fact_ops.merge_fact(
+        wh.stored("fact_person_relationship"), flagged, current, as_of, hashed_key=True,
+        align_partitions=n_fact,
+        key_base=wh.high_water("fact_person_relationship", "relationship_sk"), stats=fact_stats)
     written["fact_person_relationship"] = wh.write_version(
-        "fact_person_relationship", fact_new, bucket_col=fact_ops.EDGE_HASH, num_buckets=n_fact)
+        "fact_person_relationship", fact_new, bucket_col=fact_ops.EDGE_HASH, num_buckets=n_fact,
+        high_water=fact_stats["high_water"])
 
     wh.commit(current, written)
     return RunResult(run_id=run_id, current_run=current, written=written)
