@@ -7,16 +7,16 @@ directed edges keyed by (source, target, role code, start, end, reason).
 
 Plan shape (per snapshot):
 
-* spouse relation = SPOUSE_OF edges joined to their family (shuffle by
-  family_id); spouse pairs are a self-join of that result on family_id, which
-  reuses the same partitioning.
-* parent x child is computed once per family and projected three ways
-  (PARENT edges, CHILD edges, parent-child map).
-* sibling pairs come from a self-join of the parent-child map on parent.
-  The output is quadratic in the children of one parent, so a parent with
-  more than ``block_size`` children is split into blocks and every pair of
-  blocks is its own join key: no task produces more than ~block_size^2
-  pairs, however large one family is.
+* spouse relation = SPOUSE_OF memberships joined to their family (shuffle
+  by family_id); parent x child is computed once per family and projected
+  three ways (PARENT edges, CHILD edges, parent-child map). Both are
+  checkpointed once, because several branches read them.
+* spouse pairs (per family) and sibling pairs (per parent) are self-joins
+  whose output is quadratic in the group. ``pairs_within_groups`` keeps the
+  plain self-join for ordinary groups and cuts a group above
+  ``block_size`` rows into blocks, every pair of blocks being its own join
+  key: no task produces more than ~block_size^2 pairs, however large one
+  family is.
 * the child's birth date travels with the parent-child map, so sibling start
   dates need no further join against the (large) person table.
 * sibling edges are unique by construction, so only spouse and parent/child
@@ -39,7 +39,6 @@ from kinstar.schemas import EDGE_KEY
 from kinstar.session import materialize
 
 
-
 def _null_date():
     return F.lit(None).cast("date")
 
@@ -48,7 +47,8 @@ def _null_text():
     return F.lit(None).cast("string")
 
 
-# Children per parent above which the sibling self-join is split into blocks.
+# Rows per group (children of a parent, spouses of a family) above which a
+# pair self-join is split into blocks.
 DEFAULT_BLOCK_SIZE = 2048
 
 
