@@ -256,10 +256,12 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
     current = store.resolve_current_run(store.read_raw(spark, root, store.RUN_LOG_TABLE))
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    wh = Warehouse(spark, root)
+
     def sized(table: str, raw_table: str, factor: int = 1) -> int:
         if buckets:
             return buckets
-        prev = Warehouse(spark, root).latest_versions().get(table, [])
+        prev = wh.latest_versions().get(table, [])
         total = sum(store.stored_bytes(spark, v.path) for v in prev)
         total += factor * store.stored_bytes(
             spark, f"{store.raw_path(root, raw_table)}/run_id={current}")
@@ -268,7 +270,6 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
     family_s = store.snapshot_slice(store.read_raw(spark, root, "raw_family_snapshot"), current)
     relation_s = store.snapshot_slice(store.read_raw(spark, root, "raw_relation_snapshot"), current)
 
-    wh = Warehouse(spark, root)
     written: dict[str, Version] = {}
 
     # Reference dimensions: a new version only when seeding adds rows.
