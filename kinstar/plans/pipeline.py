@@ -176,6 +176,31 @@ class Warehouse:
             df.write.mode("overwrite").parquet(path)
         return Version(path, bucket_col, num_buckets, high_water)
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete superseded versions of the rewritten tables, keeping the
+        newest ``keep`` committed ones of each; append-only history parts and
+        anything not in the commit log are left alone. Call between runs
+        (one active run at a time). Returns the deleted paths."""
+        if keep < 1:
+            raise ValueError("keep must be >= 1")
+        rows = self.commits().select("table_name", "path", "commit_seq").collect()
+        by_table: dict[str, list[tuple[int, str]]] = {}
+        for r in rows:
+            if r["table_name"] not in APPEND_ONLY:
+                by_table.setdefault(r["table_name"], []).append((r["commit_seq"], r["path"]))
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        deleted = []
+        for versions in by_table.values():
+            for _, path in sorted(versions, reverse=True)[keep:]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")  # metadata only
+                p = jvm.org.apache.hadoop.fs.Path(path)
+                fs = p.getFileSystem(conf)
+                if fs.exists(p):
+                    fs.delete(p, True)
+                    deleted.append(path)
+        return deleted
+
     def commit(self, run_id: str, written: dict[str, Version]) -> None:
         if not written:
             return

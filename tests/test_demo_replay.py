@@ -90,3 +90,22 @@ def test_rerun_same_snapshot_changes_nothing(replay):
     assert after[1] == before[1]
     assert after[2] == (0, 0)
     assert after[3:] == before[3:]
+
+
+def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    snap = G.initial(spark)
+    for i, change in enumerate([None, G.scenario_01, G.scenario_02]):
+        if change is not None:
+            snap = change(spark, *snap)
+        snap = tuple(spark.createDataFrame(x.collect(), x.schema) for x in snap)
+        pipeline.run_increment(spark, root, *snap, run_id=f"v{i}",
+                               started_at=dt.datetime(2026, 3, 1 + i, 2))
+    wh = pipeline.Warehouse(spark, root)
+    before = (wh.table("dim_person").count(), wh.table("fact_person_relationship").count())
+    deleted = wh.vacuum(keep=1)
+    # dim_person_current and the fact had three versions each
+    assert len(deleted) == 4
+    wh = pipeline.Warehouse(spark, root)
+    assert (wh.table("dim_person").count(), wh.table("fact_person_relationship").count()) == before
+    assert before == (42, 174)
