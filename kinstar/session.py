@@ -45,8 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; we read it
-    and use it as is. Only when nothing is configured (local runs, tests) do
-    we pick a fresh scratch folder of our own.
+    and use it as is. Only a local-mode session (tests, bench) without one
+    gets a fresh scratch folder of our own; a cluster session without one is
+    an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # Executors must share the folder; a machine-local one would not do.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf_dir = tempfile.mkdtemp(prefix="kinstar-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
