@@ -195,3 +195,23 @@ def test_spouse_blocks_give_the_same_edges(spark):
                 reason = "DIVORCE" if d else ("STATUS_ENDED" if st.upper() in ("DIVORCED", "ENDED") else None)
                 want.add((p, q, code, m, d, reason))
     assert set(plain) == want and len(plain) == len(want)
+
+
+def test_marriage_timeline_defaults_to_current_date(spark):
+    from kinstar.plans import reports
+    dim = spark.createDataFrame(
+        [(1, "h", "A", "B", None, None, True), (2, "w", "C", "D", None, None, True)],
+        "person_sk long, person_id string, first_name string, last_name string, "
+        "birth_date date, death_date date, is_current boolean")
+    role = dims.role_dimension(spark)
+    fact = spark.createDataFrame(
+        [(1, 2, 1, "SPOUSE_HUSBAND", D(2000, 6, 1), None, None, False)],
+        "source_person_sk long, target_person_sk long, relationship_role_sk long, "
+        "source_relationship_role_code string, start_date date, end_date date, "
+        "end_reason string, is_deleted boolean")
+    cal = dims.date_dimension(spark)
+    r = reports.marriage_timeline(fact, dim, role, cal).first()
+    assert r.outcome == "Active" and r.marriage_year == 2000
+    assert r.years_together == dt.date.today().year - 2000
+    fixed = reports.marriage_timeline(fact, dim, role, cal, D(2026, 6, 30)).first()
+    assert fixed.years_together == 26
