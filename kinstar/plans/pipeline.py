@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinstar.operators import dims, kinship, scd2
+from kinstar.operators import checks, dims, kinship, scd2
 from kinstar.operators import fact as fact_ops
 from kinstar.operators.keys import next_key_base
 from kinstar.schemas import PERSON_TRACKED, TABLES
@@ -254,12 +254,15 @@ CO_PARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 def run_increment(spark: SparkSession, root: str, person: DataFrame, family: DataFrame,
                   relation: DataFrame, run_id: str | None = None,
                   started_at: dt.datetime | None = None,
-                  as_of: dt.datetime | None = None, buckets: int | None = None) -> RunResult:
+                  as_of: dt.datetime | None = None, buckets: int | None = None,
+                  validate: bool = True) -> RunResult:
     """One incremental run over a full snapshot (person, family, relation
     in the staging schema). ``as_of`` stamps created_at / updated_at;
     ``buckets`` fixes the bucket count of new versions; by default it is
     sized from the stored bytes of the previous version and of the snapshot
-    (``BYTES_PER_BUCKET`` each, at most the session's shuffle partitions)."""
+    (``BYTES_PER_BUCKET`` each, at most the session's shuffle partitions).
+    ``validate`` checks the snapshot's node ids (unique, not NULL) before any
+    merge and raises ``ConstraintViolation`` without committing anything."""
     run_id = run_id or str(uuid.uuid4())
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     as_of = as_of or started_at
@@ -268,7 +271,7 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
     previous = spark.conf.get(CO_PARTITION_CONF, None)
     spark.conf.set(CO_PARTITION_CONF, "false")
     try:
-        return _merge_run(spark, root, buckets, as_of, run_id)
+        return _merge_run(spark, root, buckets, as_of, run_id, validate)
     finally:
         if previous is None:
             spark.conf.unset(CO_PARTITION_CONF)
@@ -277,7 +280,7 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
 
 
 def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.datetime,
-               run_id: str) -> RunResult:
+               run_id: str, validate: bool = True) -> RunResult:
     current = store.resolve_current_run(store.read_raw(spark, root, store.RUN_LOG_TABLE))
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -294,6 +297,11 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
     person_s = store.snapshot_slice(store.read_raw(spark, root, "raw_person_snapshot"), current)
     family_s = store.snapshot_slice(store.read_raw(spark, root, "raw_family_snapshot"), current)
     relation_s = store.snapshot_slice(store.read_raw(spark, root, "raw_relation_snapshot"), current)
+    if validate:
+        # V1: node ids are unique and present (the merges rely on it).
+        checks.assert_valid(
+            checks.key_summary(person_s, "raw_person_snapshot", ["person_id"])
+            .unionByName(checks.key_summary(family_s, "raw_family_snapshot", ["family_id"])))
 
     written: dict[str, Version] = {}
 

@@ -109,3 +109,14 @@ def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
     wh = pipeline.Warehouse(spark, root)
     assert (wh.table("dim_person").count(), wh.table("fact_person_relationship").count()) == before
     assert before == (42, 174)
+
+
+def test_duplicate_person_id_fails_before_any_merge(spark, tmp_path):
+    from kinstar.operators.checks import ConstraintViolation
+    root = str(tmp_path / "wh")
+    persons, families, relations = G.initial(spark)
+    dup = persons.unionByName(persons.where(F.col("person_id") == "p1"))
+    with pytest.raises(ConstraintViolation):
+        pipeline.run_increment(spark, root, dup, families, relations, run_id="bad",
+                               started_at=dt.datetime(2026, 4, 1))
+    assert pipeline.Warehouse(spark, root).table("dim_person") is None  # nothing committed
