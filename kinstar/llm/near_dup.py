@@ -37,7 +37,7 @@ from kinstar.llm.words import blocks, mix64, shingle_set
 
 BITS = 2
 #: Members of a bucket or group on one side of a comparison.
-BLOCK = 128
+BLOCK = 256
 #: Standard errors below the threshold at which an estimate still passes.
 SIGMAS = 4.5
 _PART = 8192
@@ -137,18 +137,30 @@ class Forest:
         return x != y
 
 
+def _passes(sides: np.ndarray):
+    """(rows, partners, whether their links are passed on) of the comparisons of a cell.
+
+    The links inside a block come from its own cell. In a cell of two blocks they
+    are only joined, so that a link is passed on if it connects something new.
+    """
+    left, right = np.flatnonzero(sides[0]), np.flatnonzero(sides[1])
+    if np.array_equal(left, right):
+        return [(left, left, True)]
+    return [(left, left, False), (right, right, False), (left, right, True)]
+
+
 def _estimated(n: int, cut: float):
     """Links of a cell whose estimates pass (a spanning forest)."""
     def compare(cell: pa.Table, sides: np.ndarray):
         ids = cell.column("id").to_numpy()
         sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
-        left, right = np.flatnonzero(sides[0]), np.flatnonzero(sides[1])
         forest = Forest(len(ids))
-        for part in range(0, len(left), 32):
-            rows = left[part:part + 32]
-            for i, j in zip(*np.nonzero(agreement(sig[rows], sig[right], n) >= cut)):
-                if forest.join(int(rows[i]), int(right[j])):
-                    yield ids[rows[i]], ids[right[j]]
+        for left, right, told in _passes(sides):
+            for part in range(0, len(left), 32):
+                rows = left[part:part + 32]
+                for i, j in zip(*np.nonzero(agreement(sig[rows], sig[right], n) >= cut)):
+                    if forest.join(int(rows[i]), int(right[j])) and told:
+                        yield ids[rows[i]], ids[right[j]]
     return compare
 
 
@@ -165,21 +177,28 @@ def _confirmed(k: int, num: int, den: int):
         order = np.argsort(every, kind="stable")
         every, owner = every[order], owner[order]
         forest = Forest(len(ids))
-        left, right = np.flatnonzero(sides[0]), np.flatnonzero(sides[1])
-        for i in left:
-            i = int(i)
-            # partners of fitting size that are not connected yet
-            fit = den * np.minimum(sizes[right], sizes[i]) >= num * np.maximum(sizes[right], sizes[i])
-            open_ = [int(j) for j in right[fit] if forest.find(int(j)) != forest.find(i)]
-            if not open_ or not sizes[i]:
-                continue
-            lo, hi = np.searchsorted(every, sets[i], "left"), np.searchsorted(every, sets[i], "right")
-            spans = hi - lo
-            at = np.repeat(lo - np.concatenate(([0], np.cumsum(spans)[:-1])), spans) + np.arange(spans.sum())
-            common = np.bincount(owner[at], minlength=len(sets))
-            for j in open_:
-                if den * common[j] >= num * (sizes[i] + sizes[j] - common[j]) and forest.join(i, j):
-                    yield ids[i], ids[j]
+        shared: dict[int, np.ndarray] = {}
+
+        def common(i: int) -> np.ndarray:
+            """Intersection sizes of document i with all of the cell."""
+            if i not in shared:
+                lo, hi = np.searchsorted(every, sets[i], "left"), np.searchsorted(every, sets[i], "right")
+                spans = hi - lo
+                at = np.repeat(lo - np.concatenate(([0], np.cumsum(spans)[:-1])), spans) + np.arange(spans.sum())
+                shared[i] = np.bincount(owner[at], minlength=len(sets))
+            return shared[i]
+
+        for left, right, told in _passes(sides):
+            for i in left.tolist():
+                # partners of fitting size that are not connected yet
+                fit = den * np.minimum(sizes[right], sizes[i]) >= num * np.maximum(sizes[right], sizes[i])
+                open_ = [j for j in right[fit].tolist() if forest.find(j) != forest.find(i)]
+                if not open_ or not sizes[i]:
+                    continue
+                both = common(i)
+                for j in open_:
+                    if den * both[j] >= num * (sizes[i] + sizes[j] - both[j]) and forest.join(i, j) and told:
+                        yield ids[i], ids[j]
     return compare
 
 
@@ -203,7 +222,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     group = connected_components(maybe)
     group = group.join(group.groupBy("component").agg(F.count("*").alias("size")), "component")
-    texts = group.join(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), "id")
+    # a merge join whatever the sizes: a corpus has too many members of groups to broadcast
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).hint("merge").join(group, "id")
     sure = grouped(cells_of(texts, "component", "id", "size", BLOCK), _confirmed(k, num, den))
     linked = connected_components(sure)
 

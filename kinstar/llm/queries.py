@@ -4,23 +4,134 @@ SQL where SQL can express the result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kinstar.llm import near_dup
+from kinstar.llm import (decontaminate, licenses, near_dup, packing, secrets, substring, token_counts, topk,
+                         toxicity, warc)
+from kinstar.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+
+    def digest(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s.kind != "crf")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"), count("crf"))
+
+
+def op2_minhash_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(_table(spark, sf_dir, "documents"))
+
+
+def op3_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document: its leaked items, the best covered one first."""
+    found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    best = F.struct((F.col("covered_words") / F.col("item_words")).alias("coverage"), (-F.col("item_id")).alias("order"), "item_id", "n_tiles")
+    return found.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.max(best).alias("best")).select(
+        "doc_id", "n_items", "best.item_id", "best.coverage", "best.n_tiles", F.lit(True).alias("contaminated"))
+
+
+def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.severity(docs.select("doc_id", "text"), model).drop("text")
+
+
+def op9_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder, end_id, width = scratch_path(spark, "tokens"), 50256, token_counts.id_width(50257)
+    placed = token_counts.write_token_files(_table(spark, sf_dir, "documents"), folder,
+                                            public_tokenizers.path("byte_bpe_50k.json"), end_id, width)
+    counted = token_counts.scan_token_files(spark, folder, placed, end_id, width)
+    return placed.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal", "start")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_level_wise_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op10_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.with_revisits(_table(spark, sf_dir, "pages"), "page_id", "url", "html", 1000)
+    folder = scratch_path(spark, "warc")
+    warc.write_archive(records, folder)
+    return warc.read_archive(spark, folder, with_payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+def op4_score_at_a_time_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
+    "op1_crf_secret_scan": op1_crf_secret_scan,
+    "op2_minhash_license_scan": op2_minhash_license_scan,
+    "op3_greedy_string_tiling": op3_greedy_string_tiling,
+    "op5_ordinal_toxicity": op5_ordinal_toxicity,
+    "op9_separator_scan": op9_separator_scan,
+    "op4_score_at_a_time_topk": op4_score_at_a_time_topk,
+    "op7_karmarkar_karp_packing": op7_karmarkar_karp_packing,
+    "op10_warc_writer": op10_warc_writer,
+    "op8_level_wise_doubling": op8_level_wise_doubling,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 
 ORACLE = {
+    "op4_score_at_a_time_topk": """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_sum([a[1] * a[2] FOR a IN list_zip(q.e, v.e)])::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+""",
+    "op10_warc_writer": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+    max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM g
+""",
+    "op8_level_wise_doubling": r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+win AS (
+  SELECT doc_id, i AS start, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)),
+late AS (
+  SELECT doc_id, start FROM win
+  QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, start) > 1),
+gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(start, start + 20)))) AS g FROM late GROUP BY doc_id)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, coalesce(len(g), 0)::BIGINT AS n_removed,
+  sha256(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF NOT list_contains(coalesce(g, []), i)], ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+""",
     "op6_minhash_near_dedup": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),

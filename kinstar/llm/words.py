@@ -35,6 +35,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
+#: Separators of bare words: white space and all ASCII characters but letters and digits.
+BARE = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 _TABLES = {False: _BYTES, True: _BYTES[_LOWER]}
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -73,31 +75,34 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of consecutive documents: hash and byte range of each word.
 
-    ``first`` has n + 1 entries: document d owns words first[d] .. first[d+1].
+    ``first`` and ``offsets`` have n + 1 entries: document d owns words first[d] ..
+    first[d+1] and bytes offsets[d] .. offsets[d+1].
     """
 
-    __slots__ = ("data", "starts", "ends", "first", "hashes")
+    __slots__ = ("data", "offsets", "starts", "ends", "first", "hashes")
 
-    def __init__(self, data, starts, ends, first, hashes):
-        self.data, self.starts, self.ends, self.first, self.hashes = data, starts, ends, first, hashes
+    def __init__(self, data, offsets, starts, ends, first, hashes):
+        self.data, self.offsets, self.starts, self.ends = data, offsets, starts, ends
+        self.first, self.hashes = first, hashes
 
     def __len__(self) -> int:
         return len(self.first) - 1
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Find and hash the words of documents that lie back to back in ``data``."""
+def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, space: np.ndarray = _SPACE) -> Words:
+    """Find and hash the words of documents that lie back to back in ``data``;
+    ``space`` marks the bytes that separate words."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
-        return Words(data, none, none, np.zeros(len(offsets), dtype=np.int64), np.zeros(0, dtype=np.uint64))
-    inside = ~_SPACE[data]
+        return Words(data, offsets, none, none, np.zeros(len(offsets), dtype=np.int64), np.zeros(0, dtype=np.uint64))
+    inside = ~space[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cut = offsets[(offsets > 0) & (offsets < n)]
     begins[cut] = inside[cut]
     stops = inside
-    stops[:-1] &= begins[1:] | _SPACE[data[1:]]
+    stops[:-1] &= begins[1:] | space[data[1:]]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     hashes = np.empty(len(starts), dtype=np.uint64)
     table, a = _TABLES[lower], 0
@@ -109,10 +114,10 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> W
         s, e = starts[a:b] - lo, ends[a:b] - lo
         hashes[a:b] = mix64((run[e] - run[s]) * powers(_INVERSE, hi - lo)[s])
         a = b
-    return Words(data, starts, ends, np.searchsorted(starts, offsets), hashes)
+    return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), hashes)
 
 
-def blocks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
+def blocks(column: pa.Array, lower: bool = False, space: np.ndarray = _SPACE) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) of consecutive rows with about BLOCK_BYTES of text."""
     data, offsets = column_bytes(column)
     row, rows = 0, len(offsets) - 1
@@ -120,10 +125,20 @@ def blocks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Wo
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, side="right")) - 1)
         end = min(end, rows)
         part = offsets[row:end + 1]
-        yield row, end, split_words(data[part[0]:part[-1]], part - part[0], lower)
+        yield row, end, split_words(data[part[0]:part[-1]], part - part[0], lower, space)
         row = end
 
 
+def prefix_hashes(words: Words, size: int, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(word numbers, hashes of their first ``size`` bytes) of all words of more bytes."""
+    longer = np.flatnonzero(words.ends - words.starts > size)
+    at, table, power = words.starts[longer], _TABLES[lower], powers(_BASE, size)
+    total = np.full(len(longer), size, dtype=np.uint64)
+    for i in range(size):
+        total += table[words.data[at + i]] * power[i]
+    return longer, mix64(total * _U(0x9E3779B97F4A7C15))
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` consecutive entries (document edges are the caller's)."""
     n = len(hashes)
