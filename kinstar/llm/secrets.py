@@ -5,8 +5,8 @@ long hexadecimal runs, leftmost and without overlap per kind.
 
 *Field*: texts are read as tokens (runs of ``[A-Za-z0-9_+/-]``) tagged B (a secret
 begins), I (inside) or O (outside). The tag lattice is constrained: B needs a
-token that could be a secret (at least ``LEAST`` characters, and a digit, a lower
-case letter before an upper case one, or an assignment sign before it), I needs
+token that could be a secret (at least ``LEAST`` characters, and a digit or a
+lower case letter before an upper case one), I needs
 a token that joins the one before it without white space. All other tokens are
 O, so the chain falls into short segments, and decoding each by Viterbi gives
 the best path of the whole text; plain prose costs one regular expression.
@@ -54,7 +54,7 @@ _TAGS = 3
 _B, _I, _O = range(_TAGS)
 
 _TOKEN = re.compile(r"[A-Za-z0-9_+/-]+")
-_EVENT = re.compile(r"[0-9]|[a-z](?=[A-Z])|[=:]")
+_EVENT = re.compile(r"[0-9]|[a-z](?=[A-Z])")
 _GAP = re.compile(r"""["']?\x20*[=:]\x20*["']?$""")
 _JOIN = re.compile(r"[.=:%~&]{1,2}")
 _WORD = re.compile(r"[A-Za-z]+")
@@ -80,18 +80,10 @@ def segments(text: str) -> list[list[tuple[int, int]]]:
         p = event.start()
         if p < done:
             continue
-        if text[p] in "=:":
-            m = _TOKEN.search(text, p, p + 4)
-            if m is None or not re.fullmatch(r"""[=:]\x20*["']?""", text[p:m.start()]):
-                continue
-            a = m.start()
-        else:
-            a = p
-            while a > done and text[a - 1] in _IN_TOKEN:
-                a -= 1
+        a = p
+        while a > done and text[a - 1] in _IN_TOKEN:
+            a -= 1
         m = _TOKEN.match(text, a)
-        if m is None:
-            continue
         b = done = m.end()
         if b - a < LEAST:
             continue
@@ -123,6 +115,7 @@ def _features(text: str, run: list[tuple[int, int]], of_file: list[str]) -> list
         gap = _GAP.search(before)
         out.append([
             "bias", f"pos{min(i, 2)}", f"shape:{shape[:6]}", f"changes{min(len(shape), 12) // 2}", f"digits{int(digits * 4)}",
+            f"mixed{any(map(str.isdigit, token)) and any(map(str.isalpha, token))}", f"signs{sum(token.count(c) for c in '+-/')}",
             f"entropy{int(entropy)}", f"hex{re.fullmatch('[0-9a-f]+', token) is not None}",
             f"number{token.isdigit()}", f"upper{re.fullmatch('[A-Z0-9]+', token) is not None}",
             f"+length{min(len(token), 48) // 4}", f"+name:{words[-1].lower()[:12] if words else ''}",
