@@ -67,9 +67,9 @@ def op8_level_wise_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.with_revisits(_table(spark, sf_dir, "pages"), "page_id", "url", "html", 1000)
+    records = warc.page_records(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
     folder = scratch_path(spark, "warc")
-    warc.write_archive(records, folder)
+    warc.write_archive(records, folder, min_bytes=1000)
     return warc.read_archive(spark, folder, with_payload=False).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 

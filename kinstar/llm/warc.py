@@ -43,18 +43,20 @@ _RECORDS = ("id long, payload_bytes long, payload_digest string, record_type str
             "target_uri string, payload binary")
 
 
-def with_revisits(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_bytes: int) -> DataFrame:
-    """(id, url, payload, digest, refers_to); refers_to is null for responses."""
+def page_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
+    """(id, url, payload, digest) of the rows to be archived."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
-    records = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
-                           payload.alias("payload")).withColumn("digest", F.sha1("payload"))
-    size = F.octet_length("payload")
-    groups = (records.where(size >= min_bytes).groupBy("digest", size.alias("size"))
-              .agg(F.max("id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
-              .select("digest", "last"))
-    joined = records.join(groups, "digest", "left")
-    return joined.select("id", "url", "payload", "digest",
-                         F.when(~F.col("id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
+    return pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
+                        payload.alias("payload")).withColumn("digest", F.sha1("payload"))
+
+
+def revisits(records: DataFrame, min_bytes: int) -> DataFrame:
+    """(id, digest, refers_to) of the records that repeat another one's payload; no payload moves."""
+    long = records.where(F.octet_length("payload") >= min_bytes).select("id", "digest")
+    groups = (long.groupBy("digest").agg(F.max("id").alias("refers_to"), F.count("*").alias("n"))
+              .where("n > 1 and refers_to is not null").select("digest", "refers_to"))
+    return long.join(groups, "digest").where(~F.col("id").eqNullSafe(F.col("refers_to"))).select(
+        "id", "digest", "refers_to").distinct()
 
 
 def _slot(edges: list[int]):
@@ -138,14 +140,19 @@ def _record(key, url, payload: bytes, refers, collection: str, date: str, level:
     return _member([*header, ("Content-Length", str(len(block)))], block, level)
 
 
-def write_archive(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_bytes: int = 64 << 20,
+def write_archive(records: DataFrame, folder: str, min_bytes: int = 1000, shard_bytes: int = SHARD_BYTES, roll_bytes: int = 64 << 20,
                   collection: str = "kinstar", date: str = "2026-01-01T00:00:00Z", level: int = 3) -> DataFrame:
-    """Write the records of :func:`with_revisits` below ``folder``; returns the manifest."""
+    """Write the rows of :func:`page_records` below ``folder``; returns the manifest.
+
+    Payloads are shuffled once, to their shards. What a record refers to is sent
+    to the same place as a row of its own, which sorts before the record.
+    """
     spark = records.sparkSession
     bounds = shard_bounds(records, shard_bytes)
     def write(batches):
         current, number, part, count, size, digest = None, None, 0, 0, 0, None
         done = []
+        known = None  # (id, digest, refers_to) of the last mark
 
         def close():
             name = f"shard-{number:06d}-{part:05d}.warc.gz"
@@ -153,7 +160,11 @@ def write_archive(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYTE
             done.append((name, number, part, count, size, digest.hexdigest()))
 
         for batch in batches:
-            for key, url, payload, refers, n in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for n, key, url, payload, sha1, refers in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if refers is not None:
+                    known = (key, sha1, refers)
+                    continue
+                refers = known[2] if known is not None and known[:2] == (key, sha1) else None
                 if current is not None and n != number:
                     close()
                     current, part = None, 0
@@ -174,8 +185,13 @@ def write_archive(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYTE
                 (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()))],
             names=["file", "shard", "part", "records", "bytes", "sha256"])
 
-    manifest = (records.select("id", "url", "payload", "refers_to", _slot(bounds)("id").alias("shard"))
-                .repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "id", "url", F.xxhash64("payload"))
+    shard = _slot(bounds)("id").alias("shard")
+    none = F.lit(None)
+    rows = records.select(shard, "id", "url", "payload", "digest", none.cast("long").alias("refers_to")).unionByName(
+        revisits(records, min_bytes).select(shard, "id", none.cast("string").alias("url"),
+                                            none.cast("binary").alias("payload"), "digest", "refers_to"))
+    manifest = (rows.repartitionById(len(bounds) + 1, F.col("shard"))
+                .sortWithinPartitions("shard", "id", "digest", F.col("refers_to").asc_nulls_last(), "url")
                 .mapInArrow(write, _MANIFEST_SCHEMA))
     # Spark's committer writes the manifest under temporary names, too, and last
     manifest.write.parquet(f"{folder}/{MANIFEST}")

@@ -42,7 +42,7 @@ def vectors(spark, rows):
 @pytest.mark.parametrize("shard", [7, 64, 4096])
 def test_topk_against_brute_force(spark, monkeypatch, shard):
     monkeypatch.setattr(topk, "SHARD", shard)
-    monkeypatch.setattr(topk, "FEW", 4)
+    monkeypatch.setattr(topk, "WORTH", {7: 1000, 64: 4, 4096: 0.01}[shard])
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(300)]
     rows += [(1000 + i, rows[50][1]) for i in range(40)]  # ties
@@ -99,7 +99,7 @@ def brute_warc(rows):
 
 def test_warc_round_trip(spark, tmp_path):
     rows = page_rows()
-    records = warc.with_revisits(pages(spark, rows), "page_id", "url", "html", 1000)
+    records = warc.page_records(pages(spark, rows), "page_id", "url", "html")
     manifest = warc.write_archive(records, f"file://{tmp_path}/a", shard_bytes=20_000, roll_bytes=800)
     back = warc.read_archive(spark, f"file://{tmp_path}/a").collect()
     assert sorted(((r.id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back), key=str) == brute_warc(rows)
@@ -119,15 +119,15 @@ def test_warc_round_trip(spark, tmp_path):
 def test_warc_files_are_the_same_for_any_partitioning(spark, tmp_path):
     files = []
     for n in (1, 5):
-        records = warc.with_revisits(pages(spark, page_rows()).repartition(n), "page_id", "url", "html", 1000)
-        files.append(sorted(map(tuple, warc.write_archive(records, f"file://{tmp_path}/{n}", 20_000, 800).collect())))
+        records = warc.page_records(pages(spark, page_rows()).repartition(n), "page_id", "url", "html")
+        files.append(sorted(map(tuple, warc.write_archive(records, f"file://{tmp_path}/{n}", 1000, 20_000, 800).collect())))
     assert files[0] == files[1]
 
 
 def test_warc_bounds_follow_the_bytes(spark, monkeypatch):
     monkeypatch.setattr(warc, "BINS", 8)
     rows = [(i if i < 500 else 10 ** 9 + i, None, "x" * 100) for i in range(1000)]
-    records = warc.with_revisits(pages(spark, rows), "page_id", "url", "html", 1000)
+    records = warc.page_records(pages(spark, rows), "page_id", "url", "html")
     bounds = warc.shard_bounds(records, 10_000)
     ids = np.array([r[0] for r in rows])
     counts = np.bincount(np.searchsorted(bounds, ids, side="right"))
@@ -135,7 +135,7 @@ def test_warc_bounds_follow_the_bytes(spark, monkeypatch):
 
 
 def test_warc_of_nothing_ignores_stray_files(spark, tmp_path):
-    records = warc.with_revisits(pages(spark, []), "page_id", "url", "html", 1000)
+    records = warc.page_records(pages(spark, []), "page_id", "url", "html")
     assert warc.write_archive(records, f"file://{tmp_path}/e").collect() == []
     (tmp_path / "e" / "_temporary-left").write_bytes(b"half a file")
     assert warc.read_archive(spark, f"file://{tmp_path}/e").collect() == []
