@@ -31,9 +31,13 @@ from pyspark.sql import functions as F
 
 from kinstar.llm.graph import stored
 
-SHARD, QUERIES = 4096, 256
-#: Steps of the ladder of thresholds; vectors left to rescore at which a query stops.
-STEPS, FEW = 8, 64
+SHARD, QUERIES = 4096, 128
+#: Blocks of queries that share one sending of a shard.
+BLOCKS = 4
+#: Steps of the ladder of thresholds. Postings are processed while there are fewer
+#: than 1 / WORTH of the components of the vectors that may still be members.
+STEPS, WORTH = 8, 8
+MAX_TASKS = 50_000
 _BLOCK = "dims int, ids binary, impacts binary"
 
 
@@ -77,54 +81,60 @@ def _blocks(size: int):
 
 
 class Shard:
-    """The impact-ordered index of one block of vectors."""
+    """The impact-ordered index of one block of vectors: per dimension, the
+    postings by ascending impact."""
 
     def __init__(self, ids: np.ndarray, impacts: np.ndarray):
         self.ids, self.impacts = ids, impacts.astype(np.int64)
-        self.order = np.argsort(self.impacts, axis=0, kind="stable").astype(np.int32).T.copy()
-        self.sorted = np.take_along_axis(self.impacts.T, self.order.astype(np.int64), axis=1)
+        n, dims = self.impacts.shape
+        order = np.argsort(self.impacts, axis=0, kind="stable").T
+        self.sorted = np.take_along_axis(self.impacts.T, order, axis=1)
+        self.postings, self.values = order.astype(np.int32).ravel(), self.sorted.ravel().astype(np.float64)
+        self.base = np.arange(dims) * n
+        # dimension and impact in one ascending key, to look up all dimensions at once
+        self.least, self.span = int(self.impacts.min()), int(self.impacts.max() - self.impacts.min()) + 2
+        self.keys = (np.arange(dims)[:, None] * self.span + (self.sorted - self.least)).ravel()
+        self.rows = self.impacts.astype(np.float64)
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of this shard's k best."""
+        n = len(self.ids)
+        members = others = np.flatnonzero(self.ids != query_id)
         dims = np.flatnonzero(query)
-        others = np.flatnonzero(self.ids != query_id)
-        weight = query[dims]
-        # best-first walk per dimension: from the top of the impacts, or from the bottom for negative weights
-        up = weight > 0
-        least = np.where(up, weight * self.sorted[dims, 0], weight * self.sorted[dims, -1])
-        most = np.where(up, weight * self.sorted[dims, -1], weight * self.sorted[dims, 0]) - least
-        gained = np.zeros(len(self.ids), dtype=np.int64)
-        open_ = np.full(len(self.ids), len(dims), dtype=np.int64)
-        done = np.zeros(len(dims), dtype=np.int64)  # postings processed per dimension
-        members = others
-        top = int(most.max()) if len(dims) else 0
-        for step in range(1, STEPS + 1):
-            if len(others) <= max(FEW, k) or not top:
-                break
-            t = top * (STEPS - step) // STEPS
-            for j, d in enumerate(dims):
-                w, values, postings = int(weight[j]), self.sorted[d], self.order[d]
-                # gain >= t  <=>  w * impact >= t + least
-                edge = t + int(least[j])
-                if w > 0:
-                    first = int(np.searchsorted(values, -(-edge // w), "left"))
-                    a, b = first, len(values) - int(done[j])
-                    n = len(values) - first
-                else:
-                    n = int(np.searchsorted(values, edge // w, "right"))
-                    a, b = int(done[j]), n
-                if b > a:
-                    at = postings[a:b]
-                    gained[at] += w * values[a:b] - least[j]
-                    open_[at] -= 1
-                    done[j] = n
-            low = gained[others]
-            bound = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -1
-            # open postings gain less than t
-            members = others[low + open_[others] * max(0, t - 1) >= bound]
-            if len(members) <= max(FEW, k):
-                break
-        scores = self.impacts[members] @ query
+        w = query[dims]
+        # best-first per dimension: from the top of the impacts, or from the bottom for negative weights
+        up = w > 0
+        ends = w * self.sorted[dims, 0], w * self.sorted[dims, -1]
+        least, top = np.where(up, *ends), int(np.abs(ends[1] - ends[0]).max(initial=0))
+        if int(np.abs(query).max(initial=0)) * int(np.abs(self.impacts).max()) * len(query) >= 2 ** 52:
+            # beyond exact doubles: score the whole shard in integers
+            scores = self.impacts[members] @ query
+        else:
+            gained, open_ = np.zeros(n), np.full(n, len(dims), dtype=np.int64)
+            done = np.zeros(len(dims), dtype=np.int64)  # postings processed per dimension
+            for step in range(1, STEPS + 1):
+                if len(members) <= k or not top:
+                    break
+                t = top * (STEPS - step) // STEPS
+                # gain >= t  <=>  weight * impact >= t + least
+                edge = t + least
+                bound = np.where(up, -(-edge // w), edge // w + 1)
+                first = np.searchsorted(self.keys, dims * self.span + np.clip(bound - self.least, 0, self.span - 1)) - self.base[dims]
+                reach = np.where(up, n - first, first)
+                size = reach - done
+                if reach.sum() > len(members) * len(query) // WORTH:
+                    break  # the exact scores of all possible members cost less
+                start = self.base[dims] + np.where(up, n - reach, done)
+                at = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+                docs = self.postings[at]
+                gained += np.bincount(docs, np.repeat(w, size) * self.values[at] - np.repeat(least, size), minlength=n)
+                open_ -= np.bincount(docs, minlength=n)
+                done = reach
+                low = gained[others]
+                enough = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -1
+                # open postings gain less than t
+                members = others[low + open_[others] * max(0, t - 1) >= enough]
+            scores = (self.rows[members] @ query.astype(np.float64)).astype(np.int64)
         rank = np.lexsort((self.ids[members], -scores))[:k]
         return self.ids[members[rank]], scores[rank]
 
@@ -157,12 +167,22 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     index = stored(quantised(vectors, id_col, vector_col).mapInArrow(_blocks(SHARD), _BLOCK)
                    .withColumn("shard", F.monotonically_increasing_id()), "index")
     asked = quantised(vectors.where(is_query), id_col, vector_col).groupBy("id").agg(F.min("impacts").alias("impacts"))
-    # shards are dealt into groups of about eight; every block of queries goes to every group
-    groups = -(-index.count() // 8)
+    # Every block of queries meets every shard. Blocks of queries are dealt into
+    # groups, so that a shard is sent once for a few of them, and cells to as many
+    # places as there are shards and groups.
+    places, groups = max(1, index.count()), max(1, -(-asked.count() // (QUERIES * BLOCKS)))
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
     queries = asked.mapInArrow(_blocks(QUERIES), _BLOCK).select(
         "dims", F.col("ids").alias("q_ids"), F.col("impacts").alias("q_impacts"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(groups, 1) - 1).cast("long"))).alias("dealt"))
-    cells = index.withColumn("dealt", F.pmod(F.xxhash64("shard"), F.lit(max(groups, 1)).cast("long"))).join(queries, ["dims", "dealt"])
+        F.pmod(F.xxhash64("ids"), F.lit(groups).cast("long")).alias("part"), every(places).alias("place"))
+    # a fixed number of tasks: Spark would merge them by their bytes, but the work is in the cells
+    keys, tasks = ["dims", "place", "part"], min(places * groups, MAX_TASKS)
+    cells = (index.select("*", F.pmod(F.xxhash64("shard"), F.lit(places).cast("long")).alias("place"),
+                          every(groups).alias("part")).repartition(tasks, *keys)
+             .join(queries.repartition(tasks, *keys), keys))
     found = cells.select("dims", "shard", "ids", "impacts", "q_ids", "q_impacts").mapInArrow(
         _searched(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
