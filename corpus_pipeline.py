@@ -32,15 +32,16 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # rows that repeat an id and a text whole are one document
-    drop = (near_dup.near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct())
-    once = docs.dropDuplicates(["doc_id", "text"])
-    return once.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    drop = near_dup.near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct()
+    if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
+        # rows that repeat an id and a text whole are one document
+        docs = docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+    # a merge join whatever the sizes: a corpus has too many copies to broadcast their ids
+    return docs.hint("merge").join(drop, "doc_id", "left_anti").select(*docs.columns)
 
 
 def leaks_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaked = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

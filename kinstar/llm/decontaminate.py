@@ -23,6 +23,8 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,45 +104,39 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, words: int):
         yield held
 
 
-def _matcher(items: list[Item], threshold: float, seed: int):
-    lengths = np.array([len(w) for _, w in items])
-    # seeds of all items, sorted by hash; a short item is its own seed
-    parts = [window_hashes(w, min(seed, len(w))) for _, w in items]
-    seeds = np.concatenate(parts)
-    owners = np.repeat(np.arange(len(items)), [len(p) for p in parts])
-    order = np.argsort(seeds, kind="stable")
-    seeds, owners = seeds[order], owners[order]
-    sizes = sorted({min(seed, n) for n in lengths.tolist()})
-
-    def run(batches):
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for row, end, words in blocks(batch.column(1), lower=True, space=BARE):
-                near: dict[int, set[int]] = {}
-                for size in sizes:
-                    hashes = window_hashes(words.hashes, size)
-                    at = np.searchsorted(seeds, hashes)
-                    at[at == len(seeds)] = 0
-                    for p in np.flatnonzero(seeds[at] == hashes):
-                        d = int(np.searchsorted(words.first, p, side="right")) - 1
-                        if p + size <= words.first[d + 1]:
-                            last = int(np.searchsorted(seeds, hashes[p], side="right"))
-                            near.setdefault(d, set()).update(owners[at[p]:last].tolist())
-                for d, some in near.items():
-                    doc = words.hashes[words.first[d]:words.first[d + 1]]
-                    for i in sorted(some):
-                        key, item = items[i]
-                        marked = tiles(doc, item, min(seed, len(item)))
-                        covered = sum(n for _, _, n in marked)
-                        if covered >= threshold * len(item):
-                            for column, value in zip(out, (batch.column(0)[row + d].as_py(), key, len(item), covered, len(marked),
-                                                           [{"doc_start": a, "item_start": b, "length": n} for a, b, n in marked])):
-                                column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, [pa.int64()] * 5 + [pa.list_(pa.struct(
-                    [("doc_start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64())]))])],
-                names=["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "tiles"])
-    return run
+class Matcher:
+    """The seeds of a block of items, and the search for the items in texts."""
+
+    def __init__(self, items: list[Item], threshold: float, seed: int):
+        self.items, self.threshold, self.seed = items, threshold, seed
+        # seeds of all items, sorted by hash; a short item is its own seed
+        parts = [window_hashes(w, min(seed, len(w))) for _, w in items]
+        seeds = np.concatenate(parts)
+        owners = np.repeat(np.arange(len(items)), [len(p) for p in parts])
+        order = np.argsort(seeds, kind="stable")
+        self.seeds, self.owners = seeds[order], owners[order]
+        self.sizes = sorted({min(seed, len(w)) for _, w in items})
+
+    def leaks(self, texts: pa.Array) -> Iterator[tuple[int, int, int, list[tuple[int, int, int]]]]:
+        """(row, item id, words of the item, tiles) of every leak, by row."""
+        for row, end, words in blocks(texts, lower=True, space=BARE):
+            near: dict[int, set[int]] = {}
+            for size in self.sizes:
+                hashes = window_hashes(words.hashes, size)
+                at = np.searchsorted(self.seeds, hashes)
+                at[at == len(self.seeds)] = 0
+                for p in np.flatnonzero(self.seeds[at] == hashes):
+                    d = int(np.searchsorted(words.first, p, side="right")) - 1
+                    if p + size <= words.first[d + 1]:
+                        last = int(np.searchsorted(self.seeds, hashes[p], side="right"))
+                        near.setdefault(d, set()).update(self.owners[at[p]:last].tolist())
+            for d in sorted(near):
+                doc = words.hashes[words.first[d]:words.first[d + 1]]
+                for i in sorted(near[d]):
+                    key, item = self.items[i]
+                    marked = tiles(doc, item, min(self.seed, len(item)))
+                    if sum(n for _, _, n in marked) >= self.threshold * len(item):
+                        yield row + d, key, len(item), marked
 
 
 _LEAKS = ("doc_id long, item_id long, item_words long, covered_words long, n_tiles long, "
@@ -150,9 +146,42 @@ _LEAKS = ("doc_id long, item_id long, item_words long, covered_words long, n_til
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", threshold: float = 0.5, seed: int = SEED) -> DataFrame:
     """One row per document and benchmark item whose words the document's tiles cover by the threshold."""
+    def listed(matcher: Matcher):
+        def run(batches):
+            for batch in batches:
+                out: list[list] = [[], [], [], [], [], []]
+                for row, key, n, marked in matcher.leaks(batch.column(1)):
+                    for column, value in zip(out, (
+                            batch.column(0)[row].as_py(), key, n, sum(m[2] for m in marked), len(marked),
+                            [{"doc_start": a, "item_start": b, "length": m} for a, b, m in marked])):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(out, [pa.int64()] * 5 + [pa.list_(pa.struct(
+                        [("doc_start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64())]))])],
+                    names=["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "tiles"])
+        return run
+
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for items in _items(benchmark, item_col, item_text_col, ITEM_WORDS):
-        part = texts.mapInArrow(_matcher(items, threshold, seed), _LEAKS)
+        part = texts.mapInArrow(listed(Matcher(items, threshold, seed)), _LEAKS)
         found = part if found is None else found.union(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], _LEAKS)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", threshold: float = 0.5, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` that leak no item: a filter while reading, without a join."""
+    place = docs.columns.index(text_col)
+
+    def clean(matcher: Matcher):
+        def run(batches):
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                keep[[row for row, *_ in matcher.leaks(batch.column(place))]] = False
+                yield batch.filter(pa.array(keep))
+        return run
+
+    for items in _items(benchmark, item_col, item_text_col, ITEM_WORDS):
+        docs = docs.mapInArrow(clean(Matcher(items, threshold, seed)), docs.schema)
+    return docs

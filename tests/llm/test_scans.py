@@ -193,11 +193,13 @@ def test_reordered_and_partial_items_are_leaks(spark):
             (4, prose(rng, 80)), (5, items[1][1].upper().replace(" ", ", ")), (None, items[2][1]), (6, None),
             (7, "a Three-word item."), (8, items[3][1] + " " + items[4][1])]
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", documents(spark).limit(0).schema and __import__("pyspark.sql.functions", fromlist=["lit"]).lit("y"))
+    df = spark.createDataFrame([(*d, "y") for d in docs], "doc_id long, text string, item_id string")
     want = [(1, 0), (3, 0), (5, 1), (None, 2), (7, 6), (8, 3), (8, 4)]
     for held in (2_000_000, 45):  # in one block, and item by item
         old, decontaminate.ITEM_WORDS = decontaminate.ITEM_WORDS, held
         got = decontaminate.leaks(df, bench).collect()
+        left = decontaminate.without_leaks(df, bench)
+        assert sorted((r.doc_id for r in left.collect())) == [2, 4, 6] and left.schema == df.schema
         decontaminate.ITEM_WORDS = old
         assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted(want, key=str)
     assert [r.n_tiles for r in got if r.doc_id == 1] == [2]
