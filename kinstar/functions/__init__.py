@@ -12,7 +12,6 @@ from kinstar.functions.columns import (  # noqa: F401
     lit_date,
     marriage_end_reason,
     marriage_outcome,
-    null_safe_match,
     sibling_role_code,
     spouse_role_code,
     upper_code,

@@ -7,7 +7,6 @@ codegen; nothing here runs Python per row.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,19 +45,8 @@ def attr_hash(*cols: ColumnLike) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def null_safe_match(left: str, right: str, keys: Sequence[str],
-                    null_safe: Iterable[str] = ()) -> Column:
-    """Join condition over aliased frames; ``null_safe`` keys use ``<=>``."""
-    ns = set(null_safe)
-    cond = None
-    for k in keys:
-        lc, rc = F.col(f"{left}.{k}"), F.col(f"{right}.{k}")
-        term = lc.eqNullSafe(rc) if k in ns else (lc == rc)
-        cond = term if cond is None else cond & term
-    return cond
-
-
 # --- kinship codes ---------------------------------------------------------------
+# The codes and labels below are part of the data model.
 
 def spouse_role_code(role: ColumnLike) -> Column:
     """HUSBAND -> SPOUSE_HUSBAND, WIFE -> SPOUSE_WIFE, anything else (NONE,
@@ -85,7 +73,7 @@ def sibling_role_code(shared_parents: ColumnLike) -> Column:
 
 def later_of(a: ColumnLike, b: ColumnLike) -> Column:
     """The later of two dates, or whichever one is not NULL."""
-    return F.coalesce(F.greatest(col(a), col(b)), col(a), col(b))
+    return F.greatest(col(a), col(b))  # skips NULLs
 
 
 def marriage_outcome(end_reason: ColumnLike, husband_death: ColumnLike,

@@ -54,4 +54,4 @@ def update_properties(nodes: DataFrame, changes: DataFrame, key: str) -> DataFra
 def delete_edges(edges: DataFrame, to_delete: DataFrame,
                  keys: Sequence[str] = ("person_id", "family_id", "relationship_type")) -> DataFrame:
     """Remove the matched edges only."""
-    return edges.join(to_delete.select(*keys).distinct(), list(keys), "left_anti")
+    return edges.join(to_delete.select(*keys), list(keys), "left_anti")

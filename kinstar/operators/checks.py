@@ -24,9 +24,10 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def key_summary(df: DataFrame, table: str, key: Sequence[str],
-                not_null: Sequence[str] = ()) -> DataFrame:
+                not_null: Sequence[str] = (), nullable: Sequence[str] = ()) -> DataFrame:
     """One row: table, key, rows, distinct keys, NULL keys, duplicated keys,
-    NULLs in NOT NULL columns. Two aggregation levels, no join."""
+    NULLs in NOT NULL columns. Two aggregation levels, no join. ``nullable``
+    parts of the key may be NULL, and NULLs count as equal."""
     key = list(key)
     violation = F.lit(False)
     for c in not_null:
@@ -34,7 +35,7 @@ def key_summary(df: DataFrame, table: str, key: Sequence[str],
     per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"),
                                    F.count_if(violation).alias("_nn"))
     null_key = F.lit(False)
-    for k in key:
+    for k in [k for k in key if k not in nullable]:
         null_key = null_key | F.col(k).isNull()
     return per_key.agg(
         F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("key_columns"),
@@ -45,6 +46,17 @@ def key_summary(df: DataFrame, table: str, key: Sequence[str],
         F.coalesce(F.sum("_nn"), F.lit(0)).cast("long").alias("n_not_null_violations"))
 
 
+def null_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """A row like ``key_summary``'s for NOT NULL columns that are no key: one pass."""
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    return df.agg(F.lit(table).alias("table_name"), F.lit(",".join(columns)).alias("key_columns"),
+                  F.count(F.lit(1)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+                  F.lit(0).cast("long").alias("n_null_keys"), F.lit(0).cast("long").alias("n_duplicate_keys"),
+                  F.count_if(missing).cast("long").alias("n_not_null_violations"))
+
+
 def assert_valid(summary: DataFrame) -> None:
     """Fail the run when any check in a ``key_summary`` union has violations."""
     bad = summary.where((F.col("n_null_keys") > 0) | (F.col("n_duplicate_keys") > 0)

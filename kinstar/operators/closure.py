@@ -1,69 +1,56 @@
 """Recursive closure over an edge table.
 
-Semantics of a recursive UNION ALL: one output row per *path*. Level 0 is
-the base; level d+1 joins level d's frontier to the step edges. There is no
-cycle guard and no depth cap in the semantics; a cycle would recurse
-forever, so ``max_depth`` stops the loop by raising (never by truncating).
-
-Plan: one join per generation. Each level is checkpointed (reliable, in the
-session's checkpoint folder), which cuts lineage and survives executor
-loss; the only value that reaches the driver is "is the new frontier
-empty". The step edges are checkpointed once and reused by every level. A
-hot node (one ancestor shared by a third of all paths) is a skewed key on
-the frontier side only; AQE's skew-join split handles it, because the edge
-side holds a handful of rows per key.
+Semantics of a recursive UNION ALL: one output row per *path*, without a depth
+limit. Level 0 is the base; level d+1 joins level d's frontier to the step
+edges. On a cycle the recursion would never end, so a cycle is an error, found
+exactly: if every node with an edge is also a root (``root_col`` of some base
+row), a cycle brings some root back to itself, and without a cycle no level
+ever holds a node that equals its root.
+
+Plan: one join per generation. A level carries only the root, the node, the
+depth and what ``next_values`` computes; callers attach further attributes once,
+after the loop. Each level is a Parquet table in the shared checkpoint folder,
+which cuts lineage and survives executor loss; the only values that reach the
+driver are "is the new frontier empty" and "is a root its own ancestor". A hot
+node (one ancestor shared by a third of all paths) is a skewed key on the
+frontier side only; AQE's skew-join split handles it, because the edge side
+holds a handful of rows per key and both sides are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinstar.session import materialize
 
 
-class RecursionLimitExceeded(RuntimeError):
-    """The closure was still growing after ``max_depth`` levels (a cycle?)."""
+class CycleError(RuntimeError):
+    """A node is its own ancestor, so the closure would not end."""
 
 
-def closure(base: DataFrame, edges: DataFrame, node_col: str, from_col: str, to_col: str,
-            carry: Sequence[str], next_values: dict[str, Column],
-            depth_col: str = "depth", max_depth: int = 1000) -> DataFrame:
+def closure(base: DataFrame, edges: DataFrame, root_col: str, node_col: str, from_col: str,
+            to_col: str, next_values: dict[str, Column], depth_col: str = "depth") -> DataFrame:
     """Union of all levels.
 
-    ``base`` has ``node_col``, ``depth_col`` (= 0) and the ``carry`` columns
-    copied unchanged from level to level. ``edges`` has ``from_col``,
-    ``to_col`` and whatever ``next_values`` reads. ``next_values`` gives the
-    remaining columns of level d+1 as expressions over the frontier (alias
-    ``f``) and the edge (alias ``e``).
+    ``base`` has ``root_col``, ``node_col``, ``depth_col`` (= 0) and the columns
+    of ``next_values``, which gives those of level d+1 as expressions over the
+    frontier (alias ``f``) and the edge (alias ``e``).
     """
-    # Checkpointed, not stored bucketed: a bucketed side would spare one
-    # shuffle of the (small) edges per level, but AQE can split a skewed
-    # join only when both sides are shuffles, and the frontier can be
-    # heavily skewed (one ancestor shared by a third of all paths).
-    step = materialize(edges)
-    level = materialize(base)
-    levels = [level]
-    depth = 0
+    step = materialize(edges, "closure-edges")
+    level = materialize(base, "closure-level")
+    out = level
     while True:
         nxt = level.alias("f").join(step.alias("e"), F.col(f"f.{node_col}") == F.col(f"e.{from_col}"))
-        nxt = nxt.select(
-            *[F.col(f"f.{c}").alias(c) for c in carry],
+        level = materialize(nxt.select(
+            F.col(f"f.{root_col}").alias(root_col),
             F.col(f"e.{to_col}").alias(node_col),
             (F.col(f"f.{depth_col}") + 1).alias(depth_col),
             *[v.alias(k) for k, v in next_values.items()],
-        ).select(*base.columns)
-        nxt = materialize(nxt)
-        if nxt.isEmpty():
-            break
-        depth += 1
-        if depth > max_depth:
-            raise RecursionLimitExceeded(f"closure still growing after {max_depth} levels")
-        levels.append(nxt)
-        level = nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+        ).select(*base.columns), "closure-level")
+        if level.isEmpty():
+            return out
+        looped = level.where(F.col(root_col) == F.col(node_col)).select(root_col).first()
+        if looped is not None:
+            raise CycleError(f"{looped[0]!r} is its own ancestor")
+        out = out.unionByName(level)

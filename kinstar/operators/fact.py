@@ -3,8 +3,9 @@
 The fact's natural key is the 6-column edge key (source, target, role code,
 start, end, reason); the last three compare null-safely. Given the distinct
 edges of the current snapshot, each flagged with whether the dimension
-lookups succeeded (``_enriched``), one null-safe FULL OUTER JOIN classifies
-every row:
+lookups succeeded (``_enriched``), the existing rows come from ``fact LEFT JOIN
+edges`` and the inserted ones from ``enriched edges LEFT ANTI JOIN fact``, both
+on the null-safe key:
 
 ======================  ===========================  =========================
 fact row                edge                          result
@@ -19,6 +20,10 @@ absent                  present, enriched             inserted with a new key
 absent                  present, not enriched         nothing
 ======================  ===========================  =========================
 
+The run's edges are written once, as a table of the run, because both joins
+read them. The stored fact, bucketed by a hash of the key, is neither shuffled
+nor copied; only the inserted rows are numbered.
+
 So an edge whose endpoint has no current dimension row is neither inserted
 nor soft-deleted, and a revived row keeps its first_seen run.
 """
@@ -87,14 +92,13 @@ def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
         fc, ec = F.col(KEY_IN_FACT[k]), F.col(f"_e_{k}")
         term = fc.eqNullSafe(ec) if k in EDGE_NULLABLE_KEY else fc == ec
         cond = term if cond is None else cond & term
-    # The classified join feeds two outputs (updated rows, keyed inserts);
-    # checkpoint it once instead of deriving the edges twice.
-    j = materialize(fact.join(e, cond, "full_outer"))
+    e = materialize(e, "edges")
+    j = fact.join(e, cond, "left")
 
-    in_fact, in_edge = F.col("relationship_sk").isNotNull(), F.col("_e_in").isNotNull()
+    in_edge = F.col("_e_in").isNotNull()
     enriched = F.coalesce(F.col("_e__enriched"), F.lit(False))
-    touched = in_fact & in_edge & enriched
-    soft_deleted = in_fact & ~in_edge & ~F.col("is_deleted")
+    touched = in_edge & enriched
+    soft_deleted = ~in_edge & ~F.col("is_deleted")
 
     def pick(c: str) -> F.Column:
         if c in REFRESHED:
@@ -112,9 +116,9 @@ def merge_fact(fact: DataFrame | None, flagged_edges: DataFrame, run_id: str,
         return F.col(c)
 
     out_cols = FACT_COLUMNS + ([EDGE_HASH] if hashed_key else [])
-    existing = j.where(in_fact).select(*[pick(c).alias(c) for c in out_cols])
+    existing = j.select(*[pick(c).alias(c) for c in out_cols])
 
-    inserts = j.where(~in_fact & in_edge & enriched).select(
+    inserts = e.where("_e__enriched").join(fact, cond, "left_anti").select(
         *[F.col(f"_e_{c}").alias(c) for c in REFRESHED],
         *[F.col(f"_e_{k}").alias(KEY_IN_FACT[k]) for k in EDGE_KEY],
         run.alias("first_seen_run_id"), run.alias("last_seen_run_id"),

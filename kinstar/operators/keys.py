@@ -5,8 +5,9 @@ Keys are dense and increasing in the order of a natural key, starting after
 would give, but computed without funnelling the data through one task:
 
 1. range-partition on the natural key and sort inside each partition;
-2. checkpoint (reliable), so both passes below see identical partitions
-   even if an executor is lost and a partition is recomputed;
+2. write the rows with their partition number and position to a table in the
+   shared checkpoint folder, so that both passes below see the same numbers
+   even if an executor is lost;
 3. count rows per partition (one row per partition, a bounded table) and
    turn the counts into exclusive prefix offsets;
 4. key = start + offset[partition] + position within the partition + 1.
@@ -44,12 +45,10 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[str | Column], sk_col:
     # gets as many as its bytes need).
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
-    ranged = materialize(ranged.sortWithinPartitions(*order))
-    # Both columns are taken straight off the checkpointed scan, so the
-    # partition index is that of the range partition.
-    pos = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                        F.monotonically_increasing_id().alias("_mid"))
-    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
+    # Both columns are computed by the task that sorts the range partition.
+    pos = materialize(ranged.sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")), "keys")
+    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: a bounded table, so a single-partition window
     # and a broadcast are safe at any data size.
     offsets = counts.select(

@@ -36,7 +36,7 @@ from kinstar.functions.columns import (
     upper_code,
 )
 from kinstar.schemas import EDGE_KEY
-from kinstar.session import materialize
+from kinstar.session import materialize, small
 
 
 def _null_date():
@@ -248,7 +248,7 @@ def derive_edges(person: DataFrame, family: DataFrame, relation: DataFrame,
 
     With ``share`` the two intermediates read by several branches - the
     spouse memberships (pairs, hot-group counts, parent x child) and
-    parent x child (PARENT, CHILD, parent-child map) - are checkpointed
+    parent x child (PARENT, CHILD, parent-child map) - are written
     once, instead of each branch re-reading, re-sorting and re-joining
     their shuffle output.
     """
@@ -280,11 +280,10 @@ def enrich_edges(edges: DataFrame, dim_person: DataFrame, dim_role: DataFrame,
                      F.col("person_sk").alias("source_person_sk"))
     tgt = cur.select(F.col("person_id").alias("target_person_id"),
                      F.col("person_sk").alias("target_person_sk"))
-    role = F.broadcast(dim_role.select(
-        F.col("relationship_role_code"), "relationship_role_sk"))
-    # 1900-2100 is a fixed 73,414-row calendar (~1 MB as date -> key):
-    # a bounded broadcast whatever the size of the data.
-    dates = F.broadcast(dim_date.select("full_date", "date_sk"))
+    # Seven roles and a calendar of 73,414 days as a rule; both are counted, and
+    # shuffled if a caller passes more than a broadcast may hold.
+    role = small(dim_role.select(F.col("relationship_role_code"), "relationship_role_sk"))
+    dates = small(dim_date.select("full_date", "date_sk"))
     how = "left" if keep_unmatched else "inner"
     out = (edges.join(src, "source_person_id", how)
            .join(tgt, "target_person_id", how)

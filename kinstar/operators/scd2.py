@@ -1,15 +1,20 @@
 """Slowly changing (type 2) dimension merge (M2).
 
-One pass: ``current versions FULL OUTER JOIN snapshot`` on the business key,
-classified per key:
-
-* in both, same hash      -> current row kept as is
-* in both, hash differs   -> current row expired (is_current = FALSE,
-                             valid_to = run) and a new version inserted
-* only in the dimension   -> deleted (is_current = FALSE, is_deleted = TRUE,
+A current version whose key and hash are in the snapshot is the *same*; all
+else follows from that by semi- and anti-joins of the current versions with
+the snapshot's (key, hash):
+
+* current, same           -> kept as is
+* current, key in the snapshot with another hash
+                          -> expired (is_current = FALSE, valid_to = run)
+* current, key not in the snapshot
+                          -> deleted (is_current = FALSE, is_deleted = TRUE,
                              valid_to = run)
-* only in the snapshot    -> new version inserted (also for a key that
-                             returns after a deletion)
+* snapshot, not the same  -> new version inserted (a new or changed key, or
+                             one that returns after a deletion)
+
+The current versions, stored bucketed by the key, are never shuffled or
+copied; only snapshot rows move, and only the inserted ones are numbered.
 
 Expired history rows never change and are passed through untouched. New
 versions get surrogate keys after the current maximum, in business-key
@@ -26,7 +31,6 @@ from pyspark.sql import functions as F
 
 from kinstar.functions.columns import attr_hash
 from kinstar.operators.keys import next_key_base, with_surrogate_key
-from kinstar.session import materialize
 
 
 def dim_columns(key: str, tracked: Sequence[str], sk_col: str) -> list[str]:
@@ -63,22 +67,22 @@ def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.d
     """
     cols = dim_columns(key, tracked, sk_col)
     run = F.lit(run_id)
-    snap = snapshot.select(key, *[F.col(c).alias(f"_s_{c}") for c in tracked],
-                           attr_hash(*tracked).alias("_s_hash"), F.lit(True).alias("_s_in"))
-    # One full outer join feeds both outputs (old versions, keyed inserts).
-    j = materialize(current.join(snap, key, "full_outer"))
-
-    in_dim, in_snap = F.col(sk_col).isNotNull(), F.col("_s_in").isNotNull()
-    changed = in_dim & in_snap & ~F.col("attr_hash").eqNullSafe(F.col("_s_hash"))
-    deleted = in_dim & ~in_snap
-    closed = j.where(in_dim & (changed | deleted)).select(
+    snap = snapshot.select(key, *tracked, attr_hash(*tracked).alias("_s_hash"))
+    seen = snap.select(F.col(key).alias("_s_key"), "_s_hash")
+    same = (F.col(key) == F.col("_s_key")) & F.col("attr_hash").eqNullSafe(F.col("_s_hash"))
+
+    kept = current.join(seen, same, "left_semi").select(*cols)
+    left = current.join(seen, F.col(key) == F.col("_s_key"), "left").where(
+        F.col("_s_key").isNull() | ~F.col("attr_hash").eqNullSafe(F.col("_s_hash")))
+    closed = left.select(
         sk_col, key, *tracked, "attr_hash", "valid_from_run_id",
         run.alias("valid_to_run_id"), F.lit(False).alias("is_current"),
-        (F.col("is_deleted") | deleted).alias("is_deleted"), "created_at")
-    kept = j.where(in_dim & ~(changed | deleted)).select(*cols)
-    inserts = j.where(in_snap & (~in_dim | changed)).select(
-        key, *[F.col(f"_s_{c}").alias(c) for c in tracked],
-        F.col("_s_hash").alias("attr_hash"), run.alias("valid_from_run_id"),
+        (F.col("is_deleted") | F.col("_s_key").isNull()).alias("is_deleted"), "created_at")
+    had = current.select(F.col(key).alias("_c_key"), F.col("attr_hash").alias("_c_hash"))
+    fresh = snap.join(had, (F.col(key) == F.col("_c_key"))
+                      & F.col("_s_hash").eqNullSafe(F.col("_c_hash")), "left_anti")
+    inserts = fresh.select(
+        key, *tracked, F.col("_s_hash").alias("attr_hash"), run.alias("valid_from_run_id"),
         F.lit(None).cast("string").alias("valid_to_run_id"),
         F.lit(True).alias("is_current"), F.lit(False).alias("is_deleted"),
         F.lit(as_of).cast("timestamp_ntz").alias("created_at"))

@@ -1,10 +1,12 @@
 """Independent SQL formulations (DuckDB dialect) of the registered queries.
 
 Each query is assembled from named CTE blocks over the pre-registered
-``customer`` / ``orders`` / ``lineitem`` views. The blocks restate the
-semantics set-wise (joins, DISTINCT, GROUP BY, recursive CTE), without any
-of the Spark-side plan choices (blocking, broadcasting, full outer merges),
-so agreement is meaningful.
+``customer`` / ``orders`` / ``lineitem`` views. The blocks take another view of
+the semantics than the Spark operators, so agreement is meaningful: a family is
+one row with lists of its members, siblings are pairs of children whose parent
+sets intersect, the person dimension is cut from the sequence of each person's
+states over all runs, and a fact row is a fold over the runs in which its key
+was seen. Nothing is merged run by run.
 """
 
 from __future__ import annotations
@@ -75,7 +77,7 @@ def fixture(seq: int, content: int | None = None) -> list[str]:
     UNION ALL
     SELECT 'p' || CAST(c AS VARCHAR),
            CASE WHEN pf % 7 = 3 AND i % 4 = 2 THEN 'g' ELSE 'f' END
-             || CAST(CASE WHEN {k} = 2 AND i % 20 = 7 THEN 0 ELSE pf END AS VARCHAR),
+             || CAST(CASE WHEN {k} = 2 AND i % 20 = 7 THEN CAST(floor(i / 640) AS BIGINT) ELSE pf END AS VARCHAR),
            'CHILD_OF', CAST(NULL AS VARCHAR)
     FROM cust_{s} WHERE odd = 0 AND i >= 1
   ) r
@@ -85,72 +87,62 @@ def fixture(seq: int, content: int | None = None) -> list[str]:
 
 # --- kinship edges -------------------------------------------------------------------
 
+NO_END = "CAST(NULL AS DATE) AS end_date, CAST(NULL AS VARCHAR) AS end_reason"
+
+
 def kinship(s: int) -> list[str]:
-    """CTEs spouse_rel_s, spouse_edge_s, child_rel_s, pc_s, pc_edge_s, pcm_s,
-    sib_pair_s, sib_edge_s, edge_s (distinct edges of snapshot s)."""
+    """CTEs of the edges of snapshot s. A household is a family with the lists of
+    its spouses and children; parents_s holds each child's set of parents."""
     return [
-        f"""reln_{s} AS (
-  SELECT person_id, family_id, upper(relationship_type) AS rtype,
-         upper(coalesce(role, 'NONE')) AS role
-  FROM relation_{s})""",
+        f"""household_{s} AS (
+  SELECT f.*, h.spouses, h.children FROM family_{s} f JOIN (
+    SELECT family_id,
+           list({{'id': person_id, 'role': upper(coalesce(role, 'NONE'))}})
+             FILTER (WHERE upper(relationship_type) = 'SPOUSE_OF') AS spouses,
+           list(person_id) FILTER (WHERE upper(relationship_type) = 'CHILD_OF') AS children
+    FROM relation_{s} GROUP BY family_id) h USING (family_id))""",
         f"""spouse_rel_{s} AS (
-  SELECT r.person_id, r.family_id, r.role, f.marriage_date, f.divorce_date, f.status
-  FROM reln_{s} r JOIN family_{s} f ON f.family_id = r.family_id
-  WHERE r.rtype = 'SPOUSE_OF')""",
+  SELECT m.id AS person_id, family_id, m.role AS role, marriage_date, divorce_date, status
+  FROM (SELECT * EXCLUDE (spouses, children), unnest(spouses) AS m FROM household_{s}))""",
         f"""spouse_edge_{s} AS (
-  SELECT DISTINCT a.person_id AS source_person_id, b.person_id AS target_person_id,
-         CASE a.role WHEN 'HUSBAND' THEN 'SPOUSE_HUSBAND' WHEN 'WIFE' THEN 'SPOUSE_WIFE'
-                     ELSE 'SPOUSE_PARTNER' END AS relationship_role_code,
-         a.marriage_date AS start_date, a.divorce_date AS end_date,
-         CASE WHEN a.divorce_date IS NOT NULL THEN 'DIVORCE'
-              WHEN upper(coalesce(a.status, '')) IN ('DIVORCED', 'ENDED') THEN 'STATUS_ENDED'
-         END AS end_reason
-  FROM spouse_rel_{s} a JOIN spouse_rel_{s} b
-    ON a.family_id = b.family_id AND a.person_id <> b.person_id)""",
-        f"""child_rel_{s} AS (
-  SELECT r.person_id AS child_id, r.family_id, p.birth_date AS child_birth_date
-  FROM reln_{s} r LEFT JOIN person_{s} p ON p.person_id = r.person_id
-  WHERE r.rtype = 'CHILD_OF')""",
-        f"""pc_{s} AS (
-  SELECT sr.person_id AS parent_id, cr.child_id, sr.family_id, sr.marriage_date,
-         cr.child_birth_date
-  FROM spouse_rel_{s} sr JOIN child_rel_{s} cr ON cr.family_id = sr.family_id)""",
+  SELECT DISTINCT m.id AS source_person_id, o.id AS target_person_id,
+         coalesce(MAP {{'HUSBAND': 'SPOUSE_HUSBAND', 'WIFE': 'SPOUSE_WIFE'}}[m.role], 'SPOUSE_PARTNER')
+           AS relationship_role_code,
+         marriage_date AS start_date, divorce_date AS end_date,
+         CASE WHEN divorce_date IS NOT NULL THEN 'DIVORCE'
+              WHEN list_contains(['DIVORCED', 'ENDED'], upper(status)) THEN 'STATUS_ENDED' END AS end_reason
+  FROM (SELECT *, unnest(spouses) AS o FROM (SELECT *, unnest(spouses) AS m FROM household_{s}))
+  WHERE m.id <> o.id)""",
+        f"""pair_{s} AS (
+  SELECT m.id AS parent_id, x.child_id, marriage_date, p.birth_date AS born
+  FROM (SELECT marriage_date, m, unnest(children) AS child_id
+        FROM (SELECT *, unnest(spouses) AS m FROM household_{s})) x
+  LEFT JOIN person_{s} p ON p.person_id = x.child_id)""",
         f"""parent_edge_{s} AS (
-  SELECT DISTINCT parent_id AS source_person_id, child_id AS target_person_id,
-         'PARENT' AS relationship_role_code,
-         coalesce(marriage_date, child_birth_date) AS start_date,
-         CAST(NULL AS DATE) AS end_date, CAST(NULL AS VARCHAR) AS end_reason
-  FROM pc_{s})""",
+  SELECT parent_id AS source_person_id, child_id AS target_person_id, 'PARENT' AS relationship_role_code,
+         coalesce(marriage_date, born) AS start_date, {NO_END} FROM pair_{s} GROUP BY ALL)""",
         f"""child_edge_{s} AS (
-  SELECT DISTINCT child_id AS source_person_id, parent_id AS target_person_id,
-         'CHILD' AS relationship_role_code, child_birth_date AS start_date,
-         CAST(NULL AS DATE) AS end_date, CAST(NULL AS VARCHAR) AS end_reason
-  FROM pc_{s})""",
-        f"""pcm_{s} AS (SELECT DISTINCT parent_id, child_id FROM pc_{s})""",
+  SELECT child_id AS source_person_id, parent_id AS target_person_id, 'CHILD' AS relationship_role_code,
+         born AS start_date, {NO_END} FROM pair_{s} GROUP BY ALL)""",
+        f"""pcm_{s} AS (SELECT parent_id, child_id FROM pair_{s} GROUP BY ALL)""",
+        f"""parents_{s} AS (
+  SELECT child_id, any_value(born) AS born, list(DISTINCT parent_id) AS parents FROM pair_{s} GROUP BY child_id)""",
+        f"""brood_{s} AS (SELECT list(child_id) AS brood FROM pcm_{s} GROUP BY parent_id)""",
         f"""sib_pair_{s} AS (
-  SELECT x.child_id AS person_a, y.child_id AS person_b,
-         count(DISTINCT x.parent_id) AS shared_parent_count
-  FROM pcm_{s} x JOIN pcm_{s} y ON x.parent_id = y.parent_id AND x.child_id < y.child_id
-  GROUP BY x.child_id, y.child_id)""",
-        f"""sib_dated_{s} AS (
-  SELECT sp.person_a, sp.person_b, sp.shared_parent_count,
-         CASE WHEN sp.shared_parent_count >= 2 THEN 'SIBLING' ELSE 'HALF_SIBLING' END AS code,
-         coalesce(greatest(pa.birth_date, pb.birth_date), pa.birth_date, pb.birth_date) AS start_date
-  FROM sib_pair_{s} sp
-  LEFT JOIN person_{s} pa ON pa.person_id = sp.person_a
-  LEFT JOIN person_{s} pb ON pb.person_id = sp.person_b)""",
+  SELECT person_a, person_b, len(list_intersect(a.parents, b.parents)) AS shared_parent_count,
+         greatest(a.born, b.born) AS later
+  FROM (SELECT DISTINCT person_a, person_b
+        FROM (SELECT person_a, unnest(brood) AS person_b FROM (SELECT brood, unnest(brood) AS person_a FROM brood_{s}))
+        WHERE person_a < person_b)
+  JOIN parents_{s} a ON a.child_id = person_a JOIN parents_{s} b ON b.child_id = person_b)""",
         f"""sib_edge_{s} AS (
-  SELECT person_a AS source_person_id, person_b AS target_person_id,
-         code AS relationship_role_code, start_date,
-         CAST(NULL AS DATE) AS end_date, CAST(NULL AS VARCHAR) AS end_reason
-  FROM sib_dated_{s}
-  UNION ALL
-  SELECT person_b, person_a, code, start_date, CAST(NULL AS DATE), CAST(NULL AS VARCHAR)
-  FROM sib_dated_{s})""",
+  SELECT e[1] AS source_person_id, e[2] AS target_person_id,
+         ['HALF_SIBLING', 'SIBLING'][least(shared_parent_count, 2)] AS relationship_role_code,
+         later AS start_date, {NO_END}
+  FROM (SELECT *, unnest([[person_a, person_b], [person_b, person_a]]) AS e FROM sib_pair_{s}))""",
         f"""edge_{s} AS (
-  SELECT DISTINCT * FROM (
-    SELECT * FROM spouse_edge_{s} UNION ALL SELECT * FROM parent_edge_{s}
-    UNION ALL SELECT * FROM child_edge_{s} UNION ALL SELECT * FROM sib_edge_{s}) u)""",
+  SELECT * FROM spouse_edge_{s} UNION SELECT * FROM parent_edge_{s}
+  UNION SELECT * FROM child_edge_{s} UNION SELECT * FROM sib_edge_{s})""",
     ]
 
 
@@ -212,48 +204,40 @@ def md5_sql(alias: str = "") -> str:
     return "md5(" + " || '|' || ".join(parts) + ")"
 
 
-def dim_person_chain(seqs: list[int]) -> list[str]:
-    """CTEs dim_<s> for each run, applying person_<s> to the previous one."""
+def dimension(seqs: list[int]) -> list[str]:
+    """CTEs dim_<s>: the person dimension after run s of the runs ``seqs``.
+
+    A person's states over the runs (a hash, or NULL where absent) tell all:
+    a version begins in a run whose hash is not that of the run before, and
+    ends in the next run with another state, which deletes it if absent.
+    """
     cols = ", ".join(PERSON_COLS)
-    ctes = [f"""dim_0 AS (
-  SELECT CAST(NULL AS BIGINT) AS person_sk, CAST(NULL AS VARCHAR) AS person_id,
-         {", ".join(f"CAST(NULL AS {'DATE' if c.endswith('_date') else 'VARCHAR'}) AS {c}" for c in PERSON_COLS)},
-         CAST(NULL AS VARCHAR) AS attr_hash, CAST(NULL AS VARCHAR) AS valid_from_run_id,
-         CAST(NULL AS VARCHAR) AS valid_to_run_id, CAST(NULL AS BOOLEAN) AS is_current,
-         CAST(NULL AS BOOLEAN) AS is_deleted
-  WHERE 1 = 0)"""]
-    prev = "dim_0"
-    for s in seqs:
-        run = f"'r{s}'"
-        ctes += [
-            f"""hs_{s} AS (SELECT person_id, {cols}, {md5_sql()} AS attr_hash FROM person_{s})""",
-            f"""exp_{s} AS (
-  SELECT d.person_sk FROM {prev} d JOIN hs_{s} s ON s.person_id = d.person_id
-  WHERE d.is_current AND d.attr_hash IS DISTINCT FROM s.attr_hash)""",
-            f"""gone_{s} AS (
-  SELECT d.person_sk FROM {prev} d
-  WHERE d.is_current AND NOT EXISTS (SELECT 1 FROM hs_{s} s WHERE s.person_id = d.person_id))""",
-            f"""ins_{s} AS (
-  SELECT s.* FROM hs_{s} s LEFT JOIN {prev} d ON d.person_id = s.person_id AND d.is_current
-  WHERE d.person_id IS NULL OR d.attr_hash IS DISTINCT FROM s.attr_hash)""",
-            f"""dim_{s} AS (
-  SELECT person_sk, person_id, {cols}, attr_hash, valid_from_run_id,
-         CASE WHEN person_sk IN (SELECT person_sk FROM exp_{s})
-                OR person_sk IN (SELECT person_sk FROM gone_{s}) THEN {run}
-              ELSE valid_to_run_id END AS valid_to_run_id,
-         CASE WHEN person_sk IN (SELECT person_sk FROM exp_{s})
-                OR person_sk IN (SELECT person_sk FROM gone_{s}) THEN FALSE
-              ELSE is_current END AS is_current,
-         CASE WHEN person_sk IN (SELECT person_sk FROM gone_{s}) THEN TRUE
-              ELSE is_deleted END AS is_deleted
-  FROM {prev}
-  UNION ALL
-  SELECT (SELECT coalesce(max(person_sk), 0) FROM {prev})
-           + row_number() OVER (ORDER BY person_id),
-         person_id, {cols}, attr_hash, {run}, CAST(NULL AS VARCHAR), TRUE, FALSE
-  FROM ins_{s})""",
-        ]
-        prev = f"dim_{s}"
+    seen = "\n    UNION ALL ".join(f"SELECT {n} AS n, *, {md5_sql()} AS attr_hash FROM person_{s}" for n, s in enumerate(seqs, 1))
+    ctes = [
+        f"""seen AS (
+    {seen})""",
+        f"""states AS (
+  SELECT p.person_id, r.n, s.attr_hash,
+         lag(s.attr_hash) OVER (PARTITION BY p.person_id ORDER BY r.n) AS before
+  FROM (SELECT DISTINCT person_id FROM seen) p
+  CROSS JOIN (SELECT unnest(range(1, {len(seqs) + 1})) AS n) r
+  LEFT JOIN seen s ON s.person_id = p.person_id AND s.n = r.n)""",
+        f"""versions AS (
+  SELECT row_number() OVER (ORDER BY b.n, b.person_id) AS person_sk, b.person_id, b.n AS begins,
+         e.n AS ends, e.attr_hash IS NULL AS ends_absent
+  FROM states b
+  LEFT JOIN states e ON e.person_id = b.person_id AND e.n > b.n AND e.attr_hash IS DISTINCT FROM e.before
+    AND NOT EXISTS (SELECT 1 FROM states x WHERE x.person_id = b.person_id AND x.n > b.n AND x.n < e.n
+                    AND x.attr_hash IS DISTINCT FROM x.before)
+  WHERE b.attr_hash IS NOT NULL AND b.attr_hash IS DISTINCT FROM b.before)""",
+    ]
+    name = "[" + ", ".join(f"'r{s}'" for s in seqs) + "]"
+    for n, s in enumerate(seqs, 1):
+        ctes.append(f"""dim_{s} AS (
+  SELECT v.person_sk, v.person_id, {cols}, attr_hash, {name}[v.begins] AS valid_from_run_id,
+         CASE WHEN v.ends <= {n} THEN {name}[v.ends] END AS valid_to_run_id,
+         coalesce(v.ends > {n}, TRUE) AS is_current, coalesce(v.ends <= {n} AND v.ends_absent, FALSE) AS is_deleted
+  FROM versions v JOIN seen s ON s.person_id = v.person_id AND s.n = v.begins WHERE v.begins <= {n})""")
     return ctes
 
 
@@ -261,29 +245,21 @@ EDGE_COLS = ["source_person_id", "target_person_id", "relationship_role_code", "
              "end_date", "end_reason"]
 
 
-def _edge_match(f: str, e: str, f_code: str = "source_relationship_role_code") -> str:
-    return (f"{f}.source_person_id = {e}.source_person_id "
-            f"AND {f}.target_person_id = {e}.target_person_id "
-            f"AND {f}.{f_code} = {e}.relationship_role_code "
-            f"AND {f}.start_date IS NOT DISTINCT FROM {e}.start_date "
-            f"AND {f}.end_date IS NOT DISTINCT FROM {e}.end_date "
-            f"AND {f}.end_reason IS NOT DISTINCT FROM {e}.end_reason")
-
-
-def enriched(s: int) -> str:
-    return f"""enr_{s} AS (
-  SELECT sp.person_sk AS source_person_sk, tp.person_sk AS target_person_sk,
-         r.relationship_role_sk, ds.date_sk AS start_date_sk, de.date_sk AS end_date_sk,
-         e.source_person_id, e.target_person_id, e.relationship_role_code,
-         e.start_date, e.end_date, e.end_reason
-  FROM edge_{s} e
-  JOIN dim_{s} sp ON sp.person_id = e.source_person_id AND sp.is_current
-  JOIN dim_{s} tp ON tp.person_id = e.target_person_id AND tp.is_current
-  JOIN dim_role r ON r.relationship_role_code = e.relationship_role_code
-  LEFT JOIN dim_date ds ON ds.full_date = e.start_date
-  LEFT JOIN dim_date de ON de.full_date = e.end_date)"""
+def keyed(s: int) -> str:
+    """All edges of run s with their dimension keys; ``hit`` if all three are found."""
+    return f"""keyed_{s} AS (
+  WITH who AS (SELECT person_id, person_sk FROM dim_{s} WHERE valid_to_run_id IS NULL),
+  code AS (SELECT relationship_role_code, relationship_role_sk FROM dim_role),
+  day AS (SELECT full_date, date_sk FROM dim_date)
+  SELECT edge_{s}.*, x.person_sk AS source_person_sk, y.person_sk AS target_person_sk, relationship_role_sk,
+         b.date_sk AS start_date_sk, z.date_sk AS end_date_sk,
+         x.person_sk + y.person_sk + relationship_role_sk IS NOT NULL AS hit
+  FROM edge_{s} LEFT JOIN code USING (relationship_role_code)
+  LEFT JOIN who x ON x.person_id = source_person_id LEFT JOIN who y ON y.person_id = target_person_id
+  LEFT JOIN day b ON b.full_date = start_date LEFT JOIN day z ON z.full_date = end_date)"""
 
 
+KEYS = ["source_person_sk", "target_person_sk", "relationship_role_sk", "start_date_sk", "end_date_sk"]
 FACT_OUT = ["relationship_sk", "source_person_sk", "target_person_sk", "relationship_role_sk",
             "start_date_sk", "end_date_sk", "source_person_id", "target_person_id",
             "source_relationship_role_code", "start_date", "end_date", "end_reason",
@@ -291,68 +267,43 @@ FACT_OUT = ["relationship_sk", "source_person_sk", "target_person_sk", "relation
             "relation_count"]
 
 
-def fact_chain(seqs: list[int]) -> list[str]:
-    """CTEs fact_<s>: the fact after each run (audit timestamps left out)."""
-    ctes = [f"""fact_0 AS (
-  SELECT CAST(NULL AS BIGINT) AS relationship_sk, CAST(NULL AS BIGINT) AS source_person_sk,
-         CAST(NULL AS BIGINT) AS target_person_sk, CAST(NULL AS BIGINT) AS relationship_role_sk,
-         CAST(NULL AS INTEGER) AS start_date_sk, CAST(NULL AS INTEGER) AS end_date_sk,
-         CAST(NULL AS VARCHAR) AS source_person_id, CAST(NULL AS VARCHAR) AS target_person_id,
-         CAST(NULL AS VARCHAR) AS source_relationship_role_code, CAST(NULL AS DATE) AS start_date,
-         CAST(NULL AS DATE) AS end_date, CAST(NULL AS VARCHAR) AS end_reason,
-         CAST(NULL AS VARCHAR) AS first_seen_run_id, CAST(NULL AS VARCHAR) AS last_seen_run_id,
-         CAST(NULL AS BOOLEAN) AS is_deleted, CAST(NULL AS VARCHAR) AS deleted_at_run_id,
-         CAST(NULL AS INTEGER) AS relation_count
-  WHERE 1 = 0)""", dim_role(), dim_date()]
-    prev = "fact_0"
-    for s in seqs:
-        run = f"'r{s}'"
-        ctes += [
-            enriched(s),
-            f"""newf_{s} AS (
-  SELECT e.* FROM enr_{s} e
-  WHERE NOT EXISTS (SELECT 1 FROM {prev} f WHERE {_edge_match('f', 'e')}))""",
-            f"""fact_{s} AS (
-  SELECT f.relationship_sk,
-         CASE WHEN e.hit THEN e.source_person_sk ELSE f.source_person_sk END AS source_person_sk,
-         CASE WHEN e.hit THEN e.target_person_sk ELSE f.target_person_sk END AS target_person_sk,
-         CASE WHEN e.hit THEN e.relationship_role_sk ELSE f.relationship_role_sk END
-           AS relationship_role_sk,
-         CASE WHEN e.hit THEN e.start_date_sk ELSE f.start_date_sk END AS start_date_sk,
-         CASE WHEN e.hit THEN e.end_date_sk ELSE f.end_date_sk END AS end_date_sk,
-         f.source_person_id, f.target_person_id, f.source_relationship_role_code,
-         f.start_date, f.end_date, f.end_reason, f.first_seen_run_id,
-         CASE WHEN e.hit THEN {run} ELSE f.last_seen_run_id END AS last_seen_run_id,
-         CASE WHEN e.hit THEN FALSE
-              WHEN NOT f.is_deleted AND NOT EXISTS (
-                SELECT 1 FROM edge_{s} d WHERE {_edge_match('f', 'd')}) THEN TRUE
-              ELSE f.is_deleted END AS is_deleted,
-         CASE WHEN e.hit THEN CAST(NULL AS VARCHAR)
-              WHEN NOT f.is_deleted AND NOT EXISTS (
-                SELECT 1 FROM edge_{s} d WHERE {_edge_match('f', 'd')}) THEN {run}
-              ELSE f.deleted_at_run_id END AS deleted_at_run_id,
-         f.relation_count
-  FROM {prev} f LEFT JOIN (SELECT *, TRUE AS hit FROM enr_{s}) e ON {_edge_match('f', 'e')}
-  UNION ALL
-  SELECT (SELECT coalesce(max(relationship_sk), 0) FROM {prev})
-           + row_number() OVER (ORDER BY source_person_id NULLS FIRST,
-               target_person_id NULLS FIRST, relationship_role_code NULLS FIRST,
-               start_date NULLS FIRST, end_date NULLS FIRST, end_reason NULLS FIRST),
-         source_person_sk, target_person_sk, relationship_role_sk, start_date_sk, end_date_sk,
-         source_person_id, target_person_id, relationship_role_code, start_date, end_date,
-         end_reason, {run}, {run}, FALSE, CAST(NULL AS VARCHAR), 1
-  FROM newf_{s})""",
-        ]
-        prev = f"fact_{s}"
+def facts(seqs: list[int]) -> list[str]:
+    """CTEs fact_<s>: the fact after run s (audit timestamps left out), folded per
+    key over the runs: ``first`` and ``last`` are the runs in which the edge could
+    be keyed, ``runs`` all in which it was derived. It is deleted by the first run
+    after ``last`` that did not derive it."""
+    name = "[" + ", ".join(f"'r{s}'" for s in seqs) + "]"
+    key = ", ".join(EDGE_COLS)
+    ctes = [dim_role(), dim_date(), *[keyed(s) for s in seqs]]
+    rows = []
+    for n, s in enumerate(seqs, 1):
+        rows.append(f"SELECT {n} AS n, * FROM keyed_{s}")
+        ctes.append(f"""fact_{s} AS (
+  SELECT row_number() OVER (ORDER BY first, {", ".join(f"{c} NULLS FIRST" for c in EDGE_COLS)}) AS relationship_sk,
+         {", ".join(f"held.{c}" for c in KEYS)}, source_person_id, target_person_id,
+         relationship_role_code AS source_relationship_role_code, start_date, end_date, end_reason,
+         {name}[first] AS first_seen_run_id, {name}[last] AS last_seen_run_id,
+         gone IS NOT NULL AS is_deleted, {name}[gone] AS deleted_at_run_id, CAST(1 AS INTEGER) AS relation_count
+  FROM (
+    SELECT *, list_min(list_filter(range(last + 1, {n + 1}), lambda k: NOT list_contains(runs, k))) AS gone
+    FROM (
+      SELECT {key}, min(n) FILTER (WHERE hit) AS first, max(n) FILTER (WHERE hit) AS last, list(n) AS runs,
+             arg_max({{{", ".join(f"'{c}': {c}" for c in KEYS)}}}, n) FILTER (WHERE hit) AS held
+      FROM ({" UNION ALL ".join(rows)}) GROUP BY {key})
+    WHERE first IS NOT NULL))""")
     return ctes
 
 
-def state(seqs: list[int]) -> list[str]:
-    """Fixture, kinship, dimension and fact CTEs for runs ``seqs`` (run 3
-    replays run 1's content)."""
+def dims_only(seqs: list[int]) -> list[str]:
+    """Fixture, kinship and dimension CTEs for runs ``seqs`` (run 3 replays run 1)."""
     ctes: list[str] = []
     for s in seqs:
         ctes += fixture(s, 1 if s == 3 else s)
     for s in seqs:
         ctes += kinship(s)
-    return ctes + dim_person_chain(seqs) + fact_chain(seqs)
+    return ctes + dimension(seqs)
+
+
+def state(seqs: list[int]) -> list[str]:
+    """Fixture, kinship, dimension and fact CTEs for runs ``seqs``."""
+    return dims_only(seqs) + facts(seqs)

@@ -14,21 +14,22 @@
 
 Storage. Plain Parquet has no UPDATE/MERGE, so every merged table is written
 as a new version directory and only becomes visible through the commit log,
-which is written last. A run that fails before its commit leaves nothing
-visible and can be retried with the same run id (its extraction is not
-repeated). Versions are read back from storage before the next step uses
-them (no long lineage, safe under executor loss).
-
-* ``dim_person`` = append-only history parts (rows closed by a run; they
-  never change again) + one current version, so a run's cost does not grow
-  with accumulated history.
+which is written last. A run that fails leaves nothing visible and can be
+retried with the same run id, at whatever point it stopped: its staging rows
+are replaced, or kept once the run log has them. Versions are read back from
+storage before the next step uses them (no long lineage, safe under executor
+loss), and the run's intermediate tables are deleted when it ends.
+
+* ``dim_person`` = one table of closed versions, in a folder per closing run
+  (rows of committed runs count; they never change again), + one current
+  version, so a run's cost does not grow with accumulated history.
 * The current person versions are stored bucketed by ``person_id`` and the
-  fact bucketed by ``edge_key`` (a hash of its 6-column natural key), both
-  into ``buckets`` buckets. The next run's merges (SCD-2 on person_id, the
-  fact on edge_key - keys unique on both sides, so never skewed) then read
-  the stored side without shuffling it: only the new snapshot / the run's
-  edges move. The merged output stays partitioned by bucket (inserts are
-  hash-partitioned to match), so each task writes one file per version.
+  fact bucketed by ``edge_key`` (a hash of its 6-column natural key). The next
+  run's merges (SCD-2 on person_id, the fact on edge_key - keys unique on both
+  sides, so never skewed) then read the stored side without shuffling it: only
+  the new snapshot / the run's edges move. The number of buckets stays as it is
+  until the data need twice as many, and then doubles, so that each old bucket
+  splits into exactly two files; inserts are hash-partitioned to match.
 """
 
 from __future__ import annotations
@@ -45,7 +46,8 @@ from pyspark.sql import types as T
 from kinstar.operators import checks, dims, kinship, scd2
 from kinstar.operators import fact as fact_ops
 from kinstar.operators.keys import next_key_base
-from kinstar.schemas import PERSON_TRACKED, TABLES
+from kinstar.schemas import EDGE_KEY, EDGE_NULLABLE_KEY, PERSON_TRACKED, TABLES
+from kinstar.session import delete_path, scratch_scope
 from kinstar.sources import store
 
 COMMITS = "_commits"
@@ -53,7 +55,8 @@ COMMIT_SCHEMA = ("commit_seq long, run_id string, table_name string, path string
                  "bucket_col string, num_buckets int, high_water long, "
                  "committed_at timestamp_ntz")
 # Stored layout of the logical tables.
-APPEND_ONLY = {"dim_person_history"}
+HISTORY = "dim_person_history"
+CLOSED_IN = "closed_in"  # partition column of the history: the closing run
 STORED = {
     "dim_person": ["dim_person_history", "dim_person_current"],
     "dim_relationship_role": ["dim_relationship_role"],
@@ -81,13 +84,17 @@ def _table_name(path: str) -> str:
     return "kinstar_" + hashlib.sha1(path.encode()).hexdigest()[:20]
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 @dataclass
 class Warehouse:
     """A warehouse rooted at a Hadoop-compatible path."""
 
     spark: SparkSession
     root: str
-    _versions: dict[str, list[Version]] | None = None
+    _versions: dict[str, Version] | None = None
 
     def _commits_path(self) -> str:
         return f"{self.root.rstrip('/')}/wh/{COMMITS}"
@@ -98,21 +105,13 @@ class Warehouse:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(path)
 
-    def latest_versions(self) -> dict[str, list[Version]]:
-        """stored table -> committed versions: the newest one, or every part
-        of an append-only table. Metadata only (one row per commit), read
-        once per Warehouse object."""
+    def latest_versions(self) -> dict[str, Version]:
+        """stored table -> its newest committed version: one row per table,
+        reduced by Spark, read once per Warehouse object."""
         if self._versions is None:
-            rows = self.commits().collect()
-            out: dict[str, list[tuple[int, Version]]] = {}
-            for r in rows:
-                out.setdefault(r["table_name"], []).append(
-                    (r["commit_seq"], Version(r["path"], r["bucket_col"], r["num_buckets"],
-                                              r["high_water"])))
-            self._versions = {
-                t: ([v for _, v in sorted(vs, key=lambda x: x[0])] if t in APPEND_ONLY
-                    else [max(vs, key=lambda x: x[0])[1]])
-                for t, vs in out.items()}
+            newest = self.commits().groupBy("table_name").agg(F.max_by(
+                F.struct("path", "bucket_col", "num_buckets", "high_water"), "commit_seq").alias("v"))
+            self._versions = {r["table_name"]: Version(*r["v"]) for r in newest.collect()}
         return self._versions
 
     def read_version(self, name: str, v: Version, bucketed: bool = True) -> DataFrame:
@@ -128,17 +127,19 @@ class Warehouse:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {tname} ({cols}) USING parquet "
                        f"CLUSTERED BY (`{v.bucket_col}`) INTO {v.num_buckets} BUCKETS "
-                       f"LOCATION '{v.path}'")
+                       f"LOCATION '{_quoted(v.path)}'")
         return self.spark.table(tname)
 
     def stored(self, name: str) -> DataFrame | None:
-        """One stored table (all parts of an append-only one)."""
-        versions = self.latest_versions().get(name)
-        if not versions:
+        """One stored table; of the history, the rows that committed runs closed."""
+        version = self.latest_versions().get(name)
+        if version is None:
             return None
-        if len(versions) == 1:
-            return self.read_version(name, versions[0])
-        return self.spark.read.schema(stored_schema(name)).parquet(*[v.path for v in versions])
+        if name != HISTORY:
+            return self.read_version(name, version)
+        schema = T.StructType([*stored_schema(name).fields, T.StructField(CLOSED_IN, T.StringType())])
+        runs = self.commits().where(F.col("table_name") == HISTORY).select(F.col("run_id").alias(CLOSED_IN)).distinct()
+        return self.spark.read.schema(schema).parquet(version.path).join(runs, CLOSED_IN, "left_semi").drop(CLOSED_IN)
 
     def table(self, name: str) -> DataFrame | None:
         """A logical warehouse table (dim_person = history parts + current),
@@ -158,17 +159,17 @@ class Warehouse:
         with each version, so no scan of the table. Only a version without
         the record is scanned, across the whole ``logical`` table (a closed
         history row may hold the largest key)."""
-        versions = self.latest_versions().get(name)
-        if not versions:
+        version = self.latest_versions().get(name)
+        if version is None:
             return 0
-        if versions[-1].high_water is not None:
-            return versions[-1].high_water
+        if version.high_water is not None:
+            return version.high_water
         return next_key_base(self.table(logical or name), sk_col)
 
     def write_version(self, name: str, df: DataFrame, bucket_col: str | None = None,
                       num_buckets: int | None = None, high_water: int | None = None) -> Version:
         path = f"{self.root.rstrip('/')}/wh/{name}/v-{uuid.uuid4().hex}"
-        df = df.select(*[f.name for f in stored_schema(name).fields])
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in stored_schema(name).fields])
         if bucket_col:
             (df.write.bucketBy(num_buckets, bucket_col).mode("overwrite")
              .option("path", path).saveAsTable(_table_name(path)))
@@ -176,29 +177,38 @@ class Warehouse:
             df.write.mode("overwrite").parquet(path)
         return Version(path, bucket_col, num_buckets, high_water)
 
+    def write_history(self, closed: DataFrame, run_id: str) -> Version:
+        """The versions that a run closes, in place of an earlier attempt's."""
+        path = f"{self.root.rstrip('/')}/wh/{HISTORY}"
+        folder = store.partition_folder(self.spark, path, CLOSED_IN, run_id)
+        closed.select(*[F.col(f.name).cast(f.dataType) for f in stored_schema(HISTORY).fields]).write.mode(
+            "overwrite").parquet(folder)
+        return Version(path)
+
     def vacuum(self, keep: int = 2) -> list[str]:
-        """Delete superseded versions of the rewritten tables, keeping the
-        newest ``keep`` committed ones of each; append-only history parts and
-        anything not in the commit log are left alone. Call between runs
-        (one active run at a time). Returns the deleted paths."""
+        """Delete versions of the rewritten tables other than the newest
+        ``keep`` committed ones of each, those that failed runs left behind
+        included. Call between runs (one active run at a time). Returns the
+        deleted paths."""
         if keep < 1:
             raise ValueError("keep must be >= 1")
-        rows = self.commits().select("table_name", "path", "commit_seq").collect()
-        by_table: dict[str, list[tuple[int, str]]] = {}
-        for r in rows:
-            if r["table_name"] not in APPEND_ONLY:
-                by_table.setdefault(r["table_name"], []).append((r["commit_seq"], r["path"]))
+        newest = (self.commits().where(F.col("table_name") != HISTORY).groupBy("table_name")
+                  .agg(F.slice(F.sort_array(F.collect_set(F.struct("commit_seq", "path")), asc=False), 1, keep).alias("v")))
+        kept = {r["table_name"]: {v["path"].rpartition("/")[2] for v in r["v"]} for r in newest.collect()}
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         deleted = []
-        for versions in by_table.values():
-            for _, path in sorted(versions, reverse=True)[keep:]:
-                self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")  # metadata only
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                fs = p.getFileSystem(conf)
-                if fs.exists(p):
-                    fs.delete(p, True)
-                    deleted.append(path)
+        for name in [t for tables in STORED.values() for t in tables if t != HISTORY]:
+            folder = f"{self.root.rstrip('/')}/wh/{name}"
+            p = jvm.org.apache.hadoop.fs.Path(folder)
+            fs = p.getFileSystem(conf)
+            for status in fs.listStatus(p) if fs.exists(p) else []:
+                version = status.getPath().getName()
+                if version not in kept.get(name, ()):
+                    path = f"{folder}/{version}"
+                    self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")  # metadata only
+                    if delete_path(self.spark, path):
+                        deleted.append(path)
         return deleted
 
     def commit(self, run_id: str, written: dict[str, Version]) -> None:
@@ -226,23 +236,27 @@ def extract(spark: SparkSession, root: str, person: DataFrame, family: DataFrame
     log = store.read_raw(spark, root, store.RUN_LOG_TABLE)
     if not log.where(F.col("run_id") == run_id).isEmpty():
         return False
-    store.append_snapshot(root, "raw_person_snapshot", person, run_id)
-    store.append_snapshot(root, "raw_family_snapshot", family, run_id)
-    store.append_snapshot(root, "raw_relation_snapshot", relation, run_id)
-    store.append_run_log(spark, root, run_id, started_at)
+    store.write_snapshot(root, "raw_person_snapshot", person, run_id)
+    store.write_snapshot(root, "raw_family_snapshot", family, run_id)
+    store.write_snapshot(root, "raw_relation_snapshot", relation, run_id)
+    store.write_run_log(spark, root, run_id, started_at)
     return True
 
 
-# Bucket count of a new version: about this many stored (compressed) bytes
-# per bucket, capped by the session's shuffle partitions.
+# Stored (compressed) bytes that a bucket may hold.
 BYTES_PER_BUCKET = 64 << 20
 # Stored edges per stored relation byte, as a first-run size guess for the
 # fact (spouse pairs, both parent/child directions, sibling pairs).
 EDGE_EXPANSION = 4
 
 
-def bucket_count(total_bytes: int, cap: int) -> int:
-    return max(1, min(cap, -(-total_bytes // BYTES_PER_BUCKET)))
+def bucket_count(total_bytes: int, previous: int | None = None) -> int:
+    """Buckets of a new version: the previous number, doubled until a bucket
+    holds at most BYTES_PER_BUCKET."""
+    n = previous or 1
+    while n * BYTES_PER_BUCKET < total_bytes:
+        n *= 2
+    return n
 
 
 # Lets a bucketed side satisfy a join whose keys include its bucket column.
@@ -258,11 +272,11 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
                   validate: bool = True) -> RunResult:
     """One incremental run over a full snapshot (person, family, relation
     in the staging schema). ``as_of`` stamps created_at / updated_at;
-    ``buckets`` fixes the bucket count of new versions; by default it is
-    sized from the stored bytes of the previous version and of the snapshot
-    (``BYTES_PER_BUCKET`` each, at most the session's shuffle partitions).
-    ``validate`` checks the snapshot's node ids (unique, not NULL) before any
-    merge and raises ``ConstraintViolation`` without committing anything."""
+    ``buckets`` fixes the bucket count of new versions; by default it is that of
+    the previous version, doubled while its bytes and the snapshot's exceed
+    ``BYTES_PER_BUCKET`` each. ``validate`` checks the snapshot's keys before
+    any merge and the merged tables' keys before the commit (V1), and raises
+    ``ConstraintViolation`` without committing anything."""
     run_id = run_id or str(uuid.uuid4())
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     as_of = as_of or started_at
@@ -271,7 +285,8 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
     previous = spark.conf.get(CO_PARTITION_CONF, None)
     spark.conf.set(CO_PARTITION_CONF, "false")
     try:
-        return _merge_run(spark, root, buckets, as_of, run_id, validate)
+        with scratch_scope(spark):
+            return _merge_run(spark, root, buckets, as_of, run_id, validate)
     finally:
         if previous is None:
             spark.conf.unset(CO_PARTITION_CONF)
@@ -282,26 +297,28 @@ def run_increment(spark: SparkSession, root: str, person: DataFrame, family: Dat
 def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.datetime,
                run_id: str, validate: bool = True) -> RunResult:
     current = store.resolve_current_run(store.read_raw(spark, root, store.RUN_LOG_TABLE))
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     wh = Warehouse(spark, root)
 
     def sized(table: str, raw_table: str, factor: int = 1) -> int:
         if buckets:
             return buckets
-        prev = wh.latest_versions().get(table, [])
-        total = sum(store.stored_bytes(spark, v.path) for v in prev)
-        total += factor * store.stored_bytes(
-            spark, f"{store.raw_path(root, raw_table)}/run_id={current}")
-        return bucket_count(total, cap)
+        prev = wh.latest_versions().get(table)
+        total = factor * store.stored_bytes(spark, store.run_folder(spark, root, raw_table, current))
+        if prev is None:
+            return bucket_count(total)
+        return bucket_count(total + store.stored_bytes(spark, prev.path), prev.num_buckets)
+
     person_s = store.snapshot_slice(store.read_raw(spark, root, "raw_person_snapshot"), current)
     family_s = store.snapshot_slice(store.read_raw(spark, root, "raw_family_snapshot"), current)
     relation_s = store.snapshot_slice(store.read_raw(spark, root, "raw_relation_snapshot"), current)
     if validate:
-        # V1: node ids are unique and present (the merges rely on it).
+        # V1: node ids are unique and present (the merges rely on it), and
+        # both ends of every relation are given.
         checks.assert_valid(
             checks.key_summary(person_s, "raw_person_snapshot", ["person_id"])
-            .unionByName(checks.key_summary(family_s, "raw_family_snapshot", ["family_id"])))
+            .unionByName(checks.key_summary(family_s, "raw_family_snapshot", ["family_id"]))
+            .unionByName(checks.null_summary(relation_s, "raw_relation_snapshot",
+                                             ["person_id", "family_id", "relationship_type"])))
 
     written: dict[str, Version] = {}
 
@@ -340,7 +357,7 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
     written["dim_person_current"] = wh.write_version("dim_person_current", cur_new,
                                                      bucket_col="person_id", num_buckets=n_dim,
                                                      high_water=dim_stats["high_water"])
-    written["dim_person_history"] = wh.write_version("dim_person_history", closed)
+    written[HISTORY] = wh.write_history(closed, current)
 
     # Fact. The person lookups read the dimension unbucketed: edges can be
     # heavily skewed on one person (a parent of a third of all children), and
@@ -359,10 +376,25 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
         "fact_person_relationship", fact_new, bucket_col=fact_ops.EDGE_HASH, num_buckets=n_fact,
         high_water=fact_stats["high_water"])
 
+    if validate:
+        checks.assert_valid(table_checks(read("dim_person_current"), read("fact_person_relationship")))
     wh.commit(current, written)
     return RunResult(run_id=run_id, current_run=current, written=written)
 
 
+def table_checks(current: DataFrame, fact: DataFrame) -> DataFrame:
+    """V1 on the merged tables: the surrogate keys are unique, a person has one
+    current version, and a fact row is the only one of its 6-column key."""
+    # Key parts that may be NULL count as equal; the group-by is exact on them.
+    key = [fact_ops.KEY_IN_FACT[k] for k in EDGE_KEY]
+    not_null = [f.name for f in TABLES["fact_person_relationship"].fields if not f.nullable]
+    return (checks.key_summary(current, "dim_person_current", ["person_id"],
+                               [f.name for f in TABLES["dim_person"].fields if not f.nullable])
+            .unionByName(checks.key_summary(current, "dim_person_current", ["person_sk"]))
+            .unionByName(checks.key_summary(fact, "fact_person_relationship", ["relationship_sk"], not_null))
+            .unionByName(checks.key_summary(fact, "fact_person_relationship", key, nullable=EDGE_NULLABLE_KEY)))
+
+
 def table_summary(spark: SparkSession, root: str) -> DataFrame:
     """Row counts per warehouse and staging table (for run checks)."""
     wh = Warehouse(spark, root)

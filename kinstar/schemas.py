@@ -2,6 +2,9 @@
 
 The source graph has a fixed schema: a property bag is projected onto these
 columns (missing property -> NULL, unknown properties dropped).
+
+Fixed values: all table and column names, types and orders of columns here are
+part of the data model.
 """
 
 from __future__ import annotations
@@ -91,8 +94,6 @@ EDGE_KEY = [f.name for f in EDGE.fields]
 # The last three parts of the key may be NULL and compare null-safely.
 EDGE_NULLABLE_KEY = ["start_date", "end_date", "end_reason"]
 
-AUDIT_COLUMNS = ["created_at", "updated_at"]
-
 TABLES = {
     "dim_person": DIM_PERSON,
     "dim_relationship_role": DIM_ROLE,

@@ -6,10 +6,13 @@ operators take an existing session and never create their own.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the operators assume. Only applied by ``local_session`` (tests,
 # bench); on a cluster the operator of the job owns the configuration.
@@ -74,13 +77,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable (eager) checkpoint.
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder of any Hadoop file system; False if there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
 
-    Used where a result is read twice and must be identical both times
-    (surrogate keys, iterative closure). Reliable checkpoints survive the
-    loss of the executors that computed them.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+_open_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that :func:`materialize` wrote inside, on leaving."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            delete_path(spark, path)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage with a Parquet table in the shared checkpoint folder.
+
+    Used where a result is read twice and must be identical both times. The
+    table survives the loss of the executors that wrote it, is columnar and
+    compressed (unlike a checkpoint, which keeps serialized rows), and goes
+    with the enclosing ``scratch_scope``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, bound: int = 200_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``bound`` rows (counted),
+    else as it is, so that Spark shuffles it."""
+    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df

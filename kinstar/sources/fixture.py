@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from kinstar.functions.columns import lit_date
 
 
+# Blood-line children per hot family times 20: each hot family of r2 gains 32
+# children, so the families' number, not their size, grows with the data.
+HOT_SPAN = 640
+
+
 def read_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (spark.read.parquet(f"{sf_dir}/customer.parquet")
             .select("c_custkey", "c_nationkey", "c_mktsegment"))
@@ -111,7 +116,9 @@ def relation_snapshot(customer: DataFrame, seq: int,
         F.lit("SPOUSE_OF").alias("relationship_type"),
         F.when(odd == 0, F.lit("HUSBAND")).otherwise(F.lit("WIFE")).alias("role"),
     )
-    number = pf if seq == 1 else F.when(i % 20 == 7, F.lit(0).cast("long")).otherwise(pf)
+    # in r2 every 20th child of a stretch of HOT_SPAN moves into one family
+    hot = F.floor(i / HOT_SPAN).cast("long")
+    number = pf if seq == 1 else F.when(i % 20 == 7, hot).otherwise(pf)
     prefix = F.when((pf % 7 == 3) & (i % 4 == 2), F.lit("g")).otherwise(F.lit("f"))
     child = base.where((odd == 0) & (i >= 1)).select(
         pid.alias("person_id"),

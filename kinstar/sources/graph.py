@@ -9,7 +9,7 @@ strictly (IO5: a malformed date fails the run, it is never silently NULL).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,14 @@ def to_property_bag(rows: DataFrame, props: dict[str, str], bag: str = "props")
     return rows.select(bag_column(props).alias(bag))
 
 
+def strict_date(value: Column, name: str) -> Column:
+    """The text as a date; anything else but NULL fails the query, whatever the
+    session's ANSI setting."""
+    date = value.try_cast("date")
+    message = F.concat(F.lit(f"{name} is not a date: "), value)
+    return F.when(value.isNull() | date.isNotNull(), date).otherwise(F.raise_error(message).cast("date"))
+
+
 def project_properties(nodes: DataFrame, schema: T.StructType, props: dict[str, str],
                        bag: str = "props", keep: tuple[str, ...] = ()) -> DataFrame:
     """Project a bag onto ``schema`` (IO4/IO5)."""
@@ -65,9 +73,7 @@ def project_properties(nodes: DataFrame, schema: T.StructType, props: dict[str,
     for field in schema.fields:
         v = F.col(bag).getItem(props[field.name])
         if isinstance(field.dataType, T.DateType):
-            # ANSI cast: a value that is not a date raises, like the source's
-            # strict date normalisation.
-            v = v.cast("date")
+            v = strict_date(v, field.name)
         cols.append(v.alias(field.name))
     return nodes.select(*keep, *cols)
 
@@ -93,6 +99,26 @@ def relations(edges: DataFrame, persons: DataFrame, families: DataFrame,
                         "relationship_type": T.StringType, bag: T.MapType})
     out = edges.select(*keep, "person_id", "family_id", "relationship_type",
                        F.col(bag).getItem("role").alias("role"))
-    out = out.join(persons.select("person_id").distinct(), "person_id", "left_semi")
-    out = out.join(families.select("family_id").distinct(), "family_id", "left_semi")
+    out = out.join(persons.select("person_id"), "person_id", "left_semi")
+    out = out.join(families.select("family_id"), "family_id", "left_semi")
     return out.select(*keep, *[f.name for f in RELATION.fields])
+
+
+NODE_FILE = T.StructType([T.StructField("props", T.MapType(T.StringType(), T.StringType()))])
+EDGE_FILE = T.StructType([T.StructField(c, T.StringType()) for c in ("person_id", "family_id", "relationship_type")]
+                         + NODE_FILE.fields)
+
+
+def read_graph(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(person, family, relation) staging frames of a graph kept as files below
+    ``path``: node files ``person`` and ``family`` with a property bag each, and
+    edge files ``relation``, in Parquet or JSON lines."""
+    if fmt not in ("parquet", "json"):
+        raise ValueError(f"unsupported graph format {fmt!r}")
+    root = path.rstrip("/")
+
+    def read(name: str, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).format(fmt).load(f"{root}/{name}")
+
+    persons, families = person_nodes(read("person", NODE_FILE)), family_nodes(read("family", NODE_FILE))
+    return persons, families, relations(read("relation", EDGE_FILE), persons, families)

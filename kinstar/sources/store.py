@@ -2,13 +2,15 @@
 
 Layout under a warehouse root (any Hadoop-compatible URI)::
 
-    raw/<table>/run_id=<id>/part-*.parquet     append-only snapshots
-    raw/etl_run_log/run_id=<id>/part-*.parquet one row per committed run
-
-Snapshot rows are written first and the run-log row last, so a run whose
-extraction failed half-way has no log row and its rows are never selected.
-Reading a snapshot slice filters on the partition column, so Spark prunes
-every other run's files before the scan.
+    raw/<table>/run_id=<id>/part-*.parquet     one folder per run and table
+    raw/etl_run_log/run_id=<id>/part-*.parquet one row per staged run
+
+A run writes its own folder of each table, replacing what an earlier attempt of
+the same run left there, and its run-log row last. So a run whose extraction
+failed half-way has no log row, its rows are never selected, and it can simply
+be repeated. Tables are read with a fixed schema (``run_id`` is text, however
+much an id looks like a date or a number). A snapshot slice filters on the
+partition column, so Spark prunes every other run's files before the scan.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinstar.schemas import RAW, RUN_LOG
 
@@ -51,26 +54,34 @@ def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     if not _exists(spark, path):
         empty = spark.createDataFrame([], schema)
         return empty if table == RUN_LOG_TABLE else empty.withColumn("run_id", F.lit(None).cast("string"))
-    df = spark.read.parquet(path)
-    cols = [f.name for f in schema.fields]
-    if table != RUN_LOG_TABLE:
-        cols = ["run_id", *cols]
-    return df.select(*[c for c in cols])
+    names = [f.name for f in schema.fields if f.name != "run_id"]
+    fixed = T.StructType([T.StructField("run_id", T.StringType()), *[schema[c] for c in names]])
+    return spark.read.schema(fixed).parquet(path).select("run_id", *names)
+
+
+def partition_folder(spark: SparkSession, path: str, column: str, value: str) -> str:
+    """The folder of one partition, as Spark would name it."""
+    if not value:
+        raise ValueError(f"{column} must not be empty")
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path}/{column}={escape(value)}"
+
+
+def run_folder(spark: SparkSession, root: str, table: str, run_id: str) -> str:
+    """The folder of one run's rows of a staging table."""
+    return partition_folder(spark, raw_path(root, table), "run_id", run_id)
 
 
-def append_snapshot(root: str, table: str, rows: DataFrame, run_id: str) -> None:
-    """IO7: tag rows with the run and append them as one new partition."""
-    cols = [f.name for f in RAW[table].fields]
-    (rows.select(*[F.col(c).cast(RAW[table][c].dataType) for c in cols])
-     .withColumn("run_id", F.lit(run_id))
-     .write.mode("append").partitionBy("run_id").parquet(raw_path(root, table)))
+def write_snapshot(root: str, table: str, rows: DataFrame, run_id: str) -> None:
+    """IO7: a run's rows of one table, in place of any earlier attempt's."""
+    (rows.select(*[F.col(f.name).cast(f.dataType) for f in RAW[table].fields])
+     .write.mode("overwrite").parquet(run_folder(rows.sparkSession, root, table, run_id)))
 
 
-def append_run_log(spark: SparkSession, root: str, run_id: str, started_at: dt.datetime) -> None:
+def write_run_log(spark: SparkSession, root: str, run_id: str, started_at: dt.datetime) -> None:
     """IO8: the commit marker of an extraction, written after its rows."""
-    row = spark.createDataFrame([(run_id, started_at)], RUN_LOG)
-    row.coalesce(1).write.mode("append").partitionBy("run_id").parquet(
-        raw_path(root, RUN_LOG_TABLE))
+    row = spark.createDataFrame([(run_id, started_at)], RUN_LOG).select("started_at")
+    row.coalesce(1).write.mode("overwrite").parquet(run_folder(spark, root, RUN_LOG_TABLE, run_id))
 
 
 def current_run(run_log: DataFrame) -> DataFrame:

@@ -51,20 +51,39 @@ def canon_rows(names: list[str], rows) -> tuple[list[str], Counter]:
             Counter(tuple(_canon(r[i]) for i in order) for r in rows))
 
 
+def kind_of_spark(dtype: str) -> str:
+    """Type families that must agree: how a value is stored, not how wide."""
+    return ("integer" if dtype in ("tinyint", "smallint", "int", "bigint") else
+            "real" if dtype in ("float", "double") or dtype.startswith("decimal") else
+            "timestamp" if dtype.startswith("timestamp") else dtype)
+
+
+def kind_of_duck(dtype: str) -> str:
+    dtype = dtype.upper()
+    return ("integer" if dtype in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UBIGINT") else
+            "real" if dtype in ("FLOAT", "DOUBLE") or dtype.startswith("DECIMAL") else
+            "timestamp" if dtype.startswith("TIMESTAMP") else
+            {"VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date"}.get(dtype, dtype.lower()))
+
+
 def compare(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> dict:
     s_names = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     cur = con.execute(sql)
     d_names = [d[0] for d in cur.description]
+    d_kinds = {d[0]: kind_of_duck(str(d[1])) for d in cur.description}
+    s_kinds = {name: kind_of_spark(kind) for name, kind in spark_df.dtypes}
     d_rows = cur.fetchall()
     sn, sc = canon_rows(s_names, s_rows)
     dn, dc = canon_rows(d_names, d_rows)
     out = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows),
-           "names_match": sn == dn, "values_match": sc == dc}
+           "names_match": sn == dn, "types_match": s_kinds == d_kinds, "values_match": sc == dc}
     if sn != dn:
         out["spark_names"], out["oracle_names"] = sn, dn
     elif sc != dc:
         out["only_spark"] = list((sc - dc).elements())[:5]
         out["only_oracle"] = list((dc - sc).elements())[:5]
-    out["ok"] = out["names_match"] and out["values_match"]
+    if s_kinds != d_kinds:
+        out["spark_types"], out["oracle_types"] = s_kinds, d_kinds
+    out["ok"] = out["names_match"] and out["types_match"] and out["values_match"]
     return out

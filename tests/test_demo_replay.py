@@ -111,6 +111,29 @@ def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
     assert before == (42, 174)
 
 
+def test_scenario_03_right_after_the_initial_load(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    snap, seen = G.initial(spark), []
+    for i, change in enumerate([None, G.scenario_03_wrong, G.scenario_03_fix]):
+        if change is not None:
+            snap = change(spark, *snap)
+        snap = tuple(spark.createDataFrame(x.collect(), x.schema) for x in snap)
+        pipeline.run_increment(spark, root, *snap, run_id=f"s{i}", started_at=dt.datetime(2026, 3, 1 + i, 2))
+        seen.append(_observe(spark, root, f"s{i}")[:3])
+    assert seen[1] == ((37, 37, 0), (156, 156, 0), (6, 0))
+    assert seen[2] == ((37, 37, 0), (166, 160, 6), (10, 6))
+
+
+def test_missing_relation_end_fails_before_any_merge(spark, tmp_path):
+    from kinstar.operators.checks import ConstraintViolation
+    root = str(tmp_path / "wh")
+    persons, families, relations = G.initial(spark)
+    bad = relations.unionByName(relations.limit(1).withColumn("family_id", F.lit(None).cast("string")))
+    with pytest.raises(ConstraintViolation):
+        pipeline.run_increment(spark, root, persons, families, bad, run_id="bad", started_at=dt.datetime(2026, 4, 1))
+    assert pipeline.Warehouse(spark, root).table("dim_person") is None
+
+
 def test_duplicate_person_id_fails_before_any_merge(spark, tmp_path):
     from kinstar.operators.checks import ConstraintViolation
     root = str(tmp_path / "wh")

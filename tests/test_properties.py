@@ -77,6 +77,18 @@ def test_input_row_order_does_not_matter(spark):
     assert base == again
 
 
+def test_hot_families_do_not_grow_with_the_data(spark):
+    """r2's hot families: more of them with more data, none larger; with a block
+    size below theirs the split path is taken (see the next test)."""
+    sizes = []
+    for sf in ("0.01", "0.1"):
+        _, _, relation = fixture.snapshot(spark, f"/root/testdata/sf{sf}", 2)
+        n = relation.where("relationship_type = 'CHILD_OF'").groupBy("family_id").count()
+        top = n.where("count > 16")
+        sizes.append((top.count(), top.agg(F.max("count")).first()[0]))
+    assert sizes[0][0] < sizes[1][0] and sizes[1][1] <= 40 and sizes[0][1] > 16
+
+
 def test_hot_group_split_changes_nothing(spark):
     """r2 has a skewed family; with a tiny block size every family and parent
     takes the blocked path, and the edges are the same."""

@@ -101,25 +101,58 @@ def test_sibling_blocks_give_the_same_pairs(spark):
 def test_closure_raises_on_a_cycle(spark):
     base = spark.createDataFrame([("a", "a", 0)], "root string, node string, depth int")
     edges = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
-    with pytest.raises(closure.RecursionLimitExceeded):
-        closure.closure(base, edges, node_col="node", from_col="src", to_col="dst",
-                        carry=["root"], next_values={}, depth_col="depth", max_depth=5)
+    with pytest.raises(closure.CycleError):
+        closure.closure(base, edges, "root", "node", "src", "dst", {})
+
+
+def test_closure_raises_on_a_cycle_that_lies_beyond_its_root(spark):
+    # x -> a -> b -> c -> a; every person is a root, x is not on the cycle
+    base = spark.createDataFrame([(n, n, 0) for n in "xabc"], "root string, node string, depth int")
+    edges = spark.createDataFrame([("x", "a"), ("a", "b"), ("b", "c"), ("c", "a")], "src string, dst string")
+    with pytest.raises(closure.CycleError):
+        closure.closure(base, edges, "root", "node", "src", "dst", {})
+
+
+def test_closure_has_no_depth_limit():
+    import inspect
+    from kinstar.plans import reports
+    for fn in (closure.closure, reports.ancestor_closure):
+        assert not any("depth" in p and p != "depth_col" for p in inspect.signature(fn).parameters)
 
 
 def test_closure_counts_paths(spark):
     # diamond: d -> b, d -> c, b -> a, c -> a : two paths from d to a
     base = spark.createDataFrame([("d", "d", 0)], "root string, node string, depth int")
     edges = spark.createDataFrame([("d", "b"), ("d", "c"), ("b", "a"), ("c", "a")], "src string, dst string")
-    out = closure.closure(base, edges, node_col="node", from_col="src", to_col="dst",
-                          carry=["root"], next_values={}, depth_col="depth")
+    out = closure.closure(base, edges, "root", "node", "src", "dst", {})
     assert sorted((r.node, r.depth) for r in out.collect()) == [
         ("a", 2), ("a", 2), ("b", 1), ("c", 1), ("d", 0)]
 
 
 def test_bad_date_fails_the_run(spark):
     nodes = spark.createDataFrame([({"id": "p1", "birth_date": "not a date"},)], "props map<string,string>")
-    with pytest.raises(Exception):
-        graph.person_nodes(nodes).collect()
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="birth_date is not a date"):
+                graph.person_nodes(nodes).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_read_graph(spark, scratch, fmt):
+    props = "props map<string,string>"
+    spark.createDataFrame([({"id": "p1", "birth_date": "1990-05-01", "hobby": "x"},), ({"id": "p2"},)], props).write.format(fmt).save(f"{scratch}/person")
+    spark.createDataFrame([({"id": "f1", "status": "ACTIVE"},)], props).write.format(fmt).save(f"{scratch}/family")
+    spark.createDataFrame([("p1", "f1", "SPOUSE_OF", {"role": "HUSBAND"}), ("p2", "f1", "CHILD_OF", {}), ("p9", "f1", "CHILD_OF", {})],
+                          f"person_id string, family_id string, relationship_type string, {props}").write.format(fmt).save(f"{scratch}/relation")
+    person, family, relation = graph.read_graph(spark, scratch, fmt)
+    assert sorted((r.person_id, str(r.birth_date)) for r in person.collect()) == [("p1", "1990-05-01"), ("p2", "None")]
+    assert [r.status for r in family.collect()] == ["ACTIVE"]
+    assert sorted(map(tuple, relation.collect())) == [("p1", "f1", "SPOUSE_OF", "HUSBAND"), ("p2", "f1", "CHILD_OF", None)]
+    with pytest.raises(ValueError):
+        graph.read_graph(spark, scratch, "csv")
 
 
 def test_missing_property_is_null_and_extras_dropped(spark):
@@ -158,8 +191,8 @@ def test_staging_store_and_current_run(spark, scratch):
                                    "birth_date date, death_date date, education string, works string")
     t = dt.datetime(2026, 1, 1, 2)
     for run in ("a", "b"):
-        store.append_snapshot(scratch, "raw_person_snapshot", person, run)
-        store.append_run_log(spark, scratch, run, t)  # same start: tie broken by run id
+        store.write_snapshot(scratch, "raw_person_snapshot", person, run)
+        store.write_run_log(spark, scratch, run, t)  # same start: tie broken by run id
     log = store.read_raw(spark, scratch, store.RUN_LOG_TABLE)
     assert store.resolve_current_run(log) == "b"
     raw = store.read_raw(spark, scratch, "raw_person_snapshot")
