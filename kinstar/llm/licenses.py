@@ -10,9 +10,9 @@ probability 1 - (1 - s**ROWS)**BANDS: 0.99 at s = 0.67, which a contained share
 of 0.8 leaves to the best aligned window, and an occurrence holds four windows
 or more.
 
-Retrieved templates are verified exactly: the share of the template's shingles
-that the document holds around the window (one template length to both sides),
-which must reach ``threshold``. Neighbouring hits of a template are one match.
+Retrieved templates are verified exactly in the region around the window (one
+template length to both sides): an occurrence must hold a share of ``threshold``
+of the template's shingles. Occurrences of a template do not overlap.
 
 Minima of windows come from sliding minima by doubling, so a document costs the
 same for any number of templates. The index has a few entries per template word
@@ -135,21 +135,37 @@ class Index:
 
     def matches(self, shingles: np.ndarray, threshold: float) -> list[tuple[int, float, int, int]]:
         """(template, containment, first word, end word) of verified matches in one document."""
-        found: dict[int, list[tuple[float, int, int]]] = {}
+        regions: dict[int, list[list[int]]] = {}
         for start, t in sorted(self.retrieved(shingles)):
-            n = int(self.lengths[t])
-            lo, hi = max(0, start - n), min(len(shingles), start + 2 * n)
-            near = shingles[lo:hi]
-            at = np.flatnonzero(np.isin(near, self.sets[t]))
-            share = len(np.unique(near[at])) / len(self.sets[t])
-            if share >= threshold:
-                a, b = lo + int(at[0]), lo + int(at[-1]) + K
-                own = found.setdefault(t, [])
-                if own and a < own[-1][2]:  # the same occurrence from another window
-                    own[-1] = (max(own[-1][0], share), min(own[-1][1], a), max(own[-1][2], b))
-                else:
-                    own.append((share, a, b))
-        return [(t, *m) for t, ms in sorted(found.items()) for m in ms]
+            n, own = int(self.lengths[t]), regions.setdefault(t, [])
+            if own and start - n <= own[-1][1]:
+                own[-1][1] = start + 2 * n
+            else:
+                own.append([max(0, start - n), start + 2 * n])
+        return [(t, *m) for t, own in sorted(regions.items()) for lo, hi in own
+                for m in self.verified(shingles[lo:hi], t, lo, threshold)]
+
+    def verified(self, near: np.ndarray, t: int, lo: int, threshold: float) -> list[tuple[float, int, int]]:
+        """(containment, first word, end word) of the template's occurrences in a region.
+
+        An occurrence begins at one of its shingles, takes in at most a quarter
+        more than the template's length, and ends with the last shingle that was
+        not there before; of overlapping ones the best, then the shortest counts.
+        """
+        held = self.sets[t]
+        at = np.flatnonzero(np.isin(near, held))
+        reach = int(np.ceil(1.25 * self.lengths[t]))
+        found = []
+        for i, a in enumerate(at):
+            part = at[i:np.searchsorted(at, a + reach)]
+            kinds, first = np.unique(near[part], return_index=True)
+            if len(kinds) >= threshold * len(held):
+                found.append((len(kinds) / len(held), lo + int(a), lo + int(part[first.max()]) + K))
+        chosen: list[tuple[float, int, int]] = []
+        for share, a, b in sorted(found, key=lambda m: (-m[0], m[2] - m[1], m[1])):
+            if all(b <= c or d <= a for _, c, d in chosen):
+                chosen.append((share, a, b))
+        return sorted(chosen, key=lambda m: m[1])
 
 
 _FOUND = "license string, containment double, first_word long, end_word long, start long, `end` long"
