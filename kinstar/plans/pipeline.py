@@ -16,7 +16,8 @@ Storage. Plain Parquet has no UPDATE/MERGE, so every merged table is written
 as a new version directory and only becomes visible through the commit log,
 which is written last. A run that fails leaves nothing visible and can be
 retried with the same run id, at whatever point it stopped: its staging rows
-are replaced, or kept once the run log has them. Versions are read back from
+are replaced, or kept once the run log has them. A run that is committed is not
+merged again. Versions are read back from
 storage before the next step uses them (no long lineage, safe under executor
 loss), and the run's intermediate tables are deleted when it ends.
 
@@ -298,6 +299,8 @@ def _merge_run(spark: SparkSession, root: str, buckets: int | None, as_of: dt.da
                run_id: str, validate: bool = True) -> RunResult:
     current = store.resolve_current_run(store.read_raw(spark, root, store.RUN_LOG_TABLE))
     wh = Warehouse(spark, root)
+    if not wh.commits().where(F.col("run_id") == current).isEmpty():
+        return RunResult(run_id=run_id, current_run=current)  # merged before: nothing to do
 
     def sized(table: str, raw_table: str, factor: int = 1) -> int:
         if buckets:

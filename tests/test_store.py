@@ -126,6 +126,15 @@ def test_a_run_that_fails_before_its_commit_can_be_retried(spark, tmp_path, monk
     assert contents(spark, root) == plain
 
 
+def test_a_committed_run_is_not_merged_again(spark, tmp_path):
+    root = str(tmp_path)
+    for s in (1, 2):
+        increment(spark, root, s, f"r{s}")
+    before = contents(spark, root)
+    assert increment(spark, root, 2, "r2").written == {}
+    assert contents(spark, root) == before
+
+
 def files(version):
     return [p for p in Path(version.path).iterdir() if p.name.startswith("part-")]
 
