@@ -121,20 +121,19 @@ def signatures(df: DataFrame, id_col: str, text_col: str, k: int, bands: int, ro
 
 
 class Forest:
-    """Union-find over the members of one block."""
+    """Connected members of a cell: a label for each, the smallest of its tree."""
 
     def __init__(self, n: int):
-        self.parent = list(range(n))
+        self.label = np.arange(n)
 
-    def find(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = x = self.parent[self.parent[x]]
-        return x
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that are not connected with i, one for each tree."""
+        others = others[self.label[others] != self.label[i]]
+        return others[np.unique(self.label[others], return_index=True)[1]]
 
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        self.parent[max(x, y)] = min(x, y)
-        return x != y
+    def join(self, i: int, j: int) -> None:
+        a, b = self.label[i], self.label[j]
+        self.label[self.label == max(a, b)] = min(a, b)
 
 
 def _passes(sides: np.ndarray):
@@ -158,9 +157,11 @@ def _estimated(n: int, cut: float):
         for left, right, told in _passes(sides):
             for part in range(0, len(left), 32):
                 rows = left[part:part + 32]
-                for i, j in zip(*np.nonzero(agreement(sig[rows], sig[right], n) >= cut)):
-                    if forest.join(int(rows[i]), int(right[j])) and told:
-                        yield ids[rows[i]], ids[right[j]]
+                for i, passed in zip(rows, agreement(sig[rows], sig[right], n) >= cut):
+                    for j in forest.apart(i, right[passed]):
+                        forest.join(i, j)
+                        if told:
+                            yield ids[i], ids[j]
     return compare
 
 
@@ -192,12 +193,14 @@ def _confirmed(k: int, num: int, den: int):
             for i in left.tolist():
                 # partners of fitting size that are not connected yet
                 fit = den * np.minimum(sizes[right], sizes[i]) >= num * np.maximum(sizes[right], sizes[i])
-                open_ = [j for j in right[fit].tolist() if forest.find(j) != forest.find(i)]
-                if not open_ or not sizes[i]:
+                open_ = right[fit]
+                open_ = open_[forest.label[open_] != forest.label[i]]
+                if not len(open_) or not sizes[i]:
                     continue
-                both = common(i)
-                for j in open_:
-                    if den * both[j] >= num * (sizes[i] + sizes[j] - both[j]) and forest.join(i, j) and told:
+                both = common(i)[open_]
+                for j in forest.apart(i, open_[den * both >= num * (sizes[i] + sizes[open_] - both)]):
+                    forest.join(i, j)
+                    if told:
                         yield ids[i], ids[j]
     return compare
 
