@@ -3,22 +3,26 @@
 *Patterns* (``base_spans``): assignments to a secret's name, access key ids, and
 long hexadecimal runs, leftmost and without overlap per kind.
 
-*Field*: texts are read as tokens (runs of ``[A-Za-z0-9_+/-]``) tagged B (a secret
-begins), I (inside) or O (outside). The tag lattice is constrained: B needs a
-token that could be a secret (at least ``LEAST`` characters, and a digit or a
-lower case letter before an upper case one), I needs
-a token that joins the one before it without white space. All other tokens are
-O, so the chain falls into short segments, and decoding each by Viterbi gives
-the best path of the whole text; plain prose costs one regular expression.
-Potentials are linear in features of the token's shape, length and character
-mix, the words and signs around it, and the file it is in (see ``_features``),
-plus tag transitions.
-
-It is trained by stochastic gradient on segments of at most ``SAMPLE`` documents
-(those with the smallest hashes of their ids, ``PER_DOC`` segments of each), with
-the tokens that the patterns cover as B and I. To carry over to what the
-patterns do not name, the features that restate the patterns (names of secrets,
-length) are left out of every other example.
+*Field*: texts are read as tokens (runs of Latin letters, digits and ``_+/-``, and
+runs of other characters outside ASCII), each tagged B (a secret begins), I (inside) or O
+(outside). Every token may be B; I needs a B or I before it that is joined to it
+without white space. So the chain falls into segments, the runs of joined tokens,
+and decoding each by Viterbi gives the best path of the whole text. Potentials
+are linear in features of the token's shape, length and character mix, the words
+and signs around it, and the file it is in (see ``_features``), plus tag
+transitions. ``Gains`` bounds from the weights what a token can gain over O in
+any surroundings; where no token of a segment can gain, O is the best path and
+the features need not be built. The bound is exact: the spans are those of
+decoding every segment.
+
+It is trained by stochastic gradient on at most ``SAMPLE`` documents (those with the
+smallest hashes of id and text; repeated rows count once). Of each at most ``PER_DOC`` segments with a match and ``OTHERS``
+without one of either sort, codes and plain words, are taken by hash. The tokens
+of the patterns' values, without the names before them, are B and I. To carry
+over to what the patterns do not name, the features that restate the patterns
+(names of secrets, length, alphabet) are left out of every fourth example, and all of
+the token's own features of every other fourth one, and each match is learned with
+other values in its place, too (``_VALUES``).
 
 Spans of the field are added where they meet no span of the patterns.
 
@@ -30,6 +34,8 @@ extra columns are kept by ``redact`` and ignored by ``scan``.
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,20 +51,24 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # 18 characters or more
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _ASSIGN_LEAST = 12
 
-#: Least characters of a token that may begin a secret.
-LEAST = 8
-#: Bounds of the training sample: documents, and segments of each.
-SAMPLE, PER_DOC = 4000, 40
+#: Bounds of the training sample: documents, segments of each with a match, others of either sort, tokens of a segment.
+SAMPLE, PER_DOC, OTHERS, LONGEST = 4000, 40, 6, 16
+#: Alphabets of the values that vary the matches in training: the first anywhere, the others where a value is assigned.
+_ALPHA = "abcdefghijkmnpqrstuvwxyz"
+_VALUES = (_ALPHA + _ALPHA.upper() + "0123456789" * 2, _ALPHA + "---", _ALPHA.upper(), _ALPHA + "0123456789" + "!@#$%&*" * 2)
 _EPOCHS, _RATE, _DECAY = 12, 0.2, 1e-4
 _TAGS = 3
 _B, _I, _O = range(_TAGS)
 
-_TOKEN = re.compile(r"[A-Za-z0-9_+/-]+")
-_EVENT = re.compile(r"[0-9]|[a-z](?=[A-Z])")
+_TOKEN = re.compile(r"[A-Za-z0-9_+/\u00c0-\u024f-]+|[^\x00-\x7f\u00c0-\u024f\s]+")
+#: Letters and digits to a, A and 0.
+_SHAPE = str.maketrans({c: "a" if c.islower() else "A" if c.isupper() else "0"
+                        for c in map(chr, [*range(128), *range(0xC0, 0x250)]) if c.islower() or c.isupper() or c.isdigit()})
+_SPACE = re.compile(r"\s")
+_CODE = re.compile(r"[0-9]|[a-z][A-Z]")
 _GAP = re.compile(r"""["']?\x20*[=:]\x20*["']?$""")
-_JOIN = re.compile(r"[.=:%~&]{1,2}")
 _WORD = re.compile(r"[A-Za-z]+")
-_IN_TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/-")
+_NAMED = re.compile(r"pass|pwd|secret|token|key|cred|auth", re.I)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -73,25 +83,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def segments(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of tokens that the lattice leaves open: the first may begin a secret, the others join on."""
+    """All tokens, in runs without white space between them."""
     out: list[list[tuple[int, int]]] = []
-    done = 0
-    for event in _EVENT.finditer(text):
-        p = event.start()
-        if p < done:
-            continue
-        a = p
-        while a > done and text[a - 1] in _IN_TOKEN:
-            a -= 1
-        m = _TOKEN.match(text, a)
-        b = done = m.end()
-        if b - a < LEAST:
-            continue
-        run = [(a, b)]
-        while (join := _JOIN.match(text, b)) and (m := _TOKEN.match(text, join.end())):
-            run.append((m.start(), m.end()))
-            b = done = m.end()
-        out.append(run)
+    end = -1
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        if a == end or (end >= 0 and not _SPACE.search(text, end, a)):
+            out[-1].append((a, b))
+        else:
+            out.append([(a, b)])
+        end = b
     return out
 
 
@@ -102,26 +103,39 @@ def _file_features(text: str) -> list[str]:
             f"file:long{len(text) > 2000}"]
 
 
+def _own_features(token: str) -> list[str]:
+    """Of the token alone; + marks those that restate the patterns, = the others."""
+    entropy = -sum(p * np.log2(p) for p in (n / len(token) for n in Counter(token).values()))
+    return [*_shape_features(token), f"=entropy{int(entropy)}", f"+hex{re.fullmatch('[0-9a-f]+', token) is not None}"]
+
+
+def _shape_features(token: str) -> list[str]:
+    """Those of :func:`_own_features` that stay when letters are exchanged for others of their case."""
+    token = token.translate(_SHAPE)
+    shape = re.sub("a+", "a", re.sub("A+", "A", re.sub("0+", "0", token)))
+    digits = sum(map(str.isdigit, token))
+    return [f"=mixed{digits > 0 and any(map(str.isalpha, token))}", f"=digits{digits * 4 // len(token)}", f"+shape:{shape[:6]}", f"=changes{min(len(shape), 12) // 2}", f"=signs{min(3, sum(token.count(c) for c in '+-/'))}",
+            f"+number{token.isdigit()}", f"+upper{re.fullmatch('[A-Z0-9]+', token) is not None}",
+            f"=short{min(len(token), 8)}", f"+length{min(len(token), 48) // 4}"]
+
+
+def _edge_features(before: str, after: str) -> list[str]:
+    """Of the characters next to a token (empty at an end of the text); all white space is alike."""
+    signs = [" " if c.isspace() else c if c and not c.isalnum() else "x" for c in (before, after)]
+    return [f"quoted{before in (chr(34), chr(39))}", f"before:{signs[0]}", f"after:{signs[1]}"]
+
+
 def _features(text: str, run: list[tuple[int, int]], of_file: list[str]) -> list[list[str]]:
     """Feature names of every token of a segment."""
     out = []
     for i, (a, b) in enumerate(run):
-        token = text[a:b]
-        shape = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]+", "0", token)))
-        digits = sum(c.isdigit() for c in token) / len(token)
-        entropy = -sum(p * np.log2(p) for p in (token.count(c) / len(token) for c in set(token)))
         before, after = text[max(0, a - 40):a], text[b:b + 20]
         words = _WORD.findall(before)
-        gap = _GAP.search(before)
+        assigned = _GAP.search(before) is not None
+        named = assigned and _NAMED.search(" ".join(words[-2:])) is not None
         out.append([
-            "bias", f"pos{min(i, 2)}", f"shape:{shape[:6]}", f"changes{min(len(shape), 12) // 2}", f"digits{int(digits * 4)}",
-            f"mixed{any(map(str.isdigit, token)) and any(map(str.isalpha, token))}", f"signs{sum(token.count(c) for c in '+-/')}",
-            f"entropy{int(entropy)}", f"hex{re.fullmatch('[0-9a-f]+', token) is not None}",
-            f"number{token.isdigit()}", f"upper{re.fullmatch('[A-Z0-9]+', token) is not None}",
-            f"+length{min(len(token), 48) // 4}", f"+name:{words[-1].lower()[:12] if words else ''}",
-            f"assigned{gap is not None}", f"quoted{before[-1:] in (chr(34), chr(39))}",
-            f"before:{before[-1:] if before[-1:] and not before[-1:].isalnum() else 'x'}",
-            f"after:{after[:1] if after[:1] and not after[:1].isalnum() else 'x'}",
+            "bias", *_own_features(text[a:b]), *_edge_features(before[-1:], after[:1]), f"pos{min(i, 2)}",
+            f"+name:{words[-1].lower()[:12] if words else ''}", f"assigned{assigned}", f"named{named}",
             f"next:{(_WORD.findall(after) or [''])[0].islower()}", *of_file])
     return out
 
@@ -132,14 +146,19 @@ class Field:
 
     weights: dict[str, np.ndarray] = field(default_factory=dict)
     moves: np.ndarray = field(default_factory=lambda: np.zeros((_TAGS, _TAGS)))
+    _gains: Gains | None = field(default=None, repr=False, compare=False)
 
     def potentials(self, features: list[list[str]]) -> np.ndarray:
         none = np.zeros(_TAGS)
         p = np.array([sum((self.weights.get(f, none) for f in names), none) for names in features])
         p[0, _I] = -np.inf  # nothing to continue
-        p[1:, _B] = -np.inf  # joins the token before it, or lies outside
         return p
 
+    def gains(self) -> Gains:
+        if self._gains is None:
+            self._gains = Gains(self)
+        return self._gains
+
     def viterbi(self, features: list[list[str]]) -> list[int]:
         p = self.potentials(features)
         moves = _allowed(self.moves)
@@ -154,6 +173,100 @@ class Field:
         return tags[::-1]
 
 
+class Gains:
+    """Bounds, by the weights alone, of what B or I at a token adds to a path over O there.
+
+    They are kept by the shapes of segments (letters and digits exchanged for a, A and 0),
+    so plain text costs one look-up per segment; tokens whose shape leaves it open are
+    bounded once more with all their own features.
+    """
+
+    #: Shapes and tokens whose bounds are kept.
+    KEPT = 200_000
+    _CHUNK = re.compile(r"\S+")
+    _FREE = ("pos", "+name:", "next:", "assigned", "named")
+
+    def __init__(self, model: Field):
+        self.weights = model.weights
+        self.kept: dict[tuple, tuple[bool, bool]] = {}
+        self.tops = {g: np.zeros(_TAGS) for g in self._FREE}  # unknown features weigh 0
+        for f, w in model.weights.items():
+            for g in self._FREE:
+                if f.startswith(g):
+                    self.tops[g] = np.maximum(self.tops[g], w - w[_O])
+        moves = _allowed(model.moves) - model.moves[_O, _O]
+        self.enter = np.maximum(moves.max(axis=0), 0)  # the first token of a segment is entered without a move
+        self.leave = max(0.0, moves[:, _O].max())
+
+    def of(self, names: list[str]) -> np.ndarray:
+        none = np.zeros(_TAGS)
+        w = sum((self.weights.get(f, none) for f in names), none)
+        return w - w[_O]
+
+    def top(self, *groups: str) -> np.ndarray:
+        return sum((self.tops[g] for g in groups), np.zeros(_TAGS))
+
+    def own(self, token: str, whole: bool) -> np.ndarray:
+        """Of the token alone, or the most of any token of this shape."""
+        if whole:
+            return self.of(_own_features(token))
+        most = np.max([self.of([f"=entropy{e}"]) for e in range(len(token).bit_length())], axis=0)
+        hexes = [self.of(["+hexFalse"])] + [self.of(["+hexTrue"])] * (re.fullmatch("[0a]+", token) is not None)
+        return self.of(_shape_features(token)) + most + np.max(hexes, axis=0)
+
+    def bound(self, part: str, whole: bool, of_file: tuple[str, ...]) -> tuple[bool, bool]:
+        """(may gain where nothing is assigned, may gain) of a segment between white space, or of any of its shape."""
+        tokens = [m.span() for m in _TOKEN.finditer(part)]
+        plain = may = False
+        for a, b in tokens:
+            known = (self.of(["bias", *_edge_features(part[a - 1:a] or " ", part[b:b + 1] or " "), *of_file])
+                     + self.own(part[a:b], whole) + self.top("pos", "+name:", "next:"))
+            free = known + self.top("assigned", "named")
+            if len(tokens) > 1:
+                known = free = free + self.enter + self.leave
+            else:
+                known = free if a else known + self.of(["assignedFalse", "namedFalse"])
+                known, free = known[:_I], free[:_I]
+            # the sums' rounding does not decide
+            plain, may = plain or bool(known[:_O].max() > -1e-6), may or bool(free[:_O].max() > -1e-6)
+        return plain, may
+
+    def _look(self, key: tuple, *args) -> tuple[bool, bool]:
+        got = self.kept.get(key)
+        if got is None:
+            got = self.bound(*args)
+            if len(key[0]) < 64:
+                if len(self.kept) >= self.KEPT:
+                    self.kept.clear()
+                self.kept[key] = got
+        return got
+
+    def open_runs(self, text: str, of_file: list[str]) -> list[list[tuple[int, int]]]:
+        """The segments in which something may gain; those at an end of the text are among them."""
+        out = []
+        names = tuple(of_file)
+        shapes = text.translate(_SHAPE)
+        kept, last = self.kept, len(text)
+        for m in self._CHUNK.finditer(shapes):
+            shape = m.group()
+            got = kept.get((shape, names))
+            if got is None:
+                got = self._look((shape, names), shape, False, names)
+            a, b = m.span()
+            if a and b < last:
+                # assigned only behind = or :, with blanks at most between
+                if not got[1] or not (got[0] or text[a - 2:a - 1] in ("=", ":", " ", "")):
+                    continue
+                part = text[a:b]
+                got = self._look((part, names, 0), part, True, names)
+                if not got[1] or not (got[0] or text[a - 2:a - 1] in ("=", ":", " ", "")):
+                    continue
+            run = [t.span() for t in _TOKEN.finditer(text, a, b)]
+            if run:
+                out.append(run)
+        return out
+
+
 def _allowed(moves: np.ndarray) -> np.ndarray:
     moves = moves.copy()
     moves[_O, _I] = -np.inf
@@ -169,76 +282,133 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def fit(examples: list[tuple[list[list[str]], list[int]]], epochs: int = _EPOCHS) -> Field:
     """Maximise the conditional likelihood of the tags by stochastic gradient (in a fixed order)."""
-    model = Field()
+    place: dict[str, int] = {}
+    held = []
+    for features, tags in examples:
+        every = [np.array([place.setdefault(f, len(place)) for f in names], dtype=np.int64) for names in features]
+        some = [np.array([place[f] for f in names if f[0] != "+"], dtype=np.int64) for names in features]
+        around = [np.array([place[f] for f in names if f[0] not in "+="], dtype=np.int64) for names in features]
+        held.append(((every, some, every, around), tags))
+    weights, model = np.zeros((len(place), _TAGS)), Field()
     order = np.random.default_rng(7)
     for epoch in range(epochs):
         rate = _RATE / (1 + 0.3 * epoch)
-        for n in order.permutation(len(examples)):
-            features, tags = examples[n]
-            if (n + epoch) % 2:
-                features = [[f for f in names if f[0] != "+"] for names in features]
-            p, moves = model.potentials(features), _allowed(model.moves)
-            ahead = [p[0]]
-            for row in p[1:]:
-                ahead.append(_log_sum(ahead[-1][:, None] + moves, 0) + row)
-            behind = [np.zeros(_TAGS)]
-            for row in p[:0:-1]:
-                behind.append(_log_sum(moves + (row + behind[-1])[None, :], 1))
-            behind.reverse()
-            total = _log_sum(ahead[-1], 0)
-            for i, names in enumerate(features):
-                step = -np.exp(ahead[i] + behind[i] - total)
+        for n in order.permutation(len(held)):
+            views, tags = held[n]
+            rows = views[(n + epoch) % 4]
+            p = np.array([weights[at].sum(axis=0) for at in rows])
+            p[0, _I] = -np.inf
+            if len(rows) == 1:
+                chance = np.exp(p - p[0].max())
+                chance /= chance.sum()
+            else:
+                moves = _allowed(model.moves)
+                ahead = [p[0]]
+                for row in p[1:]:
+                    ahead.append(_log_sum(ahead[-1][:, None] + moves, 0) + row)
+                behind = [np.zeros(_TAGS)]
+                for row in p[:0:-1]:
+                    behind.append(_log_sum(moves + (row + behind[-1])[None, :], 1))
+                behind.reverse()
+                total = _log_sum(ahead[-1], 0)
+                chance = np.exp(np.array(ahead) + np.array(behind) - total)
+            for i, at in enumerate(rows):
+                step = -chance[i]
                 step[tags[i]] += 1
-                for f in names:
-                    w = model.weights.setdefault(f, np.zeros(_TAGS))
-                    w += rate * (step - _DECAY * w)
+                weights[at] += rate * (step - _DECAY * weights[at])
                 if i:
                     pair = -np.exp(ahead[i - 1][:, None] + moves + (p[i] + behind[i])[None, :] - total)
                     pair[tags[i - 1], tags[i]] += 1
                     model.moves += rate * pair
+    model.weights = {f: weights[i] for f, i in place.items()}
     return model
 
 
-def _tagged(text: str, run: list[tuple[int, int]], spans: list[tuple[int, int, str]]) -> list[int]:
-    inside = [any(s < b and a < e for s, e, _ in spans) for a, b in run]
-    return [(_O if not here else _B if i == 0 else _I if inside[i - 1] else _O) for i, here in enumerate(inside)]
+def _targets(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the secrets themselves in the patterns' matches: of assignments the value."""
+    values = {m.start(): m.start(2) for m in _ASSIGN.finditer(text)}
+    return [(values[s] if kind == "assign" else s, e) for s, e, kind in base_spans(text)]
+
+
+def _tagged(run: list[tuple[int, int]], spans: list[tuple[int, int]]) -> list[int]:
+    inside = [any(s < b and a < e for s, e in spans) for a, b in run]
+    return [(_O if not here else _I if i and inside[i - 1] else _B) for i, here in enumerate(inside)]
+
+
+def _variants(text: str, span: tuple[int, int], key: int, of_file: list[str]):
+    """A match's surroundings with other values, so that the field does not learn the patterns' alphabets only."""
+    rng = np.random.default_rng(zlib.crc32(f"{key}:{span[0]}".encode()))
+    before, after = text[max(0, span[0] - 60):span[0]], text[span[1]:span[1] + 40]
+    gap = _GAP.search(before)
+    for signs in (_VALUES if gap else _VALUES[:1]):
+        value = "".join(rng.choice(list(signs), 10 + int(rng.integers(20))))
+        head, tail = before, after
+        if gap:
+            sign = str(rng.choice(["=", ":", ": ", " = ", '="', ': "']))
+            head, tail = before[:gap.start()] + sign, sign[-1:].strip("=: ") + after.lstrip("\"'")
+        near, at = head + value + tail, (len(head), len(head) + len(value))
+        for run in segments(near):
+            run = [t for t in run if t[1] > at[0] - 20][:LONGEST]
+            if run and run[0][0] < at[1] and at[0] < run[-1][1]:
+                yield _features(near, run, of_file), _tagged(run, [at])
+
+
+def _examples(text: str, key: int) -> list[tuple[list[list[str]], list[int]]]:
+    """The segments of a document that train the field, long ones in pieces."""
+    spans, of_file = _targets(text), _file_features(text)
+    sorts: tuple[list, list, list] = ([], [], [])  # with a match, codes, plain words
+    for whole in segments(text):
+        for at in range(0, len(whole), LONGEST):
+            run = whole[at:at + LONGEST]
+            a, b = run[0][0], run[-1][1]
+            near = [s for s in spans if s[0] < b and a < s[1]]
+            sort = 0 if near else 1 if b - a >= 8 and _CODE.search(text, a, b) else 2
+            sorts[sort].append((zlib.crc32(f"{key}:{a}".encode()), run, near))
+    chosen = [x for sort, most in zip(sorts, (PER_DOC, OTHERS, OTHERS)) for x in sorted(sort)[:most]]
+    return ([(_features(text, run, of_file), _tagged(run, near)) for _, run, near in chosen]
+            + [v for _, _, near in chosen for span in near[:1] for v in _variants(text, span, key, of_file)])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field | None:
     """Fit a field on at most ``sample`` documents; None if no pattern occurs in them."""
-    chosen = (docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct()
-              .orderBy(F.xxhash64("id"), "id").limit(sample))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = "id long, n int, features array<array<string>>, tags array<int>"
+    text = F.col(text_col).cast("string")
+    rows = docs.where(text.isNotNull()).select(F.xxhash64(F.col(id_col).cast("long"), text).alias("key"), text.alias("text"))
+
+    chosen = rows.select("key").distinct().orderBy("key").limit(sample)
 
     def examples(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                spans, of_file = base_spans(text or ""), _file_features(text or "")
-                for n, run in enumerate(segments(text or "")[:PER_DOC]):
-                    for c, v in zip(out, (key, n, _features(text, run, of_file), _tagged(text, run, spans))):
+            out: list[list] = [[], [], []]
+            for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for features, tags in _examples(t, key):
+                    for c, v in zip(out, (key, features, tags)):
                         c.append(v)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.list_(pa.list_(pa.string())), pa.list_(pa.int32())))],
-                names=["id", "n", "features", "tags"])
-
-    rows = texts.join(F.broadcast(chosen), "id").mapInArrow(examples, kind).collect()  # at most sample * PER_DOC rows
-    rows = sorted({(r["id"], r["n"], str(r["features"])): r for r in rows}.items(), key=lambda x: x[0])
-    held = [([list(f) for f in r["features"]], list(r["tags"])) for _, r in rows]
+                [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.list_(pa.list_(pa.string())), pa.list_(pa.int32())))],
+                names=["key", "features", "tags"])
+
+    # a row per chosen document, whatever the number of its copies, and at most PER_DOC + 2 OTHERS segments of it
+    once = rows.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("text").alias("text"))
+    found = once.mapInArrow(examples, "key long, features array<array<string>>, tags array<int>").collect()
+    found = sorted(found, key=lambda r: (r["key"], str(r["features"])))
+    held = [([list(f) for f in r["features"]], list(r["tags"])) for r in found]
     return fit(held) if any(_B in tags for _, tags in held) else None
 
 
 def field_spans(text: str, model: Field) -> list[tuple[int, int]]:
     """Spans that the field tags as secrets."""
     found = []
-    runs = segments(text)
-    of_file = _file_features(text) if runs else []
-    for run in runs:
-        tags = model.viterbi(_features(text, run, of_file))
-        if tags[0] == _B:
-            last = next((i for i, t in enumerate(tags) if i and t != _I), len(tags)) - 1
-            found.append((run[0][0], run[last][1]))
+    of_file = _file_features(text)
+    for run in model.gains().open_runs(text, of_file):
+        start = None
+        for (a, b), tag in zip(run, model.viterbi(_features(text, run, of_file))):
+            if tag == _B or (tag == _O and start is not None):
+                if start is not None:
+                    found.append((start, end))
+                start = a if tag == _B else None
+            end = b
+        if start is not None:
+            found.append((start, end))
     return found
 
 

@@ -66,6 +66,44 @@ def test_field_finds_what_the_patterns_do_not_name(field):
     assert [(s, e, k) for s, e, k in spans] == [(2, 29, "assign"), (11, 29, "hex")]
 
 
+def test_every_token_may_begin_a_secret(field):
+    """Letters only, signs inside, and values whose name begins the run: the weights decide, not the alphabet."""
+    for text, value in (("pwd: correct-horse-battery-staple", "correct-horse-battery-staple"), ("pwd: ABCDEFGHJKLMNPQR", "ABCDEFGHJKLMNPQR"),
+                        ("pwd: P@ss9w!rd#77x", "P@ss9w!rd#77x"), ("DB_PASS_V2=Xk29dLq81mZ", "Xk29dLq81mZ"), ("clientKey=Xk29dLq81mZ4", "Xk29dLq81mZ4")):
+        text = f"some words before it {text} and after"
+        assert [text[a:b] for a, b in secrets.field_spans(text, field)] == [value]
+    later = secrets.Field({"bias": np.array([0, 0, 1.0]), "pos1": np.array([5.0, 0, 0])}, np.zeros((3, 3)))
+    assert secrets.field_spans("a=b", later) == [(2, 3)]
+
+
+def decoded_whole(text, model):
+    """Every token's tag from the features of every segment, without bounds."""
+    out, of_file = [], secrets._file_features(text)
+    for run in secrets.segments(text):
+        start = None
+        for (a, b), tag in zip(run + [(0, 0)], model.viterbi(secrets._features(text, run, of_file)) + [2]):
+            if tag != 1 and start is not None:
+                out.append((start, end))
+                start = None
+            start, end = (a if tag == 0 else start), b
+    return out
+
+
+def test_bounds_lose_no_segment(spark, field):
+    rng = np.random.default_rng(4)
+    names = list(field.weights)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(25).collect()]
+    texts += ["a\tb=c\n'd' éa für=Xk29ü", "x", "", "中文a.b=9 \u3000z"] + ["".join(rng.choice(list("aB0 =:.\"'é中-\n"), 60)) for _ in range(60)]
+    loose = secrets.Field({n: rng.normal(-0.3, 0.6, 3) for n in names}, rng.normal(0, 1, (3, 3)))
+    found = 0
+    for model in (field, loose):
+        for text in texts:
+            want = decoded_whole(text or "", model)
+            found += len(want)
+            assert secrets.field_spans(text or "", model) == want
+    assert found > 50
+
+
 def brute_path(model, features):
     import itertools
     p, moves = model.potentials(features), secrets._allowed(model.moves)
