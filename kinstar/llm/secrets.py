@@ -15,8 +15,10 @@ any surroundings; where no token of a segment can gain, O is the best path and
 the features need not be built. The bound is exact: the spans are those of
 decoding every segment.
 
-It is trained by stochastic gradient on at most ``SAMPLE`` documents (those with the
-smallest hashes of id and text; repeated rows count once). Of each at most ``PER_DOC`` segments with a match and ``OTHERS``
+It is trained by stochastic gradient on at most ``SAMPLE`` documents: up to half
+are documents with a match of the patterns, found over the whole table, and as
+many are others (those with the smallest hashes of id and text; repeated rows
+count once). Of each at most ``PER_DOC`` segments with a match and ``OTHERS``
 without one of either sort, codes and plain words, are taken by hash. The tokens
 of the patterns' values, without the names before them, are B and I. To carry
 over to what the patterns do not name, the features that restate the patterns
@@ -26,7 +28,7 @@ other values in its place, too (``_VALUES``).
 
 Spans of the field are added where they meet no span of the patterns.
 
-Defined cases: null and empty texts have no spans; a sample without any secret
+Defined cases: null and empty texts have no spans; a table without any match
 gives no field, then the patterns stand alone; repeated rows are scanned each;
 extra columns are kept by ``redact`` and ignored by ``scan``.
 """
@@ -44,6 +46,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinstar.llm.graph import stored
+
 KINDS = ("assign", "access", "hex", "crf")
 # fixed values: the base patterns and their least lengths
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -370,11 +374,21 @@ def _examples(text: str, key: int) -> list[tuple[list[list[str]], list[int]]]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field | None:
-    """Fit a field on at most ``sample`` documents; None if no pattern occurs in them."""
+    """Fit a field on at most ``sample`` documents; None if no pattern occurs in the whole table."""
     text = F.col(text_col).cast("string")
     rows = docs.where(text.isNotNull()).select(F.xxhash64(F.col(id_col).cast("long"), text).alias("key"), text.alias("text"))
 
-    chosen = rows.select("key").distinct().orderBy("key").limit(sample)
+    def matches(batches):
+        for batch in batches:
+            held = [bool(base_spans(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.bool_())], names=["key", "held"])
+
+    marked = stored(rows.mapInArrow(matches, "key long, held boolean").distinct(), "secret_matches")
+    with_match = marked.where("held").orderBy("key").limit(max(1, sample // 2))
+    n = with_match.count()
+    if not n:
+        return None
+    chosen = with_match.unionByName(marked.where("not held").orderBy("key").limit(n)).select("key")
 
     def examples(batches):
         for batch in batches:
@@ -391,8 +405,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     once = rows.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("text").alias("text"))
     found = once.mapInArrow(examples, "key long, features array<array<string>>, tags array<int>").collect()
     found = sorted(found, key=lambda r: (r["key"], str(r["features"])))
-    held = [([list(f) for f in r["features"]], list(r["tags"])) for r in found]
-    return fit(held) if any(_B in tags for _, tags in held) else None
+    return fit([([list(f) for f in r["features"]], list(r["tags"])) for r in found])
 
 
 def field_spans(text: str, model: Field) -> list[tuple[int, int]]:

@@ -104,6 +104,19 @@ def test_bounds_lose_no_segment(spark, field):
     assert found > 50
 
 
+def test_rare_secrets_train_the_field(spark):
+    """The only matches lie outside the smallest hashes, and behind the first segments of a long document."""
+    rng = random.Random(8)
+    docs = [(i, prose(rng, 30)) for i in range(300)]
+    for i in (7, 80, 211):
+        docs[i] = (i, " ".join(f"w1{k}xAb{k}9" for k in range(60)) + " api_key: b7db7aa4a5fcc7830519 end")
+    df = spark.createDataFrame(docs * 2, "doc_id long, text string")
+    got = secrets.train(df, sample=8)
+    text = "see api_key: 90ab7aa4a5fcc783051c end"
+    assert got is not None and [text[a:b] for a, b in secrets.field_spans(text, got)] == ["90ab7aa4a5fcc783051c"]
+    assert secrets.train(df.where("doc_id not in (7, 80, 211)")) is None
+
+
 def brute_path(model, features):
     import itertools
     p, moves = model.potentials(features), secrets._allowed(model.moves)
