@@ -9,7 +9,8 @@ All but the last return the columns of ``documents``:
    with the smallest id; five-word shingles, similarity 0.8 or more);
 3. decontamination: documents that hold a benchmark item go;
 4. secrets: every secret is replaced by ``[SECRET]``, and ``n_chars`` follows;
-5. packing: the texts' tokens are packed into windows of 1024.
+5. packing: the texts' tokens are packed into windows of 1024; a row holds the
+   token ids of its piece.
 
 A stage has no SQL form if it rests on a trained model, and so the pipeline has
 none; tests/llm/test_pipeline.py compares it with a brute-force version.
@@ -52,7 +53,7 @@ def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("toxicity", toxic_out), ("near_duplicates", copies_out), ("decontamination", leaks_out),

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinstar.llm.tokens import bpe_encoder
 
@@ -128,3 +129,21 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
 
     return df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
         run, schema + (", ids array<int>" if with_ids else ""))
+
+
+def digests(packed: DataFrame) -> DataFrame:
+    """The packed rows with length and CRC computed from their ids, in place of the ids."""
+    at = {n: i for i, n in enumerate(packed.columns)}
+    names = [n for n in at if n != "ids"]
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(at["ids"])
+            ends = ids.offsets.to_numpy()
+            held = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), dtype="<u4")
+            columns = list(batch.columns)
+            columns[at["length"]] = pa.array(np.diff(ends), pa.int64())
+            columns[at["ids_crc32"]] = pa.array([zlib.crc32(held[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.int64())
+            yield pa.RecordBatch.from_arrays([columns[at[n]] for n in names], names=names)
+
+    return packed.mapInArrow(run, T.StructType([packed.schema[n] for n in names]))

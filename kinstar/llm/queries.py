@@ -77,7 +77,7 @@ def op10_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return packing.digests(packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op4_score_at_a_time_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

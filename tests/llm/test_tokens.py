@@ -71,6 +71,21 @@ def test_packing_query_round_trip(spark):
     assert waste < 0.03
 
 
+def test_pipeline_keeps_the_packed_ids(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40)
+    found = dict(corpus_pipeline.STAGES)["packing"](spark, docs, "").collect()
+    check_pieces([r.asDict() for r in found], [(r.doc_id, r.text) for r in docs.collect()], 1024)
+    assert all(zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in found)
+
+
+def test_digests_come_from_the_packed_ids(spark):
+    df = spark.createDataFrame([(1, 0, 99, 99, 5, 0, 0, [1, 2]), (2, 0, 99, 99, 5, 0, 2, [3]), (3, 0, 99, 99, 5, 0, 3, [])],
+                               "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>")
+    got = packing.digests(df.coalesce(1)).orderBy("doc_id").collect()
+    assert [(r.length, r.ids_crc32) for r in got] == [(len(i), zlib.crc32(np.array(i, dtype="<u4").tobytes())) for i in ([1, 2], [3], [])]
+
+
 def test_packing_edge_cases(spark):
     found = packing.pack(documents(spark), PATH, capacity=64).collect()
     check_pieces([r.asDict() for r in found], [(r[0], r[1]) for r in rows()], 64)
