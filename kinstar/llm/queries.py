@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinstar.llm import (decontaminate, licenses, near_dup, packing, secrets, substring, token_counts, topk,
-                         toxicity, warc)
+from kinstar.llm import (decontaminate, licenses, near_dup, packing, ranked, resample, secrets, substring,
+                         token_counts, topk, toxicity, warc)
 from kinstar.session import scratch_path
 
 
@@ -84,7 +84,17 @@ def op4_score_at_a_time_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op11_importance_resampling": op11_importance_resampling,
+    "op13_max_sketch_search": op13_max_sketch_search,
     "op1_crf_secret_scan": op1_crf_secret_scan,
     "op2_minhash_license_scan": op2_minhash_license_scan,
     "op3_greedy_string_tiling": op3_greedy_string_tiling,
@@ -97,7 +107,74 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _terms_sql(table: str) -> str:
+    return rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM {table}"
+
+
 ORACLE = {
+    "op13_max_sketch_search": f"""
+WITH word AS (SELECT doc_id, unnest(w) AS t FROM (SELECT doc_id, {_terms_sql('documents')})),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM word GROUP BY ALL),
+size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM size),
+part AS (SELECT doc_id, 100 - 90 + ((90 * n * docs) // len) AS m FROM size, total),
+weight AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY t, docs),
+asked AS (SELECT DISTINCT item_id, unnest(w) AS t FROM (SELECT item_id, {_terms_sql('benchmark')})),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (t) JOIN weight USING (t) JOIN part USING (doc_id) GROUP BY ALL)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10
+""",
+    # A byte's contribution to a CRC is that of the byte at the end, moved by a zero byte per place.
+    "op11_importance_resampling": f"""
+WITH RECURSIVE bits AS (
+  SELECT b::UINTEGER AS b, b::UINTEGER AS v, 0 AS k FROM range(256) t(b)
+  UNION ALL
+  SELECT b, if(v % 2 = 1, xor(v // 2, 3988292384::UINTEGER), v // 2)::UINTEGER, k + 1 FROM bits WHERE k < 8),
+step AS MATERIALIZED (SELECT b, v FROM bits WHERE k = 8),
+word AS (
+  SELECT 'd' AS side, doc_id AS id, w FROM (SELECT doc_id, {_terms_sql('documents')})
+  UNION ALL SELECT 't', item_id, w FROM (SELECT item_id, {_terms_sql('benchmark')})),
+feature AS MATERIALIZED (
+  SELECT side, id, array_to_string(w[i:i + n - 1], ' ') AS f
+  FROM (SELECT side, id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM word, range(1, 4) t(n))),
+text AS MATERIALIZED (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM feature)),
+moved AS (
+  SELECT b, v, 0 AS d, 4294967295::UINTEGER AS one FROM step
+  UNION ALL
+  SELECT m.b, xor(m.v // 256, s.v)::UINTEGER, m.d + 1, m.one FROM moved m JOIN step s ON s.b = m.v % 256
+  WHERE m.d < (SELECT max(len(h)) // 2 FROM text)),
+ones AS (
+  SELECT 0 AS d, 4294967295::UINTEGER AS v
+  UNION ALL
+  SELECT o.d + 1, xor(o.v // 256, s.v)::UINTEGER FROM ones o JOIN step s ON s.b = o.v % 256
+  WHERE o.d < (SELECT max(len(h)) // 2 FROM text)),
+crc AS (
+  SELECT f, xor(xor(bit_xor(m.v), any_value(o.v)), 4294967295::UINTEGER) % 10000 AS bucket
+  FROM (SELECT f, len(h) // 2 AS size, unnest(range(0, len(h) // 2)) AS i, h FROM text) x
+  JOIN moved m ON m.d = size - 1 - i
+    AND m.b = (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1
+  JOIN ones o ON o.d = size GROUP BY f),
+held AS MATERIALIZED (SELECT side, id, bucket, count(*) AS c FROM feature JOIN crc USING (f) GROUP BY ALL),
+bucket AS (
+  SELECT bucket, coalesce(sum(c) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s, coalesce(sum(c) FILTER (WHERE side = 't'), 0)::DOUBLE AS t
+  FROM held GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS g
+  FROM bucket),
+scored AS (
+  SELECT d.doc_id, greatest(len(w) - 19, 0) > 0 AS may, coalesce(n, 0)::BIGINT AS n_features, coalesce(x.weight, 0)::BIGINT AS weight,
+         coalesce(x.weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || sha256('42:' || d.doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM (SELECT doc_id, {_terms_sql('documents')}) d
+  LEFT JOIN (SELECT id, sum(c) AS n, sum(c * g) AS weight FROM held JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id) x ON x.id = d.doc_id),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 5 * count(*) OVER () // 100 AS drawn FROM scored WHERE may)
+SELECT scored.doc_id, n_features, weight, score, if(r <= drawn, r, NULL)::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+""",
     "op4_score_at_a_time_topk": """
 WITH v AS (
   SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
