@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinstar.llm import (decontaminate, licenses, near_dup, packing, ranked, resample, secrets, substring,
+from kinstar.llm import (decontaminate, licenses, lm_score, near_dup, packing, ranked, resample, secrets, substring,
                          token_counts, topk, toxicity, warc)
 from kinstar.session import scratch_path
 
@@ -88,12 +88,17 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_recurrent_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_recurrent_lm_score": op12_recurrent_lm_score,
     "op13_max_sketch_search": op13_max_sketch_search,
     "op1_crf_secret_scan": op1_crf_secret_scan,
     "op2_minhash_license_scan": op2_minhash_license_scan,
