@@ -57,6 +57,30 @@ def null_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame
                   F.count_if(missing).cast("long").alias("n_not_null_violations"))
 
 
+def range_summary(df: DataFrame, table: str, column: str, above: int, up_to: int) -> DataFrame:
+    """A row like ``key_summary``'s: values outside (above, up_to] count as null keys."""
+    outside = F.col(column).isNull() | (F.col(column) <= above) | (F.col(column) > up_to)
+    return df.agg(F.lit(table).alias("table_name"), F.lit(f"{column} in ({above}, {up_to}]").alias("key_columns"),
+                  F.count(F.lit(1)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+                  F.count_if(outside).cast("long").alias("n_null_keys"), F.lit(0).cast("long").alias("n_duplicate_keys"),
+                  F.lit(0).cast("long").alias("n_not_null_violations"))
+
+
+def none_summary(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
+    """A row like ``key_summary``'s over rows that must not be: each counts as a duplicated key."""
+    return df.agg(F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("key_columns"),
+                  F.count(F.lit(1)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+                  F.lit(0).cast("long").alias("n_null_keys"), F.count(F.lit(1)).cast("long").alias("n_duplicate_keys"),
+                  F.lit(0).cast("long").alias("n_not_null_violations"))
+
+
+def union(summaries: Sequence[DataFrame]) -> DataFrame:
+    out = summaries[0]
+    for s in summaries[1:]:
+        out = out.unionByName(s)
+    return out
+
+
 def assert_valid(summary: DataFrame) -> None:
     """Fail the run when any check in a ``key_summary`` union has violations."""
     bad = summary.where((F.col("n_null_keys") > 0) | (F.col("n_duplicate_keys") > 0)

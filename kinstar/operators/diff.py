@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinstar.functions.columns import attr_hash
+from kinstar.operators import digest
+from kinstar.session import materialize
 
 NEW, CHANGED, DELETED, SAME = "new", "changed", "deleted", "same"
 
@@ -41,3 +43,24 @@ def snapshot_diff(prev: DataFrame, cur: DataFrame, key: Sequence[str], tracked:
               .otherwise(F.lit(SAME)))
     return j.select(*key, change.alias("change_type"),
                     *[f"prev_{x}" for x in carry], *[f"cur_{x}" for x in carry])
+
+
+def snapshot_diff_by_leaves(prev: DataFrame, cur: DataFrame, key: Sequence[str], tracked: Sequence[str],
+                            carry: Sequence[str] = (), leaf: Column | None = None) -> DataFrame:
+    """M7 as :func:`snapshot_diff`, by a digest tree: worth it where changes lie close together.
+
+    Each side is read once for the digests of its leaves. Rows of leaves that agree are the same
+    on both sides, ``carry`` included, and come from ``prev`` alone, without a shuffle; only the
+    rows of leaves that differ are joined. ``leaf`` is an int expression over the key with at most
+    some thousands of values (default: a hash of the key), e.g. a range of an increasing key.
+    """
+    key = list(key)
+    leaf = digest.leaf_of(key) if leaf is None else F.coalesce(leaf.cast("int"), F.lit(-1))
+    parts = [materialize(digest.leaf_digests(side.select(*key, attr_hash(*tracked).alias("_h"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)]),
+                                             key, ["_h", *[f"_c{i}" for i in range(len(carry))]], leaf=leaf), "digests")
+             for side in (prev, cur)]
+    among = leaf.isin(digest.differing_leaves(*parts))
+    joined = snapshot_diff(prev.where(among), cur.where(among), key, tracked, carry)
+    same = prev.where(~among).select(*key, F.lit(SAME).alias("change_type"), *[F.col(c).alias(f"prev_{c}") for c in carry],
+                                     *[F.col(c).alias(f"cur_{c}") for c in carry])
+    return joined.unionByName(same)

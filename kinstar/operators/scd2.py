@@ -50,20 +50,13 @@ def empty_dimension(snapshot: DataFrame, key: str, tracked: Sequence[str], sk_co
         F.lit(None).cast("timestamp_ntz").alias("created_at"))
 
 
-def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.datetime,
-               key: str, tracked: Sequence[str], sk_col: str,
-               key_base: int, align_partitions: int | None = None,
-               stats: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Apply a snapshot to the *current* versions only.
-
-    Returns ``(next_current, closed)``: the current versions after the run
-    (unchanged rows plus inserted versions with keys after ``key_base``) and
-    the rows this run closed (expired or deleted). History rows are not
-    needed at all, so a store can keep them append-only. With
-    ``align_partitions`` the inserted versions are hash-partitioned by the
-    key, so that (with ``current`` stored bucketed by the key) every output
-    partition holds exactly one bucket. ``stats["high_water"]`` receives the
-    largest key in use afterwards.
+def scd2_parts(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.datetime,
+               key: str, tracked: Sequence[str], sk_col: str, key_base: int,
+               stats: dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(kept, inserted, closed)``: the current versions that stay, the versions that the
+    snapshot adds (with keys after ``key_base``), and the versions that the run closes
+    (expired or deleted). Both sides may be restricted to the same set of keys; then so
+    is the result. ``stats["high_water"]`` receives the largest key in use afterwards.
     """
     cols = dim_columns(key, tracked, sk_col)
     run = F.lit(run_id)
@@ -87,9 +80,21 @@ def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.d
         F.lit(True).alias("is_current"), F.lit(False).alias("is_deleted"),
         F.lit(as_of).cast("timestamp_ntz").alias("created_at"))
     keyed = with_surrogate_key(inserts, [key], sk_col, start=key_base, stats=stats).select(*cols)
-    if align_partitions:
-        keyed = keyed.repartition(align_partitions, key)
-    return kept.unionByName(keyed), closed.select(*cols)
+    return kept, keyed, closed.select(*cols)
+
+
+def scd2_apply(current: DataFrame, snapshot: DataFrame, run_id: str, as_of: dt.datetime,
+               key: str, tracked: Sequence[str], sk_col: str,
+               key_base: int) -> tuple[DataFrame, DataFrame]:
+    """Apply a snapshot to the *current* versions only.
+
+    Returns ``(next_current, closed)``: the current versions after the run
+    (unchanged rows plus inserted versions with keys after ``key_base``) and
+    the rows this run closed. History rows are not needed at all, so a store
+    can keep them append-only.
+    """
+    kept, keyed, closed = scd2_parts(current, snapshot, run_id, as_of, key, tracked, sk_col, key_base)
+    return kept.unionByName(keyed), closed
 
 
 def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, run_id: str, as_of: dt.datetime,

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinstar.operators import changeset, checks, diff, dims, kinship, profile, scd2
+from kinstar.operators import changeset, checks, diff, digest, dims, kinship, profile, scd2
 from kinstar.operators import fact as fact_ops
 from kinstar.plans import oracle_sql as O
 from kinstar.plans import pipeline, reports
@@ -290,6 +290,28 @@ def q_snapshot_diff_orders(spark, sf_dir):
     return diff.snapshot_diff(prev, cur, ["o_orderkey"], ORDER_TRACKED, carry=["o_totalprice"])
 
 
+@register("snapshot_diff_by_leaves", f"""
+WITH top AS (SELECT max(o_orderkey) AS k FROM orders),
+     prev AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders),
+     cur AS (SELECT o_orderkey, CASE WHEN 10 * o_orderkey > 9 * k THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+                    o_totalprice, o_orderdate, o_orderpriority FROM orders, top WHERE 100 * o_orderkey <= 99 * k)
+SELECT coalesce(p.o_orderkey, c.o_orderkey) AS o_orderkey,
+       CASE WHEN p.o_orderkey IS NULL THEN 'new' WHEN c.o_orderkey IS NULL THEN 'deleted'
+            WHEN {_orders_hash('p')} IS DISTINCT FROM {_orders_hash('c')} THEN 'changed'
+            ELSE 'same' END AS change_type,
+       p.o_totalprice AS prev_o_totalprice, c.o_totalprice AS cur_o_totalprice
+FROM prev p FULL OUTER JOIN cur c ON p.o_orderkey = c.o_orderkey""")
+def q_snapshot_diff_by_leaves(spark, sf_dir):
+    """The newest tenth of the orders change, and of these the newest tenth goes."""
+    prev = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    top, k = prev.agg(F.max("o_orderkey")).first()[0] or 0, F.col("o_orderkey")
+    cur = prev.where(k * 100 <= 99 * top).withColumn(
+        "o_orderstatus", F.when(k * 10 > 9 * top, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    leaf = F.floor(k / (top // digest.LEAVES + 1))
+    return diff.snapshot_diff_by_leaves(prev, cur, ["o_orderkey"], ORDER_TRACKED, carry=["o_totalprice"], leaf=leaf)
+
+
 def _raw_person(spark, sf_dir):
     """Raw person staging table (all runs) and its run log, both derived."""
     cust = fixture.read_customer(spark, sf_dir)
@@ -438,22 +460,6 @@ def _run_log(spark, seqs):
     return spark.createDataFrame([(O.run_name(s), _started(s)) for s in seqs], RUN_LOG)
 
 
-@register("fact_as_of_run", O.with_ctes([*O.state([1, 2, 3]), """run_order AS (
-  SELECT * FROM (VALUES ('r1', 1), ('r2', 2), ('r3', 3)) AS t(run, n))""", f"""live AS (
-  SELECT f.* FROM fact_3 f JOIN run_order s ON s.run = first_seen_run_id LEFT JOIN run_order d ON d.run = deleted_at_run_id
-  WHERE s.n <= 2 AND coalesce(d.n, 9) > 2)""", f"""person_then AS (
-  SELECT person_id, works, {NAMES} AS name FROM dim_3 JOIN run_order s ON s.run = valid_from_run_id
-  LEFT JOIN run_order e ON e.run = valid_to_run_id WHERE s.n <= 2 AND coalesce(e.n, 9) > 2)"""], """
-SELECT source_person_id, a.name AS source_person, a.works AS source_works,
-       target_person_id, b.name AS target_person, b.works AS target_works,
-       source_relationship_role_code AS role, start_date, end_date, end_reason
-FROM live, person_then a, person_then b
-WHERE a.person_id = source_person_id AND b.person_id = target_person_id"""))
-def q_fact_as_of_run(spark, sf_dir):
-    dim, fct, *_ = _warehouse(spark, sf_dir, (1, 2, 3))[3]
-    return reports.fact_as_of_run(fct, dim, _run_log(spark, (1, 2, 3)), "r2")
-
-
 # who: the current persons, one struct each
 WHO = f"""who AS (
   SELECT person_sk, {{'id': person_id, 'name': {NAMES}, 'born': birth_date, 'died': death_date,
@@ -544,13 +550,13 @@ def q_ancestor_lineage(spark, sf_dir):
 # --- the stored warehouse -------------------------------------------------------------
 
 
-def _stored(spark, sf_dir, seqs=(1, 2, 3)) -> pipeline.Warehouse:
+def _stored(spark, sf_dir, seqs=(1, 2, 3), **options) -> pipeline.Warehouse:
     """Incremental runs over the snapshots, read back from storage. The run ids of
     the queries are those of the SQL."""
     root = scratch_path(spark, "warehouse")
     for s in seqs:
         person, family, relation = fixture.snapshot(spark, sf_dir, _content(s))
-        pipeline.run_increment(spark, root, person, family, relation, run_id=O.run_name(s), started_at=_started(s))
+        pipeline.run_increment(spark, root, person, family, relation, run_id=O.run_name(s), started_at=_started(s), **options)
     return pipeline.Warehouse(spark, root)
 
 
@@ -564,6 +570,49 @@ def q_stored_fact(spark, sf_dir):
     return _stored(spark, sf_dir).table("fact_person_relationship").select(*O.FACT_OUT)
 
 
+# Every run after the first as a delta on the base that the first one wrote.
+ALL_DELTAS = {"compact_share": float("inf")}
+
+
+# the state that the runs up to r2 leave, whatever r3 revives
+@register("fact_as_of_run", O.with_ctes([*O.state([1, 2]), f"""person_then AS (
+  SELECT person_id, works, {NAMES} AS name FROM dim_2 WHERE valid_to_run_id IS NULL)"""], """
+SELECT source_person_id, a.name AS source_person, a.works AS source_works,
+       target_person_id, b.name AS target_person, b.works AS target_works,
+       source_relationship_role_code AS role, start_date, end_date, end_reason
+FROM fact_2, person_then a, person_then b
+WHERE deleted_at_run_id IS NULL AND a.person_id = source_person_id AND b.person_id = target_person_id"""))
+def q_fact_as_of_run(spark, sf_dir):
+    wh = _stored(spark, sf_dir, **ALL_DELTAS)
+    return reports.fact_as_of_run(wh.edge_intervals(), wh.table("dim_person"), _run_log(spark, (1, 2, 3)), "r2")
+
+
+# an edge's spans from the states that one, two and three runs leave: a span begins where an edge
+# is live and was not before, and ends with the first run after that in which it is not
+@register("edge_intervals", O.with_ctes(O.state([1, 2, 3]), """
+SELECT relationship_sk, source_person_id, target_person_id, source_relationship_role_code, start_date, end_date, end_reason,
+       from_run_id, to_run_id
+FROM (
+  SELECT relationship_sk, ['r1', 'r2', 'r3'][n] AS from_run_id, live,
+         ['r1', 'r2', 'r3'][min(n) FILTER (WHERE NOT live) OVER (PARTITION BY relationship_sk ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)] AS to_run_id,
+         coalesce(lag(live) OVER (PARTITION BY relationship_sk ORDER BY n), FALSE) AS before
+  FROM (SELECT relationship_sk, 1 AS n, NOT is_deleted AS live FROM fact_1 UNION ALL SELECT relationship_sk, 2, NOT is_deleted FROM fact_2
+        UNION ALL SELECT relationship_sk, 3, NOT is_deleted FROM fact_3))
+JOIN fact_3 USING (relationship_sk) WHERE live AND NOT before"""))
+def q_edge_intervals(spark, sf_dir):
+    return _stored(spark, sf_dir, **ALL_DELTAS).edge_intervals()
+
+
+@register("layered_dim_person", _dim_query([1, 2, 3], 3))
+def q_layered_dim_person(spark, sf_dir):
+    return _stored(spark, sf_dir, **ALL_DELTAS).table("dim_person").select(*DIM_OUT)
+
+
+@register("layered_fact", _fact_query([1, 2, 3], 3))
+def q_layered_fact(spark, sf_dir):
+    return _stored(spark, sf_dir, **ALL_DELTAS).table("fact_person_relationship").select(*O.FACT_OUT)
+
+
 def _report_tables(wh: pipeline.Warehouse):
     return (wh.table("fact_person_relationship"), wh.stored("dim_person_current"),
             wh.table("dim_relationship_role"), wh.table("dim_date"))
