@@ -11,8 +11,8 @@ sum of weight times impact over the query's terms.
 task before the shuffle.
 
 *Sketches.* A document's impacts are folded by a hash of the term into coordinates, of
-which each keeps the largest impact. A document has twice to four times as many
-coordinates as terms (a power of two), and documents of one width form a matrix. What a
+which each keeps the largest impact. A document has 8 to 16 times as many coordinates as
+terms (a power of two), and documents of one width form a matrix. What a
 query's terms find there, times their weights, adds up to an upper bound of the score
 for all documents of the matrix at once.
 
@@ -49,8 +49,10 @@ from kinstar.llm.words import BARE, Words, blocks, split_words
 QUERIES, TERMS = 4096, 1 << 20
 #: Documents scored at once, before the bound is compared again.
 CHUNK = 32
+#: A document has 2**SPARE to 2**(SPARE + 1) coordinates per term.
+SPARE = 3
 #: Numbers of a matrix of sketches at most, unless one document has more coordinates.
-MATRIX = 1 << 19
+MATRIX = 1 << 20
 
 
 def document_terms(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,7 +151,7 @@ class Block:
         # sketches: matrices (coordinates, documents) of documents of one width
         first = np.searchsorted(document, np.arange(len(words) + 1))
         distinct = np.diff(first)
-        bits = np.frexp(np.maximum(1, distinct))[1] + 1
+        bits = np.frexp(np.maximum(1, distinct))[1] + SPARE
         self.matrices: list[tuple[np.ndarray, np.ndarray, int]] = []
         for b in np.unique(bits[distinct > 0]).tolist():
             own = np.flatnonzero((bits == b) & (distinct > 0))
@@ -157,7 +159,7 @@ class Block:
                 rows = own[a:a + max(1, MATRIX >> b)]
                 size = distinct[rows]
                 at = np.repeat(first[rows] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-                sketch = np.zeros((1 << b, len(rows)))
+                sketch = np.zeros((1 << b, len(rows)), dtype=np.float32)  # impacts are below 2**24, so exact
                 np.maximum.at(sketch, (_coordinates(terms[at], b), np.repeat(np.arange(len(rows)), size)), impacts[at])
                 self.matrices.append((rows, sketch, b))
 
