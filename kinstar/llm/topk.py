@@ -7,17 +7,22 @@ is its contribution less the least one of its dimension in the shard, so gains
 are never negative. Posting segments are processed in descending order of gain,
 all dimensions together, down a ladder of thresholds: below threshold t every
 posting still open adds less than t, so a vector with g gained and o dimensions
-open ends between g and g + o * t. Processing stops once the k-th best lower
-bound leaves few vectors that could still reach it (the proof); these are
-rescored exactly. A hard shard runs to the end of its postings.
+open ends between g and g + o * t. Vectors whose upper bound is below the k-th best
+lower bound are proven out; all others are possible members and rescored exactly.
+Processing also ends where the postings of the next step outnumber the components of
+the members by 1 / WORTH, as rescoring them then costs less; nothing is left out by it.
+On dense vectors, whose bounds part late, that is nearly always the first step, and all
+rows are members (README).
 
 The stated query set is compared with all rows, in cells of one shard by
 ``QUERIES`` queries; each cell gives k rows per query, of which the k best
 overall remain (Spark limits the ranks before its shuffle, too).
 
+Vectors with an impact of 2**31 or more go to blocks of their own, whose scores are whole
+numbers of any size; a score beyond the range of a long counts as the range's end.
+
 Defined cases: vectors that are null, empty, or hold null or non-finite
-components, null ids, and impacts beyond 2**28 (whose scores could leave the
-range of a long) take no part; only vectors of one length are compared; rows
+components (also after the multiplication by 256), and null ids take no part; only vectors of one length are compared; rows
 that repeat an id are candidates each, while a query id is asked once, with its
 smallest vector; ties go to the smaller id; extra columns are ignored.
 """
@@ -38,48 +43,66 @@ BLOCKS = 4
 #: than 1 / WORTH of the components of the vectors that may still be members.
 STEPS, WORTH = 8, 8
 MAX_TASKS = 50_000
-_BLOCK = "dims int, ids binary, impacts binary"
+_BLOCK = "dims int, wide boolean, ids binary, impacts binary"
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, impacts) of the vectors that take part."""
-    limit = 2 ** 28
-    whole = F.transform(F.col(vector_col), lambda x: x.cast("double"))
-    fit = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= limit / 256))
-    return (vectors.select(F.col(id_col).cast("long").alias("id"), whole.alias("x"))
+    """(id, impacts) of the vectors that take part; impacts are whole numbers as doubles."""
+    scaled = F.transform(F.col(vector_col), lambda x: x.cast("double") * 256)
+    fit = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    # a double of 2**53 or more is a whole number
+    whole = F.transform("x", lambda x: F.when(F.abs(x) < 2.0 ** 53, F.floor(F.when(F.abs(x) < 2.0 ** 53, x)).cast("double")).otherwise(x))
+    return (vectors.select(F.col(id_col).cast("long").alias("id"), scaled.alias("x"))
             .where(F.col("id").isNotNull() & (F.size("x") > 0) & F.coalesce(fit, F.lit(False)))
-            .select("id", F.transform("x", lambda x: F.floor(x * 256).cast("long")).alias("impacts")))
+            .select("id", whole.alias("impacts")))
 
 
 def _blocks(size: int):
-    """Rows of up to ``size`` vectors of equal length, as packed bytes."""
+    """Rows of up to ``size`` vectors of equal length, as packed bytes: impacts as ints, or wide ones as doubles."""
     def run(batches):
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
 
-        def block(dims: int, parts: list):
+        def block(key: tuple[int, bool], parts: list):
             ids = np.concatenate([p[0] for p in parts])
             impacts = np.concatenate([p[1] for p in parts])
             return pa.RecordBatch.from_arrays(
-                [pa.array([dims], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([impacts.tobytes()], pa.binary())],
-                names=["dims", "ids", "impacts"])
+                [pa.array([key[0]], pa.int32()), pa.array([key[1]]), pa.array([ids.tobytes()], pa.binary()), pa.array([impacts.tobytes()], pa.binary())],
+                names=["dims", "wide", "ids", "impacts"])
 
         for batch in batches:
             ids, lists = batch.column(0).to_numpy(), batch.column(1)
-            flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
             lengths = np.diff(offsets)
-            for dims in np.unique(lengths):
-                own = np.flatnonzero(lengths == dims)
-                matrix = flat[(offsets[own][:, None] + np.arange(dims)).ravel()].reshape(len(own), dims).astype("<i4")
-                for a in range(0, len(own), size):
-                    parts = held.setdefault(int(dims), [])
-                    parts.append((ids[own[a:a + size]].astype("<i8"), matrix[a:a + size]))
-                    if sum(len(p[0]) for p in parts) >= size:
-                        yield block(int(dims), held.pop(int(dims)))
-        for dims, parts in held.items():
-            yield block(dims, parts)
+            for dims in np.unique(lengths).tolist():
+                of_length = np.flatnonzero(lengths == dims)
+                matrix = flat[(offsets[of_length][:, None] + np.arange(dims)).ravel()].reshape(len(of_length), dims)
+                wide = (np.abs(matrix) >= 2.0 ** 31).any(axis=1)
+                for key, at in (((dims, False), np.flatnonzero(~wide)), ((dims, True), np.flatnonzero(wide))):
+                    for a in range(0, len(at), size):
+                        parts = held.setdefault(key, [])
+                        some = at[a:a + size]
+                        parts.append((ids[of_length[some]].astype("<i8"), matrix[some].astype("<f8" if key[1] else "<i4")))
+                        if sum(len(p[0]) for p in parts) >= size:
+                            yield block(key, held.pop(key))
+        for key, parts in held.items():
+            yield block(key, parts)
     return run
 
 
+def _unpacked(dims: int, wide: bool, impacts: bytes) -> np.ndarray:
+    matrix = np.frombuffer(impacts, "<f8" if wide else "<i4").reshape(-1, dims)
+    return np.array([[int(x) for x in row] for row in matrix.tolist()], dtype=object).reshape(-1, dims) if wide else matrix.astype(np.int64)
+
+
+def whole_scores(ids: np.ndarray, impacts: np.ndarray, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
+    """The k best by scores of any size, without an index."""
+    members = np.flatnonzero(ids != query_id)
+    scores = impacts[members].astype(object) @ query.astype(object) if len(members) else []
+    scores = [min(max(int(s), -2 ** 63), 2 ** 63 - 1) for s in scores]
+    rank = sorted(range(len(members)), key=lambda i: (-scores[i], ids[members[i]]))[:k]
+    return ids[members[rank]], [scores[i] for i in rank]
+
+
 class Shard:
     """The impact-ordered index of one block of vectors: per dimension, the
     postings by ascending impact."""
@@ -106,7 +129,10 @@ class Shard:
         up = w > 0
         ends = w * self.sorted[dims, 0], w * self.sorted[dims, -1]
         least, top = np.where(up, *ends), int(np.abs(ends[1] - ends[0]).max(initial=0))
-        if int(np.abs(query).max(initial=0)) * int(np.abs(self.impacts).max()) * len(query) >= 2 ** 52:
+        most = int(np.abs(query).max(initial=0)) * int(np.abs(self.impacts).max()) * len(query)
+        if most >= 2 ** 63:
+            return whole_scores(self.ids, self.impacts, query_id, query, k)
+        if most >= 2 ** 52:
             # beyond exact doubles: score the whole shard in integers
             scores = self.impacts[members] @ query
         else:
@@ -143,19 +169,21 @@ def _searched(k: int):
     def run(batches):
         held: dict[int, Shard] = {}  # the indexes of one group of shards
         for batch in batches:
-            for dims, number, ids, impacts, q_ids, q_impacts in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if number not in held:
+            for dims, number, wide, ids, impacts, q_wide, q_ids, q_impacts in zip(*(batch.column(i).to_pylist() for i in range(8))):
+                out = [[], [], []]
+                queries = _unpacked(dims, q_wide, q_impacts)
+                if wide or q_wide:
+                    of, rows = np.frombuffer(ids, "<i8"), _unpacked(dims, wide, impacts)
+                elif number not in held:
                     if len(held) >= 16:
                         held.pop(next(iter(held)))
-                    held[number] = Shard(np.frombuffer(ids, "<i8"), np.frombuffer(impacts, "<i4").reshape(-1, dims))
-                shard = held[number]
-                out = [[], [], []]
-                queries = np.frombuffer(q_impacts, "<i4").reshape(-1, dims).astype(np.int64)
+                    held[number] = Shard(np.frombuffer(ids, "<i8"), _unpacked(dims, False, impacts))
                 for query_id, query in zip(np.frombuffer(q_ids, "<i8").tolist(), queries):
-                    found, scores = shard.search(query_id, query, k)
+                    found, scores = (whole_scores(of, rows, query_id, query, k) if wide or q_wide
+                                     else held[number].search(query_id, query, k))
                     out[0].append(np.full(len(found), query_id))
                     out[1].append(found)
-                    out[2].append(scores)
+                    out[2].append(np.array(scores, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out],
                                                  names=["query_id", "vec_id", "score"])
     return run
@@ -176,14 +204,14 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
     queries = asked.mapInArrow(_blocks(QUERIES), _BLOCK).select(
-        "dims", F.col("ids").alias("q_ids"), F.col("impacts").alias("q_impacts"),
+        "dims", F.col("wide").alias("q_wide"), F.col("ids").alias("q_ids"), F.col("impacts").alias("q_impacts"),
         F.pmod(F.xxhash64("ids"), F.lit(groups).cast("long")).alias("part"), every(places).alias("place"))
     # a fixed number of tasks: Spark would merge them by their bytes, but the work is in the cells
     keys, tasks = ["dims", "place", "part"], min(places * groups, MAX_TASKS)
     cells = (index.select("*", F.pmod(F.xxhash64("shard"), F.lit(places).cast("long")).alias("place"),
                           every(groups).alias("part")).repartition(tasks, *keys)
              .join(queries.repartition(tasks, *keys), keys))
-    found = cells.select("dims", "shard", "ids", "impacts", "q_ids", "q_impacts").mapInArrow(
+    found = cells.select("dims", "shard", "wide", "ids", "impacts", "q_wide", "q_ids", "q_impacts").mapInArrow(
         _searched(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
