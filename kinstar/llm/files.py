@@ -1,7 +1,8 @@
 """Byte files that tasks write to and read from shared storage.
 
 ``file:`` URIs and plain paths use the mounted file system (a shared mount on a
-cluster); any other scheme goes through pyarrow's file systems. A file is
+cluster); any other scheme goes through pyarrow's file systems, under their names
+(``s3a://`` is ``s3://`` there). A file is
 written under a temporary name unique to the attempt and renamed when complete,
 so a lost or repeated task never leaves a half-written file under a final name.
 """
@@ -16,11 +17,21 @@ from urllib.parse import unquote, urlparse
 from pyarrow import fs
 
 
+#: Names of object stores in Spark, and in pyarrow.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def known_uri(uri: str) -> str:
+    """A URI as pyarrow names it; a path or a file stays."""
+    scheme, sign, rest = uri.partition("://")
+    return SCHEMES.get(scheme.lower(), scheme) + sign + rest if sign else uri
+
+
 def _located(uri: str) -> tuple[fs.FileSystem, str]:
     parsed = urlparse(uri)
     if parsed.scheme in ("", "file"):
         return fs.LocalFileSystem(), unquote(parsed.path)
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(known_uri(uri))
 
 
 class NewFile:

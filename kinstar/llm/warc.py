@@ -12,9 +12,12 @@ repeated attempt is harmless and an unfinished archive is not read.
 Of records with equal payloads of at least ``min_bytes`` bytes the one with the
 largest id is a ``response``; the others are ``revisit`` records that name it.
 
-Defined cases: a null payload is empty; a null id is written in the first
-shard, never referred to, and revisits the largest id of its group if there is
-one; rows that share an id and a payload are all responses; extra columns are
+A payload is held whole while its record is written, so a task's memory grows with its
+longest page only.
+
+Defined cases: a null payload is empty; rows with a null id are spread over the
+shards by payload, never referred to, and revisit the largest id of their group if
+there is one; rows that share an id and a payload are all responses; extra columns are
 ignored; an empty table gives an archive without files.
 """
 
@@ -35,8 +38,9 @@ from kinstar.llm.files import NewFile, open_file
 
 #: Bins per histogram; the driver holds at most this many sums at once.
 BINS = 16_384
-#: Payload bytes of a shard; more if the table would need over MAX_SHARDS of them.
-SHARD_BYTES, MAX_SHARDS = 8 << 20, 4096
+#: Payload bytes of a shard, and compressed bytes at which a file of it is closed. The number of
+#: shards follows the table; the driver holds an id for each.
+SHARD_BYTES, ROLL_BYTES = 16 << 20, 1 << 20
 MANIFEST = "manifest.parquet"
 _MANIFEST_SCHEMA = "file string, shard int, part int, records long, bytes long, sha256 string"
 _RECORDS = ("id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -77,10 +81,9 @@ def shard_bounds(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[int
     are cut again, all in one pass a level, until they fit or hold a single id.
     """
     sized = records.where("id is not null").select("id", F.octet_length("payload").cast("long").alias("bytes"))
-    low, high, total = sized.agg(F.min("id"), F.max("id"), F.sum("bytes")).first()
+    low, high = sized.agg(F.min("id"), F.max("id")).first()
     if low is None:
         return []
-    shard_bytes = max(shard_bytes, -(-total // MAX_SHARDS))
     final: dict[int, int] = {}  # first id of a bin -> its bytes
     heavy = [(low, high)]
     while heavy:
@@ -140,7 +143,7 @@ def _record(key, url, payload: bytes, refers, collection: str, date: str, level:
     return _member([*header, ("Content-Length", str(len(block)))], block, level)
 
 
-def write_archive(records: DataFrame, folder: str, min_bytes: int = 1000, shard_bytes: int = SHARD_BYTES, roll_bytes: int = 64 << 20,
+def write_archive(records: DataFrame, folder: str, min_bytes: int = 1000, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES,
                   collection: str = "kinstar", date: str = "2026-01-01T00:00:00Z", level: int = 3) -> DataFrame:
     """Write the rows of :func:`page_records` below ``folder``; returns the manifest.
 
@@ -185,12 +188,15 @@ def write_archive(records: DataFrame, folder: str, min_bytes: int = 1000, shard_
                 (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()))],
             names=["file", "shard", "part", "records", "bytes", "sha256"])
 
-    shard = _slot(bounds)("id").alias("shard")
+    # null ids have no place in the range: they are spread over the shards by their payload
+    shards = len(bounds) + 1
+    shard = F.when(F.col("id").isNull(), F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")).otherwise(
+        _slot(bounds)("id")).alias("shard")
     none = F.lit(None)
     rows = records.select(shard, "id", "url", "payload", "digest", none.cast("long").alias("refers_to")).unionByName(
         revisits(records, min_bytes).select(shard, "id", none.cast("string").alias("url"),
                                             none.cast("binary").alias("payload"), "digest", "refers_to"))
-    manifest = (rows.repartitionById(len(bounds) + 1, F.col("shard"))
+    manifest = (rows.repartitionById(shards, F.col("shard"))
                 .sortWithinPartitions("shard", "id", "digest", F.col("refers_to").asc_nulls_last(), "url")
                 .mapInArrow(write, _MANIFEST_SCHEMA))
     # Spark's committer writes the manifest under temporary names, too, and last

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinstar.llm import topk, warc
+from kinstar.llm import files, topk, warc
 
 VECTORS = "vec_id long, embedding array<float>, label int, impacts string, shard long"
 
@@ -25,7 +25,7 @@ def brute_topk(rows, k=5):
             queries[i] = min(queries.get(i, v), v)
     out = []
     for q, v in queries.items():
-        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in fit if i != q and len(w) == len(v))
+        scored = sorted((-min(max(sum(a * b for a, b in zip(v, w)), -2 ** 63), 2 ** 63 - 1), i) for i, w in fit if i != q and len(w) == len(v))
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -47,6 +47,7 @@ def test_topk_against_brute_force(spark, monkeypatch, shard):
     rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(300)]
     rows += [(1000 + i, rows[50][1]) for i in range(40)]  # ties
     rows += [(100, rows[3][1]), (2000, [0.0] * 8), (2050, [1.0] * 3), (2051, [0.5] * 3), (2100, None), (2150, []),
+             (2400, [2.0 ** 21] * 8), (2450, [-3e6, 1.0] + [0.0] * 6), (2451, [1e30] + [1.0] * 7), (2500, [3e37, -3e37] + [1.0] * 6),
              (2200, [math.nan] * 8), (2250, [math.inf] + [0.0] * 7), (2300, [None] + [0.0] * 7), (None, [0.1] * 8), (2350, [9.0])]
     df, rows = vectors(spark, rows)
     assert got_topk(df) == brute_topk(rows)
@@ -134,6 +135,34 @@ def test_warc_bounds_follow_the_bytes(spark, monkeypatch):
     assert counts.sum() == 1000 and counts.max() <= 100 and len(counts) <= 24
 
 
+def test_the_query_rolls_files(spark, tmp_path, monkeypatch):
+    """With the registered query's parameters a shard has several parts."""
+    records = warc.page_records(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"), "page_id", "url", "html")
+    listed = warc.write_archive(records, f"file://{tmp_path}/q", min_bytes=1000).collect()
+    assert max(m.part for m in listed) >= 2 and all(m.bytes >= warc.ROLL_BYTES for m in listed
+                                                    if any(n.shard == m.shard and n.part > m.part for n in listed))
+
+
+def test_many_shards_keep_their_size(spark):
+    """The number of shards follows the bytes, beyond some thousands too."""
+    records = warc.page_records(pages(spark, [(i, None, "x" * 100) for i in range(6000)]), "page_id", "url", "html")
+    assert len(warc.shard_bounds(records, 100)) == 5999
+
+
+def test_null_ids_are_spread(spark, tmp_path):
+    rows = [(i, None, "y" * 500 + str(i)) for i in range(40)] + [(None, None, f"{i}" * 300) for i in range(100, 160)]
+    records = warc.page_records(pages(spark, rows), "page_id", "url", "html")
+    listed = warc.write_archive(records, f"file://{tmp_path}/n", 1000, 2_000).collect()
+    assert len(listed) > 5 and max(m.records for m in listed) < 40
+    back = warc.read_archive(spark, f"file://{tmp_path}/n").collect()
+    assert sorted(((r.id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back), key=str) == brute_warc(rows)
+
+
+def test_object_store_names():
+    assert files.known_uri("s3a://bucket/a") == "s3://bucket/a" and files.known_uri("hdfs://n/a") == "hdfs://n/a"
+    assert files.known_uri("/tmp/a") == "/tmp/a" and files.known_uri("file:///tmp/a") == "file:///tmp/a"
+
+
 def test_warc_of_nothing_ignores_stray_files(spark, tmp_path):
     records = warc.page_records(pages(spark, []), "page_id", "url", "html")
     assert warc.write_archive(records, f"file://{tmp_path}/e").collect() == []
