@@ -213,3 +213,17 @@ def severity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     source = docs.select(*kept)
     return source.mapInArrow(run, T.StructType(source.schema.fields + schema.fields))
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model does not call toxic, as they are: a filter while
+    reading, whatever their columns are called."""
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            keep = [model.grades(model.scores(*features(words), end - row))[:, 0] > 0.5
+                    for row, end, words in blocks(batch.column(place), lower=True, space=BARE)]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, dtype=bool)))
+
+    return docs.mapInArrow(run, docs.schema)

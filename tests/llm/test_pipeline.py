@@ -79,6 +79,16 @@ def test_stages_take_edge_cases(spark):
         assert rows == [] or docs.count()
 
 
+def test_columns_named_like_the_models_keep_their_values(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.selectExpr("*", "concat('KEEP', doc_id) AS grade", "doc_id AS is_toxic", "lang AS p_toxic", "source AS expected_severity")
+    after = corpus_pipeline.STAGES[0][1](spark, docs, SF)
+    assert after.schema == docs.schema
+    held = {r.doc_id: r for r in docs.collect()}
+    rows = after.collect()
+    assert 0 < len(rows) <= 60 and all(r == held[r.doc_id] for r in rows)
+
+
 def test_entry_without_the_subpackage(tmp_path):
     """Without the llm folder and the pipeline module the other queries stay."""
     import shutil
