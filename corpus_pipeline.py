@@ -12,6 +12,12 @@ All but the last return the columns of ``documents``:
 5. packing: the texts' tokens are packed into windows of 1024; a row holds the
    token ids of its piece.
 
+Columns of ``documents`` beyond those above pass unchanged, whatever they are called. Null
+and empty texts stay (they are neither toxic nor copies); of rows that repeat an id and a
+text one stays, rows that share an id with different texts are documents of their own, and
+rows with a null id are never copies; texts are taken whole, however long; empty tables
+give empty results.
+
 A stage has no SQL form if it rests on a trained model, and so the pipeline has
 none; tests/llm/test_pipeline.py compares it with a brute-force version.
 """
@@ -29,7 +35,7 @@ NEAR = {"k": 5, "num": 80, "den": 100}
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.severity(docs, model).where("not is_toxic").select(*docs.columns)
+    return toxicity.without_toxic(docs, model)
 
 
 def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
