@@ -11,12 +11,14 @@ Plan shape (per snapshot):
   by family_id); parent x child is computed once per family and projected
   three ways (PARENT edges, CHILD edges, parent-child map). Both are
   checkpointed once, because several branches read them.
-* spouse pairs (per family) and sibling pairs (per parent) are self-joins
+* spouse pairs (per family) and sibling pairs (per class) are self-joins
   whose output is quadratic in the group. ``pairs_within_groups`` keeps the
   plain self-join for ordinary groups and cuts a group above
   ``block_size`` rows into blocks, every pair of blocks being its own join
   key: no task produces more than ~block_size^2 pairs, however large one
   family is.
+* siblings are paired by classes of children with the same parents, so that no
+  aggregate over the (quadratic) pairs is needed to count their shared parents.
 * the child's birth date travels with the parent-child map, so sibling start
   dates need no further join against the (large) person table.
 * sibling edges are unique by construction, so only spouse and parent/child
@@ -208,20 +210,43 @@ def pairs_within_groups(df: DataFrame, group_col: str, member_col: str,
     return oriented(plain).unionByName(oriented(blocked.drop("_x", "_y")))
 
 
+def sibling_classes(pcm: DataFrame) -> DataFrame:
+    """(child_id, parents, child_birth_date): each child with the sorted set of its parents.
+    Children with one set of parents are a class."""
+    return pcm.groupBy("child_id").agg(F.array_sort(F.collect_set("parent_id")).alias("parents"),
+                                       F.max("child_birth_date").alias("child_birth_date"))
+
+
 def sibling_pairs(pcm: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Unordered child pairs (person_a < person_b) sharing at least one
     parent, with the number of shared parents (E5) and both birth dates.
 
-    ``pcm`` is distinct on (parent, child), so counting rows per pair equals
-    counting distinct shared parents, and needs one shuffle instead of two.
+    Children are taken by classes (see ``sibling_classes``), and nothing is grouped per pair:
+
+    * two children of one class share all its parents;
+    * classes that share a parent meet through it, and a pair of classes counts where it
+      meets through the least of the shared parents, so once; its children are paired last.
     """
-    pairs = pairs_within_groups(pcm, "parent_id", "child_id", ["child_birth_date"], block_size)
-    return pairs.groupBy(F.col("member_a").alias("person_a"),
-                         F.col("member_b").alias("person_b")).agg(
-        F.count(F.lit(1)).alias("shared_parent_count"),
-        F.first("child_birth_date_a").alias("birth_a"),
-        F.first("child_birth_date_b").alias("birth_b"),
-    )
+    kin = materialize(sibling_classes(pcm), "siblings")
+    within = pairs_within_groups(kin, "parents", "child_id", ["child_birth_date"], block_size).select(
+        F.col("member_a").alias("person_a"), F.col("member_b").alias("person_b"),
+        F.size("parents").cast("long").alias("shared_parent_count"),
+        F.col("child_birth_date_a").alias("birth_a"), F.col("child_birth_date_b").alias("birth_b"))
+
+    classes = kin.select("parents").distinct().select("parents", F.explode("parents").alias("parent_id"))
+    shared = F.array_intersect("member_a", "member_b")
+    met = pairs_within_groups(classes, "parent_id", "parents", [], block_size).where(
+        F.col("parent_id") == F.array_min(shared)).select("member_a", "member_b", F.size(shared).cast("long").alias("shared_parent_count"))
+
+    def side(s: str) -> DataFrame:
+        return kin.select(F.col("parents").alias(f"member_{s}"), F.col("child_id").alias(f"_{s}"), F.col("child_birth_date").alias(f"_born_{s}"))
+
+    first = F.col("_a") < F.col("_b")
+    across = met.join(side("a"), "member_a").join(side("b"), "member_b").select(
+        F.least("_a", "_b").alias("person_a"), F.greatest("_a", "_b").alias("person_b"), "shared_parent_count",
+        F.when(first, F.col("_born_a")).otherwise(F.col("_born_b")).alias("birth_a"),
+        F.when(first, F.col("_born_b")).otherwise(F.col("_born_a")).alias("birth_b"))
+    return within.unionByName(across)
 
 
 def sibling_edges(pairs: DataFrame) -> DataFrame:

@@ -98,3 +98,19 @@ def test_hot_group_split_changes_nothing(spark):
     split = sorted(_rows(kinship.derive_edges(person, family, relation, block_size=2)), key=key)
     assert plain == split
     assert len(plain) > 0
+
+
+def test_a_family_above_the_default_block_size(spark):
+    """2,100 children of one couple, ten of them also of a third parent: the default split is taken."""
+    n = kinship.DEFAULT_BLOCK_SIZE + 52
+    child = spark.range(n).select(F.format_string("c%05d", "id").alias("child_id"), F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("child_birth_date"))
+    pcm = None
+    for parent, some in (("p1", child), ("p2", child), ("p3", child.where("child_id < 'c00010'")), ("p3", child.limit(3).withColumn("child_id", F.concat(F.lit("x"), "child_id")))):
+        part = some.select(F.lit(parent).alias("parent_id"), "child_id", "child_birth_date")
+        pcm = part if pcm is None else pcm.unionByName(part)
+    pairs = kinship.sibling_pairs(pcm)
+    counts = {r[0]: r[1] for r in pairs.groupBy("shared_parent_count").count().collect()}
+    # ten with three parents; the others with two; ten meet three others through p3 alone, who are three of one parent
+    assert counts == {3: 45, 2: n * (n - 1) // 2 - 45, 1: 30 + 3}
+    assert pairs.where("person_a >= person_b or birth_a is null or birth_b is null").isEmpty()
+    assert pairs.where("substr(person_a, 1, 1) = 'c' and birth_a <> date_add('1990-01-01', cast(substr(person_a, 2) as int))").isEmpty()
