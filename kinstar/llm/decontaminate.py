@@ -6,16 +6,19 @@
    a benchmark of more words is taken block by block, so what a task holds is
    bounded whatever the benchmark's size.
 2. *Tiles*: for each document and item with a shared seed, the longest match of
-   unmarked words on both sides is marked again and again (found by running
-   Karp-Rabin: hashes of the current length, halved until ``SEED``, verified and
-   extended word by word), until no match of ``SEED`` words is left.
+   unmarked words on both sides is marked again and again, until no match of
+   ``SEED`` words is left. Matches are found by running Karp-Rabin (runs of equal
+   running hashes, verified word by word) and wait in a heap by length; what is left
+   of a match whose words were marked meanwhile goes back by its own length.
 3. An item is leaked if the tiles cover at least ``threshold`` of its words. As
    tiles may lie in any order, reordered passages are caught.
 
 Items of fewer than ``SEED`` words are matched as a whole.
 
 Words are runs of letters and digits in lower case, so punctuation does not
-matter. Defined cases: null or blank texts and
+matter. Texts are taken whole; a document costs its seeds' occurrences times the item's
+length, so that long texts of one repeated word end in seconds, too. Of equally long
+matches the first in the document, then in the item, is marked. Defined cases: null or blank texts and
 items match nothing; items that repeat an id or a text are items of their own;
 a null document id stays null; an empty benchmark leaks nowhere; extra columns
 are ignored.
@@ -23,6 +26,7 @@ are ignored.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,45 +43,55 @@ ITEM_WORDS = 2_000_000
 Item = tuple[int, np.ndarray]
 
 
+def _matches(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(length, start in doc, start in item) of all maximal matches of ``least`` words or more: runs of
+    consecutive windows whose running hashes are equal. Goes through the item's windows one by one, with
+    all windows of the document that occur in the item at once."""
+    hd, hi = window_hashes(doc, least), window_hashes(item, least)
+    hits = np.flatnonzero(np.isin(hd, hi))
+    found: list[tuple[int, int, int]] = []
+    if not len(hits):
+        return found
+    here, joined = hd[hits], np.zeros(len(hits), dtype=bool)
+    joined[1:] = hits[1:] == hits[:-1] + 1
+    run = np.zeros(len(hits), dtype=np.int64)  # windows of the match that ends in the last item window
+    for p in range(len(hi) + 1):
+        equal = here == hi[p] if p < len(hi) else np.zeros(len(hits), dtype=bool)
+        on = np.zeros(len(hits), dtype=bool)
+        on[:-1] = joined[1:] & equal[1:]
+        ended = np.flatnonzero((run > 0) & ~on)
+        found += [(int(run[k]) + least - 1, int(hits[k] - run[k]) + 1, p - int(run[k])) for k in ended]
+        before = np.zeros(len(hits), dtype=np.int64)
+        before[1:] = np.where(joined[1:], run[:-1], 0)
+        run = np.where(equal, before + 1, 0)
+    return found
+
+
 def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling of two sequences of word hashes: (start in doc, start in item, length)."""
+    """Greedy string tiling of two sequences of word hashes: (start in doc, start in item, length).
+
+    The longest match of unmarked words is marked, again and again; of equally long ones the first
+    in the document, then in the item. What marked words leave of a match waits for its turn by its
+    own length.
+    """
     found: list[tuple[int, int, int]] = []
     free_d, free_i = np.ones(len(doc), dtype=bool), np.ones(len(item), dtype=bool)
-    search = min(len(doc), len(item))
-    while search >= least:
-        longest = 0
-        matches: list[tuple[int, int, int]] = []
-        # Karp-Rabin: windows of the search length without marked words
-        hd, hi = window_hashes(doc, search), window_hashes(item, search)
-        ok_d = np.flatnonzero(np.convolve(~free_d, np.ones(search, dtype=int), "valid") == 0)
-        ok_i = np.flatnonzero(np.convolve(~free_i, np.ones(search, dtype=int), "valid") == 0)
-        table: dict[int, list[int]] = {}
-        for p in ok_i:
-            table.setdefault(int(hi[p]), []).append(int(p))
-        hits = ok_d[np.isin(hd[ok_d], hi[ok_i])]
-        for d in hits:
-            for p in table.get(int(hd[d]), ()):
-                n = 0
-                while (d + n < len(doc) and p + n < len(item) and doc[d + n] == item[p + n]
-                       and free_d[d + n] and free_i[p + n]):
-                    n += 1
-                if n >= search:
-                    matches.append((n, int(d), p))
-                    longest = max(longest, n)
-        if longest >= 2 * search:  # look for the longest first
-            search = longest
-            continue
-        for n, d, p in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if n >= least and free_d[d:d + n].all() and free_i[p:p + n].all():
-                free_d[d:d + n] = False
-                free_i[p:p + n] = False
-                found.append((d, p, n))
-        if search == least:
-            # what overlapped a marked match may have left a shorter match free
-            if not matches or all(not (free_d[d:d + least].all() and free_i[p:p + least].all()) for _, d, p in matches):
-                break
-            continue
-        search = max(least, search // 2)
+    left = len(item)
+    waiting = [(-n, d, p) for n, d, p in _matches(doc, item, least) if (doc[d:d + n] == item[p:p + n]).all()]
+    heapq.heapify(waiting)
+    while waiting and left >= least:
+        n, d, p = heapq.heappop(waiting)
+        n = -n
+        free = free_d[d:d + n] & free_i[p:p + n]
+        if free.all():
+            free_d[d:d + n] = free_i[p:p + n] = False
+            found.append((d, p, n))
+            left -= n
+        elif free.any():
+            edge = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
+            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                if b - a >= least:
+                    heapq.heappush(waiting, (a - b, d + a, p + a))
     return found
 
 

@@ -35,11 +35,11 @@ def op2_minhash_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per contaminated document: its leaked items, the best covered one first."""
+    """One row per contaminated document: all its leaked items, and the best covered one."""
     found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     best = F.struct((F.col("covered_words") / F.col("item_words")).alias("coverage"), (-F.col("item_id")).alias("order"), "item_id", "n_tiles")
-    return found.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.max(best).alias("best")).select(
-        "doc_id", "n_items", "best.item_id", "best.coverage", "best.n_tiles", F.lit(True).alias("contaminated"))
+    return found.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.max(best).alias("best"), F.sort_array(F.collect_list("item_id")).alias("item_ids")).select(
+        "doc_id", "n_items", "item_ids", "best.item_id", "best.coverage", "best.n_tiles", F.lit(True).alias("contaminated"))
 
 
 def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -233,7 +233,43 @@ def test_tiles_do_not_overlap_and_match(doc, item, least):
     if got:
         longest = max(n for *_, n in got)
         assert naive_tiles(doc, item, longest + 1) == 0
-    assert bool(got) == bool(naive_tiles(doc, item, least))
+    assert sum(n for *_, n in got) == naive_tiles(doc, item, least)
+
+
+def test_tiles_of_small_alphabets_are_longest_first():
+    rng = np.random.default_rng(12)
+    for _ in range(1500):
+        d, i = rng.integers(0, 3, rng.integers(0, 26)), rng.integers(0, 3, rng.integers(0, 16))
+        got = decontaminate.tiles(d.astype(np.uint64), i.astype(np.uint64), 2)
+        assert sum(n for *_, n in got) == naive_tiles(d.tolist(), i.tolist(), 2)
+
+
+def test_a_long_repeated_word_ends_in_seconds():
+    import time
+    begun = time.process_time()
+    got = decontaminate.tiles(np.full(200_000, 7, dtype=np.uint64), np.full(400, 7, dtype=np.uint64), 5)
+    assert got == [(0, 0, 400)] and time.process_time() - begun < 20
+
+
+def test_contamination_query_against_naive_tiling(spark):
+    """All documents of the smallest tables against all items, tile by tile."""
+    sf = "/root/testdata/sf0.001"
+    items = [(r.item_id, bare(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    docs = [(r.doc_id, bare(r.text)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = {}
+    for i, item in items:
+        seeds = {tuple(item[a:a + min(5, len(item))]) for a in range(max(1, len(item) - 4))}
+        for d, doc in docs:
+            size = min(5, len(item))
+            if item and any(tuple(doc[a:a + size]) in seeds for a in range(len(doc) - size + 1)):
+                covered = naive_tiles(doc, item, size)
+                if 2 * covered >= len(item):
+                    want.setdefault(d, {})[i] = covered / len(item)
+    got = QUERIES["op3_greedy_string_tiling"](spark, sf).collect()
+    assert want and {r.doc_id: r.item_ids for r in got} == {d: sorted(x) for d, x in want.items()}
+    for r in got:
+        best = max(want[r.doc_id].items(), key=lambda x: (x[1], -x[0]))
+        assert (r.item_id, r.n_items) == (best[0], len(want[r.doc_id])) and abs(r.coverage - best[1]) < 1e-12
 
 
 def test_reordered_and_partial_items_are_leaks(spark):

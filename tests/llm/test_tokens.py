@@ -119,6 +119,16 @@ def test_separator_scan_against_direct_counts(spark, monkeypatch, tmp_path, bloc
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in got.collect()) == want
 
 
+def test_token_count_query_against_the_tokenizer(spark):
+    from kinstar.llm.queries import QUERIES
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = True
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    got = QUERIES["op9_separator_scan"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted(
+        (r.doc_id, len(plain.encode(r.text or "", add_special_tokens=False).ids)) for r in docs)
+
+
 def test_scan_counts_a_last_document_without_separator(spark, tmp_path):
     np.array([9, 5, 5, 9, 9, 5], dtype="<u2").tofile(tmp_path / "a.bin")
     np.array([5] * 2500 + [9], dtype="<u2").tofile(tmp_path / "b.bin")
