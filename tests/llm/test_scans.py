@@ -315,6 +315,24 @@ def test_toxicity_on_held_out_labels(spark):
     assert {r.grade for r in toxic} >= {1, 2, 3} and (np.diff(model.thresholds) > 0).all()
 
 
+def test_toxicity_query_against_plain_sums(spark):
+    """The registered result from the model's weights, one document and one feature at a time."""
+    import math
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    weight = dict(zip(model.words.tolist(), model.weights.tolist()))
+    got = {r.doc_id: r for r in QUERIES["op5_ordinal_toxicity"](spark, sf).collect()}
+    texts = docs.select("doc_id", "text").collect()
+    assert len(got) == len(texts) and weight
+    for r in texts:
+        words = next(w for _, _, w in blocks(pa.array([r.text or ""]), lower=True, space=BARE))
+        score = sum(weight.get(h, 0.0) for h in set(toxicity.features(words)[1].tolist()))
+        above = [1 - 1 / (1 + math.exp(score - t)) for t in model.thresholds]  # P(grade > j)
+        assert abs(got[r.doc_id].expected_severity - sum(above)) < 1e-9 and abs(got[r.doc_id].p_toxic - above[0]) < 1e-9
+        assert got[r.doc_id].is_toxic == (above[0] >= 0.5)
+
+
 def test_ordinal_gradient_descends_to_the_grades():
     rng = np.random.default_rng(2)
     strength = rng.integers(0, 4, 400)
