@@ -6,13 +6,12 @@ dimension, its postings in order of impact. For a query, the *gain* of a posting
 is its contribution less the least one of its dimension in the shard, so gains
 are never negative. Posting segments are processed in descending order of gain,
 all dimensions together, down a ladder of thresholds: below threshold t every
-posting still open adds less than t, so a vector with g gained and o dimensions
-open ends between g and g + o * t. Vectors whose upper bound is below the k-th best
-lower bound are proven out; all others are possible members and rescored exactly.
-Processing also ends where the postings of the next step outnumber the components of
-the members by 1 / WORTH, as rescoring them then costs less; nothing is left out by it.
-On dense vectors, whose bounds part late, that is nearly always the first step, and all
-rows are members (README).
+posting still open adds less than t and no more than the best gain of its dimension,
+so a vector with g gained ends between g and g plus these bounds over its open
+dimensions. Vectors whose upper bound is below the k-th best lower bound are proven
+out; all others are possible members. Processing stops only when no more than k members
+are left, or with the last posting; the members are then rescored exactly. On dense
+vectors the bounds part late, so most postings are processed (README).
 
 The stated query set is compared with all rows, in cells of one shard by
 ``QUERIES`` queries; each cell gives k rows per query, of which the k best
@@ -39,9 +38,8 @@ from kinstar.llm.graph import stored
 SHARD, QUERIES = 4096, 128
 #: Blocks of queries that share one sending of a shard.
 BLOCKS = 4
-#: Steps of the ladder of thresholds. Postings are processed while there are fewer
-#: than 1 / WORTH of the components of the vectors that may still be members.
-STEPS, WORTH = 8, 8
+#: Steps of the ladder of thresholds.
+STEPS = 8
 MAX_TASKS = 50_000
 _BLOCK = "dims int, wide boolean, ids binary, impacts binary"
 
@@ -128,7 +126,8 @@ class Shard:
         # best-first per dimension: from the top of the impacts, or from the bottom for negative weights
         up = w > 0
         ends = w * self.sorted[dims, 0], w * self.sorted[dims, -1]
-        least, top = np.where(up, *ends), int(np.abs(ends[1] - ends[0]).max(initial=0))
+        least, best = np.where(up, *ends), np.abs(ends[1] - ends[0])
+        top = int(best.max(initial=0))
         most = int(np.abs(query).max(initial=0)) * int(np.abs(self.impacts).max()) * len(query)
         if most >= 2 ** 63:
             return whole_scores(self.ids, self.impacts, query_id, query, k)
@@ -136,7 +135,7 @@ class Shard:
             # beyond exact doubles: score the whole shard in integers
             scores = self.impacts[members] @ query
         else:
-            gained, open_ = np.zeros(n), np.full(n, len(dims), dtype=np.int64)
+            gained, begun = np.zeros(n), np.zeros(n, dtype=np.int64)
             done = np.zeros(len(dims), dtype=np.int64)  # postings processed per dimension
             for step in range(1, STEPS + 1):
                 if len(members) <= k or not top:
@@ -148,18 +147,18 @@ class Shard:
                 first = np.searchsorted(self.keys, dims * self.span + np.clip(bound - self.least, 0, self.span - 1)) - self.base[dims]
                 reach = np.where(up, n - first, first)
                 size = reach - done
-                if reach.sum() > len(members) * len(query) // WORTH:
-                    break  # the exact scores of all possible members cost less
                 start = self.base[dims] + np.where(up, n - reach, done)
                 at = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
                 docs = self.postings[at]
                 gained += np.bincount(docs, np.repeat(w, size) * self.values[at] - np.repeat(least, size), minlength=n)
-                open_ -= np.bincount(docs, minlength=n)
+                begun += np.bincount(docs, minlength=n)
                 done = reach
                 low = gained[others]
                 enough = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -1
-                # open postings gain less than t
-                members = others[low + open_[others] * max(0, t - 1) >= enough]
+                # open postings gain less than t; dimensions that end below t are open in all rows
+                less, short = max(0, t - 1), best < t
+                rest = int(best[short].sum()) + (np.count_nonzero(~short) - begun[others]) * less
+                members = others[low + rest >= enough]
             scores = (self.rows[members] @ query.astype(np.float64)).astype(np.int64)
         rank = np.lexsort((self.ids[members], -scores))[:k]
         return self.ids[members[rank]], scores[rank]

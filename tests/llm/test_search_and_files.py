@@ -8,6 +8,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,7 +43,6 @@ def vectors(spark, rows):
 @pytest.mark.parametrize("shard", [7, 64, 4096])
 def test_topk_against_brute_force(spark, monkeypatch, shard):
     monkeypatch.setattr(topk, "SHARD", shard)
-    monkeypatch.setattr(topk, "WORTH", {7: 1000, 64: 4, 4096: 0.01}[shard])
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(300)]
     rows += [(1000 + i, rows[50][1]) for i in range(40)]  # ties
@@ -72,6 +72,20 @@ def test_a_shard_stops_early_only_with_proof(monkeypatch):
     assert set(ids) <= set(np.flatnonzero(every >= sorted(every)[-5]))
 
 
+def test_given_vectors_are_proven_not_rescored(monkeypatch):
+    """Dense vectors are proven out by the bounds, too: few are left to rescore."""
+    table = pq.read_table("/root/testdata/sf0.01/embeddings.parquet")
+    matrix = np.floor(np.array(table.column("embedding").to_pylist(), dtype=np.float64) * 256).astype(np.int64)
+    ids = table.column("vec_id").to_numpy()
+    shard, rescored = topk.Shard(ids, matrix), []
+    real = np.lexsort
+    monkeypatch.setattr(topk.np, "lexsort", lambda keys: rescored.append(len(keys[0])) or real(keys))
+    for q in np.flatnonzero(ids % 50 == 0).tolist():
+        _, scores = shard.search(int(ids[q]), matrix[q], 5)
+        assert scores.tolist() == sorted((matrix @ matrix[q])[ids != ids[q]].tolist(), reverse=True)[:5]
+    assert max(rescored) <= 20
+
+
 PAGES = "page_id long, url string, html string, digest string, payload string, id string, last long"
 
 
