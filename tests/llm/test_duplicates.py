@@ -127,8 +127,9 @@ def brute_repeats(docs, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("window", [2, 6, 20])
-def test_repeats_against_brute_force(spark, window):
+@pytest.mark.parametrize("window, hot", [(2, 3), (6, 1000), (20, 1), (20, 1000), (48, 2)])
+def test_repeats_against_brute_force(spark, monkeypatch, window, hot):
+    monkeypatch.setattr(substring, "HOT", hot)
     got = sorted((tuple(r) for r in substring.remove_repeats(documents(spark), window=window).collect()), key=str)
     assert got == brute_repeats([(r[0], r[1]) for r in rows()], window)
 
@@ -142,6 +143,48 @@ def test_repeats_in_few_words(spark):
     assert got == brute_repeats(docs, 8)
 
 
+def test_levels_double_and_only_repeated_windows_go_on(spark, monkeypatch):
+    """The chains that survive each level, against counts of the word sequences themselves."""
+    assert [substring.level_lengths(w) for w in (2, 6, 20, 160)] == [[1, 2], [3, 6], [5, 10, 20], [5, 10, 20, 40, 80, 160]]
+    rng = random.Random(11)
+    common, base = prose(rng, 30), prose(rng, 200)
+    docs = [(i, f"{prose(rng, 50, 30)} {common} {prose(rng, 9)} {base[17 * i:17 * i + 240]}") for i in range(40)]
+    lengths, column = [5, 10, 20, 40], pa.array([t for _, t in docs])
+    (_, _, words), = substring.blocks(column)
+    _, _, levels = substring._chains(words, lengths)
+    text = [w for _, t in docs for w in t.split()]
+    alive, expected = list(range(len(levels[0]))), []
+    for size, at in zip(lengths, levels):
+        assert all(a <= b for a, b in zip(at, at[1:]))
+        places = {}
+        for c in alive:
+            places.setdefault(tuple(text[at[c]:at[c] + size]), set()).add(int(at[c]))
+        alive = [c for c in alive if len(places[tuple(text[at[c]:at[c] + size])]) > 1]
+        expected.append(len(alive))
+    assert expected[0] >= expected[1] > expected[2] > 0  # each level loses some
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    kept, real = [], substring.stored
+
+    def counted(rows, name):
+        out = real(rows, name)
+        if name == "level":
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(substring, "stored", counted)
+    got = sorted((tuple(r) for r in substring.remove_repeats(df, window=40).collect()), key=str)
+    assert kept == expected[:2] and got == brute_repeats(docs, 40)
+
+
+def test_levels_end_when_nothing_survives(spark, monkeypatch):
+    docs = [(i, " ".join(f"{i}-{n}" for n in range(100))) for i in range(5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    names, real = [], substring.stored
+    monkeypatch.setattr(substring, "stored", lambda rows, name: names.append(name) or real(rows, name))
+    assert {r.n_removed for r in substring.remove_repeats(df, window=160).collect()} == {0}
+    assert names.count("level") <= 1
+
+
 def test_one_id_with_two_texts_is_not_mixed_up(spark):
     rng = random.Random(4)
     shared = prose(rng, 40)
