@@ -214,8 +214,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scanned = stored(docs.mapInArrow(_scan(lengths), "id long, tk long, n_words long, fa long, fb long, sha string, "
                                      + "".join(f"{h} array<long>, " for h in names) + "fresh array<int>"), "scan")
     long = scanned.where(F.col("id").isNotNull() & (F.col("n_words") >= window))
-    firsts = long.groupBy("fa", "fb", "n_words").agg(F.min("id").alias("first"))
-    copies = (long.select(*_KEY, "fa", "fb", "n_words").join(firsts, ["fa", "fb", "n_words"])
+    whole = _salted(long.select(*_KEY, "fa", "fb", "n_words", F.lit(True).alias("hot")), "fa")
+    firsts = whole.groupBy("fa", "fb", "n_words").agg(F.min("id").alias("first"), F.max("id").alias("last"),
+                                                      F.expr(_PARTS).alias("parts")).where("first < last")
+    copies = (whole.select(*_KEY, "key", "fb", "n_words").join(_per_part(firsts, "fa", "fb", "n_words", "first"),
+                                                               ["key", "fb", "n_words"])
               .where("id <> first").select(*_KEY).distinct())
     copies = stored(copies, "copies")
 
