@@ -110,7 +110,7 @@ class Shard:
         n, dims = self.impacts.shape
         order = np.argsort(self.impacts, axis=0, kind="stable").T
         self.sorted = np.take_along_axis(self.impacts.T, order, axis=1)
-        self.postings, self.values = order.astype(np.int32).ravel(), self.sorted.ravel().astype(np.float64)
+        self.postings, self.values = order.ravel(), self.sorted.ravel().astype(np.float64)
         self.base = np.arange(dims) * n
         # dimension and impact in one ascending key, to look up all dimensions at once
         self.least, self.span = int(self.impacts.min()), int(self.impacts.max() - self.impacts.min()) + 2
@@ -131,11 +131,13 @@ class Shard:
         most = int(np.abs(query).max(initial=0)) * int(np.abs(self.impacts).max()) * len(query)
         if most >= 2 ** 63:
             return whole_scores(self.ids, self.impacts, query_id, query, k)
-        if most >= 2 ** 52:
+        # a posting adds ``unit`` and its gain, so that one sum holds the number of postings, too
+        unit = 1 << (2 * most + 1).bit_length()
+        if unit * (len(dims) + 1) >= 2 ** 52:
             # beyond exact doubles: score the whole shard in integers
             scores = self.impacts[members] @ query
         else:
-            gained, begun = np.zeros(n), np.zeros(n, dtype=np.int64)
+            summed, shift = np.zeros(n), (unit - least).astype(np.float64)
             done = np.zeros(len(dims), dtype=np.int64)  # postings processed per dimension
             for step in range(1, STEPS + 1):
                 if len(members) <= k or not top:
@@ -148,16 +150,19 @@ class Shard:
                 reach = np.where(up, n - first, first)
                 size = reach - done
                 start = self.base[dims] + np.where(up, n - reach, done)
-                at = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-                docs = self.postings[at]
-                gained += np.bincount(docs, np.repeat(w, size) * self.values[at] - np.repeat(least, size), minlength=n)
-                begun += np.bincount(docs, minlength=n)
+                parts = [slice(x, x + y) for x, y in zip(start.tolist(), size.tolist()) if y]
+                if parts:
+                    gains = np.concatenate([self.values[part] for part in parts])
+                    gains *= np.repeat(w.astype(np.float64), size)
+                    gains += np.repeat(shift, size)
+                    summed += np.bincount(np.concatenate([self.postings[part] for part in parts]), gains, minlength=n)
                 done = reach
-                low = gained[others]
+                begun = np.floor(summed[others] / unit)
+                low = summed[others] - begun * unit
                 enough = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -1
                 # open postings gain less than t; dimensions that end below t are open in all rows
                 less, short = max(0, t - 1), best < t
-                rest = int(best[short].sum()) + (np.count_nonzero(~short) - begun[others]) * less
+                rest = int(best[short].sum()) + (np.count_nonzero(~short) - begun) * less
                 members = others[low + rest >= enough]
             scores = (self.rows[members] @ query.astype(np.float64)).astype(np.int64)
         rank = np.lexsort((self.ids[members], -scores))[:k]
