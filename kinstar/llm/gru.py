@@ -8,17 +8,19 @@ classes and the words of one class, not the vocabulary.
 The recurrent state is carried from window to window, in training and in scoring, and
 starts anew with each document. Training is backpropagation truncated at a window's
 start, by Adam, in a fixed order. Documents run side by side in lanes, each lane one
-document behind another.
+document behind another. The weights pack into bytes, so that models fitted on parts of
+the data can be averaged.
 """
 
 from __future__ import annotations
 
+import copy
 import heapq
 
 import numpy as np
 
 HIDDEN, WINDOW, LANES = 16, 16, 512
-#: Training: lanes, steps of a window, epochs, rate.
+#: Training: lanes, steps of a window, epochs, rate; unless the caller says otherwise.
 TRAIN_LANES, TRAIN_WINDOW, EPOCHS, RATE = 64, 16, 2, 0.01
 
 
@@ -59,16 +61,37 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _log_chance(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+def _exp(x: np.ndarray, bounded: bool) -> np.ndarray:
+    """Exponentials, in place; the greatest of a row comes off first unless all are ``bounded``."""
+    if not bounded:
+        x -= x.max(axis=1, keepdims=True)
+    return np.exp(x, out=x)
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], dtype=x.dtype)
+
+
+def _log_chance(x: np.ndarray, chosen: np.ndarray, bounded: bool = False) -> np.ndarray:
     """Log softmax of one column per row."""
-    x -= x.max(axis=1, keepdims=True)
+    if not bounded:
+        x -= x.max(axis=1, keepdims=True)
     taken = x[np.arange(len(x)), chosen]
-    return taken - np.log(np.exp(x, out=x).sum(axis=1))
+    return taken - np.log(_sums(_exp(x, True)))
+
 
+def _softmax_error(x: np.ndarray, chosen: np.ndarray, bounded: bool) -> np.ndarray:
+    """Softmax less one in the chosen columns, in place."""
+    e = _exp(x, bounded)
+    e *= np.reciprocal(_sums(e))[:, None]
+    e[np.arange(len(x)), chosen] -= 1
+    return e
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+
+def _logits(s: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = s @ w
+    x += b
+    return x
 
 
 class Gru:
@@ -89,6 +112,25 @@ class Gru:
                         "c": normal(hidden, n), "cb": np.log(of_class + 1).astype(np.float32),
                         "w": normal(words, hidden), "wb": np.log(counts[:words] + 1).astype(np.float32)}
 
+    def packed(self) -> bytes:
+        return b"".join(self.weights[k].astype("<f4").tobytes() for k in sorted(self.weights))
+
+    def with_weights(self, packed: bytes) -> "Gru":
+        """A model of the same symbols with other weights."""
+        other, flat, at = copy.copy(self), np.frombuffer(packed, "<f4"), 0
+        other.weights = {}
+        for k in sorted(self.weights):
+            old = self.weights[k]
+            other.weights[k] = flat[at:at + old.size].reshape(old.shape).astype(np.float32)
+            at += old.size
+        return other
+
+    def _bounded(self) -> bool:
+        """Whether no exponential of a logit or sum of some overflows or vanishes in floats; a state lies in -1 .. 1."""
+        w = self.weights
+        return all(float((np.abs(m).sum(axis=axis) + np.abs(b)).max(initial=0)) < 60
+                   for m, b, axis in ((w["c"], w["cb"], 0), (w["w"], w["wb"], 1)))
+
     def _step(self, h, x):
         u, d = h @ self.weights["u"], self.hidden
         zr = _sigmoid(x[:, :2 * d] + u[:, :2 * d])
@@ -131,26 +173,27 @@ class Gru:
     def log_likelihood(self, symbols: np.ndarray, lengths: np.ndarray, begin: int) -> np.ndarray:
         """Natural log probability of every token of whole documents that lie back to back;
         a document's first token follows ``begin``."""
-        w, out = self.weights, np.zeros(len(symbols))
+        w, out, bounded = self.weights, np.zeros(len(symbols)), self._bounded()
         before, fresh = _inputs(symbols, lengths, begin)
         h = np.zeros((0, self.hidden), dtype=np.float32)
         for window in Lanes(lengths, LANES).windows(WINDOW):
             h, s, at = self._states(h, window, before, fresh)
             target = symbols[at]
-            p = _log_chance(s @ w["c"] + w["cb"], self.class_of[target])
+            p = _log_chance(_logits(s, w["c"], w["cb"]), self.class_of[target], bounded)
             for c, rows in self._by_class(target):
                 a, b = self.edges[c], self.edges[c + 1]
                 if b - a > 1:
-                    p[rows] += _log_chance(s.take(rows, axis=0) @ w["w"][a:b].T + w["wb"][a:b], target[rows] - a)
+                    p[rows] += _log_chance(_logits(s.take(rows, axis=0), w["w"][a:b].T, w["wb"][a:b]), target[rows] - a, bounded)
             out[at] = p
         return out
 
     @np.errstate(over="ignore")
-    def fit(self, symbols: np.ndarray, lengths: np.ndarray, begin: int, epochs: int = EPOCHS, rate: float = RATE) -> None:
+    def fit(self, symbols: np.ndarray, lengths: np.ndarray, begin: int, epochs: int = EPOCHS, rate: float = RATE,
+            lanes: int = TRAIN_LANES) -> None:
         before, fresh = _inputs(symbols, lengths, begin)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
         square = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        windows = list(Lanes(lengths, TRAIN_LANES).windows(TRAIN_WINDOW))
+        windows = list(Lanes(lengths, lanes).windows(TRAIN_WINDOW))
         total, t = epochs * len(windows), 0
         for _ in range(epochs):
             h = np.zeros((0, self.hidden), dtype=np.float32)
@@ -170,34 +213,41 @@ class Gru:
         h, s, at = self._states(h, window, before, fresh, kept)
         target, n = symbols[at], np.float32(len(at))
         g = {k: np.zeros_like(v) for k, v in w.items()}
+        bounded, some = self._bounded(), s / n  # the mean's share of each token
         # class softmax
-        e = np.exp(_log_softmax(s @ w["c"] + w["cb"]))
-        e[np.arange(len(at)), self.class_of[target]] -= 1
-        e /= n
-        g["c"], g["cb"], ds = s.T @ e, e.sum(axis=0), e @ w["c"].T
+        e = _softmax_error(_logits(s, w["c"], w["cb"]), self.class_of[target], bounded)
+        g["c"], g["cb"], ds = some.T @ e, _sums(e.T) / n, e @ w["c"].T
         for c, rows in self._by_class(target):
             a, b = self.edges[c], self.edges[c + 1]
-            e = np.exp(_log_softmax(s[rows] @ w["w"][a:b].T + w["wb"][a:b]))
-            e[np.arange(len(rows)), target[rows] - a] -= 1
-            e /= n
-            g["w"][a:b], g["wb"][a:b] = e.T @ s[rows], e.sum(axis=0)
-            ds[rows] += e @ w["w"][a:b]
+            if b - a > 1:  # else the chance is 1, whatever the weights
+                own = w["w"][a:b]
+                e = _softmax_error(_logits(s.take(rows, axis=0), own.T, w["wb"][a:b]), target[rows] - a, bounded)
+                g["w"][a:b], g["wb"][a:b] = e.T @ some.take(rows, axis=0), _sums(e.T) / n
+                ds[rows] += e @ own
+        ds /= n
         # back through the steps; lanes that have ended send nothing back
-        edge, back, dx = np.cumsum([0, *map(len, window)]), np.zeros((0, d), dtype=np.float32), []
+        old, zr, cand, un = (np.concatenate(x) for x in zip(*kept))
+        z, r = zr[:, :d], zr[:, d:]
+        of_n = (1 - z) * (1 - cand * cand)  # what a state's error is worth to each gate
+        of_z = (old - cand) * z * (1 - z)
+        of_r = of_n * un * r * (1 - r)
+        of = np.concatenate([of_z, of_r, of_n * r], axis=1)
+        inner, u_back = np.empty_like(of), w["u"].T.copy()
+        edge, back, stops = np.cumsum([0, *map(len, window)]).tolist(), np.zeros((0, d), dtype=s.dtype), fresh[at]
         for i in range(len(window) - 1, -1, -1):
-            dh = ds[edge[i]:edge[i + 1]]
+            own = slice(edge[i], edge[i + 1])
+            dh = ds[own]
             dh[:len(back)] += back
-            old, zr, cand, un = kept[i]
-            z, r = zr[:, :d], zr[:, d:]
-            dn = dh * (1 - z) * (1 - cand * cand)
-            dz = dh * (old - cand) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            gates = np.concatenate([dz, dr, dn], axis=1)
-            inner = np.concatenate([dz, dr, dn * r], axis=1)
-            g["u"] += old.T @ inner
-            back = (dh * z + inner @ w["u"].T) * ~fresh[window[i]][:, None]
-            dx.append(gates)
-        np.add.at(g["x"], before[at], np.concatenate(dx[::-1]))
+            np.multiply(of[own].reshape(-1, 3, d), dh[:, None], out=inner[own].reshape(-1, 3, d))
+            back = inner[own] @ u_back
+            back += dh * z[own]
+            if stops[own].any():
+                back *= ~stops[own][:, None]
+        g["u"] = old.T @ inner
+        inner[:, 2 * d:] = ds * of_n
+        order = np.argsort(before[at], kind="stable")
+        first = np.flatnonzero(np.diff(before[at][order], prepend=-1))
+        g["x"][before[at][order[first]]] = np.add.reduceat(inner[order], first, axis=0)
         return h, g
 
 

@@ -14,9 +14,11 @@ remainder 2 modulo 7 are held out; all others are learned from.
   that the probabilities of known words and one unknown word of a class add up to 1.
 
 The output's biases start from the counts of the whole corpus; the network's weights are
-fitted on at most ``PIECES`` pieces of ``PIECE`` tokens of training documents (a fixed
-bound: those of the smallest hashes over all documents' pieces). Whole documents are
-scored, with the state carried from window to window.
+fitted on every token of all training documents, cut into pieces of ``PIECE`` tokens that
+are dealt into shards of about ``SHARD`` tokens by their hashes, however Spark deals the
+rows. A first shard sets out; the others follow in ``ROUNDS`` rounds: the shards of a round
+are fitted side by side, a task each, from the mean of the models of the round before.
+Whole documents are scored, with the state carried from window to window.
 
 Counts of the most frequent words, at most ``FREQUENT``, go to every task. The other words of a
 document are joined with the counts by a shuffle: one row per document and different
@@ -37,20 +39,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinstar.llm.graph import stored
-from kinstar.llm.gru import Gru
+from kinstar.llm.graph import drop_stored, stored
+from kinstar.llm.gru import EPOCHS, RATE, TRAIN_LANES, Gru
 from kinstar.llm.words import Words, blocks, mix64
 
 #: Words of the network, classes of its words, tail classes, counts that every task gets.
 WORDS, CLASSES, TAILS, FREQUENT = 2048, 32, 32, 1 << 16
-#: Bound of the sample that fits the network's weights: pieces, and tokens of a piece.
-PIECES, PIECE = 1500, 512
+#: Training: tokens of a piece and of a shard, rounds after the first shard, lanes there, models averaged at once.
+PIECE, SHARD, ROUNDS, SIDE, MERGED = 512, 1 << 19, 3, 256, 8
+MAX_TASKS = 50_000
 #: Different words that a task counts before it passes them on.
 _HELD = 1 << 20
 #: Tokens scored side by side.
 _TOKENS = 1 << 22
 END = int(mix64(np.array([0x656E64], dtype=np.uint64)).astype(np.int64)[0])
-_PIECES_ROW = -1  # in place of a tail class: the number of pieces
 
 _LOWER = np.arange(256, dtype=np.int64)
 _LOWER[65:91] += 32
@@ -82,15 +84,14 @@ def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
-    """(h, tail, n) of every different token; and the number of pieces."""
+    """(h, tail, n) of every different token."""
     names = ["h", "tail", "n"]
 
     def run(batches):
-        parts, size, pieces = [], 0, 0
+        parts, size = [], 0
         for batch in batches:
             for _, _, words in blocks(batch.column(0), lower=True):
-                hashes, tails, n = tokens(words)
-                pieces += int((-(-n // PIECE)).sum())
+                hashes, tails, _ = tokens(words)
                 parts.append(_merged([(hashes, tails, np.ones(len(hashes), dtype=np.int64))]))
                 size += len(parts[-1][0])
                 if size > _HELD:
@@ -101,7 +102,6 @@ def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
                         parts, size = [], 0
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in _merged(parts)], names=names)
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([_PIECES_ROW], pa.int8()), pa.array([pieces], pa.int64())], names=names)
 
     found = texts.select(F.col(text_col).cast("string")).mapInArrow(run, "h long, tail byte, n long")
     return found.groupBy("h", "tail").agg(F.sum("n").alias("n"))
@@ -156,32 +156,99 @@ def _frequent(words: DataFrame) -> list[tuple[int, int, int]]:
     return sorted(((r["h"], r["tail"], r["n"]) for r in chosen.collect()), key=lambda w: (-w[2], w[0]))
 
 
-def _sampled(texts: DataFrame, text_col: str, lexicon: Lexicon, pieces: int, seed: int = 11) -> list[np.ndarray]:
-    """Symbols of at most PIECES pieces, in order of their hashes."""
-    most = min(1.0, 1.5 * PIECES / max(1, pieces)) * 2.0 ** 63
+def _pieces(texts: DataFrame, lexicon: Lexicon, shards: int, seed: int = 11) -> DataFrame:
+    """(shard, key, symbols) of every piece of PIECE tokens of ``texts`` (id, text); symbols as packed 16-bit numbers."""
 
     def run(batches):
         for batch in batches:
-            for _, _, words in blocks(batch.column(0), lower=True):
+            ids = batch.column(0).fill_null(0).to_numpy().astype(np.int64).view(np.uint64)
+            for a, b, words in blocks(batch.column(1), lower=True):
                 hashes, tails, n = tokens(words)
-                symbols = None
                 first = np.cumsum(n) - n
                 count = -(-n // PIECE)
-                start = np.repeat(first, count) + PIECE * (np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count))
+                number = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                start = np.repeat(first, count) + PIECE * number
                 stop = np.minimum(start + PIECE, np.repeat(first + n, count))
-                # a piece's key: that of its words and place
-                run_sum = np.concatenate(([np.uint64(0)], np.cumsum(mix64(hashes.view(np.uint64) + np.arange(len(hashes), dtype=np.uint64)), dtype=np.uint64)))
-                key = (mix64(run_sum[stop] - run_sum[start] + np.uint64(seed)) >> np.uint64(1)).astype(np.int64)
-                at = np.flatnonzero(key.astype(np.float64) < most)
-                if len(at):
-                    symbols = lexicon.look_up(hashes, tails)[0].astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[at]), pa.array([symbols[a:b] for a, b in zip(start[at], stop[at])], pa.list_(pa.int32()))],
-                        names=["key", "symbols"])
+                # a piece's key: that of its words, its document and its place there, so that copies part
+                within = (np.arange(len(hashes)) - np.repeat(start, stop - start)).astype(np.uint64)
+                run_sum = np.concatenate(([np.uint64(0)], np.cumsum(mix64(hashes.view(np.uint64) + within), dtype=np.uint64)))
+                place = mix64(np.repeat(mix64(ids[a:b]), count) + number.astype(np.uint64))
+                key = (mix64((run_sum[stop] - run_sum[start]) ^ (place + np.uint64(seed))) >> np.uint64(1)).astype(np.int64)
+                symbols = lexicon.look_up(hashes, tails)[0].astype("<u2")
+                edge = np.append(2 * start, 2 * len(symbols)).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(edge), pa.py_buffer(symbols)])
+                yield pa.RecordBatch.from_arrays([pa.array((key % shards).astype(np.int32)), pa.array(key), packed], names=["shard", "key", "symbols"])
+
+    return texts.mapInArrow(run, "shard int, key long, symbols binary")
+
+
+def _fitted(model: Gru, begin: int, rate: float, epochs: int, lanes: int):
+    """Per shard, (shard, tokens, weights) of the model fitted on its pieces; a shard's rows lie together, in order.
+    At most SHARD tokens are held, however many pieces a shard has."""
+    def learn(own, parts):
+        lengths = np.array([len(p) for p in parts]) // 2
+        own.fit(np.frombuffer(b"".join(parts), "<u2").astype(np.int64), lengths, begin, epochs, rate, lanes)
+        return int(lengths.sum())
+
+    def row(shard, n, own):
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([n], pa.int64()), pa.array([own.packed()], pa.binary())],
+                                          names=["shard", "tokens", "weights"])
+
+    def run(batches):
+        at, own, parts, size, n = None, None, [], 0, 0
+        for batch in batches:
+            for shard, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if shard != at or size >= 2 * SHARD:
+                    if parts:
+                        n += learn(own, parts)
+                    if shard != at:
+                        if at is not None:
+                            yield row(at, n, own)
+                        at, own, n = shard, model.with_weights(model.packed()), 0
+                    parts, size = [], 0
+                parts.append(piece)
+                size += len(piece)
+        if at is not None:
+            yield row(at, n + learn(own, parts), own)
+    return run
+
 
-    found = texts.select(F.col(text_col).cast("string")).mapInArrow(run, "key long, symbols array<int>")
-    rows = found.orderBy("key", "symbols").limit(PIECES).collect()  # bounded by PIECES and PIECE
-    return [np.array(r["symbols"], dtype=np.int64) for r in rows]
+def _mean(table: pa.Table) -> pa.Table:
+    """One model of a few: their mean by tokens."""
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("shard", "tokens", "weights"))))
+    total = sum(r[1] for r in rows)
+    mean = sum(r[1] / total * np.frombuffer(r[2], "<f4").astype(np.float64) for r in rows)
+    return pa.table({"shard": pa.array([rows[0][0]], pa.int32()), "tokens": pa.array([total], pa.int64()),
+                     "weights": pa.array([mean.astype("<f4").tobytes()], pa.binary())})
+
+
+def _averaged(models: DataFrame, first: int, n: int) -> bytes:
+    """The mean by tokens of at most ``n`` models of shards from ``first`` on: means of MERGED at once, so that no task
+    and not the driver gets more."""
+    reach = 1
+    while n > MERGED:
+        reach, n = reach * MERGED, -(-n // MERGED)
+        models = models.groupBy(F.floor((F.col("shard") - first) / reach).alias("group")).applyInArrow(_mean, _MODEL)
+    return _mean(pa.table({c: list(v) for c, v in zip(("shard", "tokens", "weights"), zip(*models.collect()))})).column("weights")[0].as_py()
+
+
+def _trained(training: DataFrame, lexicon: Lexicon, all_n: int, id_col: str) -> Gru:
+    """The model fitted on every token of all training documents: shards in turn or side by side, and averaged."""
+    model = Gru(lexicon.edges, TAILS, lexicon.symbol_counts)
+    shards = -(-all_n // SHARD)
+    pieces = stored(_pieces(training.select(id_col, "text"), lexicon, shards), "pieces")
+    # the first shard alone sets out; the others share what it found, in rounds
+    edges = sorted({0, 1, *(1 + (shards - 1) * r // ROUNDS for r in range(1, ROUNDS + 1))})
+    for r, (a, b) in enumerate(zip(edges, edges[1:])):
+        own = pieces.where(F.col("shard").between(a, b - 1)).repartition(min(b - a, MAX_TASKS), "shard").sortWithinPartitions("shard", "key", "symbols")
+        rate, epochs, lanes = (RATE, EPOCHS, TRAIN_LANES) if r == 0 else (RATE / 2 ** r, 1, SIDE)
+        fitted = stored(own.select("shard", "symbols").mapInArrow(_fitted(model, lexicon.begin, rate, epochs, lanes), _MODEL), "models")
+        if fitted.isEmpty():
+            continue
+        model = model.with_weights(_averaged(fitted, a, b - a))
+        drop_stored(fitted)
+    drop_stored(pieces)
+    return model
 
 
 def _rare_words(hashes: np.ndarray, n: np.ndarray, rare: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -236,12 +303,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; scores are log10."""
     rows = docs.select(F.col(id_col).cast("long").alias(id_col), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     training = rows.where("not held_out")
-    counts = stored(word_counts(training, "text"), "word_counts")
-    totals = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()  # a row per tail class
-    of_tails = {r["tail"]: (r["n"], r["v"]) for r in totals if r["tail"] != _PIECES_ROW}
-    pieces = sum(r["n"] for r in totals if r["tail"] == _PIECES_ROW)
+    words = stored(word_counts(training, "text"), "word_counts")
+    totals = words.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()  # a row per tail class
+    of_tails = {r["tail"]: (r["n"], r["v"]) for r in totals}
     all_n, all_v = (sum(c) for c in zip(*of_tails.values())) if of_tails else (0, 0)
-    words = counts.where(F.col("tail") != _PIECES_ROW)
     base_rest = F.col("n_tokens") * F.log10(F.lit(float(all_n + all_v + 1)))
     names = [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     if not all_n:
@@ -250,9 +315,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return part.select("*", F.lit(0).cast("long").alias("train_tokens"), (-base_rest).alias("base_score")).select(
             *names[:-1], F.col("base_score").alias("score"))
     lexicon = Lexicon(_frequent(words), of_tails)
-    model = Gru(lexicon.edges, TAILS, lexicon.symbol_counts)
-    sample = _sampled(training, "text", lexicon, pieces)
-    model.fit(np.concatenate(sample), np.array([len(s) for s in sample]), lexicon.begin)
+    model = _trained(training, lexicon, all_n, id_col)
     part = stored(rows.mapInArrow(_scored(lexicon, model, id_col), _SCORED.format(id_col)).withColumn(
         "row", F.monotonically_increasing_id()), "scored")
     # words that no training row has add log10(1) and are not known: an inner join leaves them out
@@ -266,4 +329,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.col("score") + extra).alias("score"))
 
 
+_MODEL = "shard int, tokens long, weights binary"
 _SCORED = "`{}` long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"

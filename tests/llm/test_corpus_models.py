@@ -257,3 +257,29 @@ def test_tail_words_share_their_class():
     for k in range(lm_score.TAILS):
         held = counts[(symbols == lexicon.words + k) & (counts > 0)]
         assert abs(((held + 1).sum() + 1) / (lexicon.n_tail[k] + lexicon.v_tail[k] + 1) - 1) < 1e-9
+
+
+def test_language_model_learns_from_every_training_token(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "PIECE", 20)
+    monkeypatch.setattr(lm_score, "SHARD", 200)
+    monkeypatch.setattr(lm_score, "MERGED", 2)
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + k * k) % 50}" for k in range(60))) for i in range(100)], "doc_id long, text string")
+    training = docs.where(~lm_score.held_out("doc_id"))
+    tokens, learned = 61 * training.count(), []
+    averaged = lm_score._averaged
+
+    def counting(models, first, n):
+        rows = models.collect()
+        learned.extend((r["shard"], r["tokens"]) for r in rows)
+        got = np.frombuffer(averaged(models, first, n), "<f4")
+        want = sum(r["tokens"] * np.frombuffer(r["weights"], "<f4").astype(float) for r in rows) / sum(r["tokens"] for r in rows)
+        assert np.allclose(got, want, atol=1e-5)
+        return averaged(models, first, n)
+
+    monkeypatch.setattr(lm_score, "_averaged", counting)
+    got = lm_score.score_documents(docs).collect()
+    assert sum(n for _, n in learned) == tokens and len({s for s, _ in learned}) == len(learned) > 20
+    again = lm_score.score_documents(docs.repartition(7)).collect()
+    scores = [{r.doc_id: r.score for r in rows} for rows in (got, again)]
+    assert all(abs(scores[0][i] - scores[1][i]) < 1e-3 * abs(scores[0][i]) for i in range(100))
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
