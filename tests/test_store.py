@@ -170,3 +170,8 @@ def test_reports_read_current_versions_only(spark, tmp_path):
     current = wh.stored("dim_person_current")
     assert current.where(~F.col("is_current")).isEmpty()
     assert not any(pipeline.HISTORY in f for f in current.inputFiles())
+
+
+def test_a_bucket_holds_what_one_task_can_sort():
+    # a fact of 5 million edges takes about 25 MB: one task sorted it whole, in 2 GB
+    assert pipeline.bucket_count(25 << 20) >= 4
