@@ -10,7 +10,8 @@ posting still open adds less than t and no more than the best gain of its dimens
 so a vector with g gained ends between g and g plus these bounds over its open
 dimensions. Vectors whose upper bound is below the k-th best lower bound are proven
 out; all others are possible members. Processing stops only when no more than k members
-are left, or with the last posting; the members are then rescored exactly. On dense
+are left, or with the last posting; the members are then rescored exactly. Once the members
+have fewer postings than are open, only theirs are processed. On dense
 vectors the bounds part late, so most postings are processed (README).
 
 The stated query set is compared with all rows, in cells of one shard by
@@ -38,8 +39,10 @@ from kinstar.llm.graph import stored
 SHARD, QUERIES = 4096, 128
 #: Blocks of queries that share one sending of a shard.
 BLOCKS = 4
-#: Steps of the ladder of thresholds.
-STEPS = 8
+#: Steps of the ladder of thresholds: a quarter of the best gain, then half the one before, the last is 0.
+STEPS = 5
+#: Postings summed at once, so that what is made of them stays in the cache.
+SUMMED = 1 << 15
 MAX_TASKS = 50_000
 _BLOCK = "dims int, wide boolean, ids binary, impacts binary"
 
@@ -101,6 +104,17 @@ def whole_scores(ids: np.ndarray, impacts: np.ndarray, query_id: int, query: np.
     return ids[members[rank]], [scores[i] for i in rank]
 
 
+def _runs(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Runs [a, b) of entries that hold together ``most`` at least, but for the last."""
+    runs, a, held = [], 0, 0
+    for b, size in enumerate(sizes, 1):
+        held += size
+        if held >= most:
+            runs.append((a, b))
+            a, held = b, 0
+    return [*runs, (a, len(sizes))] if held else runs
+
+
 class Shard:
     """The impact-ordered index of one block of vectors: per dimension, the
     postings by ascending impact."""
@@ -137,33 +151,51 @@ class Shard:
             # beyond exact doubles: score the whole shard in integers
             scores = self.impacts[members] @ query
         else:
-            summed, shift = np.zeros(n), (unit - least).astype(np.float64)
+            summed, weights, shift = np.zeros(n), w.astype(np.float64), (unit - least).astype(np.float64).tolist()
+            factor = weights.tolist()
+            held, of = np.empty(SUMMED + n), np.empty(SUMMED + n, dtype=np.int64)
             done = np.zeros(len(dims), dtype=np.int64)  # postings processed per dimension
+            gains = None  # of the members by dimension, once they are few
             for step in range(1, STEPS + 1):
                 if len(members) <= k or not top:
                     break
-                t = top * (STEPS - step) // STEPS
-                # gain >= t  <=>  weight * impact >= t + least
-                edge = t + least
-                bound = np.where(up, -(-edge // w), edge // w + 1)
-                first = np.searchsorted(self.keys, dims * self.span + np.clip(bound - self.least, 0, self.span - 1)) - self.base[dims]
-                reach = np.where(up, n - first, first)
-                size = reach - done
-                start = self.base[dims] + np.where(up, n - reach, done)
-                parts = [slice(x, x + y) for x, y in zip(start.tolist(), size.tolist()) if y]
-                if parts:
-                    gains = np.concatenate([self.values[part] for part in parts])
-                    gains *= np.repeat(w.astype(np.float64), size)
-                    gains += np.repeat(shift, size)
-                    summed += np.bincount(np.concatenate([self.postings[part] for part in parts]), gains, minlength=n)
-                done = reach
-                begun = np.floor(summed[others] / unit)
-                low = summed[others] - begun * unit
+                t = top >> step + 1 if step < STEPS else 0
+                if gains is None:
+                    # gain >= t  <=>  weight * impact >= t + least
+                    edge = t + least
+                    bound = np.where(up, -(-edge // w), edge // w + 1)
+                    first = np.searchsorted(self.keys, dims * self.span + np.clip(bound - self.least, 0, self.span - 1)) - self.base[dims]
+                    reach = np.where(up, n - first, first)
+                    size = (reach - done).tolist()
+                    start = (self.base[dims] + np.where(up, n - reach, done)).tolist()
+                    for a, b in _runs(size, SUMMED):
+                        end = 0
+                        for x, y, weight, more in zip(start[a:b], size[a:b], factor[a:b], shift[a:b]):
+                            if y:
+                                part = held[end:end + y]
+                                np.multiply(self.values[x:x + y], weight, out=part)
+                                part += more
+                                of[end:end + y] = self.postings[x:x + y]
+                                end += y
+                        summed += np.bincount(of[:end], held[:end], minlength=n)
+                    done, among = reach, others
+                    begun = np.floor(summed[among] / unit)
+                    low = summed[among] - begun * unit
+                else:
+                    reached, among = gains >= t, members
+                    begun, low = np.count_nonzero(reached, axis=1), np.where(reached, gains, 0.0).sum(axis=1)
                 enough = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -1
                 # open postings gain less than t; dimensions that end below t are open in all rows
                 less, short = max(0, t - 1), best < t
                 rest = int(best[short].sum()) + (np.count_nonzero(~short) - begun) * less
-                members = others[low + rest >= enough]
+                left = low + rest >= enough
+                members = among[left]
+                if gains is not None:
+                    gains = gains[left]
+                elif len(members) * len(dims) < n * len(dims) - int(done.sum()):
+                    # the members have fewer postings than are open: go on with theirs alone
+                    gains = self.rows[members]
+                    gains = (gains if len(dims) == len(query) else gains[:, dims]) * weights - least
             scores = (self.rows[members] @ query.astype(np.float64)).astype(np.int64)
         rank = np.lexsort((self.ids[members], -scores))[:k]
         return self.ids[members[rank]], scores[rank]

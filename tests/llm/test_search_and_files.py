@@ -86,6 +86,19 @@ def test_given_vectors_are_proven_not_rescored(monkeypatch):
     assert max(rescored) <= 20
 
 
+def test_only_the_members_postings_are_processed_once_they_are_few(monkeypatch):
+    rng = np.random.default_rng(8)
+    impacts = rng.integers(-150, 150, (2000, 64))
+    shard, summed = topk.Shard(np.arange(2000), impacts), []
+    real = np.bincount
+    monkeypatch.setattr(topk.np, "bincount", lambda of, *a, **kw: summed.append(len(of)) or real(of, *a, **kw))
+    for query in rng.integers(-150, 150, (20, 64)):
+        summed.clear()
+        _, scores = shard.search(-1, query, 5)
+        assert scores.tolist() == sorted((impacts @ query).tolist(), reverse=True)[:5]
+        assert sum(summed) < 0.9 * impacts.size and max(summed) <= topk.SUMMED + 2000
+
+
 PAGES = "page_id long, url string, html string, digest string, payload string, id string, last long"
 
 
