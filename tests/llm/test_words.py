@@ -52,3 +52,10 @@ def test_sliced_columns_and_windows():
     w = W.window_hashes(words.hashes, 2)  # bc cd de | ec | cd
     assert w[1] == w[4] and len({int(x) for x in w}) == 4
     assert len(W.shingle_set(words.hashes[4:6], 3)) == 1 and len(W.shingle_set(words.hashes[:0], 3)) == 0
+
+
+def test_a_worker_keeps_little_however_long_the_texts(monkeypatch):
+    monkeypatch.setattr(W, "_powers", {base: p[:1] for base, p in W._powers.items()})
+    column = pa.array(["word " * 600] * 1500 + ["long " * 500_000])
+    assert sum(end - row for row, end, _ in W.blocks(column)) == 1501
+    assert sum(p.nbytes for p in W._powers.values()) < 10_000_000
