@@ -175,3 +175,25 @@ def test_reports_read_current_versions_only(spark, tmp_path):
 def test_a_bucket_holds_what_one_task_can_sort():
     # a fact of 5 million edges takes about 25 MB: one task sorted it whole, in 2 GB
     assert pipeline.bucket_count(25 << 20) >= 4
+
+
+def test_a_runs_tasks_grow_with_its_edges(spark, tmp_path, monkeypatch):
+    """Not by the number of cores: a task takes a bounded part of the shuffled bytes."""
+    seen = []
+
+    def merge(*args):
+        seen.append([spark.conf.get(name) for name in pipeline.RUN_CONF])
+        rows = spark.range(2_000_000, numPartitions=4).selectExpr("uuid() AS id").repartition("id")
+        seen.append(rows.sortWithinPartitions("id").rdd.getNumPartitions())
+
+    monkeypatch.setattr(pipeline, "_merge_run", merge)
+    monkeypatch.setattr(pipeline, "extract", lambda *args: True)
+    before = [spark.conf.get(name, None) for name in pipeline.RUN_CONF]
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    try:
+        pipeline.run_increment(spark, str(tmp_path), None, None, None, run_id="r1")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert seen[0] == ["false", "false", "1m"] and seen[1] > 2 * spark.sparkContext.defaultParallelism
+    assert [spark.conf.get(name, None) for name in pipeline.RUN_CONF] == before
