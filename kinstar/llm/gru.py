@@ -15,6 +15,7 @@ the data can be averaged.
 from __future__ import annotations
 
 import copy
+import functools
 import heapq
 
 import numpy as np
@@ -46,16 +47,13 @@ class Lanes:
     def windows(self, steps: int):
         """Places (of the tokens) in windows, a list of steps each; lanes that have ended are at the end."""
         longest = int(self.size[0]) if len(self.size) else 0
+        going = np.searchsorted(-self.size, -np.arange(longest), side="left").tolist()  # lanes that have a step k
         for t in range(0, longest, steps):
-            out = []
-            for k in range(t, min(t + steps, longest)):
-                out.append(self.order[self.start[:int(np.searchsorted(-self.size, -k, side="left"))] + k])
-            yield out
+            yield [self.order[self.start[:going[k]] + k] for k in range(t, min(t + steps, longest))]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place; overflow gives 0."""
-    np.negative(x, out=x)
+    """Of -x, in place; overflow gives 0."""
     np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
@@ -68,15 +66,20 @@ def _exp(x: np.ndarray, bounded: bool) -> np.ndarray:
     return np.exp(x, out=x)
 
 
+@functools.cache
+def _ones(n: int, dtype) -> np.ndarray:
+    return np.ones(n, dtype=dtype)
+
+
 def _sums(x: np.ndarray) -> np.ndarray:
-    return x @ np.ones(x.shape[1], dtype=x.dtype)
+    return x @ _ones(x.shape[1], x.dtype)
 
 
 def _log_chance(x: np.ndarray, chosen: np.ndarray, bounded: bool = False) -> np.ndarray:
     """Log softmax of one column per row."""
     if not bounded:
         x -= x.max(axis=1, keepdims=True)
-    taken = x[np.arange(len(x)), chosen]
+    taken = x.ravel().take(np.arange(0, x.size, x.shape[1]) + chosen)
     return taken - np.log(_sums(_exp(x, True)))
 
 
@@ -103,6 +106,8 @@ class Gru:
         words, n = int(edges[-1]), len(edges) - 1 + tails
         self.edges, self.words, self.hidden = edges, words, hidden
         self.class_of = np.concatenate([np.repeat(np.arange(len(edges) - 1), np.diff(edges)), np.arange(len(edges) - 1, n)])
+        if words + tails < 1 << 15:
+            self.class_of = self.class_of.astype(np.int16)  # a type of few bytes, which numpy sorts by radix
         of_class = np.bincount(self.class_of, counts, minlength=n)
 
         def normal(*shape):
@@ -131,21 +136,29 @@ class Gru:
         return all(float((np.abs(m).sum(axis=axis) + np.abs(b)).max(initial=0)) < 60
                    for m, b, axis in ((w["c"], w["cb"], 0), (w["w"], w["wb"], 1)))
 
-    def _step(self, h, x):
-        u, d = h @ self.weights["u"], self.hidden
+    def _scaled(self):
+        """The weights of the steps times -1 (gates) and -2 (candidate), as their exponentials take them; exact in floats."""
+        by = np.repeat(np.array([-1, -1, -2], dtype=np.float32), self.hidden)
+        return self.weights["x"] * by, self.weights["u"] * by
+
+    def _step(self, h, x, weights):
+        """``x`` and ``weights`` as of :meth:`_scaled`."""
+        u, d = h @ weights, self.hidden
         zr = _sigmoid(x[:, :2 * d] + u[:, :2 * d])
         n = zr[:, d:] * u[:, 2 * d:]
         n += x[:, 2 * d:]
-        n *= 2
         n = _sigmoid(n)
         n *= 2
         n -= 1  # tanh
-        return n + zr[:, :d] * (h - n), (zr, n, u[:, 2 * d:])
+        following = h - n
+        following *= zr[:, :d]
+        following += n
+        return following, (zr, n, u[:, 2 * d:])
 
-    def _states(self, h, window, before, fresh, keep: list | None = None):
+    def _states(self, h, window, before, fresh, scaled, keep: list | None = None):
         """(state behind the window, states of all its tokens); ``keep`` takes what the way back needs."""
         at = np.concatenate(window)
-        x, starts = self.weights["x"].take(before[at], axis=0), fresh[at]
+        x, starts = scaled[0].take(before[at], axis=0), fresh[at]
         edge = np.cumsum([0, *map(len, window)])
         some = np.add.reduceat(starts, edge[:-1], dtype=np.int64).tolist()
         out = np.empty((len(at), self.hidden), dtype=np.float32)
@@ -156,18 +169,20 @@ class Gru:
                 h = h[:b - a]
             if new:
                 h = h * ~starts[a:b, None]
-            following, parts = self._step(h, x[a:b])
+            following, parts = self._step(h, x[a:b], scaled[1])
             if keep is not None:
                 keep.append((h, *parts))
             out[a:b] = h = following
         return h, out, at
 
     def _by_class(self, symbols: np.ndarray):
-        """(class, rows of the window whose symbol is a word of it)."""
+        """(order of the symbols by their classes; first and end symbol of a class of more than one word, and its part
+        of that order)."""
         of = self.class_of[symbols]
         order = np.argsort(of, kind="stable")
-        edge = np.searchsorted(of[order], np.arange(len(self.edges)))
-        return [(c, order[a:b]) for c, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a]
+        edge, first = np.searchsorted(of[order], np.arange(len(self.edges))).tolist(), self.edges.tolist()
+        return order, [(first[c], first[c + 1], slice(a, b)) for c, (a, b) in enumerate(zip(edge, edge[1:]))
+                       if b > a and first[c + 1] - first[c] > 1]  # else the chance is 1, whatever the weights
 
     @np.errstate(over="ignore")
     def log_likelihood(self, symbols: np.ndarray, lengths: np.ndarray, begin: int) -> np.ndarray:
@@ -175,16 +190,16 @@ class Gru:
         a document's first token follows ``begin``."""
         w, out, bounded = self.weights, np.zeros(len(symbols)), self._bounded()
         before, fresh = _inputs(symbols, lengths, begin)
-        h = np.zeros((0, self.hidden), dtype=np.float32)
+        h, scaled = np.zeros((0, self.hidden), dtype=np.float32), self._scaled()
         for window in Lanes(lengths, LANES).windows(WINDOW):
-            h, s, at = self._states(h, window, before, fresh)
+            h, s, at = self._states(h, window, before, fresh, scaled)
             target = symbols[at]
             p = _log_chance(_logits(s, w["c"], w["cb"]), self.class_of[target], bounded)
-            for c, rows in self._by_class(target):
-                a, b = self.edges[c], self.edges[c + 1]
-                if b - a > 1:
-                    p[rows] += _log_chance(_logits(s.take(rows, axis=0), w["w"][a:b].T, w["wb"][a:b]), target[rows] - a, bounded)
-            out[at] = p
+            order, classes = self._by_class(target)
+            s, target, p = s.take(order, axis=0), target[order], p[order]
+            for a, b, rows in classes:
+                p[rows] += _log_chance(_logits(s[rows], w["w"][a:b].T, w["wb"][a:b]), target[rows] - a, bounded)
+            out[at[order]] = p
         return out
 
     @np.errstate(over="ignore")
@@ -193,6 +208,7 @@ class Gru:
         before, fresh = _inputs(symbols, lengths, begin)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
         square = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        first, second = ({k: np.empty_like(v) for k, v in self.weights.items()} for _ in range(2))
         windows = list(Lanes(lengths, lanes).windows(TRAIN_WINDOW))
         total, t = epochs * len(windows), 0
         for _ in range(epochs):
@@ -202,34 +218,41 @@ class Gru:
                 t += 1
                 step = rate * (1 - 0.9 * t / total) * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t)
                 for k, g in grads.items():
-                    mean[k] += 0.1 * (g - mean[k])
-                    square[k] += 0.001 * (g * g - square[k])
-                    self.weights[k] -= step * mean[k] / (np.sqrt(square[k]) + 1e-8)
+                    a, b = first[k], second[k]
+                    mean[k] += np.multiply(0.1, np.subtract(g, mean[k], out=a), out=a)
+                    square[k] += np.multiply(0.001, np.subtract(np.multiply(g, g, out=a), square[k], out=a), out=a)
+                    np.sqrt(square[k], out=b)
+                    b += 1e-8
+                    change = step * mean[k]  # in doubles, as the step is
+                    change /= b
+                    self.weights[k] -= change
 
     def _gradients(self, h, window, symbols, before, fresh):
         """The state behind a window, and the gradients of its mean negative log likelihood."""
         w, d = self.weights, self.hidden
         kept: list = []
-        h, s, at = self._states(h, window, before, fresh, kept)
+        h, s, at = self._states(h, window, before, fresh, self._scaled(), kept)
         target, n = symbols[at], np.float32(len(at))
         g = {k: np.zeros_like(v) for k, v in w.items()}
         bounded, some = self._bounded(), s / n  # the mean's share of each token
         # class softmax
         e = _softmax_error(_logits(s, w["c"], w["cb"]), self.class_of[target], bounded)
         g["c"], g["cb"], ds = some.T @ e, _sums(e.T) / n, e @ w["c"].T
-        for c, rows in self._by_class(target):
-            a, b = self.edges[c], self.edges[c + 1]
-            if b - a > 1:  # else the chance is 1, whatever the weights
-                own = w["w"][a:b]
-                e = _softmax_error(_logits(s.take(rows, axis=0), own.T, w["wb"][a:b]), target[rows] - a, bounded)
-                g["w"][a:b], g["wb"][a:b] = e.T @ some.take(rows, axis=0), _sums(e.T) / n
-                ds[rows] += e @ own
+        order, classes = self._by_class(target)
+        s, some, target, error = s.take(order, axis=0), some.take(order, axis=0), target[order], ds.take(order, axis=0)
+        for a, b, rows in classes:
+            own = w["w"][a:b]
+            e = _softmax_error(_logits(s[rows], own.T, w["wb"][a:b]), target[rows] - a, bounded)
+            g["w"][a:b], g["wb"][a:b] = e.T @ some[rows], _sums(e.T) / n
+            error[rows] += e @ own
+        ds[order] = error
         ds /= n
         # back through the steps; lanes that have ended send nothing back
         old, zr, cand, un = (np.concatenate(x) for x in zip(*kept))
         z, r = zr[:, :d], zr[:, d:]
         of_n = (1 - z) * (1 - cand * cand)  # what a state's error is worth to each gate
         of_z = (old - cand) * z * (1 - z)
+        un *= np.float32(-0.5)  # as it is without the scale
         of_r = of_n * un * r * (1 - r)
         of = np.concatenate([of_z, of_r, of_n * r], axis=1)
         inner, u_back = np.empty_like(of), w["u"].T.copy()
@@ -245,9 +268,11 @@ class Gru:
                 back *= ~stops[own][:, None]
         g["u"] = old.T @ inner
         inner[:, 2 * d:] = ds * of_n
-        order = np.argsort(before[at], kind="stable")
-        first = np.flatnonzero(np.diff(before[at][order], prepend=-1))
-        g["x"][before[at][order[first]]] = np.add.reduceat(inner[order], first, axis=0)
+        last = before[at].astype(self.class_of.dtype)
+        order = np.argsort(last, kind="stable")
+        last = last[order]
+        first = np.flatnonzero(np.diff(last, prepend=-1))
+        g["x"][last[first]] = np.add.reduceat(inner.take(order, axis=0), first, axis=0)
         return h, g
 
 

@@ -282,3 +282,26 @@ def test_language_model_learns_from_every_training_token(spark, monkeypatch):
     again = lm_score.score_documents(docs.repartition(7)).collect()
     scores = [{r.doc_id: r.score for r in rows} for rows in (got, again)]
     assert all(abs(scores[0][i] - scores[1][i]) < 1e-3 * abs(scores[0][i]) for i in range(100))
+
+
+def test_words_are_found_by_the_upper_bits_of_their_hashes():
+    rng = np.random.default_rng(3)
+    known = np.unique(np.concatenate([rng.integers(-2**63, 2**63 - 1, 4000), np.arange(40), [-2**63, 2**63 - 1]]))
+    lexicon = lm_score.Lexicon([(int(h), 0, 9000 - i) for i, h in enumerate(rng.permutation(known))], {0: (1 << 30, 1 << 20)})
+    assert 40 <= lexicon.most < 50  # hashes that lie close are all looked at, and no more
+    asked = np.concatenate([known, known[1:] - 1, known[:-1] + 1, rng.integers(-2**63, 2**63 - 1, 4000)])
+    symbols, counts = lexicon.look_up(asked, np.zeros(len(asked), dtype=np.int8))
+    assert (counts > 0).tolist() == np.isin(asked, known).tolist()
+    assert (counts[:len(known)] == lexicon.counts).all() and len(lexicon.look_up(asked[:0], np.zeros(0, dtype=np.int8))[0]) == 0
+
+
+def test_scaled_weights_give_the_plain_step():
+    model = gru.Gru(np.array([0, 5, 9]), 2, np.arange(1, 12))
+    rng, d, w = np.random.default_rng(4), model.hidden, model.weights
+    h, at = rng.uniform(-1, 1, (7, d)).astype(np.float32), rng.integers(0, 11, 7)
+    scaled = model._scaled()
+    following, _ = model._step(h, scaled[0][at], scaled[1])
+    x, u = w["x"][at].astype(float), h.astype(float) @ w["u"]
+    z, r = (1 / (1 + np.exp(-(x + u)[:, k * d:(k + 1) * d])) for k in (0, 1))
+    n = np.tanh(x[:, 2 * d:] + r * u[:, 2 * d:])
+    assert np.abs(following - (n + z * (h - n))).max() < 1e-6
