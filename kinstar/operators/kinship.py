@@ -70,7 +70,8 @@ def spouse_relation(relation: DataFrame, family: DataFrame) -> DataFrame:
     """
     rel = normalize_relations(relation).where(F.col("relationship_type") == "SPOUSE_OF")
     fam = family.select("family_id", "marriage_date", "divorce_date", "status")
-    return rel.join(fam, "family_id").select(
+    # a merge join whatever the estimate, which may be of small files: families grow with the snapshot
+    return rel.join(fam.hint("merge"), "family_id").select(
         "person_id", "family_id", "role", "marriage_date", "divorce_date", "status")
 
 
@@ -109,7 +110,7 @@ def child_relation(relation: DataFrame, person: DataFrame) -> DataFrame:
     """CHILD_OF memberships with the child's birth date (J3, left join)."""
     rel = normalize_relations(relation).where(F.col("relationship_type") == "CHILD_OF")
     births = person.select("person_id", "birth_date")
-    return rel.join(births, "person_id", "left").select(
+    return rel.join(births.hint("merge"), "person_id", "left").select(
         F.col("person_id").alias("child_id"), "family_id",
         F.col("birth_date").alias("child_birth_date"))
 
@@ -118,7 +119,7 @@ def parent_child(spouse_rel: DataFrame, child_rel: DataFrame) -> DataFrame:
     """Every spouse of a family x every child of that family (J4), once."""
     parents = spouse_rel.select(F.col("person_id").alias("parent_id"), "family_id",
                                 "marriage_date")
-    return parents.join(child_rel, "family_id").select(
+    return parents.join(child_rel.hint("merge"), "family_id").select(
         "parent_id", "child_id", "family_id", "marriage_date", "child_birth_date")
 
 
@@ -242,7 +243,7 @@ def sibling_pairs(pcm: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataF
         return kin.select(F.col("parents").alias(f"member_{s}"), F.col("child_id").alias(f"_{s}"), F.col("child_birth_date").alias(f"_born_{s}"))
 
     first = F.col("_a") < F.col("_b")
-    across = met.join(side("a"), "member_a").join(side("b"), "member_b").select(
+    across = met.join(side("a").hint("merge"), "member_a").join(side("b").hint("merge"), "member_b").select(
         F.least("_a", "_b").alias("person_a"), F.greatest("_a", "_b").alias("person_b"), "shared_parent_count",
         F.when(first, F.col("_born_a")).otherwise(F.col("_born_b")).alias("birth_a"),
         F.when(first, F.col("_born_b")).otherwise(F.col("_born_a")).alias("birth_b"))
@@ -310,8 +311,9 @@ def enrich_edges(edges: DataFrame, dim_person: DataFrame, dim_role: DataFrame,
     role = small(dim_role.select(F.col("relationship_role_code"), "relationship_role_sk"))
     dates = small(dim_date.select("full_date", "date_sk"))
     how = "left" if keep_unmatched else "inner"
-    out = (edges.join(src, "source_person_id", how)
-           .join(tgt, "target_person_id", how)
+    # Persons are as many as the snapshot has: never sent to the driver, however small their files are.
+    out = (edges.join(src.hint("merge"), "source_person_id", how)
+           .join(tgt.hint("merge"), "target_person_id", how)
            .join(role, "relationship_role_code", how)
            .join(dates.select(F.col("full_date").alias("start_date"),
                               F.col("date_sk").alias("start_date_sk")), "start_date", "left")

@@ -129,7 +129,8 @@ def relation_snapshot(customer: DataFrame, seq: int,
     rel = spouse_first.unionByName(spouse_second).unionByName(child)
     if persons is None:
         persons = person_snapshot(customer, seq)
-    return rel.join(persons.select("person_id"), "person_id", "left_semi")
+    # a merge join whatever the file's size: it tells little of the rows, and the persons grow with it
+    return rel.join(persons.select("person_id").hint("merge"), "person_id", "left_semi")
 
 
 def snapshot(spark: SparkSession, sf_dir: str, seq: int) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -18,7 +18,7 @@ from kinstar.functions import (
 )
 from kinstar.operators import checks, closure, dims, kinship
 from kinstar.operators.keys import with_surrogate_key
-from kinstar.sources import graph, store
+from kinstar.sources import fixture, graph, store
 
 D = dt.date
 
@@ -248,3 +248,22 @@ def test_marriage_timeline_defaults_to_current_date(spark):
     assert r.years_together == dt.date.today().year - 2000
     fixed = reports.marriage_timeline(fact, dim, role, cal, D(2026, 6, 30)).first()
     assert fixed.years_together == 26
+
+
+def test_persons_and_families_are_not_broadcast_however_small_their_files(spark, scratch):
+    spark.range(1, 2000).select(F.col("id").alias("c_custkey"), F.lit(3).alias("c_nationkey"), F.lit("A").alias("c_mktsegment")).write.parquet(f"{scratch}/customer.parquet")
+    person, family, relation = fixture.snapshot(spark, scratch, 1)
+    spouses, children = kinship.spouse_relation(relation, family), kinship.child_relation(relation, person)
+    edges = kinship.parent_edges(kinship.parent_child(spouses, children))
+    dim = person.select("person_id", F.expr("cast(substr(person_id, 2) as long)").alias("person_sk"), F.lit(True).alias("is_current"))
+    enriched = kinship.enrich_edges(edges, dim, dims.role_dimension(spark), dims.seed_calendar(spark))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for df in (relation, spouses, children, kinship.parent_child(spouses, children)):
+        assert "SortMergeJoin" in plan(df) and "BroadcastHashJoin" not in plan(df)
+    for side in ("source", "target"):
+        assert any("SortMergeJoin" in line and f"{side}_person_id" in line for line in plan(enriched).splitlines())
+    assert enriched.count() == edges.count() > 0
+    assert enriched.where("source_person_sk <> cast(substr(source_person_id, 2) as long)").isEmpty()
