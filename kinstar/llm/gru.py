@@ -23,6 +23,8 @@ import numpy as np
 HIDDEN, WINDOW, LANES = 16, 16, 512
 #: Training: lanes, steps of a window, epochs, rate; unless the caller says otherwise.
 TRAIN_LANES, TRAIN_WINDOW, EPOCHS, RATE = 64, 16, 2, 0.01
+#: Weights that a step of the training changes at once.
+_PART = 1 << 13
 
 
 class Lanes:
@@ -66,6 +68,13 @@ def _exp(x: np.ndarray, bounded: bool) -> np.ndarray:
     return np.exp(x, out=x)
 
 
+def _flat(arrays: dict) -> tuple[np.ndarray, dict]:
+    """The numbers of all arrays in one, and its parts in their shapes."""
+    flat = np.concatenate([v.ravel() for v in arrays.values()])
+    edge = np.cumsum([v.size for v in arrays.values()])[:-1]
+    return flat, {k: x.reshape(v.shape) for (k, v), x in zip(arrays.items(), np.split(flat, edge))}
+
+
 @functools.cache
 def _ones(n: int, dtype) -> np.ndarray:
     return np.ones(n, dtype=dtype)
@@ -137,28 +146,32 @@ class Gru:
                    for m, b, axis in ((w["c"], w["cb"], 0), (w["w"], w["wb"], 1)))
 
     def _scaled(self):
-        """The weights of the steps times -1 (gates) and -2 (candidate), as their exponentials take them; exact in floats."""
-        by = np.repeat(np.array([-1, -1, -2], dtype=np.float32), self.hidden)
-        return self.weights["x"] * by, self.weights["u"] * by
+        """The weights of the steps times -1 (gates) and -2 (candidate), as their exponentials take them; exact in floats.
+        By symbol and gate, and by gate; the numbers of a gate lie together, as slices of a few columns are slow to go through."""
+        by = np.array([-1, -1, -2], dtype=np.float32)[:, None, None]
+        x, u = (np.multiply(self.weights[k].reshape(-1, 3, self.hidden).swapaxes(0, 1), by, order="C") for k in ("x", "u"))
+        return x.swapaxes(0, 1), u
 
     def _step(self, h, x, weights):
         """``x`` and ``weights`` as of :meth:`_scaled`."""
-        u, d = h @ weights, self.hidden
-        zr = _sigmoid(x[:, :2 * d] + u[:, :2 * d])
-        n = zr[:, d:] * u[:, 2 * d:]
-        n += x[:, 2 * d:]
-        n = _sigmoid(n)
+        u, x = np.matmul(h, weights), x.swapaxes(0, 1)
+        zr = u[:2]
+        zr += x[:2]
+        _sigmoid(zr)
+        n = zr[1] * u[2]
+        n += x[2]
+        _sigmoid(n)
         n *= 2
         n -= 1  # tanh
         following = h - n
-        following *= zr[:, :d]
+        following *= zr[0]
         following += n
-        return following, (zr, n, u[:, 2 * d:])
+        return following, (zr, n, u[2])
 
     def _states(self, h, window, before, fresh, scaled, keep: list | None = None):
         """(state behind the window, states of all its tokens); ``keep`` takes what the way back needs."""
         at = np.concatenate(window)
-        x, starts = scaled[0].take(before[at], axis=0), fresh[at]
+        x, starts = scaled[0].swapaxes(0, 1).take(before[at], axis=1).swapaxes(0, 1), fresh[at]
         edge = np.cumsum([0, *map(len, window)])
         some = np.add.reduceat(starts, edge[:-1], dtype=np.int64).tolist()
         out = np.empty((len(at), self.hidden), dtype=np.float32)
@@ -206,38 +219,42 @@ class Gru:
     def fit(self, symbols: np.ndarray, lengths: np.ndarray, begin: int, epochs: int = EPOCHS, rate: float = RATE,
             lanes: int = TRAIN_LANES) -> None:
         before, fresh = _inputs(symbols, lengths, begin)
-        mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        square = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        first, second = ({k: np.empty_like(v) for k, v in self.weights.items()} for _ in range(2))
+        flat, self.weights = _flat(self.weights)
+        (g, grads), mean, square = _flat(self.weights), np.zeros_like(flat), np.zeros_like(flat)
+        # parts that stay in the processor's cache
+        parts = [[x[i:i + _PART] for x in (flat, g, mean, square)] for i in range(0, len(flat), _PART)]
+        first, second = (np.empty(min(_PART, len(flat)), dtype=flat.dtype) for _ in range(2))
+        change = np.empty(len(first))
         windows = list(Lanes(lengths, lanes).windows(TRAIN_WINDOW))
         total, t = epochs * len(windows), 0
         for _ in range(epochs):
             h = np.zeros((0, self.hidden), dtype=np.float32)
             for window in windows:
-                h, grads = self._gradients(h, window, symbols, before, fresh)
+                g[:] = 0
+                h, _ = self._gradients(h, window, symbols, before, fresh, grads)
                 t += 1
                 step = rate * (1 - 0.9 * t / total) * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t)
-                for k, g in grads.items():
-                    a, b = first[k], second[k]
-                    mean[k] += np.multiply(0.1, np.subtract(g, mean[k], out=a), out=a)
-                    square[k] += np.multiply(0.001, np.subtract(np.multiply(g, g, out=a), square[k], out=a), out=a)
-                    np.sqrt(square[k], out=b)
+                for w, x, m, v in parts:
+                    a, b, c = first[:len(w)], second[:len(w)], change[:len(w)]
+                    m += np.multiply(0.1, np.subtract(x, m, out=a), out=a)
+                    v += np.multiply(0.001, np.subtract(np.multiply(x, x, out=a), v, out=a), out=a)
+                    np.sqrt(v, out=b)
                     b += 1e-8
-                    change = step * mean[k]  # in doubles, as the step is
-                    change /= b
-                    self.weights[k] -= change
+                    np.multiply(step, m, out=c)  # in doubles, as the step is
+                    c /= b
+                    w -= c
 
-    def _gradients(self, h, window, symbols, before, fresh):
-        """The state behind a window, and the gradients of its mean negative log likelihood."""
+    def _gradients(self, h, window, symbols, before, fresh, g: dict | None = None):
+        """The state behind a window, and the gradients of its mean negative log likelihood (in ``g``, arrays of zeros)."""
         w, d = self.weights, self.hidden
         kept: list = []
         h, s, at = self._states(h, window, before, fresh, self._scaled(), kept)
         target, n = symbols[at], np.float32(len(at))
-        g = {k: np.zeros_like(v) for k, v in w.items()}
+        g = g or {k: np.zeros_like(v) for k, v in w.items()}
         bounded, some = self._bounded(), s / n  # the mean's share of each token
         # class softmax
         e = _softmax_error(_logits(s, w["c"], w["cb"]), self.class_of[target], bounded)
-        g["c"], g["cb"], ds = some.T @ e, _sums(e.T) / n, e @ w["c"].T
+        g["c"][:], g["cb"][:], ds = some.T @ e, _sums(e.T) / n, e @ w["c"].T
         order, classes = self._by_class(target)
         s, some, target, error = s.take(order, axis=0), some.take(order, axis=0), target[order], ds.take(order, axis=0)
         for a, b, rows in classes:
@@ -248,8 +265,7 @@ class Gru:
         ds[order] = error
         ds /= n
         # back through the steps; lanes that have ended send nothing back
-        old, zr, cand, un = (np.concatenate(x) for x in zip(*kept))
-        z, r = zr[:, :d], zr[:, d:]
+        old, (z, r), cand, un = (np.concatenate(x, axis=-2) for x in zip(*kept))
         of_n = (1 - z) * (1 - cand * cand)  # what a state's error is worth to each gate
         of_z = (old - cand) * z * (1 - z)
         un *= np.float32(-0.5)  # as it is without the scale
@@ -266,7 +282,7 @@ class Gru:
             back += dh * z[own]
             if stops[own].any():
                 back *= ~stops[own][:, None]
-        g["u"] = old.T @ inner
+        g["u"][:] = old.T @ inner
         inner[:, 2 * d:] = ds * of_n
         last = before[at].astype(self.class_of.dtype)
         order = np.argsort(last, kind="stable")

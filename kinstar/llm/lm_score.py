@@ -85,8 +85,12 @@ def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes, tails, n = (np.concatenate(p) for p in zip(*parts))
-    each, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-    return each, tails[at], np.bincount(back, n, minlength=len(each)).astype(np.int64)
+    order = np.argsort(hashes)  # in any order among equal ones, which are the same word
+    hashes = hashes[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    first = np.flatnonzero(new)
+    return hashes[first], tails[order[first]], np.add.reduceat(n[order], first)
 
 
 def word_counts(texts: DataFrame, text_col: str) -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow as pa
 #: Bytes of text handled at once; a longer document forms a block of its own. A byte takes
 #: some 40 in the arrays of a pass, and 32 in the powers that a worker keeps.
 BLOCK_BYTES = 1 << 18
+#: Bytes whose words are hashed at once, few enough for a processor's cache.
+_PART_BYTES = 1 << 15
 
 _U = np.uint64
 
@@ -97,18 +99,19 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, spac
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
         return Words(data, offsets, none, none, np.zeros(len(offsets), dtype=np.int64), np.zeros(0, dtype=np.uint64))
-    inside = ~space[data]
+    blank = space[data]
+    inside = ~blank
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cut = offsets[(offsets > 0) & (offsets < n)]
     begins[cut] = inside[cut]
     stops = inside
-    stops[:-1] &= begins[1:] | space[data[1:]]
+    stops[:-1] &= begins[1:] | blank[1:]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     hashes = np.empty(len(starts), dtype=np.uint64)
     table, a = _TABLES[lower], 0
     while a < len(starts):  # parts of bounded size, cut between words
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + BLOCK_BYTES, side="right")))
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + _PART_BYTES, side="right")))
         lo, hi = int(starts[a]), int(ends[b - 1])
         run = np.zeros(hi - lo + 1, dtype=np.uint64)
         np.cumsum(table[data[lo:hi]] * powers(_BASE, hi - lo), out=run[1:])

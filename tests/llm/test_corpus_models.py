@@ -305,3 +305,36 @@ def test_scaled_weights_give_the_plain_step():
     z, r = (1 / (1 + np.exp(-(x + u)[:, k * d:(k + 1) * d])) for k in (0, 1))
     n = np.tanh(x[:, 2 * d:] + r * u[:, 2 * d:])
     assert np.abs(following - (n + z * (h - n))).max() < 1e-6
+
+
+def test_training_steps_are_those_of_plain_adam_and_gates_lie_together(monkeypatch):
+    monkeypatch.setattr(gru, "_PART", 7)
+    model, plain = small_model(), small_model()
+    assert all(gate.flags.c_contiguous for x in (model._scaled()[0].swapaxes(0, 1), model._scaled()[1]) for gate in x)
+    rng, lengths = np.random.default_rng(6), np.array([40, 25, 3])
+    symbols = rng.integers(0, 12, 68)
+    model.fit(symbols, lengths, 0, epochs=2, rate=0.05, lanes=2)
+    before, fresh = gru._inputs(symbols, lengths, 0)
+    windows = list(gru.Lanes(lengths, 2).windows(gru.TRAIN_WINDOW))
+    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in plain.weights.items()}
+    for t in range(2 * len(windows)):
+        if t % len(windows) == 0:
+            h = np.zeros((0, 5), dtype=np.float32)
+        h, grads = plain._gradients(h, windows[t % len(windows)], symbols, before, fresh)
+        for k, g in grads.items():
+            m, v = moments[k]
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            rate = 0.05 * (1 - 0.9 * (t + 1) / (2 * len(windows))) * np.sqrt(1 - 0.999 ** (t + 1)) / (1 - 0.9 ** (t + 1))
+            plain.weights[k] -= rate * m / (np.sqrt(v) + 1e-8)
+    assert all((model.weights[k] == v).all() for k, v in plain.weights.items())
+
+
+def test_merged_counts_against_brute_force():
+    rng = np.random.default_rng(8)
+    parts = [(h := rng.integers(-20, 20, n), (h % 5).astype(np.int8), rng.integers(1, 9, n)) for n in (300, 1, 50)]
+    want = Counter()
+    for h, _, n in parts:
+        for x, k in zip(h.tolist(), n.tolist()):
+            want[x, x % 5] += k
+    assert dict(zip(zip(*(c.tolist() for c in lm_score._merged(parts)[:2])), lm_score._merged(parts)[2].tolist())) == want

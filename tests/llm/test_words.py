@@ -59,3 +59,13 @@ def test_a_worker_keeps_little_however_long_the_texts(monkeypatch):
     column = pa.array(["word " * 600] * 1500 + ["long " * 500_000])
     assert sum(end - row for row, end, _ in W.blocks(column)) == 1501
     assert sum(p.nbytes for p in W._powers.values()) < 10_000_000
+
+
+def test_hashes_do_not_depend_on_the_parts_they_are_taken_in(monkeypatch):
+    column = pa.array(["some words " * 900, "é ü" * 50, None, "x" * 5000])
+    whole = [w.hashes.tolist() for _, _, w in W.blocks(column, lower=True)]
+    monkeypatch.setattr(W, "_PART_BYTES", 64)
+    assert [w.hashes.tolist() for _, _, w in W.blocks(column, lower=True)] == whole
+    monkeypatch.setattr(W, "_powers", {base: p[:1] for base, p in W._powers.items()})
+    W.split_words(*W.column_bytes(pa.array(["word " * 40_000])))
+    assert max(map(len, W._powers.values())) < 1000  # a part at a time, whatever the block
