@@ -18,12 +18,19 @@ text one stays, rows that share an id with different texts are documents of thei
 rows with a null id are never copies; texts are taken whole, however long; empty tables
 give empty results.
 
+Texts go to the Python workers in Arrow batches of at most ``BATCH_BYTES`` (one text if it is
+longer): a batch is held several times over, in Spark's memory and in Python's. By rows alone, of
+which Spark takes 10,000, a batch is as large as the texts are long. It is a setting of the session,
+as a stage's rows are read only after it has returned; one that the session has already stays.
+
 A stage has no SQL form if it rests on a trained model, and so the pipeline has
 none; tests/llm/test_pipeline.py compares it with a brute-force version.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,13 +38,25 @@ from kinstar.llm import decontaminate, near_dup, packing, secrets, toxicity
 from kinstar.llm.graph import stored
 
 NEAR = {"k": 5, "num": 80, "den": 100}
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(stage):
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+    return run
 
 
+@in_small_batches
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.without_toxic(docs, model)
 
 
+@in_small_batches
 def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     drop = near_dup.near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct()
     if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
@@ -47,15 +66,18 @@ def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.hint("merge").join(drop, "doc_id", "left_anti").select(*docs.columns)
 
 
+@in_small_batches
 def leaks_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@in_small_batches
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     masked = secrets.redact(docs, secrets.train(docs))
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@in_small_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

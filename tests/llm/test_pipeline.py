@@ -100,3 +100,26 @@ def test_entry_without_the_subpackage(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=False)
     assert done.returncode == 0, done.stderr
     assert importlib.util.find_spec("kinstar.llm") and np is not None and public_tokenizers.path("byte_bpe_50k.json") == PATH
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    texts = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    try:
+        spark.conf.unset(name)
+        corpus_pipeline.leaks_out(spark, texts, SF)
+        held = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+        assert len(held) > 3 and max(held) < 1.1 * corpus_pipeline.BATCH_BYTES
+        spark.conf.set(name, "9000000")  # a session's own setting stays
+        corpus_pipeline.leaks_out(spark, texts, SF)
+        assert spark.conf.get(name) == "9000000"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
